@@ -1,0 +1,73 @@
+"""End-to-end plans over the driver's test tables.
+
+The warehouse (staging, dimensions, fact) is written once per session and
+source folder and reused by every query; CSV feeds written for the source
+operators are reused the same way.  Everything is written below the session's
+checkpoint folder.
+"""
+
+from __future__ import annotations
+
+import os
+import threading
+
+from pyspark.sql import DataFrame, SparkSession
+
+from starling.operators import enrich as E
+from starling.operators.warehouse import Warehouse
+from starling.session import scratch_dir
+from starling.sources import dirt, feed_csv, testdata
+
+_LOCK = threading.Lock()
+_CACHE: dict[tuple, object] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
+    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), what)
+
+
+def _cached(spark: SparkSession, sf_dir: str, what: str, make):
+    key = _key(spark, sf_dir, what)
+    with _LOCK:
+        if key not in _CACHE:
+            _CACHE[key] = make()
+        return _CACHE[key]
+
+
+class Masters:
+    """The four masters of the test tables, in the warehouse's column names."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.customers = testdata.customer_master(spark, sf_dir)
+        self.products = testdata.product_master(spark, sf_dir)
+        self.suppliers = testdata.supplier_master(spark, sf_dir)
+        self.stores = testdata.store_master(spark, sf_dir)
+
+
+def enriched_lines(spark: SparkSession, sf_dir: str, keep_order_columns: bool = False) -> DataFrame:
+    """Every matched feed line with its 14 columns."""
+    m = Masters(spark, sf_dir)
+    return E.enrich(testdata.feed(spark, sf_dir), m.customers, m.products, m.suppliers, m.stores,
+                    keep_order_columns=keep_order_columns)
+
+
+def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging table: last matched line per order (keep-last before the
+    order-level joins, see ``staging_from_parts``)."""
+    m = Masters(spark, sf_dir)
+    return E.staging_from_parts(testdata.feed_lines(spark, sf_dir), testdata.order_headers(spark, sf_dir),
+                                m.customers, m.products, m.suppliers, m.stores)
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    return _cached(spark, sf_dir, "warehouse", lambda: Warehouse.build(spark, staging(spark, sf_dir)))
+
+
+def feed_csv_dir(spark: SparkSession, sf_dir: str, dirty: bool = False, files: int = 8) -> str:
+    """The feed of the test tables written as ``files`` CSV files (once per session)."""
+    def make():
+        text = testdata.feed_text(spark, sf_dir)
+        if dirty:
+            text = dirt.feed_text_with_bad_quantity(text)
+        return feed_csv.write_feed_csv(text, scratch_dir(spark, "feed-dirty" if dirty else "feed"), files)
+    return _cached(spark, sf_dir, f"feed-csv-{dirty}-{files}", make)
