@@ -18,7 +18,7 @@ from starling.operators.warehouse import Warehouse
 from starling.session import scratch_dir
 from starling.sources import dirt, feed_csv, testdata
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _CACHE: dict[tuple, object] = {}
 
 
