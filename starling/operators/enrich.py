@@ -45,8 +45,12 @@ def total_sale(quantity="quantity", price="product_price"):
     return (q * p).cast(MONEY)
 
 
+def _dedupe(master: DataFrame, key: str, unique: bool) -> DataFrame:
+    return master if unique else first_match(master, key)
+
+
 def match_lines(lines: DataFrame, products: DataFrame, suppliers: DataFrame | None = None,
-                stores: DataFrame | None = None) -> DataFrame:
+                stores: DataFrame | None = None, masters_unique: bool = False) -> DataFrame:
     """Line-level lookups: product, and supplier and store.
 
     With ``suppliers`` given, the line carries ``supplier_id`` and the store is
@@ -54,13 +58,14 @@ def match_lines(lines: DataFrame, products: DataFrame, suppliers: DataFrame | No
     (the warehouse's own master layout) and the line's ``supplier_id`` is
     replaced by the product's.
     """
+    u = masters_unique
     if suppliers is None:
-        p = first_match(products.select(*PRODUCT_WITH_SUPPLIER), "product_id")
+        p = _dedupe(products.select(*PRODUCT_WITH_SUPPLIER), "product_id", u)
         base = lines.drop("supplier_id") if "supplier_id" in lines.columns else lines
         return base.join(p, "product_id")
-    p = first_match(products.select(*PRODUCT_COLUMNS), "product_id")
-    s = first_match(suppliers.select(*SUPPLIER_COLUMNS), "supplier_id")
-    st = bounded_broadcast(first_match(stores.select(*STORE_COLUMNS), "store_id"))
+    p = _dedupe(products.select(*PRODUCT_COLUMNS), "product_id", u)
+    s = _dedupe(suppliers.select(*SUPPLIER_COLUMNS), "supplier_id", u)
+    st = bounded_broadcast(_dedupe(stores.select(*STORE_COLUMNS), "store_id", u))
     return lines.join(p, "product_id").join(s, "supplier_id").join(st, "store_id")
 
 
@@ -70,10 +75,14 @@ def _with_total(df: DataFrame) -> DataFrame:
 
 def enrich(feed: DataFrame, customers: DataFrame, products: DataFrame,
            suppliers: DataFrame | None = None, stores: DataFrame | None = None,
-           keep_order_columns: bool = False) -> DataFrame:
-    """Every matched feed line with its 14 enriched columns (line grain)."""
-    c = first_match(customers.select(*CUSTOMER_COLUMNS), "customer_id")
-    out = _with_total(match_lines(feed, products, suppliers, stores).join(c, "customer_id"))
+           keep_order_columns: bool = False, masters_unique: bool = False) -> DataFrame:
+    """Every matched feed line with its 14 enriched columns (line grain).
+
+    ``masters_unique`` skips the first-match dedupe for masters that were
+    already reduced to one row per key (see :func:`unique_masters`).
+    """
+    c = _dedupe(customers.select(*CUSTOMER_COLUMNS), "customer_id", masters_unique)
+    out = _with_total(match_lines(feed, products, suppliers, stores, masters_unique).join(c, "customer_id"))
     extra = [x for x in ("line_number",) if keep_order_columns and x in out.columns]
     return out.select(*ENRICHED_COLUMNS, *extra)
 
@@ -125,3 +134,16 @@ def unmatched(feed: DataFrame, customers: DataFrame, products: DataFrame,
                   .when(~F.col("_st"), F.lit("unknown store")))
     return x.withColumn("reason", reason).where(F.col("reason").isNotNull()).select(
         *feed.columns, "reason")
+
+
+def unique_masters(customers: DataFrame, products: DataFrame, suppliers: DataFrame | None,
+                   stores: DataFrame | None) -> list[DataFrame | None]:
+    """The masters reduced to one row per key (first match), as lazy DataFrames."""
+    out = [first_match(customers.select(*CUSTOMER_COLUMNS), "customer_id")]
+    if suppliers is None:
+        out += [first_match(products.select(*PRODUCT_WITH_SUPPLIER), "product_id"), None, None]
+    else:
+        out += [first_match(products.select(*PRODUCT_COLUMNS), "product_id"),
+                first_match(suppliers.select(*SUPPLIER_COLUMNS), "supplier_id"),
+                first_match(stores.select(*STORE_COLUMNS), "store_id")]
+    return out

@@ -12,6 +12,7 @@ neither recompute the enrichment nor depend on a long lineage.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -140,9 +141,37 @@ class Warehouse:
         sales when ``lines`` is given)."""
         wh = cls(spark, root or scratch_dir(spark, "warehouse"))
         stg = wh.save("staging", staging)
-        for name, builder in DIMENSIONS.items():
-            wh.save(name, builder(stg), count=True)
-        wh.save("sales", build_fact_derived(stg))
+        # The dimensions and the fact are independent scans of the written
+        # staging table: submit them as concurrent jobs of one application.
+        jobs = [(name, builder(stg), True) for name, builder in DIMENSIONS.items()]
+        jobs.append(("sales", build_fact_derived(stg), False))
         if lines is not None:
-            wh.save("sales_lines", lines)
+            jobs.append(("sales_lines", lines, False))
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            for f in [pool.submit(wh.save, n, df, c) for n, df, c in jobs]:
+                f.result()
         return wh
+
+
+class TableSet:
+    """Warehouse tables given as DataFrames, for tests and ad-hoc use.
+
+    ``from_staging`` derives the dimensions and the fact lazily, without
+    writing anything.
+    """
+
+    def __init__(self, tables: dict[str, DataFrame]):
+        self.tables = dict(tables)
+
+    def table(self, name: str) -> DataFrame:
+        return self.tables[name]
+
+    def dim(self, name: str, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+        return bounded_broadcast(self.tables[name], max_bytes)
+
+    @classmethod
+    def from_staging(cls, staging: DataFrame) -> "TableSet":
+        tables = {name: builder(staging) for name, builder in DIMENSIONS.items()}
+        tables["staging"] = staging
+        tables["sales"] = build_fact_derived(staging)
+        return cls(tables)

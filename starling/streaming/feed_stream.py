@@ -26,15 +26,31 @@ from starling.session import scratch_dir
 from starling.sources import feed_csv
 
 
+def load_masters(spark: SparkSession, root: str, customers: DataFrame, products: DataFrame,
+                 suppliers: DataFrame | None = None, stores: DataFrame | None = None) -> list:
+    """Reduce the masters to one row per key and write them once, before the
+    feed starts; every micro-batch then joins these tables as they are."""
+    out = []
+    for name, df in zip(["customers", "products", "suppliers", "stores"],
+                        E.unique_masters(customers, products, suppliers, stores)):
+        if df is None:
+            out.append(None)
+            continue
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        out.append(spark.read.parquet(f"{root}/{name}"))
+    return out
+
+
 def enrich_stream(spark: SparkSession, feed_dir: str, customers: DataFrame, products: DataFrame,
                   suppliers: DataFrame | None = None, stores: DataFrame | None = None,
-                  files_per_trigger: int = 1) -> tuple[DataFrame, DataFrame]:
+                  files_per_trigger: int = 1, masters_unique: bool = False) -> tuple[DataFrame, DataFrame]:
     """Streaming DataFrames of enriched lines and of quarantined feed rows."""
     typed = feed_csv.type_feed(feed_csv.stream_feed_text(spark, feed_dir, files_per_trigger))
     good = typed.where(F.col("reject_reason").isNull()).select(*FEED_COLUMNS)
     bad = typed.where(F.col("reject_reason").isNotNull()).select(
         *[F.col(f"raw_{c}").alias(c) for c in FEED_COLUMNS], "reject_reason")
-    enriched = E.enrich(good, customers, products, suppliers, stores, keep_order_columns=True)
+    enriched = E.enrich(good, customers, products, suppliers, stores, keep_order_columns=True,
+                        masters_unique=masters_unique)
     return enriched, bad
 
 
@@ -69,7 +85,9 @@ def stream_enrich_to_log(spark: SparkSession, feed_dir: str, customers: DataFram
     checkpoint, run only when asked for.
     """
     root = root or scratch_dir(spark, "stream")
-    enriched, bad = enrich_stream(spark, feed_dir, customers, products, suppliers, stores, files_per_trigger)
+    masters = load_masters(spark, f"{root}/masters", customers, products, suppliers, stores)
+    enriched, bad = enrich_stream(spark, feed_dir, *masters, files_per_trigger=files_per_trigger,
+                                  masters_unique=True)
     run_to_log(enriched, f"{root}/enriched", f"{root}/_checkpoint_enriched")
     if not quarantine:
         return f"{root}/enriched", None
