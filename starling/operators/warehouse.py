@@ -136,9 +136,15 @@ class Warehouse:
 
     @classmethod
     def build(cls, spark: SparkSession, staging: DataFrame, lines: DataFrame | None = None,
-              root: str | None = None) -> "Warehouse":
+              root: str | None = None, check_keys: bool = True) -> "Warehouse":
         """Write staging, the five dimensions and the fact (and the line-grain
-        sales when ``lines`` is given)."""
+        sales when ``lines`` is given).
+
+        With ``check_keys`` the build fails when a dimension key is held by
+        two rows (a product id with two prices, say), as the key constraints
+        of the warehouse would.  The fact key is unique by construction (one
+        staging row per order).
+        """
         wh = cls(spark, root or scratch_dir(spark, "warehouse"))
         stg = wh.save("staging", staging)
         # The dimensions and the fact are independent scans of the written
@@ -150,6 +156,11 @@ class Warehouse:
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
             for f in [pool.submit(wh.save, n, df, c) for n, df, c in jobs]:
                 f.result()
+        if check_keys:
+            from starling.operators.quality import assert_clean, check_primary_keys
+            from starling.schema import PRIMARY_KEYS
+            dims = {n: k for n, k in PRIMARY_KEYS.items() if n in DIMENSIONS}
+            assert_clean(check_primary_keys({n: wh.table(n) for n in dims}, dims), "duplicate_keys")
         return wh
 
 

@@ -2,6 +2,9 @@
 
 A field is quoted only when it holds the delimiter, a quote or a line break;
 quotes inside are doubled.  Dates are written as ``yyyy-MM-dd HH:mm:ss``.
+An empty text is written as ``""`` so that it reads back as empty text; an
+unquoted empty field also reads back as empty text, while a line that lacks
+its last field is rejected (a short row).
 """
 
 from __future__ import annotations
@@ -19,7 +22,6 @@ WRITE_OPTIONS = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "emptyValue": "",
     "timestampNTZFormat": DATETIME_TEXT_FORMAT,
 }
 READ_OPTIONS = {
@@ -31,6 +33,7 @@ READ_OPTIONS = {
     "ignoreTrailingWhiteSpace": "true",
     "mode": "PERMISSIVE",
     "enforceSchema": "true",
+    "nullValue": "\u0000",
 }
 ENRICHED_TEXT = T.StructType([T.StructField(c, T.StringType(), True) for c in ENRICHED_COLUMNS])
 
@@ -61,17 +64,12 @@ def type_enriched(text: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.DecimalType):
             typed[f.name] = cleaning.money(f.name)
         else:
-            typed[f.name] = F.trim(F.col(f.name))
-    reason = None
+            typed[f.name] = F.coalesce(F.trim(F.col(f.name)), F.lit(""))
+    last = ENRICHED_COLUMNS[-1]
+    reason = F.when(F.col(last).isNull(), F.lit("short row"))
     for f in ENRICHED.fields:
         if isinstance(f.dataType, (T.LongType, T.IntegerType, T.TimestampNTZType)):
-            bad = typed[f.name].isNull()
-        elif isinstance(f.dataType, T.StringType):
-            bad = F.col(f.name).isNull()
-        else:
-            continue
-        label = F.lit(f"bad {f.name}")
-        reason = F.when(bad, label) if reason is None else reason.when(bad, label)
+            reason = reason.when(typed[f.name].isNull(), F.lit(f"bad {f.name}"))
     return text.select(*[typed[c].alias(c) for c in ENRICHED_COLUMNS], reason.alias("reject_reason"))
 
 

@@ -1,0 +1,127 @@
+"""Warehouse build and OLAP semantics on hand-written fixtures (FIXTURES:
+supplier id with two names, weekend flag, volatility, lag, rollup, spike,
+pairs)."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from starling.operators import olap, quality
+from starling.operators import warehouse as W
+from starling.schema import PRIMARY_KEYS
+from tests.conftest import staging_row as row
+
+
+def test_supplier_with_two_names_keeps_smallest(make_staging):
+    stg = make_staging([row(1, "2024-01-01 10:00:00", supplier_id=27, supplier_name="AOC"),
+                        row(2, "2024-01-02 10:00:00", supplier_id=27, supplier_name="Acer"),
+                        row(3, "2024-01-02 10:00:00", supplier_id=5, supplier_name="Zed")])
+    out = {r.supplier_id: r.supplier_name for r in W.dim_supplier(stg).collect()}
+    assert out == {27: "AOC", 5: "Zed"}  # binary order: 'AO' < 'Ac'
+
+
+def test_weekend_flag_friday_to_monday(make_staging):
+    days = ["2024-01-05", "2024-01-06", "2024-01-07", "2024-01-08"]  # Fri Sat Sun Mon
+    stg = make_staging([row(i, d + " 12:00:00") for i, d in enumerate(days)])
+    out = {r.day: (r.is_weekend, r.date_id, r.month) for r in W.dim_time(stg).collect()}
+    assert out == {"Friday": (False, 20240105, "January"), "Saturday": (True, 20240106, "January"),
+                   "Sunday": (True, 20240107, "January"), "Monday": (False, 20240108, "January")}
+
+
+def test_fact_join_form_equals_derived_form(make_staging):
+    stg = make_staging([row(i, f"2024-0{1 + i % 3}-1{i % 9} 08:00:00", product_id=i % 4, store_id=i % 2)
+                        for i in range(30)])
+    t = W.TableSet.from_staging(stg)
+    joined = W.build_fact(stg, t.table("time_dim"), t.table("product"), t.table("customer"),
+                          t.table("store"), t.table("supplier"))
+    assert sorted(joined.collect()) == sorted(t.table("sales").collect())
+
+
+def test_key_checks_report_violations(make_staging):
+    stg = make_staging([row(1, "2024-01-01 10:00:00", product_id=1, price="1.00"),
+                        row(2, "2024-01-01 10:00:00", product_id=1, price="2.00")])
+    t = W.TableSet.from_staging(stg)
+    pk = {r.table_name: r.duplicate_keys for r in quality.check_primary_keys(t.tables, PRIMARY_KEYS).collect()}
+    assert pk["product"] == 1 and pk["sales"] == 0
+    fk = quality.check_foreign_keys(t.table("sales").union(
+        t.table("sales").withColumn("store_id", F.lit(99).cast("long"))), t.tables)
+    assert {r.key_column: r.orphan_rows for r in fk.collect()}["store_id"] == 2
+    nn = quality.check_not_null(t.table("time_dim"), ["date", "day", "month", "year"]).collect()
+    assert {r.null_rows for r in nn} == {0}
+    try:
+        quality.assert_clean(quality.check_primary_keys(t.tables, PRIMARY_KEYS), "duplicate_keys")
+        raise AssertionError("expected a failure")
+    except ValueError:
+        pass
+
+
+def test_volatility_nulls(make_staging):
+    """Missing previous month, January, and a previous month of 0 give NULL."""
+    stg = make_staging([
+        row(1, "2024-01-10 00:00:00", qty=100, price="1.00"),   # January: no predecessor
+        row(2, "2024-02-10 00:00:00", qty=150, price="1.00"),   # +50%
+        row(3, "2024-04-10 00:00:00", qty=10, price="1.00"),    # March missing
+        row(4, "2024-05-10 00:00:00", qty=0, price="1.00"),     # May revenue 0
+        row(5, "2024-06-10 00:00:00", qty=30, price="1.00"),    # previous is 0
+        row(6, "2023-12-10 00:00:00", qty=7, price="1.00"),     # December of another year
+    ])
+    out = {r.current_month: (r.previous_revenue, r.revenue_volatility) for r in olap.q5(W.TableSet.from_staging(stg)).collect()}
+    assert out[1] == (None, None)
+    assert out[2] == (Decimal("100.00"), Decimal("50.000000"))
+    assert out[4] == (None, None)
+    assert out[5] == (Decimal("10.00"), Decimal("-100.000000"))
+    assert out[6] == (Decimal("0.00"), None)
+
+
+def test_lag_uses_previous_existing_quarter(make_staging):
+    stg = make_staging([row(1, "1997-02-01 00:00:00", product_id=1, price="100.00"),
+                        row(2, "1997-08-01 00:00:00", product_id=2, price="133.33"),   # Q2 missing
+                        row(3, "1997-11-01 00:00:00", product_id=3, price="66.66")])
+    out = [(r.quarter, r.growth_rate) for r in olap.q2(W.TableSet.from_staging(stg)).collect()]
+    assert out == [("Q1", None), ("Q3", Decimal("33.33")), ("Q4", Decimal("-50.00"))]
+
+
+def test_rollup_tells_null_key_from_subtotal(make_staging):
+    stg = make_staging([row(1, "2024-01-01 00:00:00", store_id=1, store_name=None, price="5.00"),
+                        row(2, "2024-01-01 00:00:00", store_id=2, store_name="B", product_id=2, price="7.00")])
+    out = olap.q7(W.TableSet.from_staging(stg)).collect()
+    grand = [r for r in out if r.grouping_id == 15]
+    assert len(grand) == 1 and grand[0].yearly_revenue == Decimal("12.00")
+    null_store_groups = [r for r in out if r.store_name is None and r.grouping_id == 0]
+    assert len(null_store_groups) == 1 and null_store_groups[0].yearly_revenue == Decimal("5.00")
+
+
+def test_spike_exactly_twice_the_mean_is_not_an_outlier(make_staging):
+    # days: 10, 10, 40 -> mean 20; 40 is exactly twice the mean.
+    stg = make_staging([row(1, "2024-01-01 00:00:00", price="10.00"),
+                        row(2, "2024-01-02 00:00:00", price="10.00"),
+                        row(3, "2024-01-03 00:00:00", price="10.00", qty=4),
+                        row(4, "2024-01-01 00:00:00", product_id=2, price="1.00"),
+                        row(5, "2024-01-02 00:00:00", product_id=2, price="1.00"),
+                        row(6, "2024-01-03 00:00:00", product_id=2, price="1.00"),
+                        row(7, "2024-01-04 00:00:00", product_id=2, price="1.00", qty=10)])
+    out = olap.q9(W.TableSet.from_staging(stg)).collect()
+    assert [(r.product_name, str(r.date), r.daily_average_revenue) for r in out] == [
+        ("product 2", "2024-01-04", Decimal("3.250000"))]
+
+
+def test_pairs_fact_grain_empty_and_line_grain_counted(spark, make_staging):
+    stg = make_staging([row(1, "2024-01-01 00:00:00", product_id=1),
+                        row(2, "2024-01-01 00:00:00", product_id=2)])
+    assert olap.q6(W.TableSet.from_staging(stg)).count() == 0
+    lines = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (3, 2), (3, 2)],
+                                  "transaction_id long, product_id long")
+    pairs = {(r.product1_id, r.product2_id): r.frequency for r in olap.product_pairs(lines).collect()}
+    assert pairs == {(1, 2): 2, (1, 3): 1, (2, 3): 1}
+
+
+def test_seasons_and_halves(make_staging):
+    stg = make_staging([row(i, f"2024-{m:02d}-15 00:00:00", price="1.00") for i, m in enumerate(range(1, 13))])
+    t = W.TableSet.from_staging(stg)
+    seasons = [(r.season, r.total_seasonal_sales) for r in olap.q4(t).collect()]
+    assert seasons == [("Spring", Decimal("3.00")), ("Summer", Decimal("3.00")),
+                       ("Fall", Decimal("3.00")), ("Winter", Decimal("3.00"))]
+    halves = [(r.half, r.revenue_per_half, r.yearly_revenue) for r in olap.q8(t).collect()]
+    assert halves == [("H1", Decimal("6.00"), Decimal("12.00")), ("H2", Decimal("6.00"), Decimal("12.00"))]
