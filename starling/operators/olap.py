@@ -120,21 +120,28 @@ def q4(src) -> DataFrame:
             .orderBy("product_name", calendar.season_rank("season")))
 
 
-def q5(src) -> DataFrame:
+def q5(src, previous: str = "window") -> DataFrame:
     """Q5: monthly revenue per store and supplier beside the previous month.
 
     The previous month is the same store, supplier and year with month - 1
-    (so January has none).  The months of a (store, supplier, year) are
-    unique after the aggregate, so ``lag`` plus an adjacency test equals the
-    left self-join on ``month = month + 1`` with one shuffle instead of two.
+    (so January has none).  ``previous="self_join"`` is the left self-join
+    on ``month = month + 1`` (J12).  The default ``"window"`` gives the same
+    rows: the months of a (store, supplier, year) are unique after the
+    aggregate, so ``lag`` plus an adjacency test finds the same partner with
+    one shuffle of the monthly rows instead of two.
     """
     t = src.dim("time_dim").select("date_id", "year", F.month("date").alias("month"))
     monthly = (_sales(src, "date_id", "store_id", "supplier_id", "total_sale").join(t, "date_id")
                .groupBy("store_id", "supplier_id", "year", "month")
                .agg(arithmetic.money_sum("total_sale").alias("current_revenue")))
-    w = Window.partitionBy("store_id", "supplier_id", "year").orderBy("month")
-    prev = F.when(F.lag("month").over(w) == F.col("month") - 1, F.lag("current_revenue").over(w))
-    with_prev = monthly.withColumn("previous_revenue", prev.cast(MONEY_SUM))
+    if previous == "self_join":
+        earlier = monthly.select("store_id", "supplier_id", "year", (F.col("month") + 1).alias("month"),
+                                 F.col("current_revenue").alias("previous_revenue"))
+        with_prev = monthly.join(earlier, ["store_id", "supplier_id", "year", "month"], "left")
+    else:
+        w = Window.partitionBy("store_id", "supplier_id", "year").orderBy("month")
+        prev = F.when(F.lag("month").over(w) == F.col("month") - 1, F.lag("current_revenue").over(w))
+        with_prev = monthly.withColumn("previous_revenue", prev.cast(MONEY_SUM))
     return (with_prev
             .join(_names(src, "store", "store_id", "store_name"), "store_id")
             .join(_names(src, "supplier", "supplier_id", "supplier_name"), "supplier_id")
@@ -190,36 +197,57 @@ def q7(src) -> DataFrame:
             .orderBy("store_name", "supplier_name", "product_name", "year"))
 
 
-def q8(src) -> DataFrame:
+def q8(src, totals: str = "window") -> DataFrame:
     """Q8: revenue and quantity per product and half-year beside the product's
-    total over all years (a window sum over the at most two halves)."""
+    total over all years.
+
+    ``totals="join"`` aggregates the fact a second time per product and joins
+    the two aggregates (J13).  The default ``"window"`` sums the at most two
+    half-year rows of a product instead: same values, one scan of the fact.
+    """
     t = src.dim("time_dim").select("date_id", calendar.half_year(F.month("date")).alias("half"))
     halves = (_sales(src, "date_id", "product_id", "total_sale", "quantity").join(t, "date_id")
               .groupBy("product_id", "half")
               .agg(arithmetic.money_sum("total_sale").alias("revenue_per_half"),
                    F.sum("quantity").cast("long").alias("quantity_per_half")))
-    w = Window.partitionBy("product_id")
-    totals = halves.select(
-        "product_id", "half", "revenue_per_half", "quantity_per_half",
-        F.sum("revenue_per_half").over(w).cast(MONEY_SUM).alias("yearly_revenue"),
-        F.sum("quantity_per_half").over(w).cast("long").alias("yearly_quantity"))
+    if totals == "join":
+        yearly = (_sales(src, "date_id", "product_id", "total_sale", "quantity")
+                  .join(src.dim("time_dim").select("date_id"), "date_id")
+                  .groupBy("product_id")
+                  .agg(arithmetic.money_sum("total_sale").alias("yearly_revenue"),
+                       F.sum("quantity").cast("long").alias("yearly_quantity")))
+        totals = halves.join(yearly, "product_id")
+    else:
+        w = Window.partitionBy("product_id")
+        totals = halves.select(
+            "product_id", "half", "revenue_per_half", "quantity_per_half",
+            F.sum("revenue_per_half").over(w).cast(MONEY_SUM).alias("yearly_revenue"),
+            F.sum("quantity_per_half").over(w).cast("long").alias("yearly_quantity"))
     return (totals.join(_names(src, "product", "product_id", "product_name"), "product_id")
             .select("product_name", "half", "revenue_per_half", "quantity_per_half",
                     "yearly_revenue", "yearly_quantity")
             .orderBy("product_name", "half"))
 
 
-def q9(src) -> DataFrame:
+def q9(src, mean: str = "window") -> DataFrame:
     """Q9: product-days whose revenue is above twice the product's mean day.
 
     Days without sales do not count in the mean.  The mean is the exact
     decimal average (six decimals, half up) and the test is a strict ``>``.
+    ``mean="join"`` averages the daily aggregate per product and joins it
+    back (J13); the default ``"window"`` averages over the product's days
+    (bounded by the calendar) without the join.
     """
     t = src.dim("time_dim").select("date_id", "date")
     daily = (_sales(src, "date_id", "product_id", "total_sale").join(t, "date_id")
              .groupBy("product_id", "date").agg(F.sum("total_sale").alias("daily_revenue")))
-    w = Window.partitionBy("product_id")
-    flagged = (daily.withColumn("daily_average_revenue", F.avg("daily_revenue").over(w))
+    if mean == "join":
+        avg = daily.groupBy("product_id").agg(F.avg("daily_revenue").alias("daily_average_revenue"))
+        with_mean = daily.join(avg, "product_id")
+    else:
+        w = Window.partitionBy("product_id")
+        with_mean = daily.withColumn("daily_average_revenue", F.avg("daily_revenue").over(w))
+    flagged = (with_mean
                .withColumn("spike_flag",
                            F.when(F.col("daily_revenue") > 2 * F.col("daily_average_revenue"),
                                   F.lit("Outlier")).otherwise(F.lit("Normal")))
