@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from starling.schema import MONEY
 
 # The accepted text layouts.
-INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 # yyyy-MM-dd HH:mm:ss with an optional fraction; month, day and hour may drop
 # the leading zero.  A bare date does not match.
 TIMESTAMP_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?$"
@@ -25,10 +24,11 @@ def _text(c) -> Column:
 
 
 def strict_int(c, dtype: T.DataType = T.IntegerType()) -> Column:
-    """Whole-number text only: ``'12'`` and ``'+12'`` pass, ``'1.5'``, ``'x'``,
-    empty text and out-of-range values give NULL (the row is quarantined)."""
-    t = _text(c)
-    return F.when(t.rlike(INTEGER_PATTERN), t.try_cast(dtype))
+    """Whole-number text only: ``'12'`` and ``'+12'`` pass, ``'1.5'``, ``'1e3'``,
+    ``'x'``, empty text and out-of-range values give NULL (the row is
+    quarantined).  ``try_cast`` follows the ANSI rules whatever the session's
+    ANSI setting, and they accept only an optionally signed run of digits."""
+    return _text(c).try_cast(dtype)
 
 
 def strict_long(c) -> Column:

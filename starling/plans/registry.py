@@ -165,18 +165,27 @@ def _masters_args(spark, sf_dir):
     return m.customers, m.products, m.suppliers, m.stores
 
 
+# The registered stream queries read a feed of FEED_FILES files,
+# FILES_PER_TRIGGER files per micro-batch (so two micro-batches, each with
+# enough files to keep eight cores busy).
+FEED_FILES = 16
+FILES_PER_TRIGGER = 8
+
+
 def stream_enrich(spark, sf_dir):
-    """The CSV feed streamed in micro-batches of one file, enriched
-    against the static masters; the batch log read back (line grain)."""
-    log, _ = feed_stream.stream_enrich_to_log(spark, P.feed_csv_dir(spark, sf_dir),
-                                              *_masters_args(spark, sf_dir))
+    """The CSV feed streamed in micro-batches, enriched against the
+    static masters; the batch log read back (line grain)."""
+    log, _ = feed_stream.stream_enrich_to_log(spark, P.feed_csv_dir(spark, sf_dir, files=FEED_FILES),
+                                              *_masters_args(spark, sf_dir),
+                                              files_per_trigger=FILES_PER_TRIGGER)
     return feed_stream.enriched_from_log(spark, log)
 
 
 def stream_latest_per_order(spark, sf_dir):
     """T5: keep-last per order over the streamed log."""
-    log, _ = feed_stream.stream_enrich_to_log(spark, P.feed_csv_dir(spark, sf_dir),
-                                              *_masters_args(spark, sf_dir))
+    log, _ = feed_stream.stream_enrich_to_log(spark, P.feed_csv_dir(spark, sf_dir, files=FEED_FILES),
+                                              *_masters_args(spark, sf_dir),
+                                              files_per_trigger=FILES_PER_TRIGGER)
     return feed_stream.latest_from_log(spark, log)
 
 

@@ -41,3 +41,26 @@ def read_master(spark: SparkSession, path: str, columns: list[str], fmt: str = "
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path).select(*columns)
+
+
+# CSV dialect of master files: header line, comma, double quote doubled as
+# escape, CRLF or LF line ends, fields trimmed.
+MASTER_CSV_OPTIONS = {
+    "header": "true",
+    "sep": ",",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "true",
+    "ignoreTrailingWhiteSpace": "true",
+    "mode": "FAILFAST",
+    "enforceSchema": "true",
+}
+
+
+def read_master_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Scan a master CSV file by position with an explicit schema.
+
+    A malformed master row fails the job (``FAILFAST``): a half-read master
+    would silently drop every transaction that needs the missing rows.
+    """
+    return spark.read.schema(schema).options(**MASTER_CSV_OPTIONS).csv(path)

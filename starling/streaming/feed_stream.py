@@ -18,6 +18,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starling.operators import enrich as E
@@ -30,15 +32,17 @@ def load_masters(spark: SparkSession, root: str, customers: DataFrame, products:
                  suppliers: DataFrame | None = None, stores: DataFrame | None = None) -> list:
     """Reduce the masters to one row per key and write them once, before the
     feed starts; every micro-batch then joins these tables as they are."""
-    out = []
-    for name, df in zip(["customers", "products", "suppliers", "stores"],
-                        E.unique_masters(customers, products, suppliers, stores)):
+    def save(name, df):
         if df is None:
-            out.append(None)
-            continue
+            return None
         df.write.mode("overwrite").parquet(f"{root}/{name}")
-        out.append(spark.read.parquet(f"{root}/{name}"))
-    return out
+        return spark.read.parquet(f"{root}/{name}")
+
+    names = ["customers", "products", "suppliers", "stores"]
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:  # independent jobs, run together
+        futures = [pool.submit(save, n, df)
+                   for n, df in zip(names, E.unique_masters(customers, products, suppliers, stores))]
+        return [f.result() for f in futures]
 
 
 def enrich_stream(spark: SparkSession, feed_dir: str, customers: DataFrame, products: DataFrame,

@@ -62,3 +62,17 @@ def test_timestamp_needs_time_part(spark):
     out = [r.t for r in df.select(cleaning.strict_timestamp("v").alias("t")).collect()]
     assert out[0] is not None and out[1] is None and out[2] is None
     assert df.select(F.count_if(cleaning.strict_timestamp("v").isNull())).first()[0] == 2
+
+
+def test_master_csv_with_crlf_and_quotes(spark, tmp_dir):
+    from starling.schema import PRODUCT_MASTER
+    from starling.sources.tables import read_master_csv
+    os.makedirs(tmp_dir + "/m", exist_ok=True)
+    with open(tmp_dir + "/m/products.csv", "wb") as f:
+        f.write(b"productID,productName,productPrice,supplierID,supplierName,storeID,storeName\r\n"
+                b"1,Lamp,12.50,3,\"Acme, Inc.\",2,North\r\n"
+                b"2,\"Desk \"\"Pro\"\"\",99.99,4,Zed,2,North\r\n")
+    rows = read_master_csv(spark, tmp_dir + "/m", PRODUCT_MASTER).collect()
+    assert [(r.product_id, r.product_name, r.supplier_name, r.store_name) for r in rows] == [
+        (1, "Lamp", "Acme, Inc.", "North"), (2, 'Desk "Pro"', "Zed", "North")]
+    assert rows[0].product_price == Decimal("12.50")
