@@ -45,3 +45,4 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES,
     max_rows = max(1, max_bytes // row_bytes(df.schema))
     rows = known_rows if known_rows is not None else bounded_rows(df, max_rows)
     return F.broadcast(df) if rows <= max_rows else df
+

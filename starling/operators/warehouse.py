@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starling.functions import calendar
 from starling.operators.sizing import DEFAULT_MAX_BYTES, bounded_broadcast
-from starling.schema import (CUSTOMER_DIM, PRODUCT_DIM, SALES, STORE_DIM, SUPPLIER_DIM,
-                             TIME_DIM, conform)
+from starling.schema import (CUSTOMER_DIM, PRIMARY_KEYS, PRODUCT_DIM, SALES, STORE_DIM,
+                             SUPPLIER_DIM, TIME_DIM, conform)
 from starling.session import scratch_dir
 from starling.sources.tables import read_table, write_table
 
@@ -133,13 +133,18 @@ class Warehouse:
         """A dimension, broadcast when its recorded row count fits ``max_bytes``."""
         return bounded_broadcast(self.table(name), max_bytes, known_rows=self.rows.get(name))
 
-    def save(self, name: str, df: DataFrame, count: bool = False) -> DataFrame:
+    def save(self, name: str, df: DataFrame, count: bool = False, key: str | None = None) -> DataFrame:
+        """Write ``df`` as table ``name``; optionally record its row count and
+        fail when ``key`` is held by more than one row."""
         path = f"{self.root}/{name}"
         write_table(df, path)
         self.paths[name] = path
         out = self.table(name)
         if count:
             self.rows[name] = out.count()
+        if key is not None:
+            from starling.operators.quality import assert_clean, check_primary_keys
+            assert_clean(check_primary_keys({name: out}, {name: key}), "duplicate_keys")
         return out
 
     @classmethod
@@ -157,18 +162,14 @@ class Warehouse:
         stg = wh.save("staging", staging)
         # The dimensions and the fact are independent scans of the written
         # staging table: submit them as concurrent jobs of one application.
-        jobs = [(name, builder(stg), True) for name, builder in DIMENSIONS.items()]
-        jobs.append(("sales", cluster_by_date(build_fact_derived(stg)), False))
+        jobs = [(name, builder(stg), True, PRIMARY_KEYS[name] if check_keys else None)
+                for name, builder in DIMENSIONS.items()]
+        jobs.append(("sales", cluster_by_date(build_fact_derived(stg)), False, None))
         if lines is not None:
-            jobs.append(("sales_lines", lines, False))
+            jobs.append(("sales_lines", lines, False, None))
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-            for f in [pool.submit(wh.save, n, df, c) for n, df, c in jobs]:
+            for f in [pool.submit(wh.save, *job) for job in jobs]:
                 f.result()
-        if check_keys:
-            from starling.operators.quality import assert_clean, check_primary_keys
-            from starling.schema import PRIMARY_KEYS
-            dims = {n: k for n, k in PRIMARY_KEYS.items() if n in DIMENSIONS}
-            assert_clean(check_primary_keys({n: wh.table(n) for n in dims}, dims), "duplicate_keys")
         return wh
 
 

@@ -32,10 +32,9 @@ def scan_transactions(spark, sf_dir):
 
 def scan_masters(spark, sf_dir):
     """The customer master with its three columns (pruned at the scan)."""
-    return tables.read_master(spark, f"{sf_dir}/customer.parquet",
-                              ["c_custkey", "c_name", "c_mktsegment"]).select(
-        *[F.col(a).alias(f.name) for a, f in zip(["c_custkey", "c_name", "c_mktsegment"],
-                                                   CUSTOMER_MASTER.fields)])
+    source = ["c_custkey", "c_name", "c_mktsegment"]
+    return tables.read_master(spark, f"{sf_dir}/customer.parquet", source).select(
+        *[F.col(a).alias(f.name) for a, f in zip(source, CUSTOMER_MASTER.fields)])
 
 
 def clean_transactions(spark, sf_dir):
