@@ -147,6 +147,20 @@ class Warehouse:
             assert_clean(check_primary_keys({name: out}, {name: key}), "duplicate_keys")
         return out
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Publish the tables as temporary views under the warehouse's table
+        names (``output_data`` for staging), so SQL written against the
+        warehouse runs on Spark as it is.  Column names match case-blind
+        (``Total_Sale`` finds ``total_sale``)."""
+        names = {"staging": "output_data", "time_dim": "time_dim", "product": "product",
+                 "customer": "customer", "store": "store", "supplier": "supplier", "sales": "sales"}
+        out = []
+        for table, view in names.items():
+            if table in self.paths:
+                self.table(table).createOrReplaceTempView(prefix + view)
+                out.append(prefix + view)
+        return out
+
     @classmethod
     def build(cls, spark: SparkSession, staging: DataFrame, lines: DataFrame | None = None,
               root: str | None = None, check_keys: bool = True) -> "Warehouse":

@@ -69,3 +69,17 @@ def test_join_forms_equal_window_forms(spark):
     for fn, kw in [(olap.q5, {"previous": "self_join"}), (olap.q8, {"totals": "join"}),
                    (olap.q9, {"mean": "join"})]:
         assert sorted(fn(wh, **kw).collect()) == sorted(fn(wh).collect()), fn.__name__
+
+
+def test_sql_over_registered_views_matches_q10(spark):
+    """SQL written against the warehouse's table names runs on the views."""
+    from starling.plans import pipeline as P
+    wh = P.warehouse(spark, SMOKE_DIR)
+    assert "output_data" in wh.register_views()
+    by_sql = spark.sql("""
+        SELECT ST.Store_Name AS store_name, T.Year AS year, QUARTER(T.Date) AS quarter,
+               CAST(SUM(S.Total_Sale) AS DECIMAL(38,2)) AS total_quarterly_sales
+        FROM sales S JOIN store ST ON S.Store_ID = ST.Store_ID
+                     JOIN time_dim T ON S.Date_ID = T.Date_ID
+        GROUP BY ST.Store_Name, T.Year, QUARTER(T.Date)""")
+    assert sorted(by_sql.collect()) == sorted(entry.queries()["q10"](spark, SMOKE_DIR).collect())
