@@ -18,6 +18,7 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,15 +29,37 @@ from starling.session import scratch_dir
 from starling.sources import feed_csv
 
 
+MASTER_KEYS = {"customers": "customer_id", "products": "product_id", "suppliers": "supplier_id"}
+
+
 def load_masters(spark: SparkSession, root: str, customers: DataFrame, products: DataFrame,
-                 suppliers: DataFrame | None = None, stores: DataFrame | None = None) -> list:
+                 suppliers: DataFrame | None = None, stores: DataFrame | None = None,
+                 bucketed: bool = True) -> list:
     """Reduce the masters to one row per key and write them once, before the
-    feed starts; every micro-batch then joins these tables as they are."""
+    feed starts; every micro-batch then joins these tables as they are.
+
+    With ``bucketed``, customers, products and suppliers are written bucketed
+    and sorted by their key (external tables at ``root``, registered under
+    unique names in the session catalog).  A master too large to broadcast
+    is then read pre-partitioned by every micro-batch: only the batch's own
+    rows are shuffled to meet it, never the master.  The store master is
+    small by nature and is broadcast.
+    """
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    run = uuid.uuid4().hex[:12]
+
     def save(name, df):
         if df is None:
             return None
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        return spark.read.parquet(f"{root}/{name}")
+        path = f"{root}/{name}"
+        if bucketed and name in MASTER_KEYS:
+            table = f"starling_{name}_{run}"
+            key = MASTER_KEYS[name]
+            (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+             .option("path", path).saveAsTable(table))
+            return spark.table(table)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
 
     names = ["customers", "products", "suppliers", "stores"]
     with ThreadPoolExecutor(max_workers=len(names)) as pool:  # independent jobs, run together
