@@ -116,22 +116,27 @@ def staging_from_parts(lines: DataFrame, headers: DataFrame, customers: DataFram
 
 def unmatched(feed: DataFrame, customers: DataFrame, products: DataFrame,
               suppliers: DataFrame | None = None, stores: DataFrame | None = None) -> DataFrame:
-    """Feed lines that the enrichment drops, with the first lookup that failed."""
-    def flag(df, key, name):
-        return df.select(key).distinct().withColumn(name, F.lit(True))
+    """Feed lines that the enrichment drops, with the first lookup that failed.
 
-    x = (feed.join(flag(customers, "customer_id", "_c"), "customer_id", "left")
-         .join(flag(products, "product_id", "_p"), "product_id", "left"))
+    The lookups are left joins against the same first-match masters the
+    enrichment uses, so a line is reported exactly when :func:`enrich` drops it.
+    """
+    def keys(df, key, flag):
+        return df.select(key).distinct().withColumn(flag, F.lit(True))
+
+    x = (feed.join(keys(customers, "customer_id", "_c"), "customer_id", "left")
+         .join(keys(products, "product_id", "_p"), "product_id", "left"))
     reason = (F.when(F.col("_c").isNull(), F.lit("unknown customer"))
               .when(F.col("_p").isNull(), F.lit("unknown product")))
     if suppliers is not None:
-        sup = suppliers.select("supplier_id", "store_id").distinct()
-        st = bounded_broadcast(flag(stores, "store_id", "_st"))
-        s_ok = sup.join(st, "store_id", "left").groupBy("supplier_id").agg(
-            F.max(F.col("_st").isNotNull()).alias("_st"))
-        x = x.join(s_ok.withColumn("_s", F.lit(True)), "supplier_id", "left")
+        # the store of a supplier is the store of its first-match row
+        sup = first_match(suppliers.select(*SUPPLIER_COLUMNS), "supplier_id").select(
+            "supplier_id", F.col("store_id").alias("_store_of_supplier"), F.lit(True).alias("_s"))
+        st = bounded_broadcast(keys(stores, "store_id", "_st").withColumnRenamed(
+            "store_id", "_store_of_supplier"))
+        x = x.join(sup, "supplier_id", "left").join(st, "_store_of_supplier", "left")
         reason = (reason.when(F.col("_s").isNull(), F.lit("unknown supplier"))
-                  .when(~F.col("_st"), F.lit("unknown store")))
+                  .when(F.col("_st").isNull(), F.lit("unknown store")))
     return x.withColumn("reason", reason).where(F.col("reason").isNotNull()).select(
         *feed.columns, "reason")
 

@@ -86,7 +86,8 @@ def q2(src, year: int = DEFAULT_YEAR) -> DataFrame:
     per_store = (_sales_of_year(src, year, "date_id", "store_id", "total_sale").join(t, "date_id")
                  .groupBy("store_id", "q").agg(arithmetic.money_sum("total_sale").alias("total_revenue"))
                  .join(_names(src, "store", "store_id", "store_name"), "store_id"))
-    w = Window.partitionBy("store_name").orderBy("q")
+    # store_id only breaks ties between two stores that share a name
+    w = Window.partitionBy("store_name").orderBy("q", "store_id")
     prev = F.lag("total_revenue").over(w)
     return (per_store.select(
         "store_name",

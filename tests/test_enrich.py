@@ -64,3 +64,24 @@ def test_keep_last_with_hot_key_is_partial(spark):
     df = spark.range(0, 20000).selectExpr("CAST(id % 3 = 0 AS INT) * 0 AS k", "id", "CAST(id AS STRING) AS s")
     assert "partial_max" in plan_text(keep_last(df, "k", ["id"]))
     assert keep_last(df, "k", ["id"]).first().id == 19999
+
+
+def test_unmatched_supplier_and_store(spark):
+    from starling.schema import FEED
+    c, _ = _masters(spark)
+    products = spark.createDataFrame([(10, "Lamp", Decimal("1.00"))],
+                                     "product_id long, product_name string, product_price decimal(10,2)")
+    suppliers = spark.createDataFrame([(5, "S5", 1), (6, "S6", 99), (6, "A6", 1)],
+                                      "supplier_id long, supplier_name string, store_id long")
+    stores = spark.createDataFrame([(1, "North")], "store_id long, store_name string")
+    feed = spark.createDataFrame([(1, ts("2024-01-01 10:00:00"), 10, 1, 1, 5, 1),
+                                  (2, ts("2024-01-01 10:00:00"), 10, 1, 1, 7, 1),
+                                  (3, ts("2024-01-01 10:00:00"), 10, 1, 1, 6, 1)], FEED)
+    # supplier 6: first match is "A6" with store 1, so order 3 is matched
+    kept = {r.order_id: r.supplier_name for r in E.enrich(feed, c, products, suppliers, stores).collect()}
+    assert kept == {1: "S5", 3: "A6"}
+    report = {r.order_id: r.reason for r in E.unmatched(feed, c, products, suppliers, stores).collect()}
+    assert report == {2: "unknown supplier"}
+    stores_missing = spark.createDataFrame([(2, "South")], "store_id long, store_name string")
+    report = {r.order_id: r.reason for r in E.unmatched(feed, c, products, suppliers, stores_missing).collect()}
+    assert report == {1: "unknown store", 2: "unknown supplier", 3: "unknown store"}
