@@ -16,11 +16,14 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "starling") -> SparkSession:
+                  app_name: str = "starling", extra_conf: dict | None = None) -> SparkSession:
     """Session for tests and the benchmark.  On a cluster, the cluster's own
     configuration is used instead and this function is not called."""
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -4,7 +4,6 @@ forced on, the enrichment and keep-last must still equal a brute force."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from starling.operators import enrich as E
