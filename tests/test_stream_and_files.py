@@ -53,3 +53,14 @@ def test_replayed_batch_does_not_duplicate(spark, tmp_dir):
     writer(df, 1)
     writer(df, 1)  # the same batch id again, as after a restart
     assert spark.read.parquet(tmp_dir + "/log").count() == 10
+
+
+def test_warehouse_from_stream_log_equals_batch(spark, tmp_dir):
+    """The streamed log feeds the star schema: Q10 over it equals the batch Q10."""
+    from starling.operators import olap
+    from starling.operators.warehouse import Warehouse
+    log = _stream_result(spark, SMOKE_DIR, 3, tmp_dir)
+    wh = Warehouse.build(spark, feed_stream.latest_from_log(spark, log), root=tmp_dir + "/wh")
+    batch = P.warehouse(spark, SMOKE_DIR)
+    assert sorted(olap.q10(wh).collect()) == sorted(olap.q10(batch).collect())
+    assert sorted(olap.q7(wh).collect(), key=repr) == sorted(olap.q7(batch).collect(), key=repr)
