@@ -81,9 +81,19 @@ def enrich_stream(spark: SparkSession, feed_dir: str, customers: DataFrame, prod
     return enriched, bad
 
 
+ARRIVAL = "arrival"
+
+
 def _batch_writer(out_dir: str):
+    """Write each micro-batch to its own ``batch_id=N`` folder, overwriting it.
+
+    ``arrival`` numbers the rows of the batch in read order (partition, then
+    row; the splits of one file are read in offset order).  Together with the
+    batch id it is the arrival order of a feed read one file per trigger.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        (batch.withColumn(ARRIVAL, F.monotonically_increasing_id())
+         .write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}"))
     return write
 
 
@@ -128,6 +138,15 @@ def enriched_from_log(spark: SparkSession, log_dir: str) -> DataFrame:
     return read_log(spark, log_dir).select(*ENRICHED_COLUMNS)
 
 
-def latest_from_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    """T5: last matched line per order over the whole log."""
-    return E.latest_per_order(read_log(spark, log_dir).drop("batch_id"))
+def latest_from_log(spark: SparkSession, log_dir: str, by_arrival: bool = False) -> DataFrame:
+    """T5: last matched line per order over the whole log.
+
+    By default "last" is the explicit line order (line number, then product,
+    supplier, quantity), which does not depend on how the feed was split.
+    ``by_arrival`` orders by (batch id, arrival in the batch) instead: the
+    order of a feed without a sequence column, read one file per trigger.
+    """
+    log = read_log(spark, log_dir)
+    if by_arrival:
+        return E.latest_per_order(log, order=["batch_id", ARRIVAL])
+    return E.latest_per_order(log.drop("batch_id", ARRIVAL))

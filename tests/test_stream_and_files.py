@@ -64,3 +64,34 @@ def test_warehouse_from_stream_log_equals_batch(spark, tmp_dir):
     batch = P.warehouse(spark, SMOKE_DIR)
     assert sorted(olap.q10(wh).collect()) == sorted(olap.q10(batch).collect())
     assert sorted(olap.q7(wh).collect(), key=repr) == sorted(olap.q7(batch).collect(), key=repr)
+
+
+def test_arrival_order_for_a_five_column_feed(spark, tmp_dir):
+    """A feed in the warehouse's own layout (no sequence column; supplier and
+    store come with the product): the later file, then the later line, wins;
+    an unmatched later line replaces nothing; bad rows go to the quarantine."""
+    import os
+    from starling.schema import CUSTOMER_MASTER, PRODUCT_MASTER
+    feed = tmp_dir + "/feed5"
+    os.makedirs(feed)
+    files = {
+        "a.csv": ["1,2024-01-01 10:00:00,10,1,1", "2,2024-01-01 10:00:00,10,1,2"],
+        "b.csv": ["1,2024-01-02 10:00:00,11,2,1", "1,2024-01-02 11:00:00,99,1,1",
+                  "3,2024-01-03 10:00:00,10,1,3", "3,2024-01-03 11:00:00,11,3,3", "4,bad,10,1,1"],
+    }
+    for i, (name, lines) in enumerate(files.items()):
+        path = os.path.join(feed, name)
+        with open(path, "w") as f:
+            f.write("Order ID,Order Date,Product ID,Quantity,Customer ID\n" + "\n".join(lines) + "\n")
+        os.utime(path, (1_700_000_000 + i * 100, 1_700_000_000 + i * 100))
+    customers = spark.createDataFrame([(1, "Ann", "F"), (2, "Bob", "M"), (3, "Cy", "M")], CUSTOMER_MASTER)
+    products = spark.createDataFrame(
+        [(10, "Lamp", Decimal("2.50"), 5, "Acme, Inc.", 1, "North"),
+         (11, "Desk", Decimal("10.00"), 6, "Zed", 2, "South")], PRODUCT_MASTER)
+    log, bad = feed_stream.stream_enrich_to_log(spark, feed, customers, products, files_per_trigger=1,
+                                                root=tmp_dir + "/s5", quarantine=True)
+    got = {r.order_id: (r.product_id, r.total_sale, r.store_name)
+           for r in feed_stream.latest_from_log(spark, log, by_arrival=True).collect()}
+    assert got == {1: (11, Decimal("20.00"), "South"), 2: (10, Decimal("2.50"), "North"),
+                   3: (11, Decimal("30.00"), "South")}
+    assert [r.reject_reason for r in spark.read.parquet(bad).collect()] == ["bad order_date"]
