@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starling.operators import enrich as E
 from starling.operators.warehouse import Warehouse
-from starling.session import scratch_dir
+from starling.session import app_id, scratch_dir
 from starling.sources import dirt, feed_csv, testdata
 
 _LOCK = threading.RLock()
@@ -23,7 +23,7 @@ _CACHE: dict[tuple, object] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), what)
+    return (app_id(spark), os.path.abspath(sf_dir), what)
 
 
 def _cached(spark: SparkSession, sf_dir: str, what: str, make):

@@ -39,18 +39,36 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_OWN_ROOT: dict[str, str] = {}
+
+
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # a session without a local SparkContext
+        return spark.conf.get("spark.app.id", "session")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session, set only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:
+        current = None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        # Unset: a local run or a test.  A cluster always names a shared folder.
-        configured = tempfile.mkdtemp(prefix="starling-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    if configured:
+        return configured
+    # Unset: a local run or a test.  A cluster always names a shared folder.
+    key = app_id(spark)
+    if key not in _OWN_ROOT:
+        _OWN_ROOT[key] = tempfile.mkdtemp(prefix="starling-ckpt-")
+        try:
+            spark.sparkContext.setCheckpointDir(_OWN_ROOT[key])
+        except Exception:
+            pass
+    return _OWN_ROOT[key]
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:

@@ -44,7 +44,7 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-level part of the feed: date and customer, one row per order."""
     return read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderdate").alias("order_date"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("order_date"),
         F.col("o_custkey").alias("customer_id"),
     )
 
