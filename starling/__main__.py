@@ -3,6 +3,7 @@
     python -m starling list
     python -m starling run q1 q10 --sf-dir /root/testdata/sf0.01 --rows 20
     python -m starling sql "SELECT count(*) FROM sales" --sf-dir /root/testdata/sf0.01
+    python -m starling files --feed feed/ --customers customers.csv --products products.csv --year 2019
 """
 
 from __future__ import annotations
@@ -19,6 +20,13 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("names", nargs="+")
     run.add_argument("--sf-dir", default="/root/testdata/sf0.01")
     run.add_argument("--rows", type=int, default=20)
+    fb = sub.add_parser("files", help="build the warehouse from CSV files in the original layout, run queries")
+    fb.add_argument("--feed", required=True, help="folder of transaction CSV files")
+    fb.add_argument("--customers", required=True, help="customer master CSV (file or folder)")
+    fb.add_argument("--products", required=True, help="product master CSV (file or folder)")
+    fb.add_argument("--queries", nargs="*", default=["q1", "q2", "q3", "q4", "q5", "q6", "q7", "q8", "q9", "q10"])
+    fb.add_argument("--year", type=int, default=None, help="year of Q1 and Q2")
+    fb.add_argument("--rows", type=int, default=20)
     sql = sub.add_parser("sql", help="run SQL over the warehouse views")
     sql.add_argument("text")
     sql.add_argument("--sf-dir", default="/root/testdata/sf0.01")
@@ -33,7 +41,16 @@ def main(argv: list[str] | None = None) -> int:
 
     from starling.session import build_session
     spark = build_session()
-    if args.cmd == "run":
+    if args.cmd == "files":
+        from starling.operators import olap
+        from starling.plans import files
+        wh = files.warehouse_from_files(spark, args.feed, args.customers, args.products)
+        wh.register_views()
+        for name in args.queries:
+            kw = {"year": args.year} if args.year is not None and name in ("q1", "q2") else {}
+            print(f"== {name}")
+            getattr(olap, name)(wh, **kw).show(args.rows, truncate=False)
+    elif args.cmd == "run":
         for name in args.names:
             print(f"== {name}")
             QUERIES[name](spark, args.sf_dir).show(args.rows, truncate=False)

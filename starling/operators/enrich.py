@@ -75,16 +75,18 @@ def _with_total(df: DataFrame) -> DataFrame:
 
 def enrich(feed: DataFrame, customers: DataFrame, products: DataFrame,
            suppliers: DataFrame | None = None, stores: DataFrame | None = None,
-           keep_order_columns: bool = False, masters_unique: bool = False) -> DataFrame:
+           keep_order_columns: bool = False, masters_unique: bool = False,
+           carry: tuple[str, ...] = ()) -> DataFrame:
     """Every matched feed line with its 14 enriched columns (line grain).
 
     ``masters_unique`` skips the first-match dedupe for masters that were
     already reduced to one row per key (see :func:`unique_masters`).
+    ``carry`` names further feed columns to keep (an arrival position, say).
     """
     c = _dedupe(customers.select(*CUSTOMER_COLUMNS), "customer_id", masters_unique)
     out = _with_total(match_lines(feed, products, suppliers, stores, masters_unique).join(c, "customer_id"))
     extra = [x for x in ("line_number",) if keep_order_columns and x in out.columns]
-    return out.select(*ENRICHED_COLUMNS, *extra)
+    return out.select(*ENRICHED_COLUMNS, *extra, *carry)
 
 
 def latest_per_order(enriched: DataFrame, order: list[str] | None = None) -> DataFrame:

@@ -52,11 +52,12 @@ def stream_feed_text(spark: SparkSession, path: str, files_per_trigger: int = 1)
             .option("maxFilesPerTrigger", files_per_trigger).csv(path))
 
 
-def type_feed(text: DataFrame) -> DataFrame:
+def type_feed(text: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Typed columns plus ``reject_reason`` (NULL for a good row) and the raw text.
 
     The five base columns are required; ``supplier_id`` and ``line_number``
     may be absent (a five-column feed) but must be numbers when present.
+    ``carry`` names further columns of ``text`` to pass through.
     """
     typed = {
         "order_id": cleaning.strict_long("order_id"),
@@ -77,6 +78,7 @@ def type_feed(text: DataFrame) -> DataFrame:
         *[typed[c].alias(c) for c in FEED_COLUMNS],
         reason.alias("reject_reason"),
         *[F.col(c).alias(f"raw_{c}") for c in FEED_COLUMNS],
+        *carry,
     )
 
 
