@@ -32,7 +32,7 @@ def read_masters(spark: SparkSession, customers_path: str, products_path: str) -
 def typed_feed(spark: SparkSession, feed_dir: str) -> tuple[DataFrame, DataFrame]:
     """(good typed rows with their arrival position, quarantined rows)."""
     text = (feed_csv.read_feed_text(spark, feed_dir)
-            .withColumn("_file", F.input_file_name())
+            .withColumn("_file", F.col("_metadata.file_path"))
             .withColumn("_position", F.monotonically_increasing_id()))
     typed = feed_csv.type_feed(text, carry=ARRIVAL)
     good = typed.where(F.col("reject_reason").isNull()).select(*FEED_COLUMNS, *ARRIVAL)

@@ -44,3 +44,15 @@ def test_warehouse_from_original_layout(spark, tmp_dir):
     assert weekend == {"2019-03-02": True, "2019-07-01": False}
     _, bad = files.typed_feed(spark, tmp_dir + "/feed")
     assert [r.order_id for r in bad.collect()] == ["4"]
+
+
+def test_later_file_wins(spark, tmp_dir):
+    _write(tmp_dir + "/c/customers.csv", "customer_id,customer_name,gender\n1,Ann,Female\n")
+    _write(tmp_dir + "/p/products.csv",
+           "productID,productName,productPrice,supplierID,supplierName,storeID,storeName\n"
+           "10,Lamp,1.00,5,S,1,North\n11,Desk,2.00,5,S,1,North\n12,Sofa,3.00,5,S,1,North\n")
+    header = "Order ID,Order Date,Product ID,Quantity Ordered,Customer ID\n"
+    _write(tmp_dir + "/f/part-1.csv", header + "1,2019-01-01 10:00:00,10,1,1\n1,2019-01-01 10:00:00,12,1,1\n")
+    _write(tmp_dir + "/f/part-2.csv", header + "1,2019-01-01 11:00:00,11,1,1\n")
+    stg = files.staging_from_files(spark, tmp_dir + "/f", tmp_dir + "/c", tmp_dir + "/p").collect()
+    assert [(r.order_id, r.product_name) for r in stg] == [(1, "Desk")]
