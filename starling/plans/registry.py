@@ -188,6 +188,14 @@ def stream_latest_per_order(spark, sf_dir):
     return feed_stream.latest_from_log(spark, log)
 
 
+def stream_latest_state(spark, sf_dir):
+    """T5 as keyed streaming state (update mode), read back as the current state."""
+    log = feed_stream.stream_latest_state_to_log(spark, P.feed_csv_dir(spark, sf_dir, files=FEED_FILES),
+                                                 *_masters_args(spark, sf_dir),
+                                                 files_per_trigger=FILES_PER_TRIGGER)
+    return feed_stream.latest_from_state_log(spark, log)
+
+
 QUERIES: dict[str, Query] = {
     "scan_transactions": scan_transactions,
     "scan_masters": scan_masters,
@@ -225,4 +233,5 @@ QUERIES: dict[str, Query] = {
     "q10": _olap(olap.q10),
     "stream_enrich": stream_enrich,
     "stream_latest_per_order": stream_latest_per_order,
+    "stream_latest_state": stream_latest_state,
 }

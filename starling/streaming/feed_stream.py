@@ -150,3 +150,35 @@ def latest_from_log(spark: SparkSession, log_dir: str, by_arrival: bool = False)
     if by_arrival:
         return E.latest_per_order(log, order=["batch_id", ARRIVAL])
     return E.latest_per_order(log.drop("batch_id", ARRIVAL))
+
+
+def stream_latest_state_to_log(spark: SparkSession, feed_dir: str, customers: DataFrame,
+                               products: DataFrame, suppliers: DataFrame | None = None,
+                               stores: DataFrame | None = None, files_per_trigger: int = 1,
+                               root: str | None = None) -> str:
+    """T5 as keyed streaming state: ``groupBy(order_id)`` keeps the last
+    matched line per order in the state store (update mode); every
+    micro-batch writes the orders it changed to ``batch_id=N``.
+
+    The state holds one row per order and never expires, so it grows with
+    the number of orders; on a cluster use the RocksDB state store provider.
+    :func:`latest_from_log` is the stateless alternative.
+    """
+    root = root or scratch_dir(spark, "stream-state")
+    masters = load_masters(spark, f"{root}/masters", customers, products, suppliers, stores)
+    enriched, _ = enrich_stream(spark, feed_dir, *masters, files_per_trigger=files_per_trigger,
+                                masters_unique=True)
+    latest = E.latest_per_order(enriched)
+    q = (latest.writeStream.outputMode("update").foreachBatch(_batch_writer(f"{root}/state_log"))
+         .option("checkpointLocation", f"{root}/_checkpoint_state").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return f"{root}/state_log"
+
+
+def latest_from_state_log(spark: SparkSession, log_dir: str) -> DataFrame:
+    """The current state: for every order, its row from the latest batch that changed it."""
+    from starling.operators.keep import keep_last
+    from starling.schema import ENRICHED_COLUMNS
+    return keep_last(read_log(spark, log_dir).drop(ARRIVAL), "order_id", ["batch_id"]).select(*ENRICHED_COLUMNS)
