@@ -55,7 +55,7 @@ def main(argv: list[str] | None = None) -> int:
             print(f"== {name}")
             QUERIES[name](spark, args.sf_dir).show(args.rows, truncate=False)
     else:
-        from starling.plans import pipeline as P
+        from starling.plans import build as P
         P.warehouse(spark, args.sf_dir).register_views()
         spark.sql(args.text).show(args.rows, truncate=False)
     spark.stop()

@@ -1 +1 @@
-"""Plans: the end-to-end pipeline over the test tables, the query registry and the oracle SQL."""
+"""Plans: the warehouse build over the test tables or over files, the query registry and the oracle SQL."""

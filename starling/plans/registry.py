@@ -15,7 +15,7 @@ from starling.functions import cleaning
 from starling.operators import enrich as E
 from starling.operators import olap, quality
 from starling.operators import warehouse as W
-from starling.plans import pipeline as P
+from starling.plans import build as P
 from starling.schema import CUSTOMER_MASTER, ENRICHED_COLUMNS
 from starling.session import scratch_dir
 from starling.sources import dirt, enriched_csv, feed_csv, tables, testdata

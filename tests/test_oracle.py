@@ -64,7 +64,7 @@ def test_join_forms_equal_window_forms(spark):
     """J12 / J13 as written in the original queries give the same rows as the
     window forms used by default."""
     from starling.operators import olap
-    from starling.plans import pipeline as P
+    from starling.plans import build as P
     wh = P.warehouse(spark, SMOKE_DIR)
     for fn, kw in [(olap.q5, {"previous": "self_join"}), (olap.q8, {"totals": "join"}),
                    (olap.q9, {"mean": "join"})]:
@@ -73,7 +73,7 @@ def test_join_forms_equal_window_forms(spark):
 
 def test_sql_over_registered_views_matches_q10(spark):
     """SQL written against the warehouse's table names runs on the views."""
-    from starling.plans import pipeline as P
+    from starling.plans import build as P
     wh = P.warehouse(spark, SMOKE_DIR)
     assert "output_data" in wh.register_views()
     by_sql = spark.sql("""

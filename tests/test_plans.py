@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starling.operators import olap
 from starling.operators.sizing import bounded_broadcast, bounded_rows, row_bytes
-from starling.plans import pipeline as P
+from starling.plans import build as P
 from tests.conftest import SMOKE_DIR, plan_text
 
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from starling.plans import pipeline as P
+from starling.plans import build as P
 from starling.sources import enriched_csv, feed_csv, testdata
 from starling.streaming import feed_stream
 from tests.conftest import SMOKE_DIR
