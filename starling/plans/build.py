@@ -26,7 +26,8 @@ def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
     return (app_id(spark), os.path.abspath(sf_dir), what)
 
 
-def _cached(spark: SparkSession, sf_dir: str, what: str, make):
+def cached(spark: SparkSession, sf_dir: str, what: str, make):
+    """``make()`` once per session, source folder and ``what``."""
     key = _key(spark, sf_dir, what)
     with _LOCK:
         if key not in _CACHE:
@@ -65,7 +66,7 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return _cached(spark, sf_dir, "warehouse", lambda: Warehouse.build(spark, staging(spark, sf_dir)))
+    return cached(spark, sf_dir, "warehouse", lambda: Warehouse.build(spark, staging(spark, sf_dir)))
 
 
 def feed_csv_dir(spark: SparkSession, sf_dir: str, dirty: bool = False, files: int = 8) -> str:
@@ -75,4 +76,4 @@ def feed_csv_dir(spark: SparkSession, sf_dir: str, dirty: bool = False, files: i
         if dirty:
             text = dirt.feed_text_with_bad_quantity(text)
         return feed_csv.write_feed_csv(text, scratch_dir(spark, "feed-dirty" if dirty else "feed"), files)
-    return _cached(spark, sf_dir, f"feed-csv-{dirty}-{files}", make)
+    return cached(spark, sf_dir, f"feed-csv-{dirty}-{files}", make)

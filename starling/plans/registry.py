@@ -81,7 +81,7 @@ def latest_per_order(spark, sf_dir):
 
 # ------------------------------------------------------------------ files and tables
 def _enriched_csv_dir(spark, sf_dir):
-    return P._cached(spark, sf_dir, "enriched-csv", lambda: enriched_csv.write_enriched_csv(
+    return P.cached(spark, sf_dir, "enriched-csv", lambda: enriched_csv.write_enriched_csv(
         P.warehouse(spark, sf_dir).table("staging"), scratch_dir(spark, "enriched-csv")))
 
 

@@ -70,10 +70,20 @@ def type_enriched(text: DataFrame) -> DataFrame:
     for f in ENRICHED.fields:
         if isinstance(f.dataType, (T.LongType, T.IntegerType, T.TimestampNTZType)):
             reason = reason.when(typed[f.name].isNull(), F.lit(f"bad {f.name}"))
-    return text.select(*[typed[c].alias(c) for c in ENRICHED_COLUMNS], reason.alias("reject_reason"))
+    return text.select(*[typed[c].alias(c) for c in ENRICHED_COLUMNS], reason.alias("reject_reason"),
+                       *[F.col(c).alias(f"raw_{c}") for c in ENRICHED_COLUMNS])
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(ENRICHED_TEXT).options(**READ_OPTIONS).csv(path)
 
 
 def read_enriched_csv(spark: SparkSession, path: str) -> DataFrame:
     """Scan the enriched file back as typed staging rows; invalid rows are skipped."""
-    text = spark.read.schema(ENRICHED_TEXT).options(**READ_OPTIONS).csv(path)
-    return type_enriched(text).where(F.col("reject_reason").isNull()).select(*ENRICHED_COLUMNS)
+    return type_enriched(_scan(spark, path)).where(F.col("reject_reason").isNull()).select(*ENRICHED_COLUMNS)
+
+
+def rejected_enriched_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows :func:`read_enriched_csv` skips: their text and the first reason found."""
+    return (type_enriched(_scan(spark, path)).where(F.col("reject_reason").isNotNull())
+            .select(*[F.col(f"raw_{c}").alias(c) for c in ENRICHED_COLUMNS], "reject_reason"))

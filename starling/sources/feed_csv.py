@@ -2,7 +2,7 @@
 
 The feed is positional: the reader applies an explicit schema by position and
 ignores header names.  ``header`` skips the first line of every file; a header
-repeated inside a file fails the integer cast and lands in the quarantine.
+repeated inside a file lands in the quarantine as a header line.
 Blank lines are skipped by the reader.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starling.functions import cleaning
-from starling.schema import FEED_BASE_COLUMNS, FEED_COLUMNS, FEED_TEXT
+from starling.schema import FEED_BASE_COLUMNS, FEED_COLUMNS, FEED_HEADER_PREFIX, FEED_TEXT
 
 # CSV dialect of the feed: comma, double quote, doubled quote as escape, fields trimmed.
 CSV_OPTIONS = {
@@ -68,12 +68,12 @@ def type_feed(text: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         "supplier_id": cleaning.strict_long("supplier_id"),
         "line_number": cleaning.strict_int("line_number"),
     }
-    reason = None
+    # A header line repeated inside a file is not a transaction.
+    reason = F.when(F.trim(F.col("order_id")).startswith(FEED_HEADER_PREFIX), F.lit("header line"))
     for c in FEED_COLUMNS:
         bad = typed[c].isNull() if c in FEED_BASE_COLUMNS else (
             F.col(c).isNotNull() & (F.trim(F.col(c)) != "") & typed[c].isNull())
-        label = F.lit(f"bad {c}")
-        reason = F.when(bad, label) if reason is None else reason.when(bad, label)
+        reason = reason.when(bad, F.lit(f"bad {c}"))
     return text.select(
         *[typed[c].alias(c) for c in FEED_COLUMNS],
         reason.alias("reject_reason"),

@@ -21,6 +21,7 @@ def test_enriched_csv_quoting_round_trip(spark, make_staging, tmp_dir):
     lines = {r.line for r in enriched_csv.read_enriched_lines(spark, path).collect()}
     assert '0,2024-01-01 10:00:00,0,1,1,Ann,F,"Acme, Inc.",10.00,1,"S, 1",1,supplier 1,10.00' in lines
     assert any('"a ""q"" b"' in x for x in lines)
+    assert enriched_csv.rejected_enriched_rows(spark, path).count() == 0
     back = sorted(enriched_csv.read_enriched_csv(spark, path).collect())
     assert [r.product_name for r in back] == ["Acme, Inc.", 'a "q" b', "plain", ""]
     assert back[0].total_sale == Decimal("10.00") and back[0].store_name == "S, 1"
@@ -95,3 +96,18 @@ def test_arrival_order_for_a_five_column_feed(spark, tmp_dir):
     assert got == {1: (11, Decimal("20.00"), "South"), 2: (10, Decimal("2.50"), "North"),
                    3: (11, Decimal("30.00"), "South")}
     assert [r.reject_reason for r in spark.read.parquet(bad).collect()] == ["bad order_date"]
+
+
+def test_enriched_file_bad_rows_are_reported(spark, tmp_dir):
+    import os
+    os.makedirs(tmp_dir + "/e")
+    with open(tmp_dir + "/e/part.csv", "w") as f:
+        f.write(",".join(["h"] * 14) + "\n"
+                "1,2024-01-01 10:00:00,7,2,3,Ann,F,Lamp,\"$1,299.99\",1,North,5,Acme,abc\n"
+                "2,2024-01-01,7,2,3,Ann,F,Lamp,1.00,1,North,5,Acme,2.00\n"
+                "3,2024-01-01 10:00:00,7,x,3,Ann,F,Lamp,1.00,1,North,5,Acme,2.00\n"
+                "4,2024-01-01 10:00:00,7,2,3,Ann,F,Lamp,1.00,1,North\n")
+    good = enriched_csv.read_enriched_csv(spark, tmp_dir + "/e").collect()
+    assert [(r.order_id, r.product_price, r.total_sale) for r in good] == [(1, Decimal("1299.99"), Decimal("0.00"))]
+    bad = {r.order_id: r.reject_reason for r in enriched_csv.rejected_enriched_rows(spark, tmp_dir + "/e").collect()}
+    assert bad == {"2": "bad order_date", "3": "bad quantity_ordered", "4": "short row"}
