@@ -47,7 +47,12 @@ def main(argv):
     only = set(argv[2:])
     import __spark_entry__ as entry_mod
     from starling.session import build_session
-    spark = build_session()
+    extra = {}
+    if os.environ.get("COMPARE_ANSI"):
+        extra["spark.sql.ansi.enabled"] = os.environ["COMPARE_ANSI"]
+    spark = build_session(extra_conf=extra)
+    if os.environ.get("COMPARE_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["COMPARE_TZ"])
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
