@@ -45,14 +45,10 @@ class Masters:
         self.stores = testdata.store_master(spark, sf_dir)
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testdata.feed_lines(spark, sf_dir)
-
-
 def enriched_lines(spark: SparkSession, sf_dir: str, keep_order_columns: bool = False) -> DataFrame:
     """Every matched feed line with its 14 columns."""
     m = Masters(spark, sf_dir)
-    feed = _lines(spark, sf_dir).join(testdata.order_headers(spark, sf_dir), "order_id")
+    feed = testdata.feed_lines(spark, sf_dir).join(testdata.order_headers(spark, sf_dir), "order_id")
     return E.enrich(feed, m.customers, m.products, m.suppliers, m.stores,
                     keep_order_columns=keep_order_columns)
 
@@ -61,7 +57,7 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staging table: last matched line per order (keep-last before the
     order-level joins, see ``staging_from_parts``)."""
     m = Masters(spark, sf_dir)
-    return E.staging_from_parts(_lines(spark, sf_dir), testdata.order_headers(spark, sf_dir),
+    return E.staging_from_parts(testdata.feed_lines(spark, sf_dir), testdata.order_headers(spark, sf_dir),
                                 m.customers, m.products, m.suppliers, m.stores)
 
 
