@@ -4,8 +4,8 @@ Each function takes a table source with ``table(name)`` and ``dim(name)``
 (``dim`` returns the dimension broadcast when it is provably small) and
 returns a lazy DataFrame.
 
-Plan shape, for every question: the fact is first aggregated on its integer
-keys (map-side partial aggregation, then one shuffle of the reduced rows);
+Plan shape, for every grouping question (all but Q6, a self-join): the fact
+is first aggregated on its integer keys (map-side partial aggregation, then one shuffle of the reduced rows);
 only then are the name columns joined and, where the question groups by a
 name, aggregated again.  Names depend on ids, so the result equals grouping
 the joined rows directly, while the wide joins see aggregated rows instead
