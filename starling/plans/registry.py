@@ -68,9 +68,9 @@ def master_first_match(spark, sf_dir):
 
 
 def unmatched_transactions(spark, sf_dir):
-    """Feed lines dropped by the enrichment when some customers are missing."""
+    """Feed lines dropped by the enrichment when closed accounts are not in the customer master."""
     m = P.Masters(spark, sf_dir)
-    return E.unmatched(testdata.feed(spark, sf_dir), dirt.customers_with_gaps(m.customers),
+    return E.unmatched(testdata.feed(spark, sf_dir), dirt.open_customers(spark, sf_dir),
                        m.products, m.suppliers, m.stores)
 
 

@@ -2,8 +2,10 @@
 
 The test tables are clean, so the operators that deal with dirty input need
 dirt.  It is made in memory from every row (the files are read-only), and the
-oracle SQL makes the same dirt with the same formulas.  These rules mark rows;
-they never select a subset of rows to process.
+oracle SQL makes the same dirt with the same formulas.  The rules mark rows
+(a bad quantity, a junk price, a second supplier name); every row is still
+processed.  Unmatched transactions come from a business rule instead: closed
+accounts (negative balance) are not in the customer master.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from pyspark.sql import DataFrame, functions as F
 BAD_QUANTITY_EVERY = 97      # order ids divisible by this get quantity text 'x'
 BAD_PRICE_EVERY = 97         # part keys divisible by this get price text 'abc'
 EMPTY_PRICE_EVERY = 89       # part keys divisible by this get empty price text
-MISSING_CUSTOMER_EVERY = 10  # customers divisible by this are left out of the master
 SECOND_NAME_EVERY = 10       # suppliers divisible by this get a second name
 SECOND_NAME_PREFIX = "Alt "
 
@@ -36,8 +37,13 @@ def price_text(products: DataFrame) -> DataFrame:
         .alias("price_text"))
 
 
-def customers_with_gaps(customers: DataFrame) -> DataFrame:
-    return customers.where(F.col("customer_id") % MISSING_CUSTOMER_EVERY != 0)
+def open_customers(spark, sf_dir: str) -> DataFrame:
+    """The customer master without closed accounts (negative balance): the
+    feed still holds their orders, which then find no customer."""
+    from starling.sources.testdata import read_table
+    return (read_table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+            .select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"),
+                    F.col("c_mktsegment").alias("gender")))
 
 
 def suppliers_with_second_names(suppliers: DataFrame) -> DataFrame:
