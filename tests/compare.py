@@ -50,7 +50,13 @@ def main(argv):
     extra = {}
     if os.environ.get("COMPARE_ANSI"):
         extra["spark.sql.ansi.enabled"] = os.environ["COMPARE_ANSI"]
-    spark = build_session(extra_conf=extra)
+    if os.environ.get("COMPARE_PLAIN"):
+        # a session with Spark's defaults, as a driver might create it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session(extra_conf=extra)
     if os.environ.get("COMPARE_TZ"):
         spark.conf.set("spark.sql.session.timeZone", os.environ["COMPARE_TZ"])
     con = duckdb.connect()
