@@ -3,7 +3,7 @@
     python -m starling list
     python -m starling run q1 q10 --sf-dir /root/testdata/sf0.01 --rows 20
     python -m starling sql "SELECT count(*) FROM sales" --sf-dir /root/testdata/sf0.01
-    python -m starling files --feed feed/ --customers customers.csv --products products.csv --year 2019
+    python -m starling files --feed feed/ --customers customer_master.csv --products product_master.csv --year 2019
 """
 
 from __future__ import annotations

@@ -68,7 +68,7 @@ def test_master_csv_with_crlf_and_quotes(spark, tmp_dir):
     from starling.schema import PRODUCT_MASTER
     from starling.sources.tables import read_master_csv
     os.makedirs(tmp_dir + "/m", exist_ok=True)
-    with open(tmp_dir + "/m/products.csv", "wb") as f:
+    with open(tmp_dir + "/m/product_master.csv", "wb") as f:
         f.write(b"productID,productName,productPrice,supplierID,supplierName,storeID,storeName\r\n"
                 b"1,Lamp,12.50,3,\"Acme, Inc.\",2,North\r\n"
                 b"2,\"Desk \"\"Pro\"\"\",99.99,4,Zed,2,North\r\n")

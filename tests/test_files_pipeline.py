@@ -17,9 +17,9 @@ def _write(path, text):
 
 
 def test_warehouse_from_original_layout(spark, tmp_dir):
-    _write(tmp_dir + "/masters/customers.csv",
+    _write(tmp_dir + "/masters/customer_master.csv",
            "customer_id,customer_name,gender\n1,Ann,Female\n2,Bob,Male\n")
-    _write(tmp_dir + "/products/products.csv",
+    _write(tmp_dir + "/products/product_master.csv",
            "productID,productName,productPrice,supplierID,supplierName,storeID,storeName\n"
            "10,Lamp,12.50,5,\"Acme, Inc.\",1,North\n"
            "11,Desk,100.00,6,Zed,2,South\n"
@@ -47,8 +47,8 @@ def test_warehouse_from_original_layout(spark, tmp_dir):
 
 
 def test_later_file_wins(spark, tmp_dir):
-    _write(tmp_dir + "/c/customers.csv", "customer_id,customer_name,gender\n1,Ann,Female\n")
-    _write(tmp_dir + "/p/products.csv",
+    _write(tmp_dir + "/c/customer_master.csv", "customer_id,customer_name,gender\n1,Ann,Female\n")
+    _write(tmp_dir + "/p/product_master.csv",
            "productID,productName,productPrice,supplierID,supplierName,storeID,storeName\n"
            "10,Lamp,1.00,5,S,1,North\n11,Desk,2.00,5,S,1,North\n12,Sofa,3.00,5,S,1,North\n")
     header = "Order ID,Order Date,Product ID,Quantity Ordered,Customer ID\n"
