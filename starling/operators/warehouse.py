@@ -12,6 +12,7 @@ neither recompute the enrichment nor depend on a long lineage.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -117,27 +118,51 @@ DIMENSIONS = {
 }
 
 
+# Dimensions that grow with the data, written bucketed by their key: a query
+# that cannot broadcast one joins it without shuffling it.
+BUCKETED_DIMENSIONS = {"product": "product_id", "customer": "customer_id", "supplier": "supplier_id"}
+
+
 @dataclass
 class Warehouse:
-    """Materialised warehouse tables, read back from Parquet."""
+    """Materialised warehouse tables, read back from Parquet.
+
+    Product, customer and supplier are written bucketed and sorted by key
+    (external tables at ``root``, registered under unique names in the
+    session catalog).  Each query aggregates the fact by ids first; when a
+    dimension is too large to broadcast, only those aggregated rows are
+    shuffled into the dimension's buckets, never the dimension itself.
+    """
 
     spark: SparkSession
     root: str
     paths: dict[str, str] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
+    catalog_names: dict[str, str] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
+        if name in self.catalog_names:
+            return self.spark.table(self.catalog_names[name])
         return read_table(self.spark, self.paths[name])
 
     def dim(self, name: str, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
         """A dimension, broadcast when its recorded row count fits ``max_bytes``."""
         return bounded_broadcast(self.table(name), max_bytes, known_rows=self.rows.get(name))
 
-    def save(self, name: str, df: DataFrame, count: bool = False, key: str | None = None) -> DataFrame:
-        """Write ``df`` as table ``name``; optionally record its row count and
-        fail when ``key`` is held by more than one row."""
+    def save(self, name: str, df: DataFrame, count: bool = False, key: str | None = None,
+             bucket_by: str | None = None) -> DataFrame:
+        """Write ``df`` as table ``name`` (bucketed by ``bucket_by`` if given);
+        optionally record its row count and fail when ``key`` is held by more
+        than one row."""
         path = f"{self.root}/{name}"
-        write_table(df, path)
+        if bucket_by is not None:
+            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            catalog_name = f"starling_{name}_{uuid.uuid4().hex[:12]}"
+            (df.write.mode("overwrite").bucketBy(buckets, bucket_by).sortBy(bucket_by)
+             .option("path", path).saveAsTable(catalog_name))
+            self.catalog_names[name] = catalog_name
+        else:
+            write_table(df, path)
         self.paths[name] = path
         out = self.table(name)
         if count:
@@ -163,7 +188,8 @@ class Warehouse:
 
     @classmethod
     def build(cls, spark: SparkSession, staging: DataFrame, lines: DataFrame | None = None,
-              root: str | None = None, check_keys: bool = True) -> "Warehouse":
+              root: str | None = None, check_keys: bool = True,
+              bucketed: bool = True) -> "Warehouse":
         """Write staging, the five dimensions and the fact (and the line-grain
         sales when ``lines`` is given).
 
@@ -176,11 +202,12 @@ class Warehouse:
         stg = wh.save("staging", staging)
         # The dimensions and the fact are independent scans of the written
         # staging table: submit them as concurrent jobs of one application.
-        jobs = [(name, builder(stg), True, PRIMARY_KEYS[name] if check_keys else None)
+        jobs = [(name, builder(stg), True, PRIMARY_KEYS[name] if check_keys else None,
+                 BUCKETED_DIMENSIONS.get(name) if bucketed else None)
                 for name, builder in DIMENSIONS.items()]
-        jobs.append(("sales", cluster_by_date(build_fact_derived(stg)), False, None))
+        jobs.append(("sales", cluster_by_date(build_fact_derived(stg)), False, None, None))
         if lines is not None:
-            jobs.append(("sales_lines", lines, False, None))
+            jobs.append(("sales_lines", lines, False, None, None))
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
             for f in [pool.submit(wh.save, *job) for job in jobs]:
                 f.result()
