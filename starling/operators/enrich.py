@@ -108,7 +108,8 @@ def staging_from_parts(lines: DataFrame, headers: DataFrame, customers: DataFram
     property of the whole order.  So the last line is picked among the
     line-matched lines first, and only one row per order meets the header and
     the customer master: the two widest joins run on a quarter of the rows and
-    are one-to-one, so a hot order cannot skew them.
+    are one-to-one, so a hot order cannot skew them.  ``headers`` must hold
+    one row per order (its key), as an order table does.
     """
     matched = match_lines(lines, products, suppliers, stores)
     last = keep_last(matched, "order_id", LINE_ORDER)
