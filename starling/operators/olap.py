@@ -16,6 +16,8 @@ dimensions grow with the data and are left to Spark's size threshold.
 
 from __future__ import annotations
 
+from typing import Protocol
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starling.functions import arithmetic, calendar
@@ -24,11 +26,19 @@ from starling.schema import MONEY_SUM, RATIO
 DEFAULT_YEAR = 1997
 
 
-def _sales(src, *cols) -> DataFrame:
+class TableSource(Protocol):
+    """Where the queries read the star schema: ``Warehouse`` or ``TableSet``."""
+
+    def table(self, name: str) -> DataFrame: ...
+
+    def dim(self, name: str) -> DataFrame: ...
+
+
+def _sales(src: TableSource, *cols) -> DataFrame:
     return src.table("sales").select(*cols)
 
 
-def _sales_of_year(src, year: int, *cols) -> DataFrame:
+def _sales_of_year(src: TableSource, year: int, *cols) -> DataFrame:
     """Fact rows of one year.  ``date_id`` is ``yyyyMMdd``, so the year is a
     ``date_id`` range: a filter Parquet applies at the scan (the time
     dimension join below still decides which rows count)."""
@@ -36,11 +46,11 @@ def _sales_of_year(src, year: int, *cols) -> DataFrame:
         F.col("date_id").between(year * 10000 + 101, year * 10000 + 1231)).select(*cols)
 
 
-def _names(src, name: str, key: str, value: str) -> DataFrame:
+def _names(src: TableSource, name: str, key: str, value: str) -> DataFrame:
     return src.dim(name).select(key, value)
 
 
-def q1_revenue(src, year: int = DEFAULT_YEAR) -> DataFrame:
+def q1_revenue(src: TableSource, year: int = DEFAULT_YEAR) -> DataFrame:
     """Revenue per month, product name and weekend flag within one year."""
     t = src.dim("time_dim").where(F.col("year") == year).select(
         "date_id", F.month("date").alias("month"), "is_weekend")
@@ -52,7 +62,7 @@ def q1_revenue(src, year: int = DEFAULT_YEAR) -> DataFrame:
             .select(F.col("month").cast("int").alias("month"), "product_name", "total_revenue", "is_weekend"))
 
 
-def q1(src, year: int = DEFAULT_YEAR, k: int = 5) -> DataFrame:
+def q1(src: TableSource, year: int = DEFAULT_YEAR, k: int = 5) -> DataFrame:
     """Q1: the first ``k`` rows in (month, weekend flag, revenue desc) order.
 
     The order sorts month and flag before revenue, so the rows come from the
@@ -63,7 +73,7 @@ def q1(src, year: int = DEFAULT_YEAR, k: int = 5) -> DataFrame:
         F.col("product_name").asc()).limit(k)
 
 
-def q1_top5_each(src, year: int = DEFAULT_YEAR, k: int = 5) -> DataFrame:
+def q1_top5_each(src: TableSource, year: int = DEFAULT_YEAR, k: int = 5) -> DataFrame:
     """Variant of Q1: the top ``k`` products of every (month, weekend flag).
 
     ``row_number() <= k`` lets Spark insert a partial per-group limit before
@@ -76,7 +86,7 @@ def q1_top5_each(src, year: int = DEFAULT_YEAR, k: int = 5) -> DataFrame:
             .orderBy("month", "is_weekend", F.col("total_revenue").desc(), "product_name"))
 
 
-def q2(src, year: int = DEFAULT_YEAR) -> DataFrame:
+def q2(src: TableSource, year: int = DEFAULT_YEAR) -> DataFrame:
     """Q2: store revenue per quarter of one year and growth over the previous row.
 
     ``lag`` follows the previous existing quarter of the same store name.
@@ -97,7 +107,7 @@ def q2(src, year: int = DEFAULT_YEAR) -> DataFrame:
         .orderBy("store_name", "quarter"))
 
 
-def q3(src) -> DataFrame:
+def q3(src: TableSource) -> DataFrame:
     """Q3: revenue by store, supplier and product names (equal names merge)."""
     by_id = (_sales(src, "store_id", "supplier_id", "product_id", "total_sale")
              .groupBy("store_id", "supplier_id", "product_id").agg(F.sum("total_sale").alias("rev")))
@@ -110,7 +120,7 @@ def q3(src) -> DataFrame:
                      F.col("total_contribution").desc()))
 
 
-def q4(src) -> DataFrame:
+def q4(src: TableSource) -> DataFrame:
     """Q4: revenue by product and season over all years, seasons in calendar order."""
     t = src.dim("time_dim").select("date_id", calendar.season(F.month("date")).alias("season"))
     by_id = (_sales(src, "date_id", "product_id", "total_sale").join(t, "date_id")
@@ -121,7 +131,7 @@ def q4(src) -> DataFrame:
             .orderBy("product_name", calendar.season_rank("season")))
 
 
-def q5(src, previous: str = "window") -> DataFrame:
+def q5(src: TableSource, previous: str = "window") -> DataFrame:
     """Q5: monthly revenue per store and supplier beside the previous month.
 
     The previous month is the same store, supplier and year with month - 1
@@ -166,7 +176,7 @@ def product_pairs(baskets: DataFrame, basket: str = "transaction_id", item: str
             .groupBy("product1_id", "product2_id").agg(F.count(F.lit(1)).alias("frequency")))
 
 
-def q6(src, k: int = 5) -> DataFrame:
+def q6(src: TableSource, k: int = 5) -> DataFrame:
     """Q6: the ``k`` most frequent product pairs of one transaction (fact grain)."""
     pairs = product_pairs(_sales(src, "transaction_id", "product_id"))
     p1 = src.dim("product").select(F.col("product_id").alias("product1_id"),
@@ -178,7 +188,7 @@ def q6(src, k: int = 5) -> DataFrame:
             .select("product1_name", "product2_name", "frequency"))
 
 
-def q7(src) -> DataFrame:
+def q7(src: TableSource) -> DataFrame:
     """Q7: yearly revenue rolled up over store, supplier, product and year.
 
     ``grouping_id`` tells a subtotal row (bits set for the rolled-up
@@ -198,7 +208,7 @@ def q7(src) -> DataFrame:
             .orderBy("store_name", "supplier_name", "product_name", "year"))
 
 
-def q8(src, totals: str = "window") -> DataFrame:
+def q8(src: TableSource, totals: str = "window") -> DataFrame:
     """Q8: revenue and quantity per product and half-year beside the product's
     total over all years.
 
@@ -230,7 +240,7 @@ def q8(src, totals: str = "window") -> DataFrame:
             .orderBy("product_name", "half"))
 
 
-def q9(src, mean: str = "window") -> DataFrame:
+def q9(src: TableSource, mean: str = "window") -> DataFrame:
     """Q9: product-days whose revenue is above twice the product's mean day.
 
     Days without sales do not count in the mean.  The mean is the exact
@@ -264,7 +274,7 @@ def q9(src, mean: str = "window") -> DataFrame:
 VIEW_NAME = "store_quarterly_sales"
 
 
-def store_quarterly_sales(src) -> DataFrame:
+def store_quarterly_sales(src: TableSource) -> DataFrame:
     t = src.dim("time_dim").select("date_id", "year", F.quarter("date").alias("quarter"))
     by_id = (_sales(src, "date_id", "store_id", "total_sale").join(t, "date_id")
              .groupBy("store_id", "year", "quarter").agg(F.sum("total_sale").alias("rev")))
@@ -276,7 +286,7 @@ def store_quarterly_sales(src) -> DataFrame:
             .orderBy("store_name", "year", "quarter"))
 
 
-def q10(src, spark=None) -> DataFrame:
+def q10(src: TableSource, spark=None) -> DataFrame:
     """Q10: store revenue by year and quarter, published as a temporary view."""
     df = store_quarterly_sales(src)
     df.createOrReplaceTempView(VIEW_NAME)
