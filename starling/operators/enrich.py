@@ -8,11 +8,10 @@ row in the stated order wins (:func:`first_match`).  Per order, the last
 *matched* line wins (:func:`latest_per_order`); an unmatched later line
 replaces nothing.
 
-Every lookup is an inner equi-join.  Masters that grow with the data
-(customers, products, suppliers) are joined plainly: Spark broadcasts them
-while they are under its threshold and falls back to a shuffle join beyond
-it, and AQE splits a skewed key.  The store master is tiny by nature, so it
-goes through :func:`bounded_broadcast`.
+Every lookup is an inner equi-join against :func:`lookup`: the master
+deduplicated and broadcast only when a row probe proves it fits the budget.
+A master beyond it (customers, products, suppliers at scale) is joined by
+sort-merge, and AQE splits a skewed key.
 """
 
 from __future__ import annotations
@@ -20,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from starling.operators.keep import keep_first, keep_last
-from starling.operators.sizing import bounded_broadcast
+from starling.operators.sizing import (bounded_broadcast, bounded_rows, broadcast_budget,
+                                       max_rows_within)
 from starling.schema import ENRICHED_COLUMNS, MONEY
 
 # Order of lines within an order: the last line is the greatest in this order.
@@ -49,6 +49,21 @@ def _dedupe(master: DataFrame, key: str, unique: bool) -> DataFrame:
     return master if unique else first_match(master, key)
 
 
+def lookup(master: DataFrame, key: str, unique: bool = False) -> DataFrame:
+    """A master as a join side: one row per key, broadcast only within a proven bound.
+
+    The bound is probed on the master as given (``limit(n + 1).count()``
+    stops early on a big table); the first-match dedupe only shrinks it, so
+    the bound holds for the deduplicated side too.  Beyond the bound the join
+    is left to Spark (sort-merge; AQE may still convert from measured sizes).
+    """
+    max_rows = max_rows_within(master.schema, broadcast_budget(master.sparkSession))
+    side = _dedupe(master, key, unique)
+    if max_rows < 1:
+        return side
+    return bounded_broadcast(side, known_rows=bounded_rows(master, max_rows))
+
+
 def match_lines(lines: DataFrame, products: DataFrame, suppliers: DataFrame | None = None,
                 stores: DataFrame | None = None, masters_unique: bool = False) -> DataFrame:
     """Line-level lookups: product, and supplier and store.
@@ -60,12 +75,12 @@ def match_lines(lines: DataFrame, products: DataFrame, suppliers: DataFrame | No
     """
     u = masters_unique
     if suppliers is None:
-        p = _dedupe(products.select(*PRODUCT_WITH_SUPPLIER), "product_id", u)
+        p = lookup(products.select(*PRODUCT_WITH_SUPPLIER), "product_id", u)
         base = lines.drop("supplier_id") if "supplier_id" in lines.columns else lines
         return base.join(p, "product_id")
-    p = _dedupe(products.select(*PRODUCT_COLUMNS), "product_id", u)
-    s = _dedupe(suppliers.select(*SUPPLIER_COLUMNS), "supplier_id", u)
-    st = bounded_broadcast(_dedupe(stores.select(*STORE_COLUMNS), "store_id", u))
+    p = lookup(products.select(*PRODUCT_COLUMNS), "product_id", u)
+    s = lookup(suppliers.select(*SUPPLIER_COLUMNS), "supplier_id", u)
+    st = lookup(stores.select(*STORE_COLUMNS), "store_id", u)
     return lines.join(p, "product_id").join(s, "supplier_id").join(st, "store_id")
 
 
@@ -83,7 +98,7 @@ def enrich(feed: DataFrame, customers: DataFrame, products: DataFrame,
     already reduced to one row per key (see :func:`unique_masters`).
     ``carry`` names further feed columns to keep (an arrival position, say).
     """
-    c = _dedupe(customers.select(*CUSTOMER_COLUMNS), "customer_id", masters_unique)
+    c = lookup(customers.select(*CUSTOMER_COLUMNS), "customer_id", masters_unique)
     out = _with_total(match_lines(feed, products, suppliers, stores, masters_unique).join(c, "customer_id"))
     extra = [x for x in ("line_number",) if keep_order_columns and x in out.columns]
     return out.select(*ENRICHED_COLUMNS, *extra, *carry)
@@ -113,7 +128,7 @@ def staging_from_parts(lines: DataFrame, headers: DataFrame, customers: DataFram
     """
     matched = match_lines(lines, products, suppliers, stores)
     last = keep_last(matched, "order_id", LINE_ORDER)
-    c = first_match(customers.select(*CUSTOMER_COLUMNS), "customer_id")
+    c = lookup(customers.select(*CUSTOMER_COLUMNS), "customer_id")
     return _with_total(last.join(headers, "order_id").join(c, "customer_id")).select(*ENRICHED_COLUMNS)
 
 

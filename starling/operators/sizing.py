@@ -2,17 +2,37 @@
 
 ``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the candidate
 side (each task stops at the limit, so the probe never reads a big table
-whole) and hints a broadcast only when the side is within both the row and the
-byte budget.  Otherwise the join is left to Spark, which picks a sort-merge or
-shuffled-hash join and, with AQE, may still convert it at run time.
+whole) and hints a broadcast only when the side is within the byte budget.
+Otherwise the join is left to Spark, which picks a sort-merge or
+shuffled-hash join and, with AQE, may still convert it from measured sizes.
+
+The budget is the session's ``spark.sql.autoBroadcastJoinThreshold`` (10 MB
+by default): a session that turns broadcasting off (-1) gets no hint either.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import re
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-DEFAULT_MAX_BYTES = 32 * 1024 * 1024
+DEFAULT_MAX_BYTES = 10 * 1024 * 1024
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def parse_bytes(text: str) -> int:
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(text))
+    if not m or m.group(2).lower() not in _UNITS:
+        return DEFAULT_MAX_BYTES
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
+def broadcast_budget(spark: SparkSession) -> int:
+    """Bytes a side may take to be broadcast; 0 when the session turns broadcasts off."""
+    n = parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_MAX_BYTES)))
+    return max(0, n)
 STRING_BYTES = 32  # assumed width of a string value when sizing a side
 
 
@@ -39,10 +59,18 @@ def bounded_rows(df: DataFrame, max_rows: int) -> int:
     return df.limit(max_rows + 1).count()
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES,
+def max_rows_within(schema: T.StructType, max_bytes: int) -> int:
+    return max_bytes // row_bytes(schema)
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
                       known_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if ``df`` provably fits ``max_bytes``, else ``df``."""
-    max_rows = max(1, max_bytes // row_bytes(df.schema))
+    """``broadcast(df)`` if ``df`` provably fits ``max_bytes`` (default: the
+    session's broadcast budget), else ``df``."""
+    budget = broadcast_budget(df.sparkSession) if max_bytes is None else max_bytes
+    max_rows = max_rows_within(df.schema, budget)
+    if max_rows < 1:
+        return df
     rows = known_rows if known_rows is not None else bounded_rows(df, max_rows)
     return F.broadcast(df) if rows <= max_rows else df
 

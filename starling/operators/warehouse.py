@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starling.functions import calendar
-from starling.operators.sizing import DEFAULT_MAX_BYTES, bounded_broadcast
+from starling.operators.sizing import bounded_broadcast
 from starling.schema import (CUSTOMER_DIM, PRIMARY_KEYS, PRODUCT_DIM, SALES, STORE_DIM,
                              SUPPLIER_DIM, TIME_DIM, conform)
 from starling.session import scratch_dir
@@ -145,8 +145,8 @@ class Warehouse:
             return self.spark.table(self.catalog_names[name])
         return read_table(self.spark, self.paths[name])
 
-    def dim(self, name: str, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-        """A dimension, broadcast when its recorded row count fits ``max_bytes``."""
+    def dim(self, name: str, max_bytes: int | None = None) -> DataFrame:
+        """A dimension, broadcast when its recorded row count fits the budget."""
         return bounded_broadcast(self.table(name), max_bytes, known_rows=self.rows.get(name))
 
     def save(self, name: str, df: DataFrame, count: bool = False, key: str | None = None,
@@ -229,7 +229,7 @@ class TableSet:
     def table(self, name: str) -> DataFrame:
         return self.tables[name]
 
-    def dim(self, name: str, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    def dim(self, name: str, max_bytes: int | None = None) -> DataFrame:
         return bounded_broadcast(self.tables[name], max_bytes)
 
     @classmethod
