@@ -16,10 +16,13 @@ sort-merge, and AQE splits a skewed key.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from starling.operators.keep import keep_first, keep_last
-from starling.operators.sizing import (bounded_broadcast, bounded_rows, broadcast_budget,
+from starling.operators.sizing import (bounded_broadcast, bounded_size, broadcast_budget,
                                        max_rows_within)
 from starling.schema import ENRICHED_COLUMNS, MONEY
 
@@ -52,54 +55,84 @@ def _dedupe(master: DataFrame, key: str, unique: bool) -> DataFrame:
 def lookup(master: DataFrame, key: str, unique: bool = False) -> DataFrame:
     """A master as a join side: one row per key, broadcast only within a proven bound.
 
-    The bound is probed on the master as given (``limit(n + 1).count()``
-    stops early on a big table); the first-match dedupe only shrinks it, so
-    the bound holds for the deduplicated side too.  Beyond the bound the join
+    The size is probed on the master as given (a bounded ``take`` that stops
+    early on a big table); the first-match dedupe only shrinks it, so the
+    bound holds for the deduplicated side too.  Beyond the bound the join
     is left to Spark (sort-merge; AQE may still convert from measured sizes).
     """
     max_rows = max_rows_within(master.schema, broadcast_budget(master.sparkSession))
     side = _dedupe(master, key, unique)
     if max_rows < 1:
         return side
-    return bounded_broadcast(side, known_rows=bounded_rows(master, max_rows))
+    return bounded_broadcast(side, known_size=bounded_size(master, max_rows))
 
 
-def match_lines(lines: DataFrame, products: DataFrame, suppliers: DataFrame | None = None,
-                stores: DataFrame | None = None, masters_unique: bool = False) -> DataFrame:
-    """Line-level lookups: product, and supplier and store.
+@dataclass(frozen=True)
+class Lookups:
+    """The masters as join sides: one row per key, each broadcast only when
+    its probed size fits the budget.  Prepare once, join many times."""
+
+    customers: DataFrame | None
+    products: DataFrame
+    suppliers: DataFrame | None = None
+    stores: DataFrame | None = None
+
+
+def prepare(customers: DataFrame | None, products: DataFrame, suppliers: DataFrame | None = None,
+            stores: DataFrame | None = None, masters_unique: bool = False) -> Lookups:
+    """Dedupe the masters (first match) and decide their broadcasts once.
 
     With ``suppliers`` given, the line carries ``supplier_id`` and the store is
     the supplier's.  Without it, the product master carries supplier and store
-    (the warehouse's own master layout) and the line's ``supplier_id`` is
-    replaced by the product's.
+    (the warehouse's own master layout).
     """
-    u = masters_unique
+    sides = [(customers, CUSTOMER_COLUMNS, "customer_id")]
     if suppliers is None:
-        p = lookup(products.select(*PRODUCT_WITH_SUPPLIER), "product_id", u)
+        sides += [(products, PRODUCT_WITH_SUPPLIER, "product_id"), (None, None, None), (None, None, None)]
+    else:
+        sides += [(products, PRODUCT_COLUMNS, "product_id"), (suppliers, SUPPLIER_COLUMNS, "supplier_id"),
+                  (stores, STORE_COLUMNS, "store_id")]
+
+    def one(side):
+        df, cols, key = side
+        return None if df is None else lookup(df.select(*cols), key, masters_unique)
+
+    # the size probes are independent jobs: run them together
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return Lookups(*pool.map(one, sides))
+
+
+def _match(lines: DataFrame, lk: Lookups) -> DataFrame:
+    if lk.suppliers is None:
+        # the product's supplier replaces any supplier on the line
         base = lines.drop("supplier_id") if "supplier_id" in lines.columns else lines
-        return base.join(p, "product_id")
-    p = lookup(products.select(*PRODUCT_COLUMNS), "product_id", u)
-    s = lookup(suppliers.select(*SUPPLIER_COLUMNS), "supplier_id", u)
-    st = lookup(stores.select(*STORE_COLUMNS), "store_id", u)
-    return lines.join(p, "product_id").join(s, "supplier_id").join(st, "store_id")
+        return base.join(lk.products, "product_id")
+    return lines.join(lk.products, "product_id").join(lk.suppliers, "supplier_id").join(lk.stores, "store_id")
+
+
+def match_lines(lines: DataFrame, products: DataFrame, suppliers: DataFrame | None = None,
+                stores: DataFrame | None = None, masters_unique: bool = False) -> DataFrame:
+    """Line-level lookups: product, and supplier and store (see :func:`prepare`)."""
+    return _match(lines, prepare(None, products, suppliers, stores, masters_unique))
 
 
 def _with_total(df: DataFrame) -> DataFrame:
     return df.withColumn("total_sale", total_sale()).withColumnRenamed("quantity", "quantity_ordered")
 
 
-def enrich(feed: DataFrame, customers: DataFrame, products: DataFrame,
+def enrich(feed: DataFrame, customers: DataFrame | None = None, products: DataFrame | None = None,
            suppliers: DataFrame | None = None, stores: DataFrame | None = None,
            keep_order_columns: bool = False, masters_unique: bool = False,
-           carry: tuple[str, ...] = ()) -> DataFrame:
+           carry: tuple[str, ...] = (), lookups: Lookups | None = None) -> DataFrame:
     """Every matched feed line with its 14 enriched columns (line grain).
 
     ``masters_unique`` skips the first-match dedupe for masters that were
-    already reduced to one row per key (see :func:`unique_masters`).
+    already reduced to one row per key (see :func:`unique_masters`);
+    ``lookups`` passes masters prepared once by :func:`prepare` instead.
     ``carry`` names further feed columns to keep (an arrival position, say).
     """
-    c = lookup(customers.select(*CUSTOMER_COLUMNS), "customer_id", masters_unique)
-    out = _with_total(match_lines(feed, products, suppliers, stores, masters_unique).join(c, "customer_id"))
+    lk = lookups or prepare(customers, products, suppliers, stores, masters_unique)
+    out = _with_total(_match(feed, lk).join(lk.customers, "customer_id"))
     extra = [x for x in ("line_number",) if keep_order_columns and x in out.columns]
     return out.select(*ENRICHED_COLUMNS, *extra, *carry)
 
@@ -114,8 +147,9 @@ def latest_per_order(enriched: DataFrame, order: list[str] | None = None) -> Dat
     return keep_last(enriched, "order_id", order).select(*ENRICHED_COLUMNS)
 
 
-def staging_from_parts(lines: DataFrame, headers: DataFrame, customers: DataFrame,
-                       products: DataFrame, suppliers: DataFrame, stores: DataFrame) -> DataFrame:
+def staging_from_parts(lines: DataFrame, headers: DataFrame, customers: DataFrame | None = None,
+                       products: DataFrame | None = None, suppliers: DataFrame | None = None,
+                       stores: DataFrame | None = None, lookups: Lookups | None = None) -> DataFrame:
     """Keep-last staging rows when date and customer are order-level attributes.
 
     If every line of an order shares the order's date and customer (true when
@@ -126,10 +160,10 @@ def staging_from_parts(lines: DataFrame, headers: DataFrame, customers: DataFram
     are one-to-one, so a hot order cannot skew them.  ``headers`` must hold
     one row per order (its key), as an order table does.
     """
-    matched = match_lines(lines, products, suppliers, stores)
-    last = keep_last(matched, "order_id", LINE_ORDER)
-    c = lookup(customers.select(*CUSTOMER_COLUMNS), "customer_id")
-    return _with_total(last.join(headers, "order_id").join(c, "customer_id")).select(*ENRICHED_COLUMNS)
+    lk = lookups or prepare(customers, products, suppliers, stores)
+    last = keep_last(_match(lines, lk), "order_id", LINE_ORDER)
+    return _with_total(last.join(headers, "order_id").join(lk.customers, "customer_id")).select(
+        *ENRICHED_COLUMNS)
 
 
 def unmatched(feed: DataFrame, customers: DataFrame, products: DataFrame,

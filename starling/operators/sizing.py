@@ -20,6 +20,13 @@ from pyspark.sql import types as T
 DEFAULT_MAX_BYTES = 10 * 1024 * 1024
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
           "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+ROW_OVERHEAD = 16   # bytes per row besides its fields
+STRING_BYTES = 32   # assumed width of a string when only the schema is known
+
+_FIXED_BYTES = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+}
 
 
 def parse_bytes(text: str) -> int:
@@ -33,51 +40,70 @@ def broadcast_budget(spark: SparkSession) -> int:
     """Bytes a side may take to be broadcast; 0 when the session turns broadcasts off."""
     n = parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_MAX_BYTES)))
     return max(0, n)
-STRING_BYTES = 32  # assumed width of a string value when sizing a side
 
 
-_FIXED_BYTES = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-}
+def _fixed(t: T.DataType) -> int | None:
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    return _FIXED_BYTES.get(type(t))
 
 
 def row_bytes(schema: T.StructType) -> int:
-    """Estimated in-memory width of one row (a string counts ``STRING_BYTES``)."""
-    total = 8  # row overhead
+    """Estimated width of one row when only the schema is known."""
+    return ROW_OVERHEAD + sum(_fixed(f.dataType) or STRING_BYTES for f in schema.fields)
+
+
+def min_row_bytes(schema: T.StructType) -> int:
+    """Least possible width of one row: fixed fields only (strings may be empty)."""
+    return ROW_OVERHEAD + sum(_fixed(f.dataType) or 0 for f in schema.fields)
+
+
+def row_width(schema: T.StructType):
+    """Column with the width of each row: fixed fields plus the bytes of every
+    variable-width value (strings and binaries by length)."""
+    width = F.lit(min_row_bytes(schema))
     for f in schema.fields:
-        t = f.dataType
-        if isinstance(t, T.DecimalType):
-            total += 8 if t.precision <= 18 else 16
-        else:
-            total += _FIXED_BYTES.get(type(t), STRING_BYTES)
-    return total
+        if _fixed(f.dataType) is None:
+            width = width + F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0))
+    return width
+
+
+def max_rows_within(schema: T.StructType, max_bytes: int) -> int:
+    """Rows that could fit ``max_bytes`` at the least possible row width."""
+    return max_bytes // min_row_bytes(schema)
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> int:
-    """Number of rows if it is at most ``max_rows``, else ``max_rows + 1``.
+def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """``(rows, bytes)`` of ``df`` when it has at most ``max_rows`` rows; else
+    ``(max_rows + 1, bytes of those rows)``.
 
     ``take`` runs as a collect-limit: it scans one partition first and more
-    only while rows are missing, so a big table is barely read.  Each row is
-    one constant (no column is read from the files), and at most
-    ``max_rows + 1`` of them reach the driver.  (``limit(n).count()`` would
-    instead gather up to n rows of every task into one partition.)
+    only while rows are missing, so a big table is barely read.  Each row
+    comes back as one number, its width, and at most ``max_rows + 1`` of them
+    reach the driver.  (``limit(n).count()`` would instead gather up to n
+    rows of every task into one partition.)
     """
-    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1))
+    widths = df.select(row_width(df.schema).alias("w")).take(max_rows + 1)
+    return len(widths), sum(r.w for r in widths)
 
 
-def max_rows_within(schema: T.StructType, max_bytes: int) -> int:
-    return max_bytes // row_bytes(schema)
+def table_size(df: DataFrame) -> tuple[int, int]:
+    """Exact ``(rows, bytes)`` of a table in one distributed aggregate."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_width(df.schema)).alias("b")).first()
+    return int(r.n), int(r.b or 0)
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
-                      known_rows: int | None = None) -> DataFrame:
+                      known_size: tuple[int, int] | None = None) -> DataFrame:
     """``broadcast(df)`` if ``df`` provably fits ``max_bytes`` (default: the
-    session's broadcast budget), else ``df``."""
+    session's broadcast budget), else ``df``.
+
+    The proof is a measured size: ``known_size`` (rows, bytes) recorded when
+    the table was written, or a bounded probe of ``df``.
+    """
     budget = broadcast_budget(df.sparkSession) if max_bytes is None else max_bytes
     max_rows = max_rows_within(df.schema, budget)
     if max_rows < 1:
         return df
-    rows = known_rows if known_rows is not None else bounded_rows(df, max_rows)
-    return F.broadcast(df) if rows <= max_rows else df
-
+    rows, size = known_size if known_size is not None else bounded_size(df, max_rows)
+    return F.broadcast(df) if rows <= max_rows and size <= budget else df

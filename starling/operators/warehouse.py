@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starling.functions import calendar
-from starling.operators.sizing import bounded_broadcast
+from starling.operators.sizing import bounded_broadcast, table_size
 from starling.schema import (CUSTOMER_DIM, PRIMARY_KEYS, PRODUCT_DIM, SALES, STORE_DIM,
                              SUPPLIER_DIM, TIME_DIM, conform)
 from starling.session import scratch_dir
@@ -137,7 +137,7 @@ class Warehouse:
     spark: SparkSession
     root: str
     paths: dict[str, str] = field(default_factory=dict)
-    rows: dict[str, int] = field(default_factory=dict)
+    sizes: dict[str, tuple[int, int]] = field(default_factory=dict)
     catalog_names: dict[str, str] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
@@ -146,14 +146,14 @@ class Warehouse:
         return read_table(self.spark, self.paths[name])
 
     def dim(self, name: str, max_bytes: int | None = None) -> DataFrame:
-        """A dimension, broadcast when its recorded row count fits the budget."""
-        return bounded_broadcast(self.table(name), max_bytes, known_rows=self.rows.get(name))
+        """A dimension, broadcast when its recorded size fits the budget."""
+        return bounded_broadcast(self.table(name), max_bytes, known_size=self.sizes.get(name))
 
     def save(self, name: str, df: DataFrame, count: bool = False, key: str | None = None,
              bucket_by: str | None = None) -> DataFrame:
         """Write ``df`` as table ``name`` (bucketed by ``bucket_by`` if given);
-        optionally record its row count and fail when ``key`` is held by more
-        than one row."""
+        optionally record its size (rows, bytes) and fail when ``key`` is held
+        by more than one row."""
         path = f"{self.root}/{name}"
         if bucket_by is not None:
             buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -168,7 +168,7 @@ class Warehouse:
         self.paths[name] = path
         out = self.table(name)
         if count:
-            self.rows[name] = out.count()
+            self.sizes[name] = table_size(out)
         if key is not None:
             from starling.operators.quality import assert_clean, check_primary_keys
             assert_clean(check_primary_keys({name: out}, {name: key}), "duplicate_keys")

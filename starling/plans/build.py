@@ -45,20 +45,25 @@ class Masters:
         self.stores = testdata.store_master(spark, sf_dir)
 
 
+def lookups(spark: SparkSession, sf_dir: str) -> E.Lookups:
+    """The masters prepared as join sides once per session (dedupe, size probe)."""
+    def make():
+        m = Masters(spark, sf_dir)
+        return E.prepare(m.customers, m.products, m.suppliers, m.stores)
+    return cached(spark, sf_dir, "lookups", make)
+
+
 def enriched_lines(spark: SparkSession, sf_dir: str, keep_order_columns: bool = False) -> DataFrame:
     """Every matched feed line with its 14 columns."""
-    m = Masters(spark, sf_dir)
     feed = testdata.feed_lines(spark, sf_dir).join(testdata.order_headers(spark, sf_dir), "order_id")
-    return E.enrich(feed, m.customers, m.products, m.suppliers, m.stores,
-                    keep_order_columns=keep_order_columns)
+    return E.enrich(feed, keep_order_columns=keep_order_columns, lookups=lookups(spark, sf_dir))
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staging table: last matched line per order (keep-last before the
     order-level joins, see ``staging_from_parts``)."""
-    m = Masters(spark, sf_dir)
     return E.staging_from_parts(testdata.feed_lines(spark, sf_dir), testdata.order_headers(spark, sf_dir),
-                                m.customers, m.products, m.suppliers, m.stores)
+                                lookups=lookups(spark, sf_dir))
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starling.operators import olap
-from starling.operators.sizing import bounded_broadcast, bounded_rows, row_bytes
+from starling.operators.sizing import bounded_broadcast, bounded_size, table_size
 from starling.plans import build as P
 from tests.conftest import SMOKE_DIR, plan_text
 
@@ -14,12 +14,31 @@ from tests.conftest import SMOKE_DIR, plan_text
 def test_bounded_broadcast_only_within_budget(spark):
     df = spark.range(1000).select(F.col("id"), F.lit("x").alias("s"))
     assert "BroadcastExchange" in plan_text(spark.range(10).join(bounded_broadcast(df), "id"))
-    tiny_budget = row_bytes(df.schema) * 10
-    assert bounded_rows(df, 10) == 11
-    small = bounded_broadcast(df, max_bytes=tiny_budget)
+    assert table_size(df) == (1000, 1000 * (16 + 8 + 1))      # overhead + long + one byte of text
+    assert bounded_size(df, 10)[0] == 11                       # stops after max_rows + 1
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastExchange" not in plan_text(spark.range(10).join(small, "id"))
+        over = bounded_broadcast(df, max_bytes=table_size(df)[1] - 1)
+        assert "BroadcastExchange" not in plan_text(spark.range(10).join(over, "id"))
+        off = bounded_broadcast(df)                            # broadcasts turned off
+        assert "BroadcastExchange" not in plan_text(spark.range(10).join(off, "id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_long_strings_count_by_their_length(spark):
+    """100 rows of 200 kB text: few rows, but far over a 10 MB budget.  (Spark's
+    own estimate, about 20 bytes a string, would broadcast this side.)"""
+    budget = 10 * 1024 * 1024
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 200_000).alias("s"))
+    narrow = spark.range(100).select("id", F.lit("x").alias("s"))
+    rows, size = bounded_size(wide, 10_000)
+    assert rows == 100 and size > budget
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hint may broadcast
+    try:
+        probe = spark.range(10)
+        assert "BroadcastExchange" not in plan_text(probe.join(bounded_broadcast(wide, budget), "id"))
+        assert "BroadcastExchange" in plan_text(probe.join(bounded_broadcast(narrow, budget), "id"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
