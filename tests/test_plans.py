@@ -63,3 +63,22 @@ def test_queries_aggregate_before_joining_names(spark):
 def test_top_k_per_group_limits_before_shuffle(spark):
     wh = P.warehouse(spark, SMOKE_DIR)
     assert "WindowGroupLimit" in plan_text(olap.q1_top5_each(wh))
+
+
+def test_budget_follows_session_threshold(spark):
+    from starling.operators.sizing import broadcast_budget, parse_bytes
+    assert [parse_bytes(x) for x in ["10485760b", "10MB", "64m", "1g", "-1"]] == \
+        [10485760, 10485760, 64 << 20, 1 << 30, -1]
+    assert broadcast_budget(spark) == 10 * 1024 * 1024
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert broadcast_budget(spark) == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_warehouse_records_measured_sizes(spark):
+    wh = P.warehouse(spark, SMOKE_DIR)
+    rows, size = wh.sizes["time_dim"]
+    assert rows == wh.table("time_dim").count() and size > rows * 16
+    assert "BroadcastExchange" in plan_text(wh.table("sales").join(wh.dim("time_dim"), "date_id"))
