@@ -82,3 +82,24 @@ def test_warehouse_records_measured_sizes(spark):
     rows, size = wh.sizes["time_dim"]
     assert rows == wh.table("time_dim").count() and size > rows * 16
     assert "BroadcastExchange" in plan_text(wh.table("sales").join(wh.dim("time_dim"), "date_id"))
+
+
+def test_bucketed_dimensions_are_not_shuffled(spark):
+    """With broadcasts off (the 100 TB case), a name join shuffles only the
+    aggregated side: each dimension key is exchanged once, not twice."""
+    import contextlib
+    import io
+    wh = P.warehouse(spark, SMOKE_DIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            olap.q3(wh).explain()
+        text = buf.getvalue()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert text.count("Bucketed: true") == 2
+    assert text.count("Exchange hashpartitioning(product_id") == 1
+    assert text.count("Exchange hashpartitioning(supplier_id") == 1
