@@ -10,10 +10,12 @@
   overwriting that folder, so a batch replayed after a failure replaces its
   own output instead of adding duplicates.  The checkpoint folder makes the
   query resume where it stopped.
-* T5 keep-last per order: computed when the log is read (no state to keep,
-  nothing unbounded in memory).  The order of lines is explicit
-  (``line_number`` and tie-breaks), so the result does not depend on how the
-  feed was split into files or batches.
+* T5 keep-last per order: by default computed when the log is read (no
+  state to keep, nothing unbounded in memory); the keyed-state form keeps it
+  in the state store instead (:func:`stream_latest_state_to_log`).  The order
+  of lines is explicit (``line_number`` and tie-breaks), so the result does
+  not depend on how the feed was split into files or batches; a feed without
+  a sequence column can be ordered by arrival instead.
 """
 
 from __future__ import annotations
@@ -43,7 +45,8 @@ def load_masters(spark: SparkSession, root: str, customers: DataFrame, products:
     unique names in the session catalog).  A master too large to broadcast
     is then read pre-partitioned by every micro-batch: only the batch's own
     rows are shuffled to meet it, never the master.  The store master is
-    small by nature and is broadcast.
+    small by nature; like the others, it is broadcast when its measured size
+    fits the budget.
     """
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     run = uuid.uuid4().hex[:12]
