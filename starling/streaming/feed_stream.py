@@ -26,7 +26,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starling.operators import enrich as E
-from starling.schema import FEED_COLUMNS
+from starling.operators.keep import keep_last
+from starling.schema import ENRICHED_COLUMNS, FEED_COLUMNS
 from starling.session import scratch_dir
 from starling.sources import feed_csv
 
@@ -138,7 +139,6 @@ def stream_enrich_to_log(spark: SparkSession, feed_dir: str, customers: DataFram
 
 def enriched_from_log(spark: SparkSession, log_dir: str) -> DataFrame:
     """The enriched lines of every batch (line grain, 14 columns)."""
-    from starling.schema import ENRICHED_COLUMNS
     return read_log(spark, log_dir).select(*ENRICHED_COLUMNS)
 
 
@@ -183,6 +183,4 @@ def stream_latest_state_to_log(spark: SparkSession, feed_dir: str, customers: Da
 
 def latest_from_state_log(spark: SparkSession, log_dir: str) -> DataFrame:
     """The current state: for every order, its row from the latest batch that changed it."""
-    from starling.operators.keep import keep_last
-    from starling.schema import ENRICHED_COLUMNS
     return keep_last(read_log(spark, log_dir).drop(ARRIVAL), "order_id", ["batch_id"]).select(*ENRICHED_COLUMNS)
