@@ -10,7 +10,9 @@ accounts (negative balance) are not in the customer master.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from starling.sources.testdata import read_table
 
 # The dirt formulas.
 BAD_QUANTITY_EVERY = 97      # order ids divisible by this get quantity text 'x'
@@ -37,10 +39,9 @@ def price_text(products: DataFrame) -> DataFrame:
         .alias("price_text"))
 
 
-def open_customers(spark, sf_dir: str) -> DataFrame:
+def open_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer master without closed accounts (negative balance): the
     feed still holds their orders, which then find no customer."""
-    from starling.sources.testdata import read_table
     return (read_table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
             .select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"),
                     F.col("c_mktsegment").alias("gender")))
