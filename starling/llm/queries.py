@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starling.llm import exact_dedup, mixing, packing, quality, simhash
+from starling.llm import exact_dedup, line_dedup, mixing, packing, quality, simhash, token_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,15 +49,27 @@ def op7_pack_sequences(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), tokenizer_file())
 
 
+def op8_token_counts(spark, sf_dir):
+    """Every document with its number of greedy word pieces, words and unknown words."""
+    return token_count.token_counts(documents(spark, sf_dir), tokenizer_file())
+
+
 def op9_simhash_groups(spark, sf_dir):
     """Every document with its fingerprint and the least id of its group."""
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
 
 
+def op10_line_dedup(spark, sf_dir):
+    """Every document with its lines that an equal or nearly equal earlier line drops."""
+    return line_dedup.document_decisions(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op7_pack_sequences": op7_pack_sequences,
+    "op8_token_counts": op8_token_counts,
     "op9_simhash_groups": op9_simhash_groups,
+    "op10_line_dedup": op10_line_dedup,
 }
