@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starling.llm import exact_dedup, line_dedup, mixing, packing, quality, simhash, token_count
+from starling.llm import exact_dedup, line_dedup, mixing, packing, quality, simhash, token_count, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,18 @@ def op3_quality_rules(spark, sf_dir):
     return rows.select("doc_id", *[quality.measure(n).alias(n) for n in names])
 
 
+def op5_toxicity(spark, sf_dir):
+    """Every document with its toxicity score; rows with crc32(doc_id) mod 3 = 1 are held out of training."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    remainder = F.crc32(F.col("id").cast("string").cast("binary")) % 3
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(*toxicity.training_rows(docs, labels, remainder != 1))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    return toxicity.scores(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= toxicity.DECISION).cast("int").alias("predicted"))
+
+
 def op7_pack_sequences(spark, sf_dir):
     """Every piece of every document with its place in the packed sequences."""
     return packing.pack(documents(spark, sf_dir), tokenizer_file())
@@ -68,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op7_pack_sequences": op7_pack_sequences,
     "op8_token_counts": op8_token_counts,
     "op9_simhash_groups": op9_simhash_groups,
