@@ -123,9 +123,9 @@ def _near_sums(line: bytes) -> LineSums | None:
     return LineSums(text) if len(text) >= MIN_NEAR else None
 
 
-def _line_keys(line: bytes) -> tuple:
-    sums = _near_sums(line)
-    return (None if sums is None else context_keys(sums).view(np.int64).tolist(),)
+def _line_keys(lines: list[bytes]) -> list[list]:
+    sums = map(_near_sums, lines)
+    return [[None if s is None else context_keys(s).view(np.int64) for s in sums]]
 
 
 def near_links(docs: DataFrame, lines: DataFrame, distinct: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from starling.llm.common import text_or_empty, written
@@ -30,40 +31,38 @@ def text_lines(text: bytes) -> list[tuple[int, bytes]]:
     return [(i, s) for i, x in enumerate(text.split(b"\n")) if (s := x.strip())]
 
 
-def line_table(docs: DataFrame, id_col: str, text_col: str, extra: Callable[[bytes], tuple | None],
+def line_table(docs: DataFrame, id_col: str, text_col: str, extra: Callable[[list[bytes]], list[list]],
                extra_schema: list[tuple[str, str, pa.DataType]], purpose: str) -> DataFrame:
-    """Written once: doc_id, line_no, h1, h2 and the ``extra`` columns of every line that has them.
+    """Written once: doc_id, row, line_no, h1, h2 and the ``extra`` columns of every line with a word.
 
-    ``extra`` maps a line to the values of the extra columns, or to None to leave the line out.
+    ``row`` numbers the input rows, so lines of rows without an id, or with the same one, stay apart.
+    ``extra`` maps a list of lines to one list of values per extra column.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        row = TaskContext.get().partitionId() << 33
         for b in batches:
             for at in range(0, b.num_rows, STEP):
                 piece = b.slice(at, STEP)
-                index, number, h1, h2 = [], [], [], []
-                more: list[list] = [[] for _ in extra_schema]
+                index, number, found = [], [], []
                 for i, text in enumerate(piece.column("text").cast(pa.binary())):
                     for no, line in text_lines(text.as_py()):
-                        values = extra(line)
-                        if values is None:
-                            continue
-                        a, c = line_hash(line)
                         index.append(i)
                         number.append(no)
-                        h1.append(a)
-                        h2.append(c)
-                        for column, v in zip(more, values):
-                            column.append(v)
+                        found.append(line)
+                hashes = [line_hash(x) for x in found]
+                more = extra(found)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id").take(pa.array(index, pa.int64())), pa.array(number, pa.int32()),
-                     pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
+                    [piece.column("doc_id").take(pa.array(index, pa.int64())),
+                     pa.array([row + i for i in index], pa.int64()), pa.array(number, pa.int32()),
+                     pa.array([a for a, _ in hashes], pa.int64()), pa.array([b for _, b in hashes], pa.int64()),
                      *[pa.array(v, t) for v, (_, _, t) in zip(more, extra_schema)]],
-                    names=["doc_id", "line_no", "h1", "h2", *[n for n, _, _ in extra_schema]])
+                    names=["doc_id", "row", "line_no", "h1", "h2", *[n for n, _, _ in extra_schema]])
+                row += piece.num_rows
 
-    schema = f"doc_id {id_type}, line_no int, h1 long, h2 long"
+    schema = f"doc_id {id_type}, row long, line_no int, h1 long, h2 long"
     for name, kind, _ in extra_schema:
         schema += f", {name} {kind}"
     return written(rows.mapInArrow(run, schema), purpose)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starling.llm import exact_dedup, line_dedup, mixing, packing, quality, simhash, token_count, toxicity
+from starling.llm import exact_dedup, line_dedup, mixing, packing, paragraph_dedup, quality, simhash, token_count, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,11 @@ def op5_toxicity(spark, sf_dir):
         (F.col("score") >= toxicity.DECISION).cast("int").alias("predicted"))
 
 
+def op6_paragraph_dedup(spark, sf_dir):
+    """Every paragraph of a passage that repeats, with the paragraph of its class that stays."""
+    return paragraph_dedup.passages(documents(spark, sf_dir))
+
+
 def op7_pack_sequences(spark, sf_dir):
     """Every piece of every document with its place in the packed sequences."""
     return packing.pack(documents(spark, sf_dir), tokenizer_file())
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op5_toxicity": op5_toxicity,
+    "op6_paragraph_dedup": op6_paragraph_dedup,
     "op7_pack_sequences": op7_pack_sequences,
     "op8_token_counts": op8_token_counts,
     "op9_simhash_groups": op9_simhash_groups,
