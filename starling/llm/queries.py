@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starling.llm import exact_dedup, line_dedup, mixing, packing, paragraph_dedup, quality, simhash, token_count, toxicity
+from starling.llm import exact_dedup, html_text, line_dedup, mixing, packing, paragraph_dedup, quality, simhash, token_count, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,11 @@ def op3_quality_rules(spark, sf_dir):
     return rows.select("doc_id", *[quality.measure(n).alias(n) for n in names])
 
 
+def op4_html_text(spark, sf_dir):
+    """Every page with its main text."""
+    return html_text.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_toxicity(spark, sf_dir):
     """Every document with its toxicity score; rows with crc32(doc_id) mod 3 = 1 are held out of training."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op4_html_text": op4_html_text,
     "op5_toxicity": op5_toxicity,
     "op6_paragraph_dedup": op6_paragraph_dedup,
     "op7_pack_sequences": op7_pack_sequences,
