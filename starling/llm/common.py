@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starling.session import scratch_dir
 
@@ -102,5 +102,14 @@ def small_table(df: DataFrame, max_rows: int, what: str) -> list:
     return rows
 
 
-def session(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def bounded_broadcast(table: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
+    """A written table as a join side: broadcast when its measured rows fit ``max_bytes``, else left to Spark.
+
+    One distributed aggregate measures it; the join gives the same rows either way.
+    """
+    width = F.lit(32)
+    for f in table.schema.fields:
+        width = width + (F.size(f.name) * 32 if f.dataType.typeName() == "array" else F.lit(16)
+                         if f.dataType.typeName() not in ("string", "binary") else F.octet_length(f.name) + 16)
+    size = table.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(table) if size <= max_bytes else table

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from starling.llm.common import small_table, text_or_empty, written
+from starling.llm.common import bounded_broadcast, small_table, text_or_empty, written
 
 WINDOW, QUANTUM, END_ID = 2048, 128, 1
 MAX_SOURCES = 10_000
@@ -176,7 +176,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     order = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = held.select("source", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("queue_start"))
     s = starts.select(F.col("source").alias("s"), F.col("part").alias("p"), "queue_start")
-    rows = ids.join(_bounded(s), F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))).select(
+    rows = ids.join(bounded_broadcast(written(s, "pack-starts")), F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))).select(
         "doc_id", "source", (F.col("queue_start") + F.col("place")).alias("at"), "n", "ids")
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -219,9 +219,3 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 yield from cut(b.slice(at, 512))
 
     return rows.mapInArrow(run, _SCHEMA_PIECES.format(id=id_type))
-
-
-def _bounded(starts: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast the queue starts while they are proven small, else leave the join to Spark."""
-    starts = written(starts, "pack-starts")
-    return F.broadcast(starts) if starts.count() <= max_rows else starts

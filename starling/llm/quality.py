@@ -27,6 +27,7 @@ columns are carried, whatever their names.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -185,9 +186,11 @@ def references(measured: DataFrame, lang_col: str = "lang", limits: Limits = LIM
         total("common_counts", i).alias(f"w{i}") for i in range(n_cells)]
     rows = small_table(measured.groupBy(F.col(lang_col).cast("string").alias("lang")).agg(*cells),
                        MAX_LANGUAGES, "languages")
-    out = [(r["lang"], [r[f"c{i}"] for i in range(n_chars)], [r[f"w{i}"] for i in range(n_cells)]) for r in rows]
-    return measured.sparkSession.createDataFrame(
-        out, f"{_Q}lang string, {_Q}ref_chars array<bigint>, {_Q}ref_words array<bigint>")
+    out = [{"lang": r["lang"], "chars": [r[f"c{i}"] for i in range(n_chars)],
+            "words": [r[f"w{i}"] for i in range(n_cells)]} for r in rows]
+    kind = "array<struct<lang: string, chars: array<bigint>, words: array<bigint>>>"
+    table = measured.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(out)), kind)))
+    return table.toDF(_Q + "lang", _Q + "ref_chars", _Q + "ref_words")
 
 
 def _entropy(p: Column) -> Column:

@@ -274,8 +274,9 @@ def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "content"))
     best = fps.groupBy("fp").agg(first.alias("best"))
     labelled = components(fps, max_bits, parts, crowd).join(best, "fp")
-    stay = labelled.groupBy("component").agg(F.min("best").alias("best")).select("best.id", "best.content").distinct()
+    stay = labelled.groupBy("component").agg(F.min("best").alias("best")).select(
+        F.col("best.id").alias("__sim_stay_id"), F.col("best.content").alias("__sim_stay")).distinct()
     mark = docs.select(*[F.col(f"`{c}`") for c in docs.columns],
                        F.xxhash64(text_or_empty(text_col)).alias("__sim_content"))
-    return mark.join(stay, F.col(f"`{id_col}`").eqNullSafe(F.col("id")) & (
-        F.col("__sim_content") == F.col("content")), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return mark.join(stay, F.col(f"`{id_col}`").eqNullSafe(F.col("__sim_stay_id")) & (
+        F.col("__sim_content") == F.col("__sim_stay")), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

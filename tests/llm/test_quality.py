@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from starling.llm import quality
-from tests.conftest import plan_text
+from tests.conftest import SMOKE_DIR, plan_text
 from tests.llm import cases
 
 NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -45,7 +45,7 @@ def test_distances_and_verdict_match_a_plain_computation(spark):
     good = [(i, cases.prose(i, 120), "en", "s", 1) for i in range(30)]
     bad = [(100, " | ".join(f"Cell{i}" for i in range(80)), "en", "s", 1),
            (101, "%%% ".join(cases.prose(101, 100).split()), "en", "s", 1)]
-    short = [(200, "| | | | | | | | | | | |", "en", "s", 1)]  # too short to be judged
+    short = [(200, "a| b# c$ d% e& f< g> h* i| j# k$ l%", "en", "s", 1)]  # too short to be judged
     rows = quality.verdicts(cases.documents(spark, data=good + bad + short)).collect()
     kept = {r.doc_id: r["__quality_kept"] for r in rows}
     assert all(kept[i] for i in range(30)) and not kept[100] and not kept[101] and kept[200]
@@ -77,6 +77,6 @@ def test_keep_rows_agrees_with_verdicts_and_carries_columns(spark):
 
 
 def test_native_plan_and_empty(spark):
-    assert not re.search("Python|Pandas|Arrow", plan_text(quality.keep_rows(cases.documents(spark))))
+    assert not re.search("Python|Pandas|Arrow", plan_text(quality.keep_rows(spark.read.parquet(f"{SMOKE_DIR}/documents.parquet"))))
     assert quality.verdicts(cases.empty(spark)).count() == 0
     assert quality.keep_rows(cases.empty(spark)).count() == 0

@@ -34,7 +34,7 @@ def test_a_pair_counts_beyond_its_parts():
 
 def test_held_out_accuracy(spark):
     from starling.llm.queries import op5_toxicity
-    sf = SMOKE_DIR.replace("0.001", "0.01")
+    sf = SMOKE_DIR.replace("0.001", "0.1")
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = op5_toxicity(spark, sf).collect()
     assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
