@@ -8,26 +8,30 @@ row in the stated order wins (:func:`first_match`).  Per order, the last
 *matched* line wins (:func:`latest_per_order`); an unmatched later line
 replaces nothing.
 
-Every lookup is an inner equi-join against :func:`lookup`: the master
-deduplicated and broadcast only when a row probe proves it fits the budget.
-A master beyond it (customers, products, suppliers at scale) is joined by
-sort-merge, and AQE splits a skewed key.
+"Last" is the line number where a line has one, else the arrival taken at the
+scan (``starling.sources.feed_csv``); product, supplier and quantity break ties.
+
+A missing price sells at 0.00.  A line whose total does not fit the money type
+is treated like an unmatched one: dropped, and reported by
+:func:`oversized`.
+
+Every lookup is an inner equi-join with the deduplicated master.  The dedupe
+ends in a shuffle whose size Spark measures, so adaptive execution broadcasts a
+small master and joins a large one by sort-merge, splitting a skewed key.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from starling.operators.keep import keep_first, keep_last
-from starling.operators.sizing import (bounded_broadcast, bounded_size, broadcast_budget,
-                                       max_rows_within)
-from starling.schema import ENRICHED_COLUMNS, MONEY
+from starling.schema import ARRIVAL, ENRICHED_COLUMNS, MONEY
 
 # Order of lines within an order: the last line is the greatest in this order.
-LINE_ORDER = ["line_number", "product_id", "supplier_id", "quantity"]
+LINE_ORDER = ["line_number", ARRIVAL, "product_id", "supplier_id", "quantity"]
+ORDER_COLUMNS = ("line_number", ARRIVAL)
 
 CUSTOMER_COLUMNS = ["customer_id", "customer_name", "gender"]
 PRODUCT_COLUMNS = ["product_id", "product_name", "product_price"]
@@ -43,34 +47,20 @@ def first_match(master: DataFrame, key: str, order: list[str] | None = None) ->
 
 
 def total_sale(quantity="quantity", price="product_price"):
+    """Quantity times price; 0.00 without a price, NULL when it does not fit the money type."""
     q = F.col(quantity) if isinstance(quantity, str) else quantity
     p = F.col(price) if isinstance(price, str) else price
-    return (q * p).cast(MONEY)
-
-
-def _dedupe(master: DataFrame, key: str, unique: bool) -> DataFrame:
-    return master if unique else first_match(master, key)
+    return (q * F.coalesce(p, F.lit(0).cast(MONEY))).try_cast(MONEY)
 
 
 def lookup(master: DataFrame, key: str, unique: bool = False) -> DataFrame:
-    """A master as a join side: one row per key, broadcast only within a proven bound.
-
-    The size is probed on the master as given (a bounded ``take`` that stops
-    early on a big table); the first-match dedupe only shrinks it, so the
-    bound holds for the deduplicated side too.  Beyond the bound the join
-    is left to Spark (sort-merge; AQE may still convert from measured sizes).
-    """
-    max_rows = max_rows_within(master.schema, broadcast_budget(master.sparkSession))
-    side = _dedupe(master, key, unique)
-    if max_rows < 1:
-        return side
-    return bounded_broadcast(side, known_size=bounded_size(master, max_rows))
+    """A master as a join side: one row per key."""
+    return master if unique else first_match(master, key)
 
 
 @dataclass(frozen=True)
 class Lookups:
-    """The masters as join sides: one row per key, each broadcast only when
-    its probed size fits the budget.  Prepare once, join many times."""
+    """The masters as join sides: one row per key."""
 
     customers: DataFrame | None
     products: DataFrame
@@ -80,7 +70,7 @@ class Lookups:
 
 def prepare(customers: DataFrame | None, products: DataFrame, suppliers: DataFrame | None = None,
             stores: DataFrame | None = None, masters_unique: bool = False) -> Lookups:
-    """Dedupe the masters (first match) and decide their broadcasts once.
+    """Dedupe the masters (first match).
 
     With ``suppliers`` given, the line carries ``supplier_id`` and the store is
     the supplier's.  Without it, the product master carries supplier and store
@@ -97,9 +87,7 @@ def prepare(customers: DataFrame | None, products: DataFrame, suppliers: DataFra
         df, cols, key = side
         return None if df is None else lookup(df.select(*cols), key, masters_unique)
 
-    # the size probes are independent jobs: run them together
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        return Lookups(*pool.map(one, sides))
+    return Lookups(*map(one, sides))
 
 
 def _match(lines: DataFrame, lk: Lookups) -> DataFrame:
@@ -117,34 +105,74 @@ def match_lines(lines: DataFrame, products: DataFrame, suppliers: DataFrame | No
 
 
 def _with_total(df: DataFrame) -> DataFrame:
-    return df.withColumn("total_sale", total_sale()).withColumnRenamed("quantity", "quantity_ordered")
+    """Matched lines with their total; oversized ones (NULL total) are still there."""
+    return df.withColumn("total_sale", total_sale())
+
+
+def _enriched(feed: DataFrame, lk: Lookups) -> DataFrame:
+    return _with_total(_match(feed, lk).join(lk.customers, "customer_id"))
 
 
 def enrich(feed: DataFrame, customers: DataFrame | None = None, products: DataFrame | None = None,
            suppliers: DataFrame | None = None, stores: DataFrame | None = None,
            keep_order_columns: bool = False, masters_unique: bool = False,
-           carry: tuple[str, ...] = (), lookups: Lookups | None = None) -> DataFrame:
+           lookups: Lookups | None = None) -> DataFrame:
     """Every matched feed line with its 14 enriched columns (line grain).
 
     ``masters_unique`` skips the first-match dedupe for masters that were
     already reduced to one row per key (see :func:`unique_masters`);
     ``lookups`` passes masters prepared once by :func:`prepare` instead.
-    ``carry`` names further feed columns to keep (an arrival position, say).
+    ``keep_order_columns`` keeps line number and arrival, where the feed has them.
     """
     lk = lookups or prepare(customers, products, suppliers, stores, masters_unique)
-    out = _with_total(_match(feed, lk).join(lk.customers, "customer_id"))
-    extra = [x for x in ("line_number",) if keep_order_columns and x in out.columns]
-    return out.select(*ENRICHED_COLUMNS, *extra, *carry)
+    out = _enriched(feed, lk).where(F.col("total_sale").isNotNull()).withColumnRenamed("quantity", "quantity_ordered")
+    extra = [c for c in ORDER_COLUMNS if keep_order_columns and c in out.columns]
+    return out.select(*ENRICHED_COLUMNS, *extra)
+
+
+def oversized(feed: DataFrame, customers: DataFrame, products: DataFrame, suppliers: DataFrame | None = None,
+              stores: DataFrame | None = None) -> DataFrame:
+    """Matched feed lines whose total does not fit the money type, with the reason."""
+    out = _enriched(feed, prepare(customers, products, suppliers, stores))
+    return out.where(F.col("total_sale").isNull()).select(
+        *[c for c in feed.columns if c in out.columns], F.lit("total out of range").alias("reason"))
+
+
+def line_order(columns: list[str], quantity: str = "quantity_ordered") -> list[str]:
+    """The order of lines for a table with ``columns``; it needs a line number or an arrival."""
+    if not any(c in columns for c in ORDER_COLUMNS):
+        raise ValueError(f"the last line of an order needs one of {ORDER_COLUMNS}")
+    return [c for c in [*LINE_ORDER[:-1], quantity] if c in columns]
 
 
 def latest_per_order(enriched: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Keep-last per order over matched lines, in the 14 staging columns.
 
-    ``enriched`` must carry the ordering columns (``line_number`` by default,
-    with product, supplier and quantity as tie-breaks).
+    ``enriched`` must carry ordering columns (``enrich(keep_order_columns=True)``).
+    """
+    return keep_last(enriched, "order_id", order or line_order(enriched.columns)).select(*ENRICHED_COLUMNS)
+
+
+def matched_keys(feed: DataFrame, lookups: Lookups) -> DataFrame:
+    """The feed lines that :func:`enrich` keeps, decided with key columns only (the
+    price decides whether the total fits); the supplier is that of the match."""
+    narrow = _match(feed, Lookups(None, *[
+        None if m is None else m.select(*[c for c in m.columns if c in keep]) for m, keep in (
+            (lookups.products, {"product_id", "product_price", "supplier_id", "store_id"}),
+            (lookups.suppliers, {"supplier_id", "store_id"}), (lookups.stores, {"store_id"}))]))
+    return narrow.where(total_sale().isNotNull()).join(
+        lookups.customers.select("customer_id"), "customer_id", "left_semi").select(*feed.columns)
+
+
+def latest_lines(feed: DataFrame, lookups: Lookups) -> DataFrame:
+    """Staging rows of a feed, with the keep-last on narrow rows.
+
+    The last matched line of every order is picked from ids, quantity and
+    ordering columns, and only the winners, one row per order, meet the
+    masters' names.
     """
-    order = order or ["line_number", "product_id", "supplier_id", "quantity_ordered"]
-    return keep_last(enriched, "order_id", order).select(*ENRICHED_COLUMNS)
+    matched = matched_keys(feed, lookups)
+    return enrich(keep_last(matched, "order_id", line_order(feed.columns, "quantity")), lookups=lookups)
 
 
 def staging_from_parts(lines: DataFrame, headers: DataFrame, customers: DataFrame | None = None,
@@ -161,9 +189,10 @@ def staging_from_parts(lines: DataFrame, headers: DataFrame, customers: DataFram
     one row per order (its key), as an order table does.
     """
     lk = lookups or prepare(customers, products, suppliers, stores)
-    last = keep_last(_match(lines, lk), "order_id", LINE_ORDER)
-    return _with_total(last.join(headers, "order_id").join(lk.customers, "customer_id")).select(
-        *ENRICHED_COLUMNS)
+    counted = _with_total(_match(lines, lk)).where(F.col("total_sale").isNotNull())
+    last = keep_last(counted, "order_id", line_order(counted.columns, "quantity"))
+    return (last.join(headers, "order_id").join(lk.customers, "customer_id")
+            .withColumnRenamed("quantity", "quantity_ordered").select(*ENRICHED_COLUMNS))
 
 
 def unmatched(feed: DataFrame, customers: DataFrame, products: DataFrame,
@@ -184,8 +213,7 @@ def unmatched(feed: DataFrame, customers: DataFrame, products: DataFrame,
         # the store of a supplier is the store of its first-match row
         sup = first_match(suppliers.select(*SUPPLIER_COLUMNS), "supplier_id").select(
             "supplier_id", F.col("store_id").alias("_store_of_supplier"), F.lit(True).alias("_s"))
-        st = bounded_broadcast(keys(stores, "store_id", "_st").withColumnRenamed(
-            "store_id", "_store_of_supplier"))
+        st = keys(stores, "store_id", "_st").withColumnRenamed("store_id", "_store_of_supplier")
         x = x.join(sup, "supplier_id", "left").join(st, "_store_of_supplier", "left")
         reason = (reason.when(F.col("_s").isNull(), F.lit("unknown supplier"))
                   .when(F.col("_st").isNull(), F.lit("unknown store")))

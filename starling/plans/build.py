@@ -1,14 +1,14 @@
 """End-to-end plans over the driver's test tables.
 
 The warehouse (staging, dimensions, fact) is written once per session and
-source folder and reused by every query; CSV feeds written for the source
-operators are reused the same way.  Everything is written below the session's
-checkpoint folder.
+snapshot of the source folder (its files, their sizes and modification times)
+and reused by every query; CSV feeds written for the source operators are
+reused the same way.  A changed source is built anew.  Everything is written
+below the session's checkpoint folder.
 """
 
 from __future__ import annotations
 
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +22,30 @@ _LOCK = threading.RLock()
 _CACHE: dict[tuple, object] = {}
 
 
+SOURCE_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def snapshot(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, size and modification time of every file of the source tables, as the file system of the path names them."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = []
+    for name in SOURCE_TABLES:
+        path = hadoop(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            files = [path] if fs.getFileStatus(path).isFile() else [x.getPath() for x in fs.listStatus(path)]
+            for f in files:
+                status = fs.getFileStatus(f)
+                out.append((f.toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (app_id(spark), os.path.abspath(sf_dir), what)
+    return (app_id(spark), sf_dir.rstrip("/"), snapshot(spark, sf_dir), what)
 
 
 def cached(spark: SparkSession, sf_dir: str, what: str, make):
-    """``make()`` once per session, source folder and ``what``."""
+    """``make()`` once per session, snapshot of the source folder and ``what``."""
     key = _key(spark, sf_dir, what)
     with _LOCK:
         if key not in _CACHE:
@@ -46,11 +64,9 @@ class Masters:
 
 
 def lookups(spark: SparkSession, sf_dir: str) -> E.Lookups:
-    """The masters prepared as join sides once per session (dedupe, size probe)."""
-    def make():
-        m = Masters(spark, sf_dir)
-        return E.prepare(m.customers, m.products, m.suppliers, m.stores)
-    return cached(spark, sf_dir, "lookups", make)
+    """The masters as join sides."""
+    m = Masters(spark, sf_dir)
+    return E.prepare(m.customers, m.products, m.suppliers, m.stores)
 
 
 def enriched_lines(spark: SparkSession, sf_dir: str, keep_order_columns: bool = False) -> DataFrame:
@@ -70,11 +86,22 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return cached(spark, sf_dir, "warehouse", lambda: Warehouse.build(spark, staging(spark, sf_dir)))
 
 
-def feed_csv_dir(spark: SparkSession, sf_dir: str, dirty: bool = False, files: int = 8) -> str:
-    """The feed of the test tables written as ``files`` CSV files (once per session)."""
+def feed_csv_dir(spark: SparkSession, sf_dir: str, dirty: bool = False) -> str:
+    """The feed of the test tables written as CSV, a file per partition (once per session and snapshot)."""
     def make():
         text = testdata.feed_text(spark, sf_dir)
         if dirty:
             text = dirt.feed_text_with_bad_quantity(text)
-        return feed_csv.write_feed_csv(text, scratch_dir(spark, "feed-dirty" if dirty else "feed"), files)
-    return cached(spark, sf_dir, f"feed-csv-{dirty}-{files}", make)
+        return feed_csv.write_feed_csv(text, scratch_dir(spark, "feed-dirty" if dirty else "feed"))
+    return cached(spark, sf_dir, f"feed-csv-{dirty}", make)
+
+
+def five_column_feed_dir(spark: SparkSession, sf_dir: str) -> str:
+    """The feed in the warehouse's own five columns, written as CSV."""
+    return cached(spark, sf_dir, "feed-five", lambda: feed_csv.write_feed_csv(
+        testdata.five_column_feed_text(spark, sf_dir), scratch_dir(spark, "feed-five")))
+
+
+def product_lookups(spark: SparkSession, sf_dir: str) -> E.Lookups:
+    """Customers, and products that carry their supplier and store."""
+    return E.prepare(testdata.customer_master(spark, sf_dir), testdata.product_master_with_supplier(spark, sf_dir))

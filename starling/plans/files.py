@@ -4,25 +4,19 @@
 name, store id and name).
 
 Without a sequence column, the last line of an order is the last to
-arrive: files in name order, lines in file order.  The position is
-``monotonically_increasing_id()`` taken at the scan: the splits of one file
-are numbered in offset order, so it orders the lines within a file.
+arrive (``arrival``, taken at the scan): files by modification time, then path;
+in a file by block and row.  A stream over the same folder uses the same order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from starling.operators import enrich as E
 from starling.operators.warehouse import Warehouse
-from starling.schema import CUSTOMER_MASTER, FEED_COLUMNS, PRODUCT_MASTER
+from starling.schema import CUSTOMER_MASTER, PRODUCT_MASTER
 from starling.sources import feed_csv, tables
 
-ARRIVAL = ("_file", "_position")
-# The last line of an order: the greatest line number when the feed has one,
-# then the latest to arrive.
-LAST_LINE_ORDER = ["line_number", *ARRIVAL]
-
 
 def read_masters(spark: SparkSession, customers_path: str, products_path: str) -> tuple[DataFrame, DataFrame]:
     return (tables.read_master_csv(spark, customers_path, CUSTOMER_MASTER),
@@ -30,24 +24,17 @@ def read_masters(spark: SparkSession, customers_path: str, products_path: str) -
 
 
 def typed_feed(spark: SparkSession, feed_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(good typed rows with their arrival position, quarantined rows)."""
-    text = (feed_csv.read_feed_text(spark, feed_dir)
-            .withColumn("_file", F.col("_metadata.file_path"))
-            .withColumn("_position", F.monotonically_increasing_id()))
-    typed = feed_csv.type_feed(text, carry=ARRIVAL)
-    good = typed.where(F.col("reject_reason").isNull()).select(*FEED_COLUMNS, *ARRIVAL)
-    bad = typed.where(F.col("reject_reason").isNotNull()).select(
-        *[F.col(f"raw_{c}").alias(c) for c in FEED_COLUMNS], "reject_reason", "_file")
-    return good, bad
+    """(good typed rows with their arrival, quarantined rows)."""
+    text = feed_csv.read_feed_text(spark, feed_dir)
+    return feed_csv.clean_feed(text), feed_csv.quarantine(text)
 
 
 def staging_from_files(spark: SparkSession, feed_dir: str, customers_path: str,
                        products_path: str) -> DataFrame:
-    """Staging rows: every matched line enriched, then the last one of every order."""
+    """Staging rows: the last matched line of every order, enriched."""
     customers, products = read_masters(spark, customers_path, products_path)
     good, _ = typed_feed(spark, feed_dir)
-    lines = E.enrich(good, customers, products, keep_order_columns=True, carry=ARRIVAL)
-    return E.latest_per_order(lines, order=LAST_LINE_ORDER)
+    return E.latest_lines(good, E.prepare(customers, products))
 
 
 def warehouse_from_files(spark: SparkSession, feed_dir: str, customers_path: str, products_path: str,

@@ -16,7 +16,7 @@ from starling.operators import enrich as E
 from starling.operators import olap, quality
 from starling.operators import warehouse as W
 from starling.plans import build as P
-from starling.schema import CUSTOMER_MASTER, ENRICHED_COLUMNS
+from starling.schema import CUSTOMER_MASTER, ENRICHED_COLUMNS, FEED_COLUMNS
 from starling.session import scratch_dir
 from starling.sources import dirt, enriched_csv, feed_csv, tables, testdata
 from starling.streaming import feed_stream
@@ -25,9 +25,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 # ------------------------------------------------------------------ sources and cleaning
+def _good(spark, feed_dir):
+    return feed_csv.clean_feed(feed_csv.read_feed_text(spark, feed_dir))
+
+
 def scan_transactions(spark, sf_dir):
     """The feed written as CSV files, scanned back by position and typed."""
-    return feed_csv.clean_feed(feed_csv.read_feed_text(spark, P.feed_csv_dir(spark, sf_dir)))
+    return _good(spark, P.feed_csv_dir(spark, sf_dir)).select(*FEED_COLUMNS)
 
 
 def scan_masters(spark, sf_dir):
@@ -37,9 +41,14 @@ def scan_masters(spark, sf_dir):
         *[F.col(a).alias(f.name) for a, f in zip(source, CUSTOMER_MASTER.fields)])
 
 
+def scan_product_master(spark, sf_dir):
+    """The product master with its seven columns, supplier and store included."""
+    return testdata.product_master_with_supplier(spark, sf_dir)
+
+
 def clean_transactions(spark, sf_dir):
     """Typed good rows of a feed with bad quantities."""
-    return feed_csv.clean_feed(feed_csv.read_feed_text(spark, P.feed_csv_dir(spark, sf_dir, dirty=True)))
+    return _good(spark, P.feed_csv_dir(spark, sf_dir, dirty=True)).select(*FEED_COLUMNS)
 
 
 def quarantine(spark, sf_dir):
@@ -74,9 +83,28 @@ def unmatched_transactions(spark, sf_dir):
                        m.products, m.suppliers, m.stores)
 
 
+def enrich_product_master(spark, sf_dir):
+    """Every line of a five-column feed; supplier and store come with the product."""
+    return E.enrich(_good(spark, P.five_column_feed_dir(spark, sf_dir)), lookups=P.product_lookups(spark, sf_dir))
+
+
+def enrich_dirty_prices(spark, sf_dir):
+    """Enrichment with prices read from money text, junk and empty text included."""
+    products = testdata.product_master(spark, sf_dir)
+    priced = dirt.price_text(products).select("product_id", cleaning.money("price_text").alias("product_price"))
+    m = P.Masters(spark, sf_dir)
+    return E.enrich(testdata.feed(spark, sf_dir), m.customers,
+                    products.select("product_id", "product_name").join(priced, "product_id"), m.suppliers, m.stores)
+
+
 def latest_per_order(spark, sf_dir):
-    """Full enrichment, then the last matched line per order."""
-    return E.latest_per_order(P.enriched_lines(spark, sf_dir, keep_order_columns=True))
+    """The last matched line per order of a feed with line numbers."""
+    return E.latest_lines(testdata.feed(spark, sf_dir), P.lookups(spark, sf_dir))
+
+
+def latest_by_arrival(spark, sf_dir):
+    """The last matched line to arrive per order, of a feed without line numbers."""
+    return E.latest_lines(_good(spark, P.five_column_feed_dir(spark, sf_dir)), P.product_lookups(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ files and tables
@@ -164,48 +192,57 @@ def _masters_args(spark, sf_dir):
     return m.customers, m.products, m.suppliers, m.stores
 
 
-# The registered stream queries read a feed of FEED_FILES files,
-# FILES_PER_TRIGGER files per micro-batch (so two micro-batches, each with
-# enough files to keep eight cores busy).
-FEED_FILES = 16
-FILES_PER_TRIGGER = 8
+# Size of a micro-batch of the registered streams: many files of any feed, so a
+# batch keeps the cluster busy and the master scans are amortized.
+BYTES_PER_TRIGGER = 64 << 30
+
+
+def _stream_log(spark, sf_dir):
+    return feed_stream.stream_enrich_to_log(spark, P.feed_csv_dir(spark, sf_dir), *_masters_args(spark, sf_dir),
+                                            bytes_per_trigger=BYTES_PER_TRIGGER)[0]
 
 
 def stream_enrich(spark, sf_dir):
     """The CSV feed streamed in micro-batches, enriched against the
     static masters; the batch log read back (line grain)."""
-    log, _ = feed_stream.stream_enrich_to_log(spark, P.feed_csv_dir(spark, sf_dir, files=FEED_FILES),
-                                              *_masters_args(spark, sf_dir),
-                                              files_per_trigger=FILES_PER_TRIGGER)
-    return feed_stream.enriched_from_log(spark, log)
+    return feed_stream.enriched_from_log(spark, _stream_log(spark, sf_dir))
 
 
 def stream_latest_per_order(spark, sf_dir):
     """T5: keep-last per order over the streamed log."""
-    log, _ = feed_stream.stream_enrich_to_log(spark, P.feed_csv_dir(spark, sf_dir, files=FEED_FILES),
-                                              *_masters_args(spark, sf_dir),
-                                              files_per_trigger=FILES_PER_TRIGGER)
+    return feed_stream.latest_from_log(spark, _stream_log(spark, sf_dir))
+
+
+def stream_latest_by_arrival(spark, sf_dir):
+    """T5: the last line to arrive per order, of a streamed feed without line numbers."""
+    log, _ = feed_stream.stream_enrich_to_log(
+        spark, P.five_column_feed_dir(spark, sf_dir), testdata.customer_master(spark, sf_dir),
+        testdata.product_master_with_supplier(spark, sf_dir), bytes_per_trigger=BYTES_PER_TRIGGER)
     return feed_stream.latest_from_log(spark, log)
 
 
 def stream_latest_state(spark, sf_dir):
     """T5 as keyed streaming state (update mode), read back as the current state."""
-    log = feed_stream.stream_latest_state_to_log(spark, P.feed_csv_dir(spark, sf_dir, files=FEED_FILES),
-                                                 *_masters_args(spark, sf_dir),
-                                                 files_per_trigger=FILES_PER_TRIGGER)
-    return feed_stream.latest_from_state_log(spark, log)
+    masters = _masters_args(spark, sf_dir)
+    log = feed_stream.stream_latest_state_to_log(spark, P.feed_csv_dir(spark, sf_dir), *masters,
+                                                 bytes_per_trigger=BYTES_PER_TRIGGER)
+    return feed_stream.latest_from_state_log(spark, log, *masters)
 
 
 QUERIES: dict[str, Query] = {
     "scan_transactions": scan_transactions,
     "scan_masters": scan_masters,
+    "scan_product_master": scan_product_master,
     "clean_transactions": clean_transactions,
     "quarantine": quarantine,
     "clean_money": clean_money,
     "enrich_sales": enrich_sales,
     "master_first_match": master_first_match,
     "unmatched_transactions": unmatched_transactions,
+    "enrich_product_master": enrich_product_master,
+    "enrich_dirty_prices": enrich_dirty_prices,
     "latest_per_order": latest_per_order,
+    "latest_by_arrival": latest_by_arrival,
     "sink_enriched_csv": sink_enriched_csv,
     "scan_enriched": scan_enriched,
     "load_staging": load_staging,
@@ -233,5 +270,6 @@ QUERIES: dict[str, Query] = {
     "q10": _olap(olap.q10),
     "stream_enrich": stream_enrich,
     "stream_latest_per_order": stream_latest_per_order,
+    "stream_latest_by_arrival": stream_latest_by_arrival,
     "stream_latest_state": stream_latest_state,
 }

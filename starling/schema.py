@@ -22,6 +22,10 @@ FEED_COLUMNS = ["order_id", "order_date", "product_id", "quantity", "customer_id
                 "supplier_id", "line_number"]
 FEED_BASE_COLUMNS = FEED_COLUMNS[:5]
 
+# Place of a line in the feed: files by modification time, then path; in a file by
+# block and row.  Batch and stream use the same order.
+ARRIVAL = "arrival"
+
 FEED_TEXT = T.StructType([T.StructField(c, T.StringType(), True) for c in FEED_COLUMNS])
 
 FEED = T.StructType([
@@ -79,6 +83,8 @@ ENRICHED_HEADER = [
 ]
 # Fixed value: any feed line starting with this text is a header line.
 FEED_HEADER_PREFIX = "Order ID"
+# Header line of the feed files this library writes, in column order.
+FEED_HEADER = ["Order ID", "Order Date", "Product ID", "Quantity Ordered", "Customer ID", "Supplier ID", "Line Number"]
 # Fixed value: text layout of order dates in the feed and the enriched file.
 DATETIME_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 

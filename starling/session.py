@@ -60,7 +60,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    # Unset: a local run or a test.  A cluster always names a shared folder.
+    # Unset: a local run or a test.  On a cluster each executor would write to its own disk.
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
     key = app_id(spark)
     if key not in _OWN_ROOT:
         _OWN_ROOT[key] = tempfile.mkdtemp(prefix="starling-ckpt-")
@@ -80,3 +83,9 @@ def _join(root: str, *parts: str) -> str:
     if "://" in root:
         return "/".join([root.rstrip("/"), *parts])
     return os.path.join(root, *parts)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, as the file system it names sees it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

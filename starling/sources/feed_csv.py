@@ -1,9 +1,15 @@
 """CSV transaction feed: write, scan and type it.
 
-The feed is positional: the reader applies an explicit schema by position and
-ignores header names.  ``header`` skips the first line of every file; a header
-repeated inside a file lands in the quarantine as a header line.
+The feed is positional: the reader applies an explicit schema by position.  A
+line that starts with ``Order ID`` is a header line wherever it stands, and is
+neither a transaction nor a rejected row; a file without one loses nothing.
 Blank lines are skipped by the reader.
+
+Every row carries its ``arrival``: (file modification time, file path, block
+start, row).  It is taken at the scan, before any join, so the order of lines
+does not depend on how later joins are carried out.  A stream numbers the rows
+of a micro-batch in the same way (:func:`number_arrivals`).  Lines with a line
+number are ordered by it instead, whatever file they came in.
 """
 
 from __future__ import annotations
@@ -11,11 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starling.functions import cleaning
-from starling.schema import FEED_BASE_COLUMNS, FEED_COLUMNS, FEED_HEADER_PREFIX, FEED_TEXT
+from starling.schema import (ARRIVAL, FEED_BASE_COLUMNS, FEED_COLUMNS, FEED_HEADER, FEED_HEADER_PREFIX,
+                             FEED_TEXT)
 
 # CSV dialect of the feed: comma, double quote, doubled quote as escape, fields trimmed.
 CSV_OPTIONS = {
-    "header": "true",
+    "header": "false",
     "sep": ",",
     "quote": '"',
     "escape": '"',
@@ -32,24 +39,48 @@ WRITE_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+HEADER_LINE = "header line"
+_FILE = "__file"  # (modification time, path, block start) of the row
 
 
-def write_feed_csv(feed_text: DataFrame, path: str, files: int = 8) -> str:
-    """Write feed text as ``files`` CSV files, each with a header line."""
-    (feed_text.select(*FEED_COLUMNS).repartition(files)
-     .write.mode("overwrite").options(**WRITE_OPTIONS).csv(path))
+def write_feed_csv(feed_text: DataFrame, path: str, files: int | None = None) -> str:
+    """Write feed text as CSV files, each with a header line: one per partition
+    of the input, or ``files`` of them."""
+    rows = feed_text.select(*FEED_COLUMNS).toDF(*FEED_HEADER)
+    if files is not None:
+        rows = rows.repartition(files)
+    rows.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
     return path
 
 
+def _with_file(text: DataFrame) -> DataFrame:
+    return text.select("*", F.struct("_metadata.file_modification_time", "_metadata.file_path",
+                                     "_metadata.file_block_start").alias(_FILE))
+
+
+def number_arrivals(text: DataFrame) -> DataFrame:
+    """Replace the file columns of a scan by ``arrival``, adding the row's place in its block."""
+    return text.withColumn(ARRIVAL, F.struct(
+        F.col(f"{_FILE}.file_modification_time").alias("modified"), F.col(f"{_FILE}.file_path").alias("path"),
+        F.col(f"{_FILE}.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"))).drop(_FILE)
+
+
 def read_feed_text(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a CSV feed folder as text columns, bound by position."""
-    return spark.read.schema(FEED_TEXT).options(**CSV_OPTIONS).csv(path)
+    """Scan a CSV feed folder as text columns, bound by position, with ``arrival``."""
+    return number_arrivals(_with_file(spark.read.schema(FEED_TEXT).options(**CSV_OPTIONS).csv(path)))
 
 
-def stream_feed_text(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """The same scan as a stream: one micro-batch per ``files_per_trigger`` files."""
-    return (spark.readStream.schema(FEED_TEXT).options(**CSV_OPTIONS)
-            .option("maxFilesPerTrigger", files_per_trigger).csv(path))
+def stream_feed_text(spark: SparkSession, path: str, files_per_trigger: int | None = None,
+                     bytes_per_trigger: int | None = None) -> DataFrame:
+    """The same scan as a stream, bounded per micro-batch by files or by bytes; the
+    rows are numbered inside ``foreachBatch`` (:func:`number_arrivals`)."""
+    reader = spark.readStream.schema(FEED_TEXT).options(**CSV_OPTIONS)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    return _with_file(reader.csv(path))
 
 
 def type_feed(text: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -57,7 +88,8 @@ def type_feed(text: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
     The five base columns are required; ``supplier_id`` and ``line_number``
     may be absent (a five-column feed) but must be numbers when present.
-    ``carry`` names further columns of ``text`` to pass through.
+    ``carry`` names further columns of ``text`` to pass through; an arrival is
+    kept only for lines without a line number, the ones it orders.
     """
     typed = {
         "order_id": cleaning.strict_long("order_id"),
@@ -68,8 +100,7 @@ def type_feed(text: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         "supplier_id": cleaning.strict_long("supplier_id"),
         "line_number": cleaning.strict_int("line_number"),
     }
-    # A header line repeated inside a file is not a transaction.
-    reason = F.when(F.trim(F.col("order_id")).startswith(FEED_HEADER_PREFIX), F.lit("header line"))
+    reason = F.when(F.trim(F.col("order_id")).startswith(FEED_HEADER_PREFIX), F.lit(HEADER_LINE))
     for c in FEED_COLUMNS:
         bad = typed[c].isNull() if c in FEED_BASE_COLUMNS else (
             F.col(c).isNotNull() & (F.trim(F.col(c)) != "") & typed[c].isNull())
@@ -78,16 +109,26 @@ def type_feed(text: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         *[typed[c].alias(c) for c in FEED_COLUMNS],
         reason.alias("reject_reason"),
         *[F.col(c).alias(f"raw_{c}") for c in FEED_COLUMNS],
-        *carry,
+        *[F.when(typed["line_number"].isNull(), F.col(c)).alias(c) if c == ARRIVAL else F.col(c) for c in carry],
     )
 
 
+def _carried(text: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in (ARRIVAL,) if c in text.columns)
+
+
 def clean_feed(text: DataFrame) -> DataFrame:
-    """Good rows only, typed."""
-    return type_feed(text).where(F.col("reject_reason").isNull()).select(*FEED_COLUMNS)
+    """Good rows only, typed, with ``arrival`` when the text has it."""
+    carry = _carried(text)
+    return type_feed(text, carry).where(F.col("reject_reason").isNull()).select(*FEED_COLUMNS, *carry)
 
 
 def quarantine(text: DataFrame) -> DataFrame:
-    """Rejected rows: the raw text and the first reason found."""
-    return (type_feed(text).where(F.col("reject_reason").isNotNull())
+    """Rejected rows: the raw text and the first reason found (header lines are none)."""
+    return (type_feed(text).where(F.col("reject_reason") != HEADER_LINE)
             .select(*[F.col(f"raw_{c}").alias(c) for c in FEED_COLUMNS], "reject_reason"))
+
+
+def header_lines(text: DataFrame) -> DataFrame:
+    """The header lines among the rows of a scan."""
+    return text.where(F.trim(F.col("order_id")).startswith(FEED_HEADER_PREFIX))

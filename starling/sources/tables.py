@@ -7,7 +7,12 @@ database the whole cluster can reach and is not exercised by the tests.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+
+from starling.functions import cleaning
+
+PRICE = "product_price"
 
 
 def write_table(df: DataFrame, path: str) -> str:
@@ -57,10 +62,26 @@ MASTER_CSV_OPTIONS = {
 }
 
 
+def _price_as_text(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name == PRICE else f.dataType, f.nullable)
+                         for f in schema.fields])
+
+
+def _master_text(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(_price_as_text(schema)).options(**MASTER_CSV_OPTIONS).csv(path)
+
+
 def read_master_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Scan a master CSV file by position with an explicit schema.
 
-    A malformed master row fails the job (``FAILFAST``): a half-read master
-    would silently drop every transaction that needs the missing rows.
+    A malformed id fails the job (``FAILFAST``): a half-read master would
+    silently drop every transaction that needs the missing rows.  A price is
+    read tolerantly (``$1,299.99``; junk is 0.00), see :func:`defaulted_prices`.
     """
-    return spark.read.schema(schema).options(**MASTER_CSV_OPTIONS).csv(path)
+    return _master_text(spark, path, schema).select(
+        *[(cleaning.money(f.name) if f.name == PRICE else F.col(f.name)).alias(f.name) for f in schema.fields])
+
+
+def defaulted_prices(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The master rows whose price text is no amount and was read as 0.00."""
+    return _master_text(spark, path, schema).where(cleaning.money_is_defaulted(PRICE))

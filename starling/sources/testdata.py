@@ -93,3 +93,22 @@ def store_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").cast("long").alias("store_id"),
         F.col("n_name").alias("store_name"),
     )
+
+
+def product_master_with_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product master in the warehouse's own seven columns: the least supplier
+    that a part's lines name, and that supplier's nation as the store."""
+    least = read_table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("product_id")).agg(
+        F.min("l_suppkey").alias("supplier_id"))
+    return (product_master(spark, sf_dir).join(least, "product_id")
+            .join(supplier_master(spark, sf_dir), "supplier_id").join(store_master(spark, sf_dir), "store_id")
+            .select("product_id", "product_name", "product_price", "supplier_id", "supplier_name",
+                    "store_id", "store_name"))
+
+
+def five_column_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in the warehouse's own five columns (no supplier, no line number),
+    an order's lines one after the other in line order (ties by product, supplier, quantity)."""
+    order = [F.col(c).cast("long") for c in ("order_id", "line_number", "product_id", "supplier_id", "quantity")]
+    rows = feed_text(spark, sf_dir).repartitionByRange(order[0]).sortWithinPartitions(*order)
+    return rows.withColumns({c: F.lit(None).cast("string") for c in FEED_COLUMNS[5:]})

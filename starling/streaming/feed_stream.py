@@ -1,21 +1,20 @@
 """Structured Streaming enrichment of the transaction feed.
 
-* T1 micro-batches: the CSV feed folder is read as a stream,
-  ``maxFilesPerTrigger`` files per micro-batch.
+* T1 micro-batches: the CSV feed folder is read as a stream, bounded per batch
+  by a number of files or of bytes.
 * T2 bounded feed: ``trigger(availableNow=True)`` drains what is there,
-  including the last partial batch, then stops.
-* T3 stream-static joins: the masters are static DataFrames joined to every
-  micro-batch.
-* T4 sink: ``foreachBatch`` writes each micro-batch to ``batch_id=N``,
-  overwriting that folder, so a batch replayed after a failure replaces its
-  own output instead of adding duplicates.  The checkpoint folder makes the
-  query resume where it stopped.
-* T5 keep-last per order: by default computed when the log is read (no
-  state to keep, nothing unbounded in memory); the keyed-state form keeps it
-  in the state store instead (:func:`stream_latest_state_to_log`).  The order
-  of lines is explicit (``line_number`` and tie-breaks), so the result does
-  not depend on how the feed was split into files or batches; a feed without
-  a sequence column can be ordered by arrival instead.
+  including the last partial batch, then stops; an empty feed gives an empty log.
+* T3 stream-static joins: every micro-batch is numbered at its scan, typed, and
+  then joined to the static masters inside ``foreachBatch``.  The arrival is
+  taken before any join, so it is the same whichever join Spark picks.
+* T4 sink: each micro-batch is written to ``batch_id=N``, overwriting that
+  folder, so a batch replayed after a failure replaces its own output instead
+  of adding duplicates.  The checkpoint folder makes the query resume where it
+  stopped.
+* T5 keep-last per order: by default computed when the log is read (no state to
+  keep); the keyed-state form keeps ids and ordering columns per order in the
+  RocksDB state store (:func:`stream_latest_state_to_log`).  "Last" is the line
+  number where there is one, then the arrival, as in batch.
 """
 
 from __future__ import annotations
@@ -24,33 +23,49 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from starling.operators import enrich as E
 from starling.operators.keep import keep_last
-from starling.schema import ENRICHED_COLUMNS, FEED_COLUMNS
-from starling.session import scratch_dir
+from starling.operators.warehouse import save_bucketed
+from starling.schema import ARRIVAL, ENRICHED, ENRICHED_COLUMNS, FEED, FEED_COLUMNS, FEED_TEXT
+from starling.session import path_exists, scratch_dir
 from starling.sources import feed_csv
 
-
 MASTER_KEYS = {"customers": "customer_id", "products": "product_id", "suppliers": "supplier_id"}
+ARRIVAL_TYPE = T.StructType([T.StructField("modified", T.TimestampType()), T.StructField("path", T.StringType()),
+                             T.StructField("block", T.LongType()), T.StructField("row", T.LongType())])
+_ORDER_FIELDS = [T.StructField("line_number", T.IntegerType()), T.StructField(ARRIVAL, ARRIVAL_TYPE)]
+LOG_SCHEMA = T.StructType([*ENRICHED.fields, *_ORDER_FIELDS])
+QUARANTINE_SCHEMA = T.StructType([*FEED_TEXT.fields, T.StructField("reject_reason", T.StringType())])
+# What the keyed state holds per order: no names, they come from the masters when the state is read.
+STATE_SCHEMA = T.StructType([f for f in FEED.fields if f.name != "line_number"] + _ORDER_FIELDS)
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+class Masters(list):
+    """The written masters (customers, products, suppliers, stores) and their catalog names."""
+
+    def __init__(self, frames: list, tables: list[str]):
+        super().__init__(frames)
+        self.tables = tables
 
 
 def load_masters(spark: SparkSession, root: str, customers: DataFrame, products: DataFrame,
                  suppliers: DataFrame | None = None, stores: DataFrame | None = None,
-                 bucketed: bool = True) -> list:
+                 bucketed: bool = True) -> "Masters":
     """Reduce the masters to one row per key and write them once, before the
     feed starts; every micro-batch then joins these tables as they are.
 
     With ``bucketed``, customers, products and suppliers are written bucketed
-    and sorted by their key (external tables at ``root``, registered under
-    unique names in the session catalog).  A master too large to broadcast
-    is then read pre-partitioned by every micro-batch: only the batch's own
-    rows are shuffled to meet it, never the master.  The store master is
-    small by nature; like the others, it is broadcast when its measured size
-    fits the budget.
+    and sorted by their key (external tables at ``root``, under unique names in
+    the session catalog, see :func:`drop_masters`).  A master too large to
+    broadcast is then read pre-partitioned by every micro-batch: only the
+    batch's own rows are shuffled to meet it, never the master.
     """
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     run = uuid.uuid4().hex[:12]
+    tables: list[str] = []
 
     def save(name, df):
         if df is None:
@@ -58,132 +73,147 @@ def load_masters(spark: SparkSession, root: str, customers: DataFrame, products:
         path = f"{root}/{name}"
         if bucketed and name in MASTER_KEYS:
             table = f"starling_{name}_{run}"
-            key = MASTER_KEYS[name]
-            try:
-                # one task per bucket, so each bucket is one file (not one per task)
-                (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
-                 .option("path", path).saveAsTable(table))
+            if save_bucketed(spark, df, path, MASTER_KEYS[name], table):
+                tables.append(table)
                 return spark.table(table)
-            except Exception:  # noqa: BLE001 - no usable catalog: same rows, unbucketed
-                pass
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     names = ["customers", "products", "suppliers", "stores"]
     with ThreadPoolExecutor(max_workers=len(names)) as pool:  # independent jobs, run together
         futures = [pool.submit(save, n, df)
                    for n, df in zip(names, E.unique_masters(customers, products, suppliers, stores))]
-        return [f.result() for f in futures]
+        return Masters([f.result() for f in futures], tables)
 
 
-def enrich_stream(spark: SparkSession, feed_dir: str, customers: DataFrame, products: DataFrame,
-                  suppliers: DataFrame | None = None, stores: DataFrame | None = None,
-                  files_per_trigger: int = 1, masters_unique: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Streaming DataFrames of enriched lines and of quarantined feed rows."""
-    typed = feed_csv.type_feed(feed_csv.stream_feed_text(spark, feed_dir, files_per_trigger))
-    good = typed.where(F.col("reject_reason").isNull()).select(*FEED_COLUMNS)
-    bad = typed.where(F.col("reject_reason").isNotNull()).select(
-        *[F.col(f"raw_{c}").alias(c) for c in FEED_COLUMNS], "reject_reason")
-    enriched = E.enrich(good, customers, products, suppliers, stores, keep_order_columns=True,
-                        masters_unique=masters_unique)
-    return enriched, bad
+def drop_masters(spark: SparkSession, masters: "Masters") -> None:
+    """Take bucketed masters out of the catalog; their files stay."""
+    for table in masters.tables:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-ARRIVAL = "arrival"
+def typed_batch(batch: DataFrame) -> DataFrame:
+    """A micro-batch of feed text, numbered at its scan and typed."""
+    return feed_csv.type_feed(feed_csv.number_arrivals(batch), (ARRIVAL,))
 
 
-def _batch_writer(out_dir: str):
-    """Write each micro-batch to its own ``batch_id=N`` folder, overwriting it.
+def enrich_batch(batch: DataFrame, masters: list, keep_order_columns: bool = True) -> DataFrame:
+    """The matched lines of a micro-batch of feed text."""
+    good = typed_batch(batch).where(F.col("reject_reason").isNull()).select(*FEED_COLUMNS, ARRIVAL)
+    return E.enrich(good, *masters, keep_order_columns=keep_order_columns, masters_unique=True)
 
-    ``arrival`` numbers the rows of the batch in read order (partition, then
-    row; the splits of one file are read in offset order).  Together with the
-    batch id it is the arrival order of a feed read one file per trigger.
-    """
+
+def _bad_rows(batch: DataFrame) -> DataFrame:
+    return typed_batch(batch).where(F.col("reject_reason") != feed_csv.HEADER_LINE).select(
+        *[F.col(f"raw_{c}").alias(c) for c in FEED_COLUMNS], "reject_reason")
+
+
+def _batch_writer(out_dir: str, transform=None):
+    """Write each micro-batch to its own ``batch_id=N`` folder, overwriting it."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn(ARRIVAL, F.monotonically_increasing_id())
-         .write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}"))
+        out = batch if transform is None else transform(batch)
+        out.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
     return write
 
 
-def run_to_log(stream: DataFrame, out_dir: str, checkpoint_dir: str) -> None:
-    """Drain a bounded stream into a ``batch_id=N`` log and wait for it."""
-    q = (stream.writeStream.foreachBatch(_batch_writer(out_dir))
+def run_to_log(stream: DataFrame, out_dir: str, checkpoint_dir: str, transform=None, mode: str = "append",
+               schema: T.StructType | None = None) -> None:
+    """Drain a bounded stream into a ``batch_id=N`` log and wait for it.
+
+    With ``schema``, a feed without any file leaves an empty log of that schema.
+    """
+    q = (stream.writeStream.outputMode(mode).foreachBatch(_batch_writer(out_dir, transform))
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    spark = stream.sparkSession
+    if schema is not None and not path_exists(spark, out_dir):
+        # nothing ever arrived: batch 0 is still to come and will replace this folder
+        spark.createDataFrame([], schema).write.parquet(f"{out_dir}/batch_id=0")
 
 
 def read_log(spark: SparkSession, out_dir: str, schema=None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(out_dir)
+    """A log with its ``batch_id``."""
+    if schema is None:
+        return spark.read.parquet(out_dir)
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(out_dir)
 
 
 def stream_enrich_to_log(spark: SparkSession, feed_dir: str, customers: DataFrame, products: DataFrame,
                          suppliers: DataFrame | None = None, stores: DataFrame | None = None,
-                         files_per_trigger: int = 1, root: str | None = None,
-                         quarantine: bool = False) -> tuple[str, str | None]:
+                         files_per_trigger: int | None = None, bytes_per_trigger: int | None = None,
+                         root: str | None = None, quarantine: bool = False,
+                         bucketed: bool = True) -> tuple[str, str | None]:
     """Run the enrichment stream over ``feed_dir``; return (log folder, quarantine folder).
 
     The quarantine is a second query over the same source with its own
     checkpoint, run only when asked for.
     """
     root = root or scratch_dir(spark, "stream")
-    masters = load_masters(spark, f"{root}/masters", customers, products, suppliers, stores)
-    enriched, bad = enrich_stream(spark, feed_dir, *masters, files_per_trigger=files_per_trigger,
-                                  masters_unique=True)
-    run_to_log(enriched, f"{root}/enriched", f"{root}/_checkpoint_enriched")
+    masters = load_masters(spark, f"{root}/masters", customers, products, suppliers, stores, bucketed)
+    text = feed_csv.stream_feed_text(spark, feed_dir, files_per_trigger, bytes_per_trigger)
+    run_to_log(text, f"{root}/enriched", f"{root}/_checkpoint_enriched", lambda b: enrich_batch(b, masters),
+               schema=LOG_SCHEMA)
+    drop_masters(spark, masters)
     if not quarantine:
         return f"{root}/enriched", None
-    run_to_log(bad, f"{root}/quarantine", f"{root}/_checkpoint_quarantine")
+    run_to_log(text, f"{root}/quarantine", f"{root}/_checkpoint_quarantine", _bad_rows, schema=QUARANTINE_SCHEMA)
     return f"{root}/enriched", f"{root}/quarantine"
 
 
 def enriched_from_log(spark: SparkSession, log_dir: str) -> DataFrame:
     """The enriched lines of every batch (line grain, 14 columns)."""
-    return read_log(spark, log_dir).select(*ENRICHED_COLUMNS)
+    return read_log(spark, log_dir, LOG_SCHEMA).select(*ENRICHED_COLUMNS)
 
 
-def latest_from_log(spark: SparkSession, log_dir: str, by_arrival: bool = False) -> DataFrame:
-    """T5: last matched line per order over the whole log.
-
-    By default "last" is the explicit line order (line number, then product,
-    supplier, quantity), which does not depend on how the feed was split.
-    ``by_arrival`` orders by (batch id, arrival in the batch) instead: the
-    order of a feed without a sequence column, read one file per trigger.
-    """
-    log = read_log(spark, log_dir)
-    if by_arrival:
-        return E.latest_per_order(log, order=["batch_id", ARRIVAL])
-    return E.latest_per_order(log.drop("batch_id", ARRIVAL))
+def latest_from_log(spark: SparkSession, log_dir: str) -> DataFrame:
+    """T5: last matched line per order over the whole log."""
+    return E.latest_per_order(read_log(spark, log_dir, LOG_SCHEMA).drop("batch_id"))
 
 
 def stream_latest_state_to_log(spark: SparkSession, feed_dir: str, customers: DataFrame,
                                products: DataFrame, suppliers: DataFrame | None = None,
-                               stores: DataFrame | None = None, files_per_trigger: int = 1,
-                               root: str | None = None) -> str:
-    """T5 as keyed streaming state: ``groupBy(order_id)`` keeps the last
-    matched line per order in the state store (update mode); every
-    micro-batch writes the orders it changed to ``batch_id=N``.
-
-    The state holds one row per order and never expires, so it grows with
-    the number of orders; on a cluster use the RocksDB state store provider.
+                               stores: DataFrame | None = None, files_per_trigger: int | None = None,
+                               bytes_per_trigger: int | None = None, root: str | None = None) -> str:
+    """T5 as keyed streaming state: ``groupBy(order_id)`` keeps the last matched
+    line per order in the state store (update mode); every micro-batch writes
+    the orders it changed to ``batch_id=N``.
+
+    A first query numbers and matches the lines and logs them with key columns
+    only; the stateful query streams over that log.  The state holds one narrow
+    row per order and never expires, so it lives in RocksDB, on disk.
     :func:`latest_from_log` is the stateless alternative.
     """
     root = root or scratch_dir(spark, "stream-state")
     masters = load_masters(spark, f"{root}/masters", customers, products, suppliers, stores)
-    enriched, _ = enrich_stream(spark, feed_dir, *masters, files_per_trigger=files_per_trigger,
-                                masters_unique=True)
-    latest = E.latest_per_order(enriched)
-    q = (latest.writeStream.outputMode("update").foreachBatch(_batch_writer(f"{root}/state_log"))
-         .option("checkpointLocation", f"{root}/_checkpoint_state").trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    keys = [None if m is None else m.select(*[c for c in m.columns if not c.endswith("_name")]) for m in masters]
+    lookups = E.Lookups(*keys)
+
+    def matched(batch: DataFrame) -> DataFrame:
+        good = typed_batch(batch).where(F.col("reject_reason").isNull()).select(*FEED_COLUMNS, ARRIVAL)
+        return E.matched_keys(good, lookups).select(*STATE_SCHEMA.fieldNames())
+
+    text = feed_csv.stream_feed_text(spark, feed_dir, files_per_trigger, bytes_per_trigger)
+    run_to_log(text, f"{root}/matched", f"{root}/_checkpoint_matched", matched, schema=STATE_SCHEMA)
+    drop_masters(spark, masters)
+    rows = spark.readStream.schema(STATE_SCHEMA).parquet(f"{root}/matched/batch_id=*")
+    latest = keep_last(rows, "order_id", E.line_order(rows.columns, "quantity"))
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        run_to_log(latest, f"{root}/state_log", f"{root}/_checkpoint_state", mode="update", schema=STATE_SCHEMA)
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)
     return f"{root}/state_log"
 
 
-def latest_from_state_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    """The current state: for every order, its row from the latest batch that changed it."""
-    return keep_last(read_log(spark, log_dir).drop(ARRIVAL), "order_id", ["batch_id"]).select(*ENRICHED_COLUMNS)
+def latest_from_state_log(spark: SparkSession, log_dir: str, customers: DataFrame, products: DataFrame,
+                          suppliers: DataFrame | None = None, stores: DataFrame | None = None) -> DataFrame:
+    """The current state, enriched: for every order, its row from the latest batch that changed it."""
+    state = keep_last(read_log(spark, log_dir, STATE_SCHEMA), "order_id", ["batch_id"]).drop("batch_id", ARRIVAL)
+    return E.enrich(state, customers, products, suppliers, stores)

@@ -85,3 +85,18 @@ def test_unmatched_supplier_and_store(spark):
     stores_missing = spark.createDataFrame([(2, "South")], "store_id long, store_name string")
     report = {r.order_id: r.reason for r in E.unmatched(feed, c, products, suppliers, stores_missing).collect()}
     assert report == {1: "unknown store", 2: "unknown supplier", 3: "unknown store"}
+
+
+def test_missing_price_sells_at_zero_and_oversized_totals_are_reported(spark):
+    c, p = _masters(spark, products=PRODUCTS + [(12, "Gift", None, 5, "Acme, Inc.", 3, "North"),
+                                                (13, "Yacht", Decimal("99999999.99"), 5, "Acme, Inc.", 3, "North")])
+    feed = _feed(spark, [(1, "2024-01-01 10:00:00", 12, 3, 1, 1), (2, "2024-01-01 10:00:00", 13, 1, 1, 1),
+                         (3, "2024-01-01 10:00:00", 10, 1, 1, 1), (3, "2024-01-01 10:00:00", 13, 2, 1, 2)])
+    want = {1: (None, Decimal("0.00")), 2: (Decimal("99999999.99"), Decimal("99999999.99")),
+            3: (Decimal("12.50"), Decimal("12.50"))}  # the oversized later line replaces nothing
+    lines = E.enrich(feed, c, p, keep_order_columns=True)
+    assert {r.order_id: (r.product_price, r.total_sale) for r in E.latest_per_order(lines).collect()} == want
+    assert {r.order_id: (r.product_price, r.total_sale)
+            for r in E.latest_lines(feed, E.prepare(c, p)).collect()} == want
+    assert [(r.order_id, r.line_number, r.reason) for r in E.oversized(feed, c, p).collect()] == [
+        (3, 2, "total out of range")]

@@ -56,3 +56,57 @@ def test_later_file_wins(spark, tmp_dir):
     _write(tmp_dir + "/f/part-2.csv", header + "1,2019-01-01 11:00:00,11,1,1\n")
     stg = files.staging_from_files(spark, tmp_dir + "/f", tmp_dir + "/c", tmp_dir + "/p").collect()
     assert [(r.order_id, r.product_name) for r in stg] == [(1, "Desk")]
+
+
+def test_master_prices_are_read_tolerantly(spark, tmp_dir):
+    import pytest
+    from starling.schema import PRODUCT_MASTER
+    from starling.sources import tables
+    header = "productID,productName,productPrice,supplierID,supplierName,storeID,storeName\n"
+    _write(tmp_dir + "/p/p.csv", header + "1,A,\"$1,299.99\",5,S,1,N\n2,B,null,5,S,1,N\n3,C,abc,5,S,1,N\n4,D,2.50,5,S,1,N\n")
+    got = {r.product_id: r.product_price for r in tables.read_master_csv(spark, tmp_dir + "/p", PRODUCT_MASTER).collect()}
+    assert got == {1: Decimal("1299.99"), 2: Decimal("0.00"), 3: Decimal("0.00"), 4: Decimal("2.50")}
+    bad = tables.defaulted_prices(spark, tmp_dir + "/p", PRODUCT_MASTER).collect()
+    assert sorted((r.product_id, r.product_price) for r in bad) == [(2, "null"), (3, "abc")]
+    _write(tmp_dir + "/q/p.csv", header + "x,A,1.00,5,S,1,N\n")
+    with pytest.raises(Exception):  # a bad id fails the job
+        tables.read_master_csv(spark, tmp_dir + "/q", PRODUCT_MASTER).collect()
+
+
+def test_a_changed_source_is_built_anew(spark, tmp_dir):
+    import shutil
+
+    import pyarrow.parquet as pq
+    from starling.plans import build as P
+    from tests.conftest import SMOKE_DIR
+    for t in P.SOURCE_TABLES:
+        shutil.copyfile(f"{SMOKE_DIR}/{t}.parquet", f"{tmp_dir}/{t}.parquet")
+    first = P.warehouse(spark, tmp_dir)
+    assert P.warehouse(spark, tmp_dir) is first
+    lines = pq.read_table(f"{SMOKE_DIR}/lineitem.parquet")
+    pq.write_table(lines.slice(0, lines.num_rows // 2), f"{tmp_dir}/lineitem.parquet")
+    second = P.warehouse(spark, tmp_dir)
+    assert second is not first
+    assert 0 < second.table("sales").count() < first.table("sales").count()
+
+
+def test_a_cluster_must_name_its_shared_folder(monkeypatch):
+    import pytest
+    from starling import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            applicationId = "app"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())

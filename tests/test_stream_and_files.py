@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
+from starling.operators import enrich as E
 from starling.plans import build as P
 from starling.sources import enriched_csv, feed_csv, testdata
 from starling.streaming import feed_stream
@@ -92,12 +94,116 @@ def test_arrival_order_for_a_five_column_feed(spark, tmp_dir):
     log, bad = feed_stream.stream_enrich_to_log(spark, feed, customers, products, files_per_trigger=1,
                                                 root=tmp_dir + "/s5", quarantine=True)
     got = {r.order_id: (r.product_id, r.total_sale, r.store_name)
-           for r in feed_stream.latest_from_log(spark, log, by_arrival=True).collect()}
+           for r in feed_stream.latest_from_log(spark, log).collect()}
     assert got == {1: (11, Decimal("20.00"), "South"), 2: (10, Decimal("2.50"), "North"),
                    3: (11, Decimal("30.00"), "South")}
     assert [r.reject_reason for r in spark.read.parquet(bad).collect()] == ["bad order_date"]
 
 
+HEADER = "Order ID,Order Date,Product ID,Quantity,Customer ID"
+
+
+def _five_column_case(spark, root):
+    """Orders of many lines in several files; names, ages and product ids all disagree about what is last."""
+    import os
+    import random
+    from starling.schema import CUSTOMER_MASTER, PRODUCT_MASTER
+    rng = random.Random(4)
+    feed = root + "/feed"
+    os.makedirs(feed)
+    want, age = {}, 1_700_000_000
+    for name in ("part-10.csv", "part-9.csv", "a.csv", "z.csv"):  # oldest first, not in name order
+        rows = []
+        for _ in range(1500):
+            order, product = rng.randrange(300), rng.randrange(14)
+            rows.append(f"{order},2024-01-01 10:00:00,{product},1,{order % 7}")
+            if product < 12 and order % 7 < 6:  # products 12, 13 and customer 6 are unknown
+                want[order] = product
+        path = os.path.join(feed, name)
+        with open(path, "w") as f:
+            f.write("\n".join([HEADER, *rows]) + "\n")
+        age += 100
+        os.utime(path, (age, age))
+    customers = spark.createDataFrame([(c, f"c{c}", "F") for c in range(6)], CUSTOMER_MASTER)
+    products = spark.createDataFrame([(p, f"p{p}", Decimal("1.00"), p % 3, "s", p % 2, "st") for p in range(12)], PRODUCT_MASTER)
+    return feed, customers, products, want
+
+
+def _set(spark, conf):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return old
+
+
+@pytest.mark.parametrize("broadcasts", [None, "-1"])
+@pytest.mark.parametrize("split", [None, "4k"])
+def test_arrival_order_is_one_rule(spark, tmp_dir, broadcasts, split):
+    """The same winners in batch, log and keyed state, with broadcasts on and off, one or many splits a file."""
+    feed, customers, products, want = _five_column_case(spark, tmp_dir)
+    old = _set(spark, {"spark.sql.autoBroadcastJoinThreshold": broadcasts, "spark.sql.files.maxPartitionBytes": split,
+                       "spark.sql.files.openCostInBytes": "1k"})
+    try:
+        good = feed_csv.clean_feed(feed_csv.read_feed_text(spark, feed))
+        lines = E.enrich(good, customers, products, keep_order_columns=True)
+        log, _ = feed_stream.stream_enrich_to_log(spark, feed, customers, products, files_per_trigger=1, root=tmp_dir + "/l")
+        state = feed_stream.stream_latest_state_to_log(spark, feed, customers, products, files_per_trigger=2, root=tmp_dir + "/k")
+        got = {"lines": E.latest_per_order(lines), "narrow": E.latest_lines(good, E.prepare(customers, products)),
+               "log": feed_stream.latest_from_log(spark, log),
+               "state": feed_stream.latest_from_state_log(spark, state, customers, products)}
+        for name, df in got.items():
+            assert {r.order_id: r.product_id for r in df.collect()} == want, name
+    finally:
+        _set(spark, old)
+
+
+def test_a_feed_without_any_order_is_refused(spark):
+    feed = spark.createDataFrame([(1, 2)], "order_id long, product_id long")
+    with pytest.raises(ValueError, match="last line"):
+        E.latest_per_order(feed)
+
+
+def test_headers_are_told_by_their_text(spark, tmp_dir):
+    """Files with, without and with repeated headers lose no transaction."""
+    import os
+    os.makedirs(tmp_dir + "/f")
+    row = "{},2024-01-01 10:00:00,10,1,1"
+    files = {"none.csv": [row.format(1), row.format(2)], "head.csv": [HEADER, row.format(3)],
+             "twice.csv": [HEADER, row.format(4), HEADER, "x,2024-01-01 10:00:00,1,1,1"], "only.csv": [HEADER]}
+    for name, lines in files.items():
+        with open(f"{tmp_dir}/f/{name}", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    text = feed_csv.read_feed_text(spark, tmp_dir + "/f")
+    good, bad, heads = (f(text).count() for f in (feed_csv.clean_feed, feed_csv.quarantine, feed_csv.header_lines))
+    assert (good, bad, heads) == (4, 1, 4) and good + bad + heads == sum(map(len, files.values()))
+
+
+def test_an_empty_feed_gives_empty_logs(spark, tmp_dir):
+    import os
+    from starling.schema import CUSTOMER_MASTER, PRODUCT_MASTER
+    os.makedirs(tmp_dir + "/none")
+    masters = spark.createDataFrame([], CUSTOMER_MASTER), spark.createDataFrame([], PRODUCT_MASTER)
+    log, bad = feed_stream.stream_enrich_to_log(spark, tmp_dir + "/none", *masters, root=tmp_dir + "/s", quarantine=True)
+    assert feed_stream.enriched_from_log(spark, log).count() == 0
+    assert feed_stream.latest_from_log(spark, log).count() == 0 and spark.read.parquet(bad).count() == 0
+    state = feed_stream.stream_latest_state_to_log(spark, tmp_dir + "/none", *masters, root=tmp_dir + "/t")
+    assert feed_stream.latest_from_state_log(spark, state, *masters).count() == 0
+
+
+def test_bucketed_masters_leave_the_catalog(spark, tmp_dir):
+    before = {t.name for t in spark.catalog.listTables()}
+    _stream_result(spark, SMOKE_DIR, 1, tmp_dir)
+    assert {t.name for t in spark.catalog.listTables()} <= before
+
+
+def test_a_failing_job_is_not_written_again_without_buckets(spark, tmp_dir):
+    from starling.operators.warehouse import save_bucketed
+    bad = spark.range(10).select("id", F.expr("CAST(raise_error('broken row') AS INT)").alias("v"))
+    with pytest.raises(Exception, match="broken row"):
+        save_bucketed(spark, bad, tmp_dir + "/t", "id", "starling_broken_job")
+    spark.sql("DROP TABLE IF EXISTS starling_broken_job")
+
+
 def test_enriched_file_bad_rows_are_reported(spark, tmp_dir):
     import os
     os.makedirs(tmp_dir + "/e")
