@@ -4,14 +4,15 @@ Each function takes a table source with ``table(name)`` and ``dim(name)``
 (``dim`` returns the dimension broadcast when it is provably small) and
 returns a lazy DataFrame.
 
-Plan shape, for every grouping question (all but Q6, a self-join): the fact
-is first aggregated on its integer keys (map-side partial aggregation, then one shuffle of the reduced rows);
-only then are the name columns joined and, where the question groups by a
-name, aggregated again.  Names depend on ids, so the result equals grouping
-the joined rows directly, while the wide joins see aggregated rows instead
-of the whole fact.  The time and store dimensions are bounded by the
-calendar and the store count and are broadcast; product and supplier
-dimensions grow with the data and are left to Spark's size threshold.
+Plan shape.  Questions whose ids are few (Q1, Q2, Q4, Q5, Q8 to Q10) aggregate
+the fact on its integer keys first, with a map-side partial aggregate and one
+shuffle of the reduced rows; names are joined to those rows and, where the
+question groups by name, aggregated again.  Q3 and Q7 group by store, supplier
+and product together, which hardly reduces the fact, so they join the names
+first and aggregate once.  Q6 is a self-join that names its few result rows.
+The time and store dimensions are bounded by the calendar and the store count;
+product and supplier dimensions grow with the data and are left to Spark's
+size threshold.
 """
 
 from __future__ import annotations
@@ -107,15 +108,22 @@ def q2(src: TableSource, year: int = DEFAULT_YEAR) -> DataFrame:
         .orderBy("store_name", "quarter"))
 
 
+def _named_sales(src: TableSource, *cols) -> DataFrame:
+    """Fact rows with store, supplier and product names.
+
+    Grouping by all three ids first would save almost no rows for a shuffle of
+    the whole fact, so the names are joined to the raw rows.
+    """
+    return (_sales(src, "store_id", "supplier_id", "product_id", *cols)
+            .join(_names(src, "store", "store_id", "store_name"), "store_id")
+            .join(_names(src, "supplier", "supplier_id", "supplier_name"), "supplier_id")
+            .join(_names(src, "product", "product_id", "product_name"), "product_id"))
+
+
 def q3(src: TableSource) -> DataFrame:
     """Q3: revenue by store, supplier and product names (equal names merge)."""
-    by_id = (_sales(src, "store_id", "supplier_id", "product_id", "total_sale")
-             .groupBy("store_id", "supplier_id", "product_id").agg(F.sum("total_sale").alias("rev")))
-    named = (by_id.join(_names(src, "store", "store_id", "store_name"), "store_id")
-             .join(_names(src, "supplier", "supplier_id", "supplier_name"), "supplier_id")
-             .join(_names(src, "product", "product_id", "product_name"), "product_id"))
-    return (named.groupBy("store_name", "supplier_name", "product_name")
-            .agg(arithmetic.money_sum("rev").alias("total_contribution"))
+    return (_named_sales(src, "total_sale").groupBy("store_name", "supplier_name", "product_name")
+            .agg(arithmetic.money_sum("total_sale").alias("total_contribution"))
             .orderBy(F.col("store_name").asc(), F.col("supplier_name").asc(),
                      F.col("total_contribution").desc()))
 
@@ -177,35 +185,38 @@ def product_pairs(baskets: DataFrame, basket: str = "transaction_id", item: str
 
 
 def q6(src: TableSource, k: int = 5) -> DataFrame:
-    """Q6: the ``k`` most frequent product pairs of one transaction (fact grain)."""
+    """Q6: the ``k`` most frequent product pairs of one transaction (fact grain).
+
+    The pairs are ranked by ids first and only the ``k`` winners meet the
+    product names.  A foreign key ties every fact product to its dimension
+    row, so the names drop no pair.
+    """
     pairs = product_pairs(_sales(src, "transaction_id", "product_id"))
-    p1 = src.dim("product").select(F.col("product_id").alias("product1_id"),
-                                   F.col("product_name").alias("product1_name"))
-    p2 = src.dim("product").select(F.col("product_id").alias("product2_id"),
-                                   F.col("product_name").alias("product2_name"))
-    return (pairs.join(p1, "product1_id").join(p2, "product2_id")
-            .orderBy(F.col("frequency").desc(), "product1_id", "product2_id").limit(k)
+    top = pairs.orderBy(F.col("frequency").desc(), "product1_id", "product2_id").limit(k)
+    names = src.table("product").select("product_id", "product_name")
+    p1 = names.toDF("product1_id", "product1_name")
+    p2 = names.toDF("product2_id", "product2_name")
+    top = F.broadcast(top)  # at most k rows
+    named = p2.join(p1.join(top, "product1_id"), "product2_id")
+    return (named.orderBy(F.col("frequency").desc(), "product1_id", "product2_id")
             .select("product1_name", "product2_name", "frequency"))
 
 
 def q7(src: TableSource) -> DataFrame:
     """Q7: yearly revenue rolled up over store, supplier, product and year.
 
-    ``grouping_id`` tells a subtotal row (bits set for the rolled-up
-    columns) from a group whose key is a real NULL.
+    ``grouping_id`` tells a subtotal row (bits set for the rolled-up columns)
+    from a group whose key is a real NULL.  The finest level is aggregated once
+    and the rollup adds up its rows, so the fact itself is not expanded.
     """
     t = src.dim("time_dim").select("date_id", "year")
-    by_id = (_sales(src, "date_id", "store_id", "supplier_id", "product_id", "total_sale")
-             .join(t, "date_id")
-             .groupBy("store_id", "supplier_id", "product_id", "year")
-             .agg(F.sum("total_sale").alias("rev")))
-    named = (by_id.join(_names(src, "store", "store_id", "store_name"), "store_id")
-             .join(_names(src, "supplier", "supplier_id", "supplier_name"), "supplier_id")
-             .join(_names(src, "product", "product_id", "product_name"), "product_id"))
-    return (named.rollup("store_name", "supplier_name", "product_name", "year")
+    keys = ["store_name", "supplier_name", "product_name", "year"]
+    finest = _named_sales(src, "date_id", "total_sale").join(t, "date_id").groupBy(*keys).agg(
+        F.sum("total_sale").alias("rev"))
+    return (finest.rollup(*keys)
             .agg(arithmetic.money_sum("rev").alias("yearly_revenue"),
                  F.grouping_id().cast("int").alias("grouping_id"))
-            .orderBy("store_name", "supplier_name", "product_name", "year"))
+            .orderBy(*keys))
 
 
 def q8(src: TableSource, totals: str = "window") -> DataFrame:

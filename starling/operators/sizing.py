@@ -1,13 +1,10 @@
-"""Broadcast only behind a proven size bound.
+"""Broadcast hints behind a measured size.
 
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the candidate
-side (each task stops at the limit, so the probe never reads a big table
-whole) and hints a broadcast only when the side is within the byte budget.
-Otherwise the join is left to Spark, which picks a sort-merge or
-shuffled-hash join and, with AQE, may still convert it from measured sizes.
-
-The budget is the session's ``spark.sql.autoBroadcastJoinThreshold`` (10 MB
-by default): a session that turns broadcasting off (-1) gets no hint either.
+A written table records its rows and bytes when it is saved; a hint is given
+only when they fit the session's ``spark.sql.autoBroadcastJoinThreshold``
+(10 MB by default; -1 turns hints off too).  Spark's own estimate assumes about
+20 bytes a string; here strings count at their length.  Joins of anything that
+was not written are left to Spark, which measures shuffled sides at run time.
 """
 
 from __future__ import annotations
@@ -21,7 +18,6 @@ DEFAULT_MAX_BYTES = 10 * 1024 * 1024
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
           "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 ROW_OVERHEAD = 16   # bytes per row besides its fields
-STRING_BYTES = 32   # assumed width of a string when only the schema is known
 
 _FIXED_BYTES = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
@@ -48,11 +44,6 @@ def _fixed(t: T.DataType) -> int | None:
     return _FIXED_BYTES.get(type(t))
 
 
-def row_bytes(schema: T.StructType) -> int:
-    """Estimated width of one row when only the schema is known."""
-    return ROW_OVERHEAD + sum(_fixed(f.dataType) or STRING_BYTES for f in schema.fields)
-
-
 def min_row_bytes(schema: T.StructType) -> int:
     """Least possible width of one row: fixed fields only (strings may be empty)."""
     return ROW_OVERHEAD + sum(_fixed(f.dataType) or 0 for f in schema.fields)
@@ -68,42 +59,14 @@ def row_width(schema: T.StructType):
     return width
 
 
-def max_rows_within(schema: T.StructType, max_bytes: int) -> int:
-    """Rows that could fit ``max_bytes`` at the least possible row width."""
-    return max_bytes // min_row_bytes(schema)
-
-
-def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """``(rows, bytes)`` of ``df`` when it has at most ``max_rows`` rows; else
-    ``(max_rows + 1, bytes of those rows)``.
-
-    ``take`` runs as a collect-limit: it scans one partition first and more
-    only while rows are missing, so a big table is barely read.  Each row
-    comes back as one number, its width, and at most ``max_rows + 1`` of them
-    reach the driver.  (``limit(n).count()`` would instead gather up to n
-    rows of every task into one partition.)
-    """
-    widths = df.select(row_width(df.schema).alias("w")).take(max_rows + 1)
-    return len(widths), sum(r.w for r in widths)
-
-
 def table_size(df: DataFrame) -> tuple[int, int]:
     """Exact ``(rows, bytes)`` of a table in one distributed aggregate."""
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_width(df.schema)).alias("b")).first()
     return int(r.n), int(r.b or 0)
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
-                      known_size: tuple[int, int] | None = None) -> DataFrame:
-    """``broadcast(df)`` if ``df`` provably fits ``max_bytes`` (default: the
-    session's broadcast budget), else ``df``.
-
-    The proof is a measured size: ``known_size`` (rows, bytes) recorded when
-    the table was written, or a bounded probe of ``df``.
-    """
+def bounded_broadcast(df: DataFrame, size: tuple[int, int] | None, max_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` if its measured ``size`` (rows, bytes) fits ``max_bytes``
+    (default: the session's broadcast budget), else ``df``."""
     budget = broadcast_budget(df.sparkSession) if max_bytes is None else max_bytes
-    max_rows = max_rows_within(df.schema, budget)
-    if max_rows < 1:
-        return df
-    rows, size = known_size if known_size is not None else bounded_size(df, max_rows)
-    return F.broadcast(df) if rows <= max_rows and size <= budget else df
+    return F.broadcast(df) if size is not None and budget > 0 and size[1] <= budget else df

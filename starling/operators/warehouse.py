@@ -1,7 +1,9 @@
 """Star schema construction (K1 to K6) and the materialised warehouse.
 
-Dimensions come from the staging table by ``distinct`` (a hash aggregate with
-map-side partial aggregation, so a hot value is collapsed before the shuffle).
+Dimensions come from the staging table by one grouping on their key (with a
+map-side partial aggregate, so a hot value is collapsed before the shuffle)
+that also counts conflicting rows.  For a bucketed dimension it is the only
+shuffle: its partitioning is that of the buckets.
 The time dimension's key is ``yyyyMMdd``: stable across runs, unlike an
 auto-increment, and computable from a date without a lookup.
 
@@ -12,47 +14,79 @@ neither recompute the enrichment nor depend on a long lineage.
 
 from __future__ import annotations
 
+import logging
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from starling.functions import calendar
-from starling.operators.quality import assert_clean, check_primary_keys
-from starling.operators.sizing import bounded_broadcast, table_size
-from starling.schema import (CUSTOMER_DIM, PRIMARY_KEYS, PRODUCT_DIM, SALES, STORE_DIM,
+from starling.operators.quality import assert_clean, check_foreign_keys, check_not_null, check_primary_keys
+from starling.operators.sizing import bounded_broadcast, row_width
+from starling.schema import (CUSTOMER_DIM, ENRICHED, PRIMARY_KEYS, PRODUCT_DIM, SALES, STORE_DIM,
                              SUPPLIER_DIM, TIME_DIM, conform)
 from starling.session import scratch_dir
 from starling.sources.tables import read_table, write_table
 
 
-def dim_time(staging: DataFrame) -> DataFrame:
-    """K1: one row per calendar date of the staging data."""
+_CONFLICT = "__conflict"
+
+
+def _by_key(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key (the least in the other columns), and whether the key has different rows."""
+    rest = F.struct(*[c for c in rows.columns if c != key])
+    return rows.groupBy(key).agg(F.min(rest).alias("a"), F.max(rest).alias("b")).select(
+        key, "a.*", (~F.col("a").eqNullSafe(F.col("b"))).alias(_CONFLICT))
+
+
+def _all_time(staging: DataFrame) -> DataFrame:
     dates = staging.select(F.to_date("order_date").alias("date")).where(F.col("date").isNotNull()).distinct()
-    return conform(dates.select(
+    return dates.select(
         calendar.date_key("date").alias("date_id"),
         "date",
         calendar.day_name("date").alias("day"),
         calendar.month_name("date").alias("month"),
         F.year("date").alias("year"),
         calendar.is_weekend("date").alias("is_weekend"),
-    ), TIME_DIM)
+        F.lit(False).alias(_CONFLICT))
+
+
+# Per dimension: its rows with the conflict flag, and the columns of the table.
+_DIMENSION_ROWS = {
+    "time_dim": (_all_time, TIME_DIM),
+    "product": (lambda s: _by_key(s.select("product_id", "product_name", "product_price"), "product_id"), PRODUCT_DIM),
+    "customer": (lambda s: _by_key(s.select("customer_id", "customer_name", "gender"), "customer_id"), CUSTOMER_DIM),
+    "store": (lambda s: _by_key(s.select("store_id", "store_name"), "store_id"), STORE_DIM),
+    # K5 keeps the least of several names of a supplier, so it has no conflict
+    "supplier": (lambda s: _by_key(s.select("supplier_id", "supplier_name"), "supplier_id").withColumn(
+        _CONFLICT, F.lit(False)), SUPPLIER_DIM),
+}
+
+
+def _distinct_dimension(staging: DataFrame, *cols: str, schema) -> DataFrame:
+    return conform(staging.select(*cols).distinct(), schema)
+
+
+def dim_time(staging: DataFrame) -> DataFrame:
+    """K1: one row per calendar date of the staging data."""
+    return conform(_all_time(staging), TIME_DIM)
 
 
 def dim_product(staging: DataFrame) -> DataFrame:
     """K2: distinct (id, name, price); a conflicting id is caught by the key check."""
-    return conform(staging.select("product_id", "product_name", "product_price").distinct(), PRODUCT_DIM)
+    return _distinct_dimension(staging, "product_id", "product_name", "product_price", schema=PRODUCT_DIM)
 
 
 def dim_customer(staging: DataFrame) -> DataFrame:
     """K3."""
-    return conform(staging.select("customer_id", "customer_name", "gender").distinct(), CUSTOMER_DIM)
+    return _distinct_dimension(staging, "customer_id", "customer_name", "gender", schema=CUSTOMER_DIM)
 
 
 def dim_store(staging: DataFrame) -> DataFrame:
     """K4."""
-    return conform(staging.select("store_id", "store_name").distinct(), STORE_DIM)
+    return _distinct_dimension(staging, "store_id", "store_name", schema=STORE_DIM)
 
 
 def dim_supplier(staging: DataFrame) -> DataFrame:
@@ -75,8 +109,8 @@ def build_fact(staging: DataFrame, time_dim: DataFrame, product: DataFrame, cust
     existence checks, written as ``left_semi`` (the dimension keys are unique,
     so this equals the inner join and cannot multiply rows).
     """
-    t = bounded_broadcast(time_dim.select("date", "date_id"))
-    st = bounded_broadcast(store.select("store_id"))
+    t = time_dim.select("date", "date_id")
+    st = store.select("store_id")
     f = (staging.withColumn("date", F.to_date("order_date"))
          .join(t, "date")
          .join(product.select("product_id"), "product_id", "left_semi")
@@ -119,20 +153,47 @@ DIMENSIONS = {
 }
 
 
-# Dimensions that grow with the data, written bucketed by their key: a query
-# that cannot broadcast one joins it without shuffling it.
-BUCKETED_DIMENSIONS = {"product": "product_id", "customer": "customer_id", "supplier": "supplier_id"}
+TABLE_SCHEMAS = {"staging": ENRICHED, "sales": SALES, "sales_lines": SALES,
+                 **{name: schema for name, (_, schema) in _DIMENSION_ROWS.items()}}
+
+# Dimensions that grow with the data and that queries join by key, written
+# bucketed: a query that cannot broadcast one joins it without shuffling it.
+BUCKETED_DIMENSIONS = {"product": "product_id", "supplier": "supplier_id"}
+
+_LOG = logging.getLogger(__name__)
+
+
+def catalog_usable(spark: SparkSession) -> bool:
+    """Whether the session's catalog answers; if not, the reason is logged."""
+    try:
+        spark.catalog.listTables()
+    except AnalysisException as e:
+        _LOG.warning("no usable catalog, tables are written without buckets: %s", e)
+        return False
+    return True
+
+
+def save_bucketed(spark: SparkSession, df: DataFrame, path: str, key: str, catalog_name: str) -> bool:
+    """Write ``df`` bucketed and sorted by ``key`` as an external table; False when
+    there is no catalog to hold it.  A write that fails raises: it is not tried again in another form."""
+    if not catalog_usable(spark):
+        return False
+    # df comes from a grouping by the key, whose partitions are the buckets (adaptive
+    # execution only joins whole ones): each bucket is one file without another shuffle
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(catalog_name))
+    return True
 
 
 @dataclass
 class Warehouse:
     """Materialised warehouse tables, read back from Parquet.
 
-    Product, customer and supplier are written bucketed and sorted by key
-    (external tables at ``root``, registered under unique names in the
-    session catalog).  Each query aggregates the fact by ids first; when a
-    dimension is too large to broadcast, only those aggregated rows are
-    shuffled into the dimension's buckets, never the dimension itself.
+    Product and supplier are written bucketed and sorted by key (external
+    tables at ``root``, registered under unique names in the session catalog
+    until :meth:`close`).  When one of them is too large to broadcast, the
+    other side of the join is shuffled into its buckets, never the dimension.
     """
 
     spark: SparkSession
@@ -144,38 +205,45 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         if name in self.catalog_names:
             return self.spark.table(self.catalog_names[name])
-        return read_table(self.spark, self.paths[name])
+        return read_table(self.spark, self.paths[name], TABLE_SCHEMAS.get(name))
 
     def dim(self, name: str, max_bytes: int | None = None) -> DataFrame:
         """A dimension, broadcast when its recorded size fits the budget."""
-        return bounded_broadcast(self.table(name), max_bytes, known_size=self.sizes.get(name))
+        return bounded_broadcast(self.table(name), self.sizes.get(name), max_bytes)
 
-    def save(self, name: str, df: DataFrame, count: bool = False, key: str | None = None,
-             bucket_by: str | None = None) -> DataFrame:
-        """Write ``df`` as table ``name`` (bucketed by ``bucket_by`` if given);
-        optionally record its size (rows, bytes) and fail when ``key`` is held
-        by more than one row."""
+    def save(self, name: str, df: DataFrame, bucket_by: str | None = None) -> DataFrame:
+        """Write ``df`` as table ``name``, conformed to its schema (bucketed by ``bucket_by`` if given)."""
         path = f"{self.root}/{name}"
-        if bucket_by is not None:
-            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            catalog_name = f"starling_{name}_{uuid.uuid4().hex[:12]}"
-            try:
-                # one task per bucket, so each bucket is one file (not one per task)
-                (df.repartition(buckets, bucket_by)
-                 .write.mode("overwrite").bucketBy(buckets, bucket_by).sortBy(bucket_by)
-                 .option("path", path).saveAsTable(catalog_name))
-                self.catalog_names[name] = catalog_name
-            except Exception:  # noqa: BLE001 - no usable catalog: same rows, unbucketed
-                write_table(df, path)
+        if name in TABLE_SCHEMAS:
+            df = conform(df, TABLE_SCHEMAS[name])
+        catalog_name = f"starling_{name}_{uuid.uuid4().hex[:12]}"
+        if bucket_by is not None and save_bucketed(self.spark, df, path, bucket_by, catalog_name):
+            self.catalog_names[name] = catalog_name
         else:
             write_table(df, path)
         self.paths[name] = path
-        out = self.table(name)
-        if count:
-            self.sizes[name] = table_size(out)
-        if key is not None:
-            assert_clean(check_primary_keys({name: out}, {name: key}), "duplicate_keys")
-        return out
+        return self.table(name)
+
+    def save_dimension(self, name: str, staging: DataFrame, check_key: bool = True,
+                       bucket_by: str | None = None) -> None:
+        """Write a dimension in one pass that also measures its size and counts
+        keys with conflicting rows; such a key fails the build."""
+        rows, _ = _DIMENSION_ROWS[name]
+        seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        df = rows(staging)
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"),
+                        F.sum(row_width(df.drop(_CONFLICT).schema)).alias("bytes"),
+                        F.count_if(F.col(_CONFLICT)).alias("conflicts"))
+        self.save(name, df, bucket_by)
+        got = seen.get
+        self.sizes[name] = (int(got["rows"]), int(got["bytes"] or 0))
+        if check_key and got["conflicts"]:
+            raise ValueError(f"warehouse check failed: {got['conflicts']} keys of {name} have different rows")
+
+    def close(self) -> None:
+        """Take the bucketed tables out of the catalog; their files stay."""
+        for name in list(self.catalog_names):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.catalog_names.pop(name)}")
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Publish the tables as temporary views under the warehouse's table
@@ -198,26 +266,35 @@ class Warehouse:
         """Write staging, the five dimensions and the fact (and the line-grain
         sales when ``lines`` is given).
 
-        With ``check_keys`` the build fails when a dimension key is held by
-        two rows (a product id with two prices, say), as the key constraints
-        of the warehouse would.  The fact key is unique by construction (one
-        staging row per order).
+        With ``check_keys`` the build fails, as the constraints of the
+        warehouse would, when a dimension key has different rows (a product id
+        with two prices, say), when two fact rows share a transaction, when a
+        fact key is not in its dimension, or when a time attribute is NULL.
         """
         wh = cls(spark, root or scratch_dir(spark, "warehouse"))
         stg = wh.save("staging", staging)
         # The dimensions and the fact are independent scans of the written
         # staging table: submit them as concurrent jobs of one application.
-        jobs = [(name, builder(stg), True, PRIMARY_KEYS[name] if check_keys else None,
-                 BUCKETED_DIMENSIONS.get(name) if bucketed else None)
-                for name, builder in DIMENSIONS.items()]
-        jobs.append(("sales", cluster_by_date(build_fact_derived(stg)), False, None, None))
-        if lines is not None:
-            jobs.append(("sales_lines", lines, False, None, None))
-        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-            for f in [pool.submit(wh.save, *job) for job in jobs]:
-                f.result()
+        with ThreadPoolExecutor(max_workers=len(DIMENSIONS) + 2) as pool:
+            jobs = [pool.submit(wh.save_dimension, name, stg, check_keys,
+                                BUCKETED_DIMENSIONS.get(name) if bucketed else None) for name in DIMENSIONS]
+            jobs.append(pool.submit(wh.save, "sales", cluster_by_date(build_fact_derived(stg))))
+            if lines is not None:
+                jobs.append(pool.submit(wh.save, "sales_lines", lines))
+            for job in jobs:
+                job.result()
+        if check_keys:
+            wh.check_constraints()
         return wh
 
+    def check_constraints(self) -> None:
+        """K7 on the fact, K8 and K9 over the written tables; raises on a violation."""
+        tables = {name: self.table(name) for name in [*DIMENSIONS, "sales"]}
+        assert_clean(check_primary_keys(tables, {"sales": PRIMARY_KEYS["sales"]}), "duplicate_keys")
+        assert_clean(check_foreign_keys(tables["sales"], tables), "orphan_rows")
+        required = [f.name for f in TIME_DIM.fields if not f.nullable]
+        assert_clean(check_not_null(tables["time_dim"], required), "null_rows")
+
 
 class TableSet:
     """Warehouse tables given as DataFrames, for tests and ad-hoc use.
@@ -232,8 +309,8 @@ class TableSet:
     def table(self, name: str) -> DataFrame:
         return self.tables[name]
 
-    def dim(self, name: str, max_bytes: int | None = None) -> DataFrame:
-        return bounded_broadcast(self.tables[name], max_bytes)
+    def dim(self, name: str) -> DataFrame:
+        return self.tables[name]
 
     @classmethod
     def from_staging(cls, staging: DataFrame) -> "TableSet":

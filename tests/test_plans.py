@@ -3,44 +3,36 @@ reaching the scan, partial aggregation before shuffles."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from starling.operators import olap
-from starling.operators.sizing import bounded_broadcast, bounded_size, table_size
+from starling.operators.sizing import bounded_broadcast, table_size
 from starling.plans import build as P
 from tests.conftest import SMOKE_DIR, plan_text
 
 
 def test_bounded_broadcast_only_within_budget(spark):
     df = spark.range(1000).select(F.col("id"), F.lit("x").alias("s"))
-    assert "BroadcastExchange" in plan_text(spark.range(10).join(bounded_broadcast(df), "id"))
-    assert table_size(df) == (1000, 1000 * (16 + 8 + 1))      # overhead + long + one byte of text
-    assert bounded_size(df, 10)[0] == 11                       # stops after max_rows + 1
+    size = table_size(df)
+    assert size == (1000, 1000 * (16 + 8 + 1))                 # overhead + long + one byte of text
+    assert "BroadcastExchange" in plan_text(spark.range(10).join(bounded_broadcast(df, size), "id"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        over = bounded_broadcast(df, max_bytes=table_size(df)[1] - 1)
-        assert "BroadcastExchange" not in plan_text(spark.range(10).join(over, "id"))
-        off = bounded_broadcast(df)                            # broadcasts turned off
-        assert "BroadcastExchange" not in plan_text(spark.range(10).join(off, "id"))
+        for side in (bounded_broadcast(df, size, max_bytes=size[1] - 1),   # over the budget
+                     bounded_broadcast(df, size),                          # broadcasts turned off
+                     bounded_broadcast(df, None, max_bytes=1 << 30)):      # never measured
+            assert "BroadcastExchange" not in plan_text(spark.range(10).join(side, "id"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_long_strings_count_by_their_length(spark):
-    """100 rows of 200 kB text: few rows, but far over a 10 MB budget.  (Spark's
-    own estimate, about 20 bytes a string, would broadcast this side.)"""
-    budget = 10 * 1024 * 1024
+    """100 rows of 200 kB text: few rows, but far over a 10 MB budget."""
     wide = spark.range(100).select("id", F.repeat(F.lit("x"), 200_000).alias("s"))
-    narrow = spark.range(100).select("id", F.lit("x").alias("s"))
-    rows, size = bounded_size(wide, 10_000)
-    assert rows == 100 and size > budget
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hint may broadcast
-    try:
-        probe = spark.range(10)
-        assert "BroadcastExchange" not in plan_text(probe.join(bounded_broadcast(wide, budget), "id"))
-        assert "BroadcastExchange" in plan_text(probe.join(bounded_broadcast(narrow, budget), "id"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows, size = table_size(wide)
+    assert rows == 100 and size > 10 * 1024 * 1024
 
 
 def test_year_filter_reaches_fact_scan(spark):
@@ -50,16 +42,72 @@ def test_year_filter_reaches_fact_scan(spark):
     assert "TakeOrderedAndProject" in text
 
 
-def test_queries_aggregate_before_joining_names(spark):
+def _plan_without_broadcasts(spark, make):
+    """The physical plan as at scale: no broadcast of a growing dimension, no adaptive change."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_q1_aggregates_before_joining_names(spark):
+    details = plan_text(olap.q1(P.warehouse(spark, SMOKE_DIR)))
+    details = details[details.index("\n(1) "):]
+    assert details.index("partial_sum") < details.index("product_name")
+
+
+def test_q3_and_q7_shuffle_the_fact_once_per_growing_dimension(spark):
+    """Store and time are bounded; supplier and product are met in their buckets, and
+    one more shuffle groups by name."""
     wh = P.warehouse(spark, SMOKE_DIR)
-    text = plan_text(olap.q3(wh))
-    # In the numbered node details (bottom-up), the partial sum over the fact
-    # comes before the first join that brings in a name.
-    details = text[text.index("\n(1) "):]
-    assert details.index("partial_sum") < details.index(") BroadcastHashJoin")
+    for query, extra in ((olap.q3, 0), (olap.q7, 1)):  # the rollup adds up the finest level
+        text = _plan_without_broadcasts(spark, lambda q=query: q(_Bounded(wh)))
+        shuffles = re.findall(r"Exchange hashpartitioning\((\w+)", text)
+        assert [x.split("#")[0] for x in shuffles].count("supplier_id") == 1
+        assert [x.split("#")[0] for x in shuffles].count("product_id") == 1
+        assert len(shuffles) == 3 + extra
+
+
+class _Bounded:
+    """The warehouse with its calendar and stores broadcast, as their sizes allow at any scale."""
+
+    def __init__(self, wh):
+        self.wh = wh
+
+    def table(self, name):
+        return self.wh.table(name)
+
+    def dim(self, name):
+        df = self.wh.table(name)
+        return F.broadcast(df) if name in ("time_dim", "store") else df
+
+
+def test_q3_reads_four_fact_columns(spark):
+    text = plan_text(olap.q3(P.warehouse(spark, SMOKE_DIR)))
     assert "ReadSchema: struct<product_id:bigint,store_id:bigint,supplier_id:bigint,total_sale:decimal(10,2)>" in text
 
 
+def test_q6_names_come_after_the_limit(spark):
+    text = plan_text(olap.q6(P.warehouse(spark, SMOKE_DIR)))
+    details = text[text.index("\n(1) "):]
+    assert details.index("TakeOrderedAndProject") < details.rindex("product2_name")
+    joined = [m.start() for m in re.finditer(r"BroadcastHashJoin|SortMergeJoin", details)]
+    limit = details.index("TakeOrderedAndProject")
+    assert sum(j > limit for j in joined) >= 2
+
+
+def test_a_dimension_is_written_after_one_shuffle(spark):
+    from starling.operators.warehouse import _DIMENSION_ROWS
+    staging = P.warehouse(spark, SMOKE_DIR).table("staging")
+    for name, (rows, _) in _DIMENSION_ROWS.items():
+        text = _plan_without_broadcasts(spark, lambda rows=rows: rows(staging))
+        assert text.count("Exchange hashpartitioning") == 1, name
+
+
 def test_top_k_per_group_limits_before_shuffle(spark):
     wh = P.warehouse(spark, SMOKE_DIR)
     assert "WindowGroupLimit" in plan_text(olap.q1_top5_each(wh))

@@ -126,16 +126,71 @@ def test_seasons_and_halves(make_staging):
 
 
 def test_build_without_a_usable_catalog(spark, make_staging, monkeypatch, tmp_dir):
-    """Bucketing is an optimisation: if the catalog write fails, the same rows
-    are written as a plain table and the queries answer the same."""
-    from pyspark.sql import DataFrameWriter
+    """Bucketing is an optimisation: without a catalog the same rows are written
+    as plain tables and the queries answer the same."""
+    from pyspark.errors import AnalysisException
+    from pyspark.sql.catalog import Catalog
     stg = make_staging([row(i, f"2024-0{1 + i % 3}-1{i % 9} 08:00:00", product_id=i % 4, store_id=i % 2)
                         for i in range(30)])
 
     def refuse(self, *a, **k):
-        raise RuntimeError("no catalog")
+        raise AnalysisException("no catalog")
 
-    monkeypatch.setattr(DataFrameWriter, "saveAsTable", refuse)
+    monkeypatch.setattr(Catalog, "listTables", refuse)
     wh = W.Warehouse.build(spark, stg, root=tmp_dir + "/wh")
     assert wh.catalog_names == {}
     assert sorted(olap.q10(wh).collect()) == sorted(olap.q10(W.TableSet.from_staging(stg)).collect())
+
+
+def _star(spark, baskets):
+    """A star schema around hand-written (transaction, product) rows."""
+    products = {p for _, p in baskets}
+    sales = [(t, 20240101, p, 1, 1, 1, 1, Decimal("1.00")) for t, p in baskets]
+    import datetime as dt
+    from starling import schema as S
+    from starling.operators.warehouse import TableSet
+    return TableSet({
+        "sales": spark.createDataFrame(sales, S.SALES),
+        "product": spark.createDataFrame([(p, f"name {p}", Decimal("1.00")) for p in products], S.PRODUCT_DIM),
+        "customer": spark.createDataFrame([(1, "Ann", "F")], S.CUSTOMER_DIM),
+        "store": spark.createDataFrame([(1, "North")], S.STORE_DIM),
+        "supplier": spark.createDataFrame([(1, "Acme")], S.SUPPLIER_DIM),
+        "time_dim": spark.createDataFrame([(20240101, dt.date(2024, 1, 1), "Monday", "January", 2024, False)], S.TIME_DIM)})
+
+
+def test_q6_ranks_pairs_and_names_them(spark):
+    """Pairs with counts 3, 2, 2, 1...: ties go to the smaller ids; a product meets itself never."""
+    from starling.operators import olap
+    baskets = [(1, 10), (1, 20), (1, 30), (2, 10), (2, 20), (3, 20), (3, 10), (3, 40), (4, 30), (4, 20), (5, 10), (5, 10),
+               (6, 50), (7, 40), (7, 50), (8, 10), (8, 30)]
+    got = [tuple(r) for r in olap.q6(_star(spark, baskets)).collect()]
+    assert got == [("name 10", "name 20", 3), ("name 10", "name 30", 2), ("name 20", "name 30", 2),
+                   ("name 10", "name 40", 1), ("name 20", "name 40", 1)]
+    assert [r.frequency for r in olap.q6(_star(spark, baskets), k=2).collect()] == [3, 2]
+
+
+def test_build_asserts_the_constraints(spark, make_staging, tmp_dir):
+    """K7 on the fact, K8 and K9, and conflicting dimension rows, fail the build."""
+    import pytest
+    from starling.operators import warehouse as W
+    rows = [row(1, "2024-01-01 10:00:00"), row(1, "2024-01-02 10:00:00", product_id=2)]
+    with pytest.raises(ValueError, match="transaction_id"):
+        W.Warehouse.build(spark, make_staging(rows), root=tmp_dir + "/twice")
+    rows = [row(1, "2024-01-01 10:00:00", price="1.00"), row(2, "2024-01-02 10:00:00", price="2.00")]
+    with pytest.raises(ValueError, match="product"):
+        W.Warehouse.build(spark, make_staging(rows), root=tmp_dir + "/price")
+    wh = W.Warehouse.build(spark, make_staging([row(1, "2024-01-01 10:00:00")]), root=tmp_dir + "/good")
+    broken = wh.table("sales").withColumn("product_id", F.lit(99).cast("long"))
+    wh.save("sales", spark.createDataFrame(broken.collect(), broken.schema))
+    with pytest.raises(ValueError, match="product_id"):
+        wh.check_constraints()
+    wh.close()
+    assert not wh.catalog_names
+
+
+def test_tables_are_read_with_their_schema(spark, make_staging, tmp_dir):
+    from starling.operators import warehouse as W
+    wh = W.Warehouse.build(spark, make_staging([row(1, "2024-01-01 10:00:00")]), root=tmp_dir)
+    for name, schema in W.TABLE_SCHEMAS.items():
+        if name in wh.paths:
+            assert [(f.name, f.dataType) for f in wh.table(name).schema] == [(f.name, f.dataType) for f in schema]
