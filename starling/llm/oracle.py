@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from starling.llm import quality
+
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -53,4 +55,75 @@ SELECT DISTINCT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM
 FROM d JOIN g ON d.t = g.t
 """
 
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op2_exact_dedup": OP2}
+_CLASSES = {k: p.replace("'", "''") for k, p in quality.CLASSES.items()}
+_VOCABULARY = "[" + ", ".join(f"'{w}'" for w in quality.VOCABULARY) + "]"
+_L = quality.LIMITS
+
+
+def _entropy(shares: str) -> str:
+    return f"-list_sum(list_transform({shares}, lambda x: CASE WHEN x > 0 THEN x * log2(x) ELSE 0.0 END))"
+
+
+def _distance(cells: str, reference: str) -> str:
+    """Jensen-Shannon distance of two count lists; NULL when one is empty."""
+    p = f"list_transform({cells}, lambda x: x / nullif(list_sum({cells}), 0))"
+    q = f"list_transform({reference}, lambda x: x / nullif(list_sum({reference}), 0))"
+    middle = f"list_transform(list_zip({p}, {q}), lambda x: (x[1] + x[2]) / 2)"
+    return (f"CASE WHEN list_sum({cells}) > 0 AND list_sum({reference}) > 0 THEN "
+            f"sqrt(greatest({_entropy(middle)} - ({_entropy(p)} + {_entropy(q)}) / 2, 0.0)) END")
+
+
+# Rows are numbered so that repeated ids stay apart; histograms are lists of counts.
+OP3 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), windows AS (
+  SELECT r, i, list_slice(w, i, i + 4) AS five FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d)
+), repeated AS (
+  SELECT r, count(DISTINCT i + k) AS n
+  FROM (SELECT r, i, count(*) OVER (PARTITION BY r, five) AS c FROM windows) CROSS JOIN range(5) AS x(k)
+  WHERE c > 1 GROUP BY r
+), common AS (
+  SELECT r, word, count(*) AS n FROM (SELECT r, lower(unnest(w)) AS word FROM d)
+  WHERE word IN (SELECT unnest({_VOCABULARY})) GROUP BY r, word
+), commons AS (
+  SELECT r, map_from_entries(list((word, n))) AS counts, sum(n) AS total FROM common GROUP BY r
+), measured AS (
+  SELECT d.r, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '{_CLASSES["symbol"]}')) AS BIGINT) AS n_symbols,
+         (SELECT count(*) - count(DISTINCT x) FROM (SELECT unnest(string_split(d.t, chr(10))) AS x)
+          WHERE regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS n_dup_lines,
+         CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words,
+         [{", ".join(f"len(regexp_extract_all(t, '{p}'))" for p in _CLASSES.values())}] AS counted,
+         strlen(t) - length(t) AS wide,
+         list_append(list_transform({_VOCABULARY}, lambda x: CAST(coalesce(commons.counts[x], 0) AS BIGINT)),
+                     CAST(len(w) - coalesce(commons.total, 0) AS BIGINT)) AS words
+  FROM d LEFT JOIN repeated USING (r) LEFT JOIN commons USING (r)
+), cells AS (
+  SELECT *, n_words < {_L.min_words} OR 100 * n_repeat_words > {_L.max_repeat_percent} * n_words AS base_failed,
+         list_concat(counted, [least(wide, word_chars), greatest(word_chars - wide - list_sum(counted), 0)]) AS chars
+  FROM measured
+), prose AS (
+  SELECT lang, chars, words FROM cells
+  WHERE n_words >= {_L.min_words} AND n_symbols <= {_L.max_reference_symbols} * word_chars
+), ref AS (
+  SELECT lang, [{", ".join(f"sum(chars[{i + 1}])" for i in range(len(_CLASSES) + 2))}] AS ref_chars,
+         [{", ".join(f"sum(words[{i + 1}])" for i in range(len(quality.VOCABULARY) + 1))}] AS ref_words
+  FROM prose GROUP BY lang
+), far AS (
+  SELECT cells.*, {_distance("chars", "ref_chars")} AS dc, {_distance("words", "ref_words")} AS dw
+  FROM cells LEFT JOIN ref ON cells.lang IS NOT DISTINCT FROM ref.lang
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (
+         coalesce(word_chars >= {_L.min_chars_judged}
+                  AND dc > {_L.max_char_distance} + {_L.char_noise} / sqrt(greatest(word_chars, 1)), false)
+         OR coalesce(n_words >= {_L.min_words_judged} AND dc > {_L.max_char_distance}
+                     AND dw > {_L.max_word_distance}, false)) AS kept
+FROM far
+"""
+
+ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op2_exact_dedup": OP2, "op3_quality_rules": OP3}

@@ -70,7 +70,7 @@ class Limits:
 
 
 LIMITS = Limits()
-_VOCABULARY = list(dict.fromkeys(w for words in COMMON_WORDS.values() for w in words))
+VOCABULARY = list(dict.fromkeys(w for words in COMMON_WORDS.values() for w in words))
 _Q = "__quality_"
 
 
@@ -101,7 +101,7 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         _Q + "word_chars": F.char_length(F.array_join(words, "")).cast("long"),
         _Q + "hashes": _window_hashes(words, n),
         _Q + "lines": F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)),
-        _Q + "common": F.filter(F.transform(words, F.lower), lambda w: w.isin(*_VOCABULARY)),
+        _Q + "common": F.filter(F.transform(words, F.lower), lambda w: w.isin(*VOCABULARY)),
         _Q + "rest": F.regexp_replace(text, r"[a-z\x20\x09-\x0D]+", ""),  # all but small letters: short
     })
     common = F.col(_Q + "common")
@@ -156,7 +156,7 @@ def _word_histogram(common: Column, n: Column) -> Column:
     the text by its count times its width: plain string work in generated code.
     """
     cells = []
-    for w in _VOCABULARY:
+    for w in VOCABULARY:
         width = len(f" {w} ".encode())
         cells.append(((F.octet_length(common) - F.octet_length(F.replace(common, F.lit(f" {w} "), F.lit("")))) / width)
                      .cast("long"))
@@ -181,7 +181,7 @@ def references(measured: DataFrame, lang_col: str = "lang", limits: Limits = LIM
     def total(column: str, i: int) -> Column:
         return F.sum(F.when(prose, F.get(_Q + column, i)).otherwise(F.lit(0)))
 
-    n_chars, n_cells = len(CLASSES) + 2, len(_VOCABULARY) + 1
+    n_chars, n_cells = len(CLASSES) + 2, len(VOCABULARY) + 1
     cells = [total("chars", i).alias(f"c{i}") for i in range(n_chars)] + [
         total("common_counts", i).alias(f"w{i}") for i in range(n_cells)]
     rows = small_table(measured.groupBy(F.col(lang_col).cast("string").alias("lang")).agg(*cells),

@@ -39,8 +39,7 @@ def op2_exact_dedup(spark, sf_dir):
 def op3_quality_rules(spark, sf_dir):
     """Every document with its base measures and the verdict."""
     rows = quality.verdicts(documents(spark, sf_dir))
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-             "char_distance", "word_distance"]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return rows.select("doc_id", *[quality.measure(n).alias(n) for n in names])
 
 

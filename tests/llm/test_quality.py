@@ -61,7 +61,7 @@ def test_distances_and_verdict_match_a_plain_computation(spark):
 def test_histograms(spark):
     text = "The cat and THE dog, of 12 (é) | the"
     r = quality.features(cases.documents(spark, data=[(1, text, "en", "s", 1)])).first()
-    words = dict(zip([*quality._VOCABULARY, "other"], r["__quality_common_counts"]))
+    words = dict(zip([*quality.VOCABULARY, "other"], r["__quality_common_counts"]))
     assert {k: v for k, v in words.items() if v} == {"the": 3, "and": 1, "of": 1, "other": 5}
     upper, digit, point, symbol, other, wide, small = r["__quality_chars"]
     assert (upper, digit, point, symbol, other, wide) == (4, 2, 3, 1, 0, 1)
