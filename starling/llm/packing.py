@@ -31,10 +31,12 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -42,42 +44,95 @@ from starling.llm.common import bounded_broadcast, small_table, text_or_empty, w
 
 WINDOW, QUANTUM, END_ID = 2048, 128, 1
 MAX_SOURCES = 10_000
-CACHE_WORDS = 200_000
+STEP = 1024  # rows a task works on at a time
+CACHE_WORDS = 600_000
 _SCHEMA_PIECES = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, "
                   "sequence_id long, offset long")
 
 
 class WordCache:
-    """Token ids of the space-separated pieces of texts, kept per piece.
+    """Token ids of texts, with the ids of space-separated pieces kept.
 
     The tokenizer never merges across white space, so the ids of a text are
-    those of its pieces one after the other.  A piece is encoded once while it
-    stays in the cache; the cache starts anew when it is full.
+    those of its pieces one after the other.  A Latin-1 text is lower-cased here
+    (it has nothing to compose, and lower-casing it twice changes nothing), and
+    a mark between a letter and white space is set apart, where the tokenizer
+    cuts anyway; so most pieces are plain words, shared by many texts.  New
+    words are encoded many at a time and cut apart at the ids that end a word;
+    other pieces are encoded one by one.  The cache starts anew when it is full.
     """
 
+    MARK = "([a-z\xdf-\xf6\xf8-\xff])([.,;:!?])([ \\n]|$)"
+
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
         self.ids: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith("</w>")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers."""
-        out = []
-        for text in texts:
-            pieces = text.replace("\n", " ").split(" ")
-            known = self.ids
-            new = list({p for p in pieces if p not in known})
-            if new:
-                if len(known) + len(new) > self.limit:
-                    known.clear()
-                    new = list(set(pieces))
-                for at in range(0, len(new), 10_000):
-                    part = new[at:at + 10_000]
-                    for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                        known[p] = np.array(e.ids, dtype="<u4").tobytes()
-            out.append(b"".join(map(known.__getitem__, pieces)))
-        return out
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in
+                self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, new: list[str]) -> None:
+        words, other = [], []
+        for p in new:
+            (words if p.isalpha() else other).append(p)
+        for at in range(0, len(words), 2_000):
+            part = words[at:at + 2_000]
+            ids, = self._encode([" ".join(part)])
+            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(stops) == len(part):
+                data = ids.tobytes()
+                self.ids.update(zip(part, [data[4 * a:4 * b] for a, b in zip([0, *stops], stops)]))
+            else:  # something that is not one word to the tokenizer
+                other += part
+        for at in range(0, len(other), 2_000):
+            part = other[at:at + 2_000]
+            self.ids.update(zip(part, [x.tobytes() for x in self._encode(part)]))
+
+    def _pieces(self, texts: pa.Array) -> pa.ListArray:
+        latin = pc.invert(pc.match_substring_regex(texts, "[^\\x00-\xff]"))
+        lowered = pc.replace_substring_regex(pc.utf8_lower(texts), self.MARK, r"\1 \2\3")
+        return pc.split_pattern(pc.replace_substring(pc.if_else(latin, lowered, texts), "\n", " "), " ")
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets): the ids of all texts one after the other, each with the
+        end id behind, and where each text begins."""
+        split = self._pieces(texts)
+        bounds = np.asarray(split.offsets) - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        wanted = coded.dictionary.to_pylist()
+        new = [p for p in wanted if p not in self.ids]
+        if len(self.ids) + len(new) > self.limit:
+            self.ids.clear()
+            new = wanted
+        if new:
+            self._add(new)
+        found = [*map(self.ids.__getitem__, wanted), np.array([end_id], dtype="<u4").tobytes()]
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        start = np.cumsum(size) - size
+        pool = np.frombuffer(b"".join(found), dtype="<u4")
+        codes = np.insert(coded.indices.to_numpy(zero_copy_only=False), bounds[1:], len(found) - 1)
+        sizes = size[codes]
+        ends = np.cumsum(sizes)
+        ids = pool[np.repeat(start[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.concatenate(([0], ends[bounds[1:] + np.arange(len(texts))])).astype(np.int64)
+
+
+_CACHES: dict[str, WordCache] = {}
+
+
+def worker_cache(path: str) -> WordCache:
+    """The cache of this Python worker, kept from one task to the next."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
+    if path not in _CACHES:
+        _CACHES[path] = WordCache(path)
+    return _CACHES[path]
 
 
 def token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -85,23 +140,24 @@ def token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
     """Written once: doc_id, source, part, place (ids of the source before it in the part), n, ids."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                        text_or_empty(text_col).alias("text"))
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        cache, before = WordCache(tokenizer), {}
+        cache, before = worker_cache(tokenizer), {}
         part = TaskContext.get().partitionId()
         for b in batches:
-            for at in range(0, b.num_rows, 512):  # bounded memory whatever the batch size
-                piece = b.slice(at, 512)
-                ids = [x + end for x in cache.encode(piece.column("text").to_pylist())]
-                n = [len(x) // 4 for x in ids]
+            for at in range(0, b.num_rows, STEP):  # bounded memory whatever the batch size
+                piece = b.slice(at, STEP)
+                ids, offsets = cache.encode(piece.column("text"), end_id)
+                n = np.diff(offsets)
                 place = []
-                for s, k in zip(piece.column("source").to_pylist(), n):
+                for s, k in zip(piece.column("source").to_pylist(), n.tolist()):
                     place.append(before.get(s, 0))
                     before[s] = place[-1] + k
+                binary = pa.Array.from_buffers(pa.large_binary(), len(n), [
+                    None, pa.py_buffer(offsets * 4), pa.py_buffer(np.ascontiguousarray(ids))]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), piece.column("source"), pa.array([part] * len(n), pa.int32()),
-                     pa.array(place, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
+                     pa.array(place, pa.int64()), pa.array(n, pa.int64()), binary],
                     names=["doc_id", "source", "part", "place", "n", "ids"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
@@ -215,7 +271,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
     def run(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                yield from cut(b.slice(at, 512))
+            for at in range(0, b.num_rows, STEP):
+                yield from cut(b.slice(at, STEP))
 
     return rows.mapInArrow(run, _SCHEMA_PIECES.format(id=id_type))

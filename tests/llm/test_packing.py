@@ -3,6 +3,7 @@ from collections import defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starling.llm import packing
@@ -22,10 +23,14 @@ def ids_of(tokenizer, text):
 
 def test_word_cache_gives_the_tokenizers_ids(tokenizer):
     texts = [t or "" for _, t, *_ in cases.rows()] + [
-        "Don't STOP, it's 12:30!", "é ́e Å 가", "tab\tand\x1cmore", " lead  and trail ", "ΣΑΣ Σ İ"]
-    cache = packing.WordCache(tokenizer_file(), limit=50)  # a small cache is refilled again and again
-    for t, b in zip(texts, cache.encode(texts)):
-        assert np.frombuffer(b, dtype="<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+        "Don't STOP, it's 12:30!", "é ́e Å 가", "tab\tand\x1cmore", "Ab.c. d... e!? f.) (g. h,", "x.\ny,\tz. É. Ÿ. 5. ß. à,", "ª º µ ª. ĳ ŉ ǅ ß, İ!", " lead  and trail ", "ΣΑΣ Σ İ"]
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    for limit in (10**6, 50, 3):  # a small cache starts anew again and again
+        cache = packing.WordCache(tokenizer_file(), limit)
+        for part in (texts, texts[5:], texts[3:4], texts[:0], texts):
+            ids, offsets = cache.encode(pa.array(["unused", *part], pa.string()).slice(1), 1)
+            got = [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+            assert got == [want[texts.index(t)] for t in part]
 
 
 def simulate(units, weights):
