@@ -13,9 +13,10 @@ equals the other after one deletion.  Each line emits hashed keys of these
 variants, and equal keys join.  To emit few of them, a line is cut into
 ``SEGMENTS`` segments: an edit touches one, so partners agree on all the
 others.  A first narrow pass hashes "all but segment i" of every distinct line
-(for its own length, and for the length after a deletion); only segments whose
-context another line shares emit variants, and only those of that segment.
-Nothing is lost: the context of partners is equal by construction.
+(for its own length, and for the length after a deletion).  For segments whose
+context another line shares, the texts are read and the same is done with
+segments a quarter as long; those that are still shared emit their variants.
+Nothing is lost: the contexts of partners are equal by construction.
 
 Groups.  All lines that share a substitution variant are within one edit of each
 other, so the earliest of them is found by a minimum per key, without listing
@@ -38,7 +39,8 @@ from pyspark.sql import DataFrame, functions as F
 from starling.llm.common import written
 from starling.llm.lines import STEP, first_places, line_table, line_texts
 
-MIN_NEAR, SEGMENTS = 20, 3
+MIN_NEAR, SEGMENTS, REFINE = 20, 3, 4
+FINE = SEGMENTS * REFINE
 _P = np.uint64(0x9E3779B97F4A7C15)      # odd multiplier of the polynomial hash
 _HEAD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -50,92 +52,113 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class LineSums:
-    """Prefix sums of a line's characters times powers: the hash of any span in O(1)."""
+_powers = np.ones(1, dtype=np.uint64)
 
-    powers = np.ones(1, dtype=np.uint64)
 
-    def __init__(self, line: str):
-        n = len(line)
-        if len(LineSums.powers) <= n:
-            more = np.full(max(n + 1, 4096), _P, dtype=np.uint64)
-            more[0] = 1
-            LineSums.powers = np.multiply.accumulate(more)
-        codes = _mix(np.frombuffer(line.encode("utf-32-le"), dtype="<u4").astype(np.uint64) + _P)
-        self.n = n
-        #: pre[i] is the sum of code[j] * P**j over j < i, modulo 2**64
-        self.pre = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(codes * LineSums.powers[:n], out=self.pre[1:])
+def _powers_to(n: int) -> np.ndarray:
+    """P**j for j < n at least."""
+    global _powers
+    if len(_powers) < n:
+        more = np.full(max(n, 4096, 2 * len(_powers)), _P, dtype=np.uint64)
+        more[0] = 1
+        _powers = np.multiply.accumulate(more)
+    return _powers
 
-    def without(self, at: np.ndarray) -> np.ndarray:
-        """Hash of the line with the character at each place deleted."""
-        # the characters behind move one place to the left; instead, the head is scaled by one power
-        return _mix(self.pre[at] * _P + (self.pre[self.n:self.n + 1] - self.pre[at + 1]) + np.uint64(self.n - 1))
 
-    def whole(self) -> np.ndarray:
-        """Hash of the line itself, on the same scale."""
-        return _mix(self.pre[self.n:self.n + 1] * _P + np.uint64(self.n))
+def prefix_sums(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sums, starts, lengths): ``sums[starts[i] + j] - sums[starts[i]]`` is the sum of
+    code[k] * P**k over the first j characters of line i, modulo 2**64."""
+    lengths = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    starts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
+    codes = _mix(np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64) + _P)
+    place = np.arange(len(codes)) - np.repeat(starts, lengths)
+    sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+    np.cumsum(codes * _powers_to(int(lengths.max(initial=0)) + 1)[place], out=sums[1:])
+    return sums, starts, lengths
 
 
-def _bounds(length: int) -> list[int]:
-    return [length * i // SEGMENTS for i in range(SEGMENTS + 1)]
-
-
-def context_keys(sums: LineSums) -> np.ndarray:
-    """For the line's own length and one less: hashes of all but segment i, SEGMENTS each.
+def context_keys(lines: list[str], segments: int) -> np.ndarray:
+    """Per line, for its own length and for one less: hashes of all but segment i of ``segments``.
 
     For length m, the head is the line's first characters and the tail its last
     ones, so a partner that is one longer or shorter has the same head and tail.
     """
-    n, out = sums.n, []
-    for m in (n, n - 1):
-        cuts = np.array(_bounds(m))
-        head = sums.pre[cuts[:-1]]
-        tail = sums.pre[n:n + 1] - sums.pre[n - (m - cuts[1:])]
-        if m == n:  # as if the tail began one place later, where it does in a longer partner
-            tail = tail * _P
-        label = np.arange(m * SEGMENTS, (m + 1) * SEGMENTS, dtype=np.uint64)
-        out.append((head * _HEAD) ^ (tail + label))
-    return _mix(np.concatenate(out))
-
-
-def segment_variants(sums: LineSums, shared: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of the variants for the shared contexts; place -1 is the whole line."""
-    hashes, places = [], []
+    sums, starts, lengths = prefix_sums(lines)
+    base, end = sums[starts], sums[starts + lengths]
+    out = np.empty((len(lines), 2 * segments), dtype=np.uint64)
+    for role in (0, 1):
+        m = lengths - role
+        for i in range(segments):
+            head = sums[starts + m * i // segments] - base
+            tail = end - sums[starts + lengths - (m - m * (i + 1) // segments)]
+            if role == 0:  # as if the tail began one place later, where it does in a longer partner
+                tail = tail * _P
+            out[:, role * segments + i] = _mix((head * _HEAD) ^ (tail + (m * segments + i).astype(np.uint64)))
+    return out
+
+
+def variants(line: str, shared: list[int], segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place) of the line's variants for its shared contexts: the line without the
+    character at each place of the segment, and for its own length the whole line (place -1)."""
+    sums, _, _ = prefix_sums([line])
+    n = len(line)
+    at = []
     for k in shared:
-        m, i = sums.n - (k >= SEGMENTS), k % SEGMENTS
-        cuts = _bounds(m)
-        # deletions in the segment; a longer line's segment has one character more
-        at = np.arange(cuts[i], cuts[i + 1] + (sums.n - m))
-        if k < SEGMENTS:
-            hashes.append(np.append(sums.without(at), sums.whole()))
-            places.append(np.append(at, -1))
-        else:
-            hashes.append(sums.without(at))
-            places.append(at)
-    h, p = np.concatenate(hashes), np.concatenate(places)
-    _, keep = np.unique(np.stack((h.view(np.int64), p)), axis=1, return_index=True)
-    return h[keep], p[keep]
-
-
-def _near_sums(line: bytes) -> LineSums | None:
-    text = line.decode("utf-8", "replace")
-    return LineSums(text) if len(text) >= MIN_NEAR else None
+        m, i = n - k // segments, k % segments
+        # a longer line's segment has one character more
+        at.append(np.arange(m * i // segments, m * (i + 1) // segments + k // segments))
+    at = np.unique(np.concatenate(at))
+    # the characters behind a place move one to the left; instead, the head is scaled by one power
+    less = _mix(sums[at] * _P + (sums[n:n + 1] - sums[at + 1]) + np.uint64(n - 1))
+    if min(shared) >= segments:
+        return less, at
+    return np.append(less, _mix(sums[n:n + 1] * _P + np.uint64(n))), np.append(at, -1)
 
 
 def _line_keys(lines: list[bytes]) -> list[list]:
-    sums = map(_near_sums, lines)
-    return [[None if s is None else context_keys(s).view(np.int64) for s in sums]]
+    texts = [x.decode("utf-8", "replace") for x in lines]
+    use = [i for i, x in enumerate(texts) if len(x) >= MIN_NEAR]
+    keys: list = [None] * len(lines)
+    if use:
+        for i, row in zip(use, context_keys([texts[i] for i in use], SEGMENTS).view(np.int64)):
+            keys[i] = row
+    return [keys]
+
+
+def _shared_contexts(keyed: DataFrame) -> DataFrame:
+    """``(h1, shared)``: of the contexts (h1, k, key), those that another line has too."""
+    held = keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
+    return keyed.join(held, "key", "left_semi").groupBy("h1").agg(F.sort_array(F.collect_set("k")).alias("shared"))
+
+
+def _fine_contexts(work: DataFrame) -> DataFrame:
+    """``(h1, k, key)``: contexts of the fine segments inside the shared ones."""
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, STEP):
+                piece = b.slice(at, STEP)
+                lines = [x.decode("utf-8", "replace") for x in piece.column("line").to_pylist()]
+                keys = context_keys(lines, FINE).view(np.int64)
+                index, fine = [], []
+                for i, shared in enumerate(piece.column("shared").to_pylist()):
+                    for k in shared:
+                        first = k // SEGMENTS * FINE + k % SEGMENTS * REFINE
+                        index += [i] * REFINE
+                        fine += range(first, first + REFINE)
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("h1").take(pa.array(index, pa.int64())), pa.array(fine, pa.int32()),
+                     pa.array(keys[index, fine])], names=["h1", "k", "key"])
+    return work.select("h1", "line", "shared").mapInArrow(run, "h1 long, k int, key long")
 
 
 def near_links(docs: DataFrame, lines: DataFrame, distinct: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Verified links of distinct lines: ``h1, h2`` of a line and ``e1, e2`` of an earlier one within one edit."""
     keyed = lines.where("keys is not null").select("h1", F.posexplode("keys").alias("k", "key"))
-    held = keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
-    shared = keyed.join(held, "key", "left_semi").groupBy("h1").agg(F.sort_array(F.collect_set("k")).alias("shared"))
-    found = written(distinct.select("h1", "h2", "doc_id", "line_no").join(shared, "h1"), "line-shared")
+    found = written(distinct.select("h1", "h2", "doc_id", "line_no").join(_shared_contexts(keyed), "h1"), "line-shared")
     texts = line_texts(docs, found.select("h1", "h2", "doc_id", "line_no"), id_col, text_col, "line-texts")
-    emit = texts.join(found, ["h1", "h2"]).select(
+    work = written(texts.join(found, ["h1", "h2"]), "line-work")
+    fine = _shared_contexts(written(_fine_contexts(work), "line-fine"))
+    emit = work.drop("shared").join(fine, "h1").select(
         "h1", "h2", "line", F.col("doc_id").isNull().alias("none"), "doc_id", "line_no", "shared")
     id_type = distinct.schema["doc_id"].dataType.simpleString()
     kept = ["h1", "h2", "none", "doc_id", "line_no"]
@@ -144,29 +167,25 @@ def near_links(docs: DataFrame, lines: DataFrame, distinct: DataFrame, id_col: s
         for b in batches:
             for at in range(0, b.num_rows, STEP):
                 piece = b.slice(at, STEP)
-                index, hashes, places = [], [], []
-                for i, (line, own) in enumerate(zip(piece.column("line").to_pylist(), piece.column("shared").to_pylist())):
-                    h, p = segment_variants(_near_sums(line), own)
-                    hashes.append(h)
-                    places.append(p)
-                    index.append(np.full(len(h), i))
-                take = pa.array(np.concatenate(index), pa.int64())
+                found_here = [variants(line.decode("utf-8", "replace"), own, FINE) for line, own in
+                              zip(piece.column("line").to_pylist(), piece.column("shared").to_pylist())]
+                take = pa.array(np.repeat(np.arange(len(found_here)), [len(h) for h, _ in found_here]), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [*[piece.column(c).take(take) for c in kept],
-                     pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(places), pa.int32())],
-                    names=[*kept, "v", "p"])
+                     pa.array(np.concatenate([h for h, _ in found_here]).view(np.int64)),
+                     pa.array(np.concatenate([p for _, p in found_here]), pa.int32())], names=[*kept, "v", "p"])
 
-    variants = written(emit.mapInArrow(
+    emitted = written(emit.mapInArrow(
         batch, f"h1 long, h2 long, none boolean, doc_id {id_type}, line_no int, v long, p int"), "line-variants")
     place = F.struct("none", "doc_id", "line_no")
     # substitution: the earliest line of a variant at the same place
-    cut = variants.where("p >= 0")
+    cut = emitted.where("p >= 0")
     hubs = cut.groupBy("v", "p").agg(F.min(F.struct(place.alias("at"), "h1", "h2")).alias("hub"),
                                      F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b")
     same = cut.join(hubs.select("v", "p", "hub"), ["v", "p"]).select("h1", "h2", "hub.h1", "hub.h2").toDF(
         "h1", "h2", "e1", "e2").where("h1 != e1 or h2 != e2")
     # deletion: a whole line and the lines that lose a character to it; the later one is dropped
-    whole = variants.where("p < 0").select("v", place.alias("w_at"), F.col("h1").alias("w1"), F.col("h2").alias("w2"))
+    whole = emitted.where("p < 0").select("v", place.alias("w_at"), F.col("h1").alias("w1"), F.col("h2").alias("w2"))
     met = cut.select("v", place.alias("at"), "h1", "h2").distinct().join(whole, "v")
     later = F.col("w_at") < F.col("at")
     one_less = met.select(F.when(later, F.col("h1")).otherwise(F.col("w1")).alias("h1"),

@@ -13,7 +13,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from starling.llm.common import text_or_empty, written
+from starling.llm.common import bounded_broadcast, text_or_empty, written
 
 #: Rows a task holds at a time, whatever the size of a record batch.
 STEP = 256
@@ -85,7 +85,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, p
     The documents that hold a wanted line are read again; a line is taken when its hash agrees.
     """
     places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h1", "h2")).alias("places"))
-    places = places.withColumnRenamed("doc_id", "at_id")
+    places = bounded_broadcast(written(places.withColumnRenamed("doc_id", "at_id"), f"{purpose}-places"))
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).join(
         places, F.col("doc_id").eqNullSafe(F.col("at_id"))).select("text", "places")
 

@@ -72,27 +72,32 @@ def test_awkward_rows(spark):
     assert L.document_decisions(cases.empty(spark)).count() == 0
 
 
+def whole(s):
+    return L.variants(s, [0], 1)[0][-1]
+
+
 def test_variant_hashes_are_those_of_the_shorter_lines():
     rng = random.Random(3)
     for _ in range(50):
         s = "".join(rng.choice("abé\U0001F600") for _ in range(rng.randint(2, 40)))
-        sums = L.LineSums(s)
-        for p, h in enumerate(sums.without(np.arange(len(s)))):
-            assert h == L.LineSums(s[:p] + s[p + 1:]).whole()[0]
+        hashes, places = L.variants(s, [0], 1)
+        assert places.tolist() == [*range(len(s)), -1]
+        for h, p in zip(hashes[:-1], places):
+            assert h == whole(s[:p] + s[p + 1:])
 
 
-def test_partners_share_a_context_and_a_variant():
+@pytest.mark.parametrize("segments", [L.SEGMENTS, L.FINE])
+def test_partners_share_a_context_and_a_variant(segments):
     rng = random.Random(9)
     for _ in range(400):
         a = "".join(rng.choice("ab") for _ in range(rng.randint(20, 40)))
         p = rng.randrange(len(a) + 1)
         b = rng.choice([a[:p] + "c" + a[p:], a[:p] + a[p + 1:], a[:p] + "c" + a[p + 1:]])
-        x, y = L.LineSums(a), L.LineSums(b)
-        kx, ky = L.context_keys(x), L.context_keys(y)
-        sx = [i for i in range(len(kx)) if kx[i] in set(ky)]
-        sy = [i for i in range(len(ky)) if ky[i] in set(kx)]
+        kx, ky = L.context_keys([a, b], segments)
+        assert (kx == L.context_keys([a], segments)[0]).all()  # a line's keys do not depend on its batch
+        sx, sy = ([i for i in range(len(u)) if u[i] in set(w)] for u, w in ((kx, ky), (ky, kx)))
         assert sx and sy
-        vx, vy = (set(zip(*[z.tolist() for z in L.segment_variants(s, k)])) for s, k in ((x, sx), (y, sy)))
+        vx, vy = (set(zip(*[z.tolist() for z in L.variants(s, k, segments)])) for s, k in ((a, sx), (b, sy)))
         same = {(v, q) for v, q in vx & vy if q >= 0}
         less = {v for v, q in vx if q < 0} & {v for v, q in vy if q >= 0} | {v for v, q in vy if q < 0} & {v for v, q in vx if q >= 0}
         assert a == b or same or less
