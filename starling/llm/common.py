@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from starling.session import scratch_dir
 
@@ -62,35 +62,33 @@ def edges_to_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     many edges is split by the skew join.  Every round is written as a table;
     the driver sees only the number of edges and a checksum.
     """
-    def star(pairs: DataFrame, small: bool) -> DataFrame:
-        """Link the (larger / smaller) neighbours of every node to its least neighbour."""
-        low = pairs.groupBy("u").agg(F.min("v").alias("m"))
-        out = pairs.join(low, "u").select("u", "v", F.least("u", "m").alias("m"))
-        if small:
-            # neighbours below u, and u itself, to the least of them
-            linked = out.where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-            return linked.union(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
-        return out.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-
-    def state(e: DataFrame) -> tuple:
-        r = e.agg(F.count(F.lit(1)).alias("n"),
-                  F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        return r.n, r.s
+    def with_least(pairs: DataFrame) -> DataFrame:
+        """Every (u, v) with the least neighbour of u."""
+        return pairs.join(pairs.groupBy("u").agg(F.min("v").alias("m")), "u")
+
+    def saved(e: DataFrame) -> tuple[DataFrame, tuple]:
+        """The distinct edges as a table, with their number and a checksum from the same job."""
+        seen = Observation()
+        out = written(e.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(
+            F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")), "edges")
+        got = seen.get
+        return out, (got["n"], got["s"])
 
     # a > b in every stored edge
-    e = written(edges.where("src != dst").select(F.greatest("src", "dst").alias("a"),
-                                                 F.least("src", "dst").alias("b")).distinct(), "edges")
+    e, now = saved(edges.where("src != dst").select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")))
     last = None
     for _ in range(max_rounds):
-        now = state(e)
         if now == last or now[0] == 0:
             return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         last = now
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
-            e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = star(both, small=False)
-        e = written(star(large.select(F.col("a").alias("u"), F.col("b").alias("v")), small=True), "edges")
+        # large star: the neighbours above u go to the least of u and its neighbours
+        both = with_least(e.toDF("u", "v").union(e.select(F.col("b").alias("u"), F.col("a").alias("v"))))
+        large = both.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        # small star: u and its neighbours (now all below u) go to the least of them
+        low = with_least(large)
+        e, now = saved(low.where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b")).union(
+            low.select(F.col("u").alias("a"), F.col("m").alias("b"))))
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 

@@ -13,12 +13,14 @@ classes all occur elsewhere; it counts when it has at least
 ``MIN_PASSAGE_WORDS`` words.  Of a class, the earliest paragraph (least
 document id, then line) stays and the others are removed, passage by passage.
 
-Crowded bands.  A band value held by at most ``CROWD`` different paragraphs
-yields its pairs.  In a fuller one every paragraph is verified against one hub
-(a star); then only paragraphs that are still in another component than most of
-their band are compared with the rest of it.  Pairs inside one component need
-no comparison, so nothing is lost, and a group of thousands of near copies
-costs about one comparison each.
+Crowded bands.  Candidates that cannot have a partner, because too many of their
+shingles occur in no other candidate, leave first.  A band value held by at
+most ``CROWD`` different paragraphs yields its pairs.  In a fuller one every
+paragraph is verified against one hub, the most frequent paragraph (a star);
+then paragraphs of different components are compared when they share one of
+their rarest shingles (the prefix filter, which loses no pair).  Pairs inside
+one component need no comparison, so nothing is lost, and a group of thousands
+of near copies costs about one comparison each.
 
 Defined cases: null and empty texts have no paragraphs; null ids come last;
 repeated rows are copies of each other; rows that share an id are compared like
@@ -42,7 +44,7 @@ from starling.llm.lines import STEP, first_places, line_table, line_texts
 SHINGLE, SIMILARITY = 5, 0.8
 MIN_WORDS, MIN_PASSAGE_WORDS = 10, 50
 ROWS, MISS = 2, 1e-4
-CROWD = 32
+CROWD = 8
 
 
 def tuned_bands(similarity: float = SIMILARITY, rows: int = ROWS, miss: float = MISS) -> int:
@@ -129,38 +131,87 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
         both >= similarity * (F.size("a") + F.size("b") - both)).select("src", "dst")
 
 
-def links(docs: DataFrame, paragraphs: DataFrame, id_col: str, text_col: str, similarity: float = SIMILARITY,
-          crowd: int = CROWD) -> DataFrame:
-    """Verified links ``(src, dst)`` (line hashes) that connect every class of different paragraphs."""
+def _with_partners(sets: DataFrame, similarity: float) -> DataFrame:
+    """Shingles of the paragraphs that can have a partner: (h1, n, shingle, df).
+
+    A partner shares ``similarity`` of a paragraph's shingles at least, so a
+    paragraph with too many shingles that no other candidate has is left out.
+    """
+    each = sets.select("h1", F.size("set").alias("n"), F.explode("set").alias("shingle"))
+    df = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    known = written(each.join(df, "shingle"), "paragraph-shingles")
+    strong = known.groupBy("h1", "n").agg(F.count_if(F.col("df") > 1).alias("held")).where(
+        F.col("held") >= similarity * F.col("n")).select("h1")
+    return written(known.join(strong, "h1", "left_semi"), "paragraph-strong")
+
+
+def _prefix_pairs(shingles_of: DataFrame, placed: DataFrame, similarity: float) -> DataFrame:
+    """Candidate pairs in different components, by the prefix filter.
+
+    Two sets with Jaccard similarity s or more share one of the (1 - s) n + 1
+    shingles that come first in any common order; here the rarest come first.
+    At the first one they share, at places p and q, at most 1 + min(m - p, n - q)
+    are shared in all, which must reach s / (1 + s) (m + n).  Of a shingle's
+    paragraphs, those outside its largest component are paired with the others.
+    """
+    order = Window.partitionBy("h1").orderBy("df", "shingle")
+    first = shingles_of.join(placed, "h1").withColumn("r", F.row_number().over(order)).where(
+        F.col("r") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).select("shingle", "h1", "n", "c", "r")
+    first = written(first, "paragraph-prefix")
+    largest = first.groupBy("shingle", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("shingle").agg(
+        F.max(F.struct("k", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select(
+        "shingle", F.col("top.c").alias("main"))
+    outside = first.join(largest, "shingle").where("c != main").select(
+        "shingle", F.col("h1").alias("src"), F.col("c").alias("sc"), F.col("n").alias("sn"), F.col("r").alias("sr"))
+    rest = first.select(F.col("shingle").alias("t"), F.col("h1").alias("dst"), F.col("c").alias("dc"),
+                        F.col("n").alias("dn"), F.col("r").alias("dr"))
+    room = F.least(F.col("sn") - F.col("sr"), F.col("dn") - F.col("dr")) + 1
+    return outside.join(rest, (F.col("shingle") == F.col("t")) & (F.col("sc") != F.col("dc")) & (
+        room >= similarity / (1 + similarity) * (F.col("sn") + F.col("dn")) - 1e-9)).select(
+        F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
+
+
+def classes(docs: DataFrame, paragraphs: DataFrame, id_col: str, text_col: str, similarity: float = SIMILARITY,
+            crowd: int = CROWD) -> DataFrame:
+    """``(node, component)``: the class of every paragraph (line hash) with a verified link to another one."""
     keyed = paragraphs.where("keys is not null").select("h1", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
     met = written(keyed.join(shared, "key", "left_semi").distinct(), "paragraph-met")
-    held = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("hub"))
-    met = written(met.join(held, "key"), "paragraph-bands")
-
-    wanted = first_places(paragraphs.where("keys is not null").select("doc_id", "line_no", "h1", "h2")).join(
-        met.select("h1").distinct(), "h1", "left_semi")
+    wanted = written(first_places(paragraphs.where("keys is not null").select("doc_id", "line_no", "h1", "h2")).join(
+        met.select("h1").distinct(), "h1", "left_semi"), "paragraph-wanted")
     sets = _shingle_sets(line_texts(docs, wanted, id_col, text_col, "paragraph-texts"))
-
+    strong = _with_partners(sets, similarity)
+
+    # the hub of a band is its most frequent paragraph: copies with edits lie around it
+    members = met.join(strong.select("h1").distinct().join(wanted.groupBy("h1").agg(F.sum("copies").alias("copies")), "h1"), "h1")
+    members = written(members, "paragraph-members")
+    held = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("copies", "h1")).alias("top")).where("n > 1")
+    met = written(members.select("key", "h1").join(held.select("key", "n", F.col("top.h1").alias("hub")), "key"),
+                  "paragraph-bands")
     few, full = met.where(F.col("n") <= crowd), met.where(F.col("n") > crowd)
     other = few.select(F.col("key").alias("k"), F.col("h1").alias("dst"))
     pairs = few.select("key", F.col("h1").alias("src")).join(
         other, (F.col("key") == F.col("k")) & (F.col("src") < F.col("dst"))).select("src", "dst")
-    star = full.where("h1 != hub").select(F.col("hub").alias("src"), F.col("h1").alias("dst"))
+    star = full.where("h1 != hub").select(F.least("hub", "h1").alias("src"), F.greatest("hub", "h1").alias("dst"))
     first = written(_verified(pairs.union(star).distinct(), sets, similarity), "paragraph-links")
-
-    # crowded bands: what the stars left outside the largest component of its band
-    label = edges_to_components(first)
-    placed = written(full.select("key", "h1").join(label, F.col("h1") == F.col("node"), "left").select(
-        "key", "h1", F.coalesce("component", "h1").alias("c")), "paragraph-placed")
-    largest = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
-        F.max(F.struct("n", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select(
-        "key", F.col("top.c").alias("main"))
-    outside = placed.join(largest, "key").where("c != main").select("key", F.col("h1").alias("src"), F.col("c").alias("sc"))
-    rest = placed.select(F.col("key").alias("k"), F.col("h1").alias("dst"), F.col("c").alias("dc"))
-    cross = outside.join(rest, (F.col("key") == F.col("k")) & (F.col("sc") != F.col("dc"))).select(
-        F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
-    return first.union(_verified(cross.distinct(), sets, similarity))
+    label = written(edges_to_components(first), "paragraph-labels")
+
+    placed = written(full.select("h1").distinct().join(label, F.col("h1") == F.col("node"), "left").select(
+        "h1", F.coalesce("component", "h1").alias("c")), "paragraph-placed")
+    cross = written(_verified(_prefix_pairs(strong, placed, similarity).distinct(), sets, similarity), "paragraph-cross")
+    if cross.isEmpty():
+        return label
+    # the components that the last links join
+    of_src = label.select(F.col("node").alias("src"), F.col("component").alias("s"))
+    of_dst = label.select(F.col("node").alias("dst"), F.col("component").alias("d"))
+    met = cross.join(of_src, "src", "left").join(of_dst, "dst", "left").select(
+        "src", "dst", F.coalesce("s", "src").alias("s"), F.coalesce("d", "dst").alias("d"))
+    met = written(met, "paragraph-joined")
+    joined = written(edges_to_components(met.select(F.col("s").alias("src"), F.col("d").alias("dst"))).toDF("at", "into"),
+                     "paragraph-into")
+    nodes = label.union(met.select("src", "s")).union(met.select("dst", "d")).distinct()
+    return nodes.join(joined, F.col("component") == F.col("at"), "left").select(
+        "node", F.coalesce("into", "component").alias("component"))
 
 
 def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
@@ -171,9 +222,9 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     bands = tuned_bands(similarity, rows)
     lines = line_table(docs, id_col, text_col, _columns(min_words, bands, rows),
                        [("n_words", "int", pa.int32()), ("keys", "array<bigint>", pa.list_(pa.int64()))], "paragraphs")
-    classes = edges_to_components(links(docs, lines, id_col, text_col, similarity, crowd))
+    class_of = classes(docs, lines, id_col, text_col, similarity, crowd)
     placed = written(lines.where("keys is not null").select("doc_id", "row", "line_no", "n_words", "h1").join(
-        classes, F.col("h1") == F.col("node"), "left").select(
+        class_of, F.col("h1") == F.col("node"), "left").select(
         "doc_id", "row", "line_no", "n_words", F.coalesce("component", "h1").alias("class")), "paragraph-classes")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no", "row")
     repeated = placed.groupBy("class").agg(F.min(place).alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1")
