@@ -5,7 +5,9 @@ and words in repeated 5-word windows.  Divergence: the histogram of the
 document's character classes, and the histogram of its common words, are
 compared with the reference of the document's language by Jensen-Shannon
 distance (base 2, between 0 and 1).  A document shorter than a minimum length
-gives no reliable histogram and is not judged by it (:class:`Limits`).
+gives no reliable histogram and is not judged by it (:class:`Limits`).  Either
+distance rejects alone when it exceeds its limit by more than the noise of the
+length; together they reject at a lower character distance.
 
 References are measured over all documents of the language that look like prose
 (:func:`references`), weighted by their length: sums per language,
@@ -66,6 +68,8 @@ class Limits:
     max_char_distance: float = 0.20
     char_noise: float = 2.0        # the distance of n characters may exceed the limit by char_noise / sqrt(n)
     max_word_distance: float = 0.28  # counts only together with max_char_distance
+    lone_word_distance: float = 0.17  # the word distance alone: a text above it, plus the noise of its length, goes
+    word_noise: float = 1.15       # the distance of n words may exceed that by word_noise / sqrt(n)
     max_reference_symbols: float = 0.03  # share of symbols above which a document is no reference
 
 
@@ -224,10 +228,12 @@ def judged(measured: DataFrame, refs: DataFrame, lang_col: str = "lang", limits:
     df = with_js_distance(df, _Q + "word_distance", _Q + "common_counts", _Q + "ref_words")
     n = F.col(_Q + "n_words")
     chars, size = F.col(_Q + "char_distance"), F.col(_Q + "word_chars")
+    common = F.col(_Q + "word_distance")
     strange_chars = (size >= limits.min_chars_judged) & (
         chars > limits.max_char_distance + limits.char_noise / F.sqrt(size.cast("double")))
-    strange_words = (n >= limits.min_words_judged) & (chars > limits.max_char_distance) & (
-        F.col(_Q + "word_distance") > limits.max_word_distance)
+    strange_words = (n >= limits.min_words_judged) & (
+        (chars > limits.max_char_distance) & (common > limits.max_word_distance)
+        | (common > limits.lone_word_distance + limits.word_noise / F.sqrt(n.cast("double"))))
     diverges = F.coalesce(strange_chars, F.lit(False)) | F.coalesce(strange_words, F.lit(False))
     return df.withColumn(_Q + "kept", ~F.col(_Q + "base_failed") & ~diverges)
 

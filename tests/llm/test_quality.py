@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -80,3 +81,21 @@ def test_native_plan_and_empty(spark):
     assert not re.search("Python|Pandas|Arrow", plan_text(quality.keep_rows(spark.read.parquet(f"{SMOKE_DIR}/documents.parquet"))))
     assert quality.verdicts(cases.empty(spark)).count() == 0
     assert quality.keep_rows(cases.empty(spark)).count() == 0
+
+
+def test_word_distance_rejects_alone(spark):
+    """Ordinary letters in the wrong language, or without common words, go; clean and short texts stay."""
+    def text(seed, lang, n, plain=0.3):
+        rng = random.Random(seed)
+        return " ".join(rng.choice(quality.COMMON_WORDS[lang]) if rng.random() < plain
+                        else "".join(rng.choices("eratonis", k=5)) for _ in range(n))
+    data = [(100 * k + i, text(100 * k + i, lang, 120), lang, "s", 1)
+            for k, lang in enumerate(quality.COMMON_WORDS) for i in range(20)]
+    wrong = [(1000, text(1, "en", 150), "de", "s", 1), (1001, text(2, "de", 150), "en", "s", 1),
+             (1002, text(3, "en", 150, 0), "en", "s", 1)]
+    short = [(2000, text(4, "de", 30), "en", "s", 1)]
+    rows = {r.doc_id: r for r in quality.verdicts(cases.documents(spark, data=data + wrong + short)).collect()}
+    assert all(rows[i]["__quality_kept"] for i, *_ in data + short)
+    for i, *_ in wrong:
+        assert not rows[i]["__quality_base_failed"] and rows[i]["__quality_char_distance"] < 0.2
+        assert not rows[i]["__quality_kept"]
