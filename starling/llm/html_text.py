@@ -1,9 +1,12 @@
 """HTML extraction by nearest-URL page differencing.
 
 A page becomes text lines, one per block, each with a role: *main* (inside an
-article or main element), *furniture* (inside an element that by name, class or
+article or main element), *furniture* (inside an element that by tag, class or
 role is a menu, header, footer, sidebar, notice, advert, form or comment list)
-or *open* (anywhere else).  Pages of a host are ordered by URL path, and each
+or *open* (anywhere else).  A class or id name marks an element only as a whole
+(``ad-box``, not ``has-sidebar``); with a mark among other words its lines are
+open.  Names never mark an article or main element, nor a wrapper that would
+take the page's only one.  Pages of a host are ordered by URL path, and each
 is paired with the neighbour that shares more leading path segments (the one
 before it on a tie).  The lines of the two pages are aligned by longest common
 subsequence, and the shared ones are deleted: they belong to the site, not to
@@ -41,6 +44,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from starling.llm.common import written
 
 OPEN, MAIN, FURNITURE = 0, 1, 2
+HARD = 3  # furniture whatever it holds
+_STRENGTH = (MAIN, OPEN, FURNITURE)
 STEP = 128
 
 # Elements whose text is never page text, and elements that are furniture.
@@ -62,6 +67,12 @@ _MARKS = frozenset("""
     newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related replies reply
     respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget
 """.split())
+# Words that only say that an element is a box: a class name of marks and these is a mark as a whole.
+_BOXES = frozenset("""
+    area articles aside bar block body bottom box button buttons col column container div global icon icons inner item
+    items left link links list main outer page pane panel posts right row section site slot stories title top unit wrap
+    wrapper zone
+""".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 
 _TOKEN = re.compile(
@@ -71,31 +82,62 @@ _ATTR = re.compile(r"""([^\s=/>"']+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
-def _is_furniture(tag: str, attrs: str, in_main: bool) -> bool:
+def _marked(value: str, in_main: bool) -> int:
+    """FURNITURE for a class or id value with a name that is a mark as a whole, OPEN for a name with a mark
+    among other words (``has-sidebar``, ``notice-text``), else MAIN."""
+    found = MAIN
+    for name in value.split():
+        words = {w.lower() for w in _WORDS.findall(name)}
+        marks = words & _MARKS if in_main else words & (_MARKS | {"header"})
+        if marks and all(w in _BOXES or w.isdigit() for w in words - marks):
+            return FURNITURE
+        if marks:
+            found = OPEN
+    return found
+
+
+def _verdict(tag: str, attrs: str, in_main: bool, holds_main: bool) -> int:
+    """HARD (by tag, role or style), FURNITURE (by a class or id name), OPEN (in doubt by a name) or MAIN.
+
+    Names say nothing of an article or main element, or of one that ``holds_main``.
+    """
     if tag in _FURNITURE_TAGS or tag == "header" and not in_main:
-        return True
+        return HARD
+    found = MAIN
     if not attrs.strip():
-        return False
+        return found
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), htmllib.unescape("".join(values))
         if name in ("class", "id"):
-            words = {w.lower() for w in _WORDS.findall(value)}
-            if words & _MARKS or ("header" in words and not in_main and tag != "body"):
-                return tag not in ("html", "body")
+            if not holds_main and tag not in _MAIN_TAGS and tag not in ("html", "body"):
+                found = max(found, _marked(value, in_main), key=_STRENGTH.index)
         elif name == "role" and value.lower() in _ROLES:
-            return True
+            return HARD
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return HARD
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return HARD
+    return found
 
 
 def page_lines(page: str) -> list[tuple[str, int]]:
     """The text lines of a page, in order, each with its role."""
+    holders: frozenset[int] = frozenset()
+    while True:
+        lines, found = _walk(page, holders)
+        if not found:
+            return lines
+        holders |= found  # names marked the wrappers of the article: read again without them
+
+
+def _walk(page: str, holders: frozenset[int]) -> tuple[list[tuple[str, int]], set[int]]:
+    """The lines and, for a page left without a main line, where the elements begin that are furniture by their
+    names though an article or main element is inside.  Names count for nothing at ``holders``."""
     lines: list[tuple[str, int]] = []
     buffer: list[str] = []
     stack: list[tuple[str, int]] = []
+    named: list[tuple[int, int]] = []  # (depth in the stack, place) of the open elements marked by their names
+    found: set[int] = set()
 
     def role() -> int:
         return stack[-1][1] if stack else OPEN
@@ -104,7 +146,7 @@ def page_lines(page: str) -> list[tuple[str, int]]:
         if buffer:
             text = " ".join(htmllib.unescape("".join(buffer)).split())
             if text:
-                lines.append((text, role()))
+                lines.append((text, min(role(), FURNITURE)))
             buffer.clear()
 
     def close(tag: str) -> None:
@@ -150,19 +192,26 @@ def page_lines(page: str) -> list[tuple[str, int]]:
         if tag in _VOID or attrs.rstrip().endswith("/"):
             continue
         inside = role()
-        if inside == FURNITURE:
-            here = FURNITURE
-        elif _is_furniture(tag, attrs, inside == MAIN):
-            if tag not in _BLOCKS:
-                flush()
-            here = FURNITURE
-        else:
-            here = MAIN if tag in _MAIN_TAGS else inside
+        while named and named[-1][0] >= len(stack):
+            named.pop()
+        here = HARD
+        if inside != HARD:
+            if tag in _MAIN_TAGS:
+                found.update(place for _, place in named)
+            here = _verdict(tag, attrs, inside == MAIN, m.start() in holders)
+            if here == FURNITURE:
+                named.append((len(stack), m.start()))
+            elif here != HARD and inside == FURNITURE:
+                here = FURNITURE
+            elif here == MAIN and tag not in _MAIN_TAGS:
+                here = inside
         if here != inside and tag not in _BLOCKS:
             flush()
         stack.append((tag, here))
     flush()
-    return lines
+    if any(r == MAIN for _, r in lines):
+        found.clear()
+    return lines, found
 
 
 # ---------------------------------------------------------------- alignment

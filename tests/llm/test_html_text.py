@@ -42,6 +42,25 @@ def test_lines_of_a_page(page, want):
     assert [t for t, role in H.page_lines(page) if role != H.FURNITURE] == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<div class="layout has-sidebar"><article><p>a<p>b</article></div>', ["a", "b"]),
+    ('<article class="post comments-open"><p>a</article>', ["a"]),
+    ('<main id="search-content"><p>a</main>', ["a"]),
+    ('<article><p>a<p class="notice-text">b<section class="related-work"><p>c</section></article>', ["a", "b", "c"]),
+    ('<div class=widget><div id=promo><article class=ad>a</article></div></div><div class=widget>w</div>', ["a"]),
+    ('<main><div class="sidebar"><article>a</article></div></main>', ["a"]),
+    # still furniture: whole names, also around articles when the page has a main text, and tags
+    ('<article>a</article><div class="sidebar-wrap x">s</div><ol class=comments><li><article>c</article></ol>', ["a"]),
+    ('<div class="ad top"><nav><article>n</article></nav>b</div><article>a</article>', ["a"]),
+])
+def test_class_names_do_not_take_the_article(page, want):
+    assert [t for t, role in H.page_lines(page) if role != H.FURNITURE] == want
+
+
+def test_many_marked_wrappers_are_read_twice():
+    assert H.page_lines("<div class=ad>" * 3000 + "<article>a") == [("a", H.MAIN)]
+
+
 def site(spark, rows, parts=4):
     return spark.createDataFrame(rows, SCHEMA).repartition(parts)
 
