@@ -24,8 +24,8 @@ pairs; a deletion variant equals at most one line.  Equal lines are one node.
 Every link found is verified on the texts (``levenshtein``) before it counts.
 
 Defined cases: null and empty texts have no lines; null ids come last;
-repeated rows count as copies of each other (the earlier place stays, and rows
-equal in id and text are dropped or kept alike); a very long line is hashed by
+rows are kept apart by their number, also without an id or with the same one
+(rows equal in id and text are copies, of which one stays); a very long line is hashed by
 prefix sums, in time proportional to its length; an empty table gives an empty
 result; other columns are ignored, whatever their names.
 """
@@ -199,32 +199,46 @@ def near_links(docs: DataFrame, lines: DataFrame, distinct: DataFrame, id_col: s
         F.levenshtein("line", "earlier", 1) >= 0).select("h1", "h2", "e1", "e2")
 
 
-def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every line with a word: doc_id, line_no, ``exact`` (the same line is earlier), ``near`` (a line within
-    one edit of it is earlier)."""
-    lines = line_table(docs, id_col, text_col, _line_keys, [("keys", "array<bigint>", pa.list_(pa.int64()))], "lines")
-    distinct = written(first_places(lines.select("doc_id", "line_no", "h1", "h2")), "line-first")
+def _marked_lines(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(lines of every row, the same with a word only and the marks ``exact`` and ``near``)."""
+    every = line_table(docs, id_col, text_col, _line_keys, [("keys", "array<bigint>", pa.list_(pa.int64()))], "lines",
+                       empty_rows=True)
+    lines = every.where("line_no >= 0")
+    distinct = written(first_places(lines.select("doc_id", "row", "line_no", "h1", "h2"), by_row=True), "line-first")
     near = near_links(docs, lines, distinct, id_col, text_col).select("h1", "h2").distinct().withColumn("near", F.lit(True))
-    marks = written(distinct.select("h1", "h2", F.col("doc_id").alias("first_id"), F.col("line_no").alias("first_no"))
+    marks = written(distinct.select("h1", "h2", F.col("row").alias("first_row"), F.col("line_no").alias("first_no"))
                     .join(near, ["h1", "h2"], "left").fillna(False, ["near"]), "line-marks")
-    return lines.select("doc_id", "line_no", "h1", "h2").join(marks, ["h1", "h2"]).select(
-        "doc_id", "line_no", (~(F.col("doc_id").eqNullSafe(F.col("first_id"))
-                                & (F.col("line_no") == F.col("first_no")))).alias("exact"), "near")
+    return every, lines.select("doc_id", "row", "line_no", "h1", "h2").join(marks, ["h1", "h2"]).select(
+        "doc_id", "row", "line_no", ((F.col("row") != F.col("first_row")) | (F.col("line_no") != F.col("first_no")))
+        .alias("exact"), "near")
+
+
+def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every line with a word: doc_id, row (number of the input row), line_no, ``exact`` (the same line is
+    earlier), ``near`` (a line within one edit of it is earlier)."""
+    return _marked_lines(docs, id_col, text_col)[1]
+
+
+def row_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_lines (with a word), n_exact, n_near, ``dropped`` (line numbers, in order)."""
+    every, marked = _marked_lines(docs, id_col, text_col)
+    gone = F.col("exact") | F.col("near")
+    without = every.where("line_no < 0").select(
+        "doc_id", "row", "line_no", F.lit(False).alias("exact"), F.lit(False).alias("near"))
+    return marked.union(without).groupBy(F.col("row").alias("__row")).agg(
+        F.first("doc_id").alias(id_col), F.count_if(F.col("line_no") >= 0).alias("n_lines"),
+        F.count_if("exact").alias("n_exact"), F.count_if(F.col("near") & ~F.col("exact")).alias("n_near"),
+        F.sort_array(F.collect_list(F.when(gone, F.col("line_no")))).alias("dropped")).drop("__row")
 
 
 def document_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_lines (with a word), n_exact, n_near, ``dropped`` (line numbers, in order)."""
-    marked = line_decisions(docs, id_col, text_col)
-    by_doc = marked.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.count_if("exact").alias("n_exact"),
-        F.count_if(F.col("near") & ~F.col("exact")).alias("n_near"),
-        F.sort_array(F.collect_set(F.when(F.col("exact") | F.col("near"), F.col("line_no")))).alias("dropped"))
-    ids = docs.select(F.col(id_col).alias("id")).distinct()
-    zero = F.lit(0).cast("long")
-    return ids.join(by_doc, F.col("id").eqNullSafe(F.col("doc_id")), "left").select(
-        F.col("id").alias(id_col), F.coalesce("n_lines", zero).alias("n_lines"),
-        F.coalesce("n_exact", zero).alias("n_exact"), F.coalesce("n_near", zero).alias("n_near"),
-        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    """:func:`row_decisions` with one row per id: counts are summed over the rows of an id, and a line number is
+    dropped when every row of the id drops it, so no row loses a line of its own."""
+    rows = row_decisions(docs, id_col, text_col)
+    return rows.groupBy(id_col).agg(
+        F.sum("n_lines").alias("n_lines"), F.sum("n_exact").alias("n_exact"), F.sum("n_near").alias("n_near"),
+        F.collect_list("dropped").alias("dropped")).withColumn("dropped", F.sort_array(F.aggregate(
+            "dropped", F.get("dropped", F.lit(0)), F.array_intersect)))
 
 
 def drop_lines(text: F.Column, dropped: F.Column) -> F.Column:

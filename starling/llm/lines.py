@@ -32,11 +32,12 @@ def text_lines(text: bytes) -> list[tuple[int, bytes]]:
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str, extra: Callable[[list[bytes]], list[list]],
-               extra_schema: list[tuple[str, str, pa.DataType]], purpose: str) -> DataFrame:
+               extra_schema: list[tuple[str, str, pa.DataType]], purpose: str, empty_rows: bool = False) -> DataFrame:
     """Written once: doc_id, row, line_no, h1, h2 and the ``extra`` columns of every line with a word.
 
     ``row`` numbers the input rows, so lines of rows without an id, or with the same one, stay apart.
-    ``extra`` maps a list of lines to one list of values per extra column.
+    ``extra`` maps a list of lines to one list of values per extra column.  With ``empty_rows`` an input row
+    without such a line has one with line number -1.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
@@ -48,7 +49,7 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, extra: Callable[[lis
                 piece = b.slice(at, STEP)
                 index, number, found = [], [], []
                 for i, text in enumerate(piece.column("text").cast(pa.binary())):
-                    for no, line in text_lines(text.as_py()):
+                    for no, line in text_lines(text.as_py()) or ([(-1, b"")] if empty_rows else []):
                         index.append(i)
                         number.append(no)
                         found.append(line)
@@ -68,15 +69,19 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, extra: Callable[[lis
     return written(rows.mapInArrow(run, schema), purpose)
 
 
-def first_places(lines: DataFrame) -> DataFrame:
+def first_places(lines: DataFrame, by_row: bool = False) -> DataFrame:
     """One row per distinct line: h1, h2, its first place (``doc_id``, ``line_no``; null ids last), ``copies``.
 
+    ``by_row`` tells places of rows without an id, or with the same one, apart and adds the place's ``row``.
+
     Map-side minima: a line that a third of all documents hold is reduced before the shuffle.
     """
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no"))
+    more = ["row"] if by_row else []
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no", *more))
     return lines.groupBy("h1", "h2").agg(
         first.alias("f"), F.count(F.lit(1)).alias("copies")).select(
-        "h1", "h2", F.col("f.doc_id").alias("doc_id"), F.col("f.line_no").alias("line_no"), "copies")
+        "h1", "h2", F.col("f.doc_id").alias("doc_id"), F.col("f.line_no").alias("line_no"),
+        *[F.col(f"f.{c}").alias(c) for c in more], "copies")
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, purpose: str) -> DataFrame:

@@ -82,7 +82,7 @@ def op9_simhash_groups(spark, sf_dir):
 
 def op10_line_dedup(spark, sf_dir):
     """Every document with its lines that an equal or nearly equal earlier line drops."""
-    return line_dedup.document_decisions(documents(spark, sf_dir))
+    return line_dedup.row_decisions(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {

@@ -72,6 +72,18 @@ def test_awkward_rows(spark):
     assert L.document_decisions(cases.empty(spark)).count() == 0
 
 
+def test_rows_without_an_id_or_with_the_same_one_stay_apart(spark):
+    a, b, c, d = (f"line {x} of some length {x * 9}" for x in "pqrs")
+    data = [(1, a, "en", "s", 1), (None, f"{b}\n{a}", "en", "s", 1), (None, f"{a}\n{c}", "en", "s", 1),
+            (7, d, "en", "s", 1), (7, d, "en", "s", 1), (8, None, "en", "s", 0), (None, "", "en", "s", 0)]
+    df = cases.documents(spark, data=data)
+    got = sorted(((r.doc_id, r.n_lines, r.n_exact, r.dropped) for r in L.row_decisions(df).collect()), key=repr)
+    assert got == sorted([(1, 1, 0, []), (None, 2, 1, [1]), (None, 2, 1, [0]), (7, 1, 0, []), (7, 1, 1, [0]),
+                          (8, 0, 0, []), (None, 0, 0, [])], key=repr)
+    by_id = {r.doc_id: r.dropped for r in L.document_decisions(df).collect()}
+    assert by_id == {1: [], None: [], 7: [], 8: []}  # no line number that another row keeps
+
+
 def whole(s):
     return L.variants(s, [0], 1)[0][-1]
 
