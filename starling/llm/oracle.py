@@ -121,9 +121,89 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT (
          coalesce(word_chars >= {_L.min_chars_judged}
                   AND dc > {_L.max_char_distance} + {_L.char_noise} / sqrt(greatest(word_chars, 1)), false)
-         OR coalesce(n_words >= {_L.min_words_judged} AND dc > {_L.max_char_distance}
-                     AND dw > {_L.max_word_distance}, false)) AS kept
+         OR coalesce(n_words >= {_L.min_words_judged} AND (
+                       dc > {_L.max_char_distance} AND dw > {_L.max_word_distance}
+                       OR dw > {_L.lone_word_distance} + {_L.word_noise} / sqrt(greatest(n_words, 1))), false)) AS kept
 FROM far
 """
 
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op2_exact_dedup": OP2, "op3_quality_rules": OP3}
+
+# Every contiguous phrase of one to four words of every piece, counted as text.
+OP11 = rf"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, string_split_regex({_LOWERED}, '[.,;:!?\x0A-\x0D]') AS pieces FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)
+), total AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), started AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w
+), f AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f
+  FROM started CROSS JOIN range(1, 5) AS x(k) WHERE i + k - 1 <= len(w)
+  GROUP BY ALL HAVING count(*) >= 30
+), cut AS (
+  SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS c FROM f WHERE k > 1
+), scored AS (
+  SELECT cut.lang, cut.phrase, cut.f AS a, c, x.f AS l, y.f AS r,
+         CAST(CAST(2000000 AS HUGEINT) * cut.f // (x.f + y.f) AS BIGINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(list_slice(w, 1, c), ' ')
+           JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(list_slice(w, c + 1, cut.k), ' ')
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS o FROM scored
+), inner_phrases AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, max(f) AS longest
+  FROM (SELECT DISTINCT lang, k, w, f FROM cut) CROSS JOIN range(2, 4) AS x(m) CROSS JOIN range(1, 4) AS y(i)
+  WHERE m < k AND i + m - 1 <= k GROUP BY ALL
+), ranked AS (
+  SELECT s.lang, s.phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM lowest s LEFT JOIN inner_phrases i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE o = 1 AND (longest IS NULL OR CAST(100 AS HUGEINT) * longest < CAST(80 AS HUGEINT) * a)
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
+"""
+
+# Terms straight from the texts; every pair of sources over every kept term.
+OP12 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWERED} AS t FROM documents
+), o AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x{{00}}-\x{{40}}\x{{5B}}-\x{{60}}\x{{7B}}-\x{{7F}}]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), v AS (
+  SELECT lang, (SELECT count(*) FROM kept k WHERE k.lang = g.lang) AS v FROM (SELECT DISTINCT lang FROM d) g
+), c AS (
+  SELECT o.lang, o.source, o.term, count(*) AS c FROM o JOIN kept ON kept.lang = o.lang AND kept.term = o.term GROUP BY ALL
+), n AS (
+  SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) g
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY ALL
+), p AS (
+  SELECT n.lang, n.source, kept.term, coalesce(c.c, 0) AS c,
+         CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 5) // (n.n + 5 * v.v) AS BIGINT) AS p
+  FROM n JOIN kept ON kept.lang = n.lang JOIN v ON v.lang = n.lang
+  LEFT JOIN c ON c.lang = n.lang AND c.source = n.source AND c.term = kept.term
+), q AS (
+  SELECT x.lang, x.term, CAST(1 + CAST(1000000000 AS HUGEINT) * (x.c + 5) // (y.n + 5 * v.v) AS BIGINT) AS q
+  FROM (SELECT lang, term, sum(c) AS c FROM p GROUP BY ALL) x
+  JOIN (SELECT lang, sum(n) AS n FROM n GROUP BY ALL) y ON y.lang = x.lang JOIN v ON v.lang = x.lang
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce((
+    SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y ON y.lang = x.lang AND y.term = x.term
+    WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM n a JOIN n b ON a.lang = b.lang AND a.source <> b.source
+), term AS (
+  SELECT p.lang, p.source, p.term AS item, p.p - q.q AS value
+  FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.c > 0 AND p.p > q.q
+), listed AS (
+  SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value FROM pair
+  UNION ALL SELECT lang, source, 'term', item, value FROM term
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM listed
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op2_exact_dedup": OP2, "op3_quality_rules": OP3,
+                          "op11_collocations": OP11, "op12_source_audit": OP12}

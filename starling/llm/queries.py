@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starling.llm import exact_dedup, html_text, line_dedup, mixing, packing, paragraph_dedup, quality, simhash, token_count, toxicity
+from starling.llm import collocations, exact_dedup, html_text, license_scan, line_dedup, mixing, packing, paragraph_dedup, quality, simhash, source_audit, token_count, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +85,21 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.row_decisions(documents(spark, sf_dir))
 
 
+def op11_collocations(spark, sf_dir):
+    """The first 2,000 collocations of every language."""
+    return collocations.top_phrases(collocations.collocations(documents(spark, sf_dir)))
+
+
+def op12_source_audit(spark, sf_dir):
+    """Every source of a language against the others, and the terms it uses more than the language does."""
+    return source_audit.audit(documents(spark, sf_dir))
+
+
+def op13_license_scan(spark, sf_dir):
+    """Every document with its licence phrases and the labels of the licence texts it holds."""
+    return license_scan.labelled(license_scan.scan(documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
@@ -96,4 +111,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_line_dedup": op10_line_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_source_audit": op12_source_audit,
+    "op13_license_scan": op13_license_scan,
 }

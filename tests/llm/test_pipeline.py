@@ -34,7 +34,7 @@ def test_query_matches_its_sql(spark, duck, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages_follow_each_other(spark):
