@@ -8,6 +8,7 @@ holds all of these, or none, is a class of bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -68,13 +69,18 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+@lru_cache(maxsize=2)
+def _block_powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
-    if n:
-        out[0] = 1
+    out[0] = 1
     return np.multiply.accumulate(out)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0, base ** 1 and so on; those of a usual block are kept by the worker."""
+    return _block_powers(base, BLOCK)[:n] if n <= BLOCK else _block_powers.__wrapped__(base, n)
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every span: a polynomial in its bytes, from running sums.
 
@@ -94,12 +100,10 @@ def gather(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
         None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[index]))]).cast(pa.string())
 
 
-def sums_by_key(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys in order, and the sum of the values of each."""
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
-    return key[first], np.add.reduceat(value[order], first) if len(first) else value[:0]
+def sums_by_key(key: np.ndarray, value: np.ndarray) -> pa.Table:
+    """The distinct hashes ``h`` (as longs) and the sum ``c`` of the values of each."""
+    t = pa.table([pa.array(key.view(np.int64)), pa.array(value)], names=["h", "c"])
+    return t.group_by("h", use_threads=False).aggregate([("c", "sum")]).rename_columns(["h", "c"])
 
 
 def hash_set(hashes: DataFrame, column: str, bits: int = SET_BITS) -> np.ndarray:
