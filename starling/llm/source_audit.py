@@ -3,25 +3,25 @@
 Which terms does a source use more, or less, than the other sources of its
 language?  Texts are cut at white space into chunks (A-Z lower-cased), and most
 of a corpus is a small number of distinct chunks.  So the chunks are counted per
-document and added up per (language, source) (:func:`chunk_counts`); each
-globally distinct chunk is cut into terms once; its terms are joined back to the
-counts and added up (:func:`term_parts`, :func:`term_counts`): occurrences, and bounds of the
-distinct documents.
+document and added up; each globally distinct chunk is cut into terms once, and
+its terms are joined back to the counts (:func:`term_parts`, :func:`term_counts`).
 
 Distinct documents.  Two chunks of one document may hold the same term (``tree``
 and ``tree,``), so a term's documents lie between the largest count of one of
-its chunks and the sum over its chunks, source by source.  The least number of
-documents decides a term outright when both bounds fall on one side of it.  For
-the rest, which by then have few documents a chunk, the documents are read again
-and the distinct documents are counted exactly (:func:`kept_terms`); which
-chunks to look for goes to the tasks as a hash set of fixed size, and an exact
-join follows.
+its chunks and the sum over its chunks.  The first pass over the documents
+counts chunks per language only, and these bounds leave few terms: those below
+the least number of documents are out.  The second pass counts the chunks of the
+others per source.  A term between its bounds has few documents a chunk; for
+these the second pass names the documents too, and they are counted exactly.
+Which chunks to look for goes to the tasks as hash sets of fixed size; exact
+joins follow, so a chunk too many is no harm.
 
 At scale: a task adds up its blocks of documents before anything is shuffled.
-Counts are dealt out by chunk, where the distinct chunks are cut and joined back
-without a second shuffle, then by (language, term).  Nothing is broadcast but
-the hash set.  Sources are compared in blocks of terms, each a dense matrix of
-bounded size in one task (:func:`pair_differences`); a block gives one partial sum a pair.
+The first pass is dealt out by chunk, where the distinct chunks are cut and
+joined back without a second shuffle.  Only the hash sets, and chunk tables of
+measured size, are broadcast.  Sources are compared in blocks of terms, each a
+dense matrix of bounded size in one task (:func:`pair_differences`); a block
+gives one partial sum a pair.
 
 Shares are exact integers in parts per billion (:data:`UNIT`), smoothed by
 :data:`SMOOTHING` occurrences a term; products are decimals of 38 digits.
@@ -50,7 +50,7 @@ CHUNK = byte_class(" \t\n\x0b\x0c\r", inverted=True)
 MIN_DOCUMENTS, SMOOTHING, UNIT, TOP_TERMS = 30, 5, 1_000_000_000, 50
 BLOCK = 16 << 20
 #: Cells of a dense block of terms by sources.
-CELLS = 1 << 21
+CELLS = 1 << 17
 
 
 def _rows(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
@@ -58,93 +58,109 @@ def _rows(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> Dat
         (lang_col, "lang"), (source_col, "source"))], text_or_empty(text_col).alias("text"))
 
 
-def _chunks_of(b: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray):
-    """Distinct (row, chunk) of a block with their counts: row, code, count, and the chunks by code."""
+def _chunks_of(data: np.ndarray, bounds: np.ndarray, sets: tuple = ()):
+    """Distinct (row, chunk) of a block with their counts: row, code, count, the chunks by code, and for
+    each hash set of ``sets`` which chunks may be in it; with sets, only chunks of the first one count."""
     start, end, row = spans(data, bounds, CHUNK)
     coded = gather(data, start, end).dictionary_encode()
-    n = max(1, len(coded.dictionary))
-    key, count = np.unique(row * n + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
-    return key // n, key % n, count, coded.dictionary
+    code, chunks = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+    marks = []
+    if sets:
+        hashes = np.fromiter((xxhash.xxh64_intdigest(c, seed=42) for c in chunks.cast(pa.binary()).to_pylist()),
+                             dtype=np.uint64, count=len(chunks))
+        marks = [held(hashes, members) for members in sets]
+        use = marks[0][code] if len(code) else np.zeros(0, dtype=bool)
+        row, code = row[use], code[use]
+    key, count = _sums(row * max(1, len(chunks)) + code)
+    return key // max(1, len(chunks)), key % max(1, len(chunks)), count, chunks, marks
+
+
+def _sums(key: np.ndarray, value: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Distinct keys, how often each occurs, and the sum of its values."""
+    t = pa.table([pa.array(key), pa.array(key if value is None else value)], names=["key", "value"])
+    found = t.group_by("key", use_threads=False).aggregate([([], "count_all")] + ([] if value is None else [("value", "sum")]))
+    return tuple(found.column(c).to_numpy() for c in ("key", "count_all", "value_sum")[:2 if value is None else 3])
+
+
+def _numbered(names: list) -> tuple[np.ndarray, list]:
+    """The number of each name in the list of distinct names, and that list."""
+    number = {p: i for i, p in enumerate(dict.fromkeys(names))}
+    return np.fromiter(map(number.__getitem__, names), dtype=np.int64, count=len(names)), list(number)
 
 
 def chunk_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """Per block of documents: lang, source, chunk, docs (that hold it), occ (its occurrences in them)."""
+    """Per block of documents: lang, chunk, docs (of the block that hold it)."""
     def run(batches):
         for batch in batches:
             for b, data, bounds in blocks(batch, "text", BLOCK):
-                row, code, count, chunks = _chunks_of(b, data, bounds)
-                if not len(row):
-                    continue
-                names = pa.table([b.column("lang"), b.column("source")], names=["lang", "source"])
-                groups = names.group_by(["lang", "source"], use_threads=False).aggregate([])
-                number = {(a, c): i for i, (a, c) in enumerate(zip(*[x.to_pylist() for x in groups.columns]))}
-                group = np.array([number[p] for p in zip(b.column("lang").to_pylist(), b.column("source").to_pylist())])
-                key = group[row] * len(chunks) + code
-                order = np.argsort(key, kind="stable")
-                first = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
-                at = key[order][first]
-                of = pa.array(at // len(chunks))
+                row, code, _, chunks, _ = _chunks_of(data, bounds)
+                group, langs = _numbered(b.column("lang").to_pylist())
+                n = max(1, len(chunks))
+                key, count = _sums(group[row] * n + code)
                 yield pa.RecordBatch.from_arrays(
-                    [groups.column("lang").combine_chunks().take(of), groups.column("source").combine_chunks().take(of),
-                     chunks.take(pa.array(at % len(chunks))), pa.array(np.diff(np.append(first, len(key)))),
-                     pa.array(np.add.reduceat(count[order], first))],
-                    names=["lang", "source", "chunk", "docs", "occ"])
+                    [pa.array(langs, pa.string()).take(pa.array(key // n)), chunks.take(pa.array(key % n)), pa.array(count)],
+                    names=["lang", "chunk", "docs"])
 
-    return _rows(docs, text_col, lang_col, source_col).mapInArrow(
-        run, "lang string, source string, chunk string, docs long, occ long")
+    return _rows(docs, text_col, lang_col, source_col).mapInArrow(run, "lang string, chunk string, docs long")
 
 
 def term_parts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """Written once: lang, source, chunk, term, docs (that hold the chunk), occ (of the term in these chunks).
+    """Written once: lang, chunk, term, times (the term's in the chunk), docs (that hold the chunk).
 
     Dealt out by chunk once: the sums, the distinct chunks, their cutting and the join back all use it.
     """
-    dealt = chunk_counts(docs, text_col, lang_col, source_col).repartition("chunk")
-    counts = dealt.groupBy("chunk", "lang", "source").agg(F.sum("docs").alias("docs"), F.sum("occ").alias("occ"))
-    cut = counts.groupBy("chunk").agg(F.count(F.lit(1)).alias("groups")).select(
-        "chunk", F.explode(F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))).alias("term"))
+    dealt = chunk_counts(docs, text_col, lang_col, source_col).where(F.col("chunk").isNotNull()).repartition("chunk")
+    counts = dealt.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
+    # true of every chunk: both sides then read the same columns, so that the texts are read and dealt out once
+    cut = dealt.groupBy("chunk").agg(F.sum("docs").alias("docs"), F.count("lang").alias("rows")).where(
+        F.col("docs") >= F.col("rows")).select("chunk", F.explode(
+            F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))).alias("term"))
     cut = cut.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
-    return written(counts.join(cut, "chunk").select(
-        "lang", "source", "chunk", "term", "docs", (F.col("occ") * F.col("times")).alias("occ")), "audit-parts")
-
-
-def term_counts(parts: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """Written once: lang, source, term, occ (exact), least and most (bounds of its documents there), of
-    every term that may have ``min_documents`` documents in its language."""
-    sums = parts.repartition("lang", "term").groupBy("lang", "source", "term").agg(
-        F.sum("occ").alias("occ"), F.max("docs").alias("least"), F.sum("docs").alias("most"))
-    often = sums.groupBy("lang", "term").agg(F.sum("most").alias("all")).where(F.col("all") >= min_documents)
-    return written(sums.join(often.select("lang", "term"), ["lang", "term"], "left_semi"), "audit-terms")
-
-
-def kept_terms(docs: DataFrame, parts: DataFrame, counts: DataFrame, text_col: str = "text", lang_col: str = "lang",
-               source_col: str = "source", min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """Written once: lang, term of the terms in at least ``min_documents`` documents of the language."""
-    bounds_of = written(counts.groupBy("lang", "term").agg(F.sum("least").alias("least")), "audit-bounds")
-    sure = bounds_of.where(F.col("least") >= min_documents).select("lang", "term")
-    undecided = bounds_of.where(F.col("least") < min_documents).select("lang", "term")
-    chunks_of = written(parts.select("lang", "chunk", "term").join(
-        bounded_broadcast(undecided), ["lang", "term"]).distinct(), "audit-undecided")
-    wanted = docs.sparkSession.sparkContext.broadcast(
-        hash_set(chunks_of.select(F.xxhash64("chunk").alias("h")), "h"))
+    return written(counts.join(cut, "chunk").select("lang", "chunk", "term", "times", "docs"), "audit-parts")
+
+
+def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
+                min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
+    """(lang, source, term, count) and (lang, term) of the terms in ``min_documents`` documents of the language at least."""
+    parts = term_parts(docs, text_col, lang_col, source_col)
+    bounds_of = parts.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
+    bounds_of = written(bounds_of.where(F.col("most") >= min_documents).select(
+        "lang", "term", (F.col("least") < min_documents).alias("undecided")), "audit-bounds")
+    wanted = written(parts.join(bounded_broadcast(bounds_of), ["lang", "term"]).select(
+        "lang", "chunk", "term", "times", "undecided"), "audit-wanted")
+    context = docs.sparkSession.sparkContext
+    hashes = wanted.select(F.xxhash64("chunk").alias("h"), "undecided")
+    look_for = context.broadcast((hash_set(hashes, "h"), hash_set(hashes.where("undecided"), "h")))
 
     def run(batches):
-        row = TaskContext.get().partitionId() << 33
+        before = TaskContext.get().partitionId() << 33
         for batch in batches:
             for b, data, bounds in blocks(batch, "text", BLOCK):
-                at, code, _, chunks = _chunks_of(b, data, bounds)
-                hashes = np.fromiter((xxhash.xxh64_intdigest(c, seed=42) for c in chunks.cast(pa.binary()).to_pylist()),
-                                     dtype=np.uint64, count=len(chunks))
-                use = np.flatnonzero(held(hashes, wanted.value)[code]) if len(code) else np.zeros(0, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(at[use] + row), b.column("lang").take(pa.array(at[use])), chunks.take(pa.array(code[use]))],
-                    names=["row", "lang", "chunk"])
-                row += b.num_rows
-
-    held_by = _rows(docs, text_col, lang_col, source_col).mapInArrow(run, "row long, lang string, chunk string")
-    exact = held_by.join(chunks_of, ["lang", "chunk"]).select("lang", "term", "row").distinct().groupBy("lang", "term").agg(
-        F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_documents).select("lang", "term")
-    return written(sure.union(exact), "audit-kept")
+                row, code, count, chunks, marks = _chunks_of(data, bounds, look_for.value)
+                group, names = _numbered(list(zip(b.column("lang").to_pylist(), b.column("source").to_pylist())))
+                langs, sources = (pa.array([p[k] for p in names], pa.string()) for k in (0, 1))
+                n = max(1, len(chunks))
+                key, _, occ = _sums(group[row] * n + code, count)
+                named = np.flatnonzero(marks[1][code]) if len(code) else code
+                for at, of, times, place in (
+                        (key // n, key % n, pa.array(occ), pa.nulls(len(key), pa.int64())),
+                        (group[row[named]], code[named], pa.nulls(len(named), pa.int64()), pa.array(before + row[named]))):
+                    yield pa.RecordBatch.from_arrays(
+                        [langs.take(pa.array(at)), sources.take(pa.array(at)), chunks.take(pa.array(of)), times, place],
+                        names=["lang", "source", "chunk", "occ", "row"])
+                before += b.num_rows
+
+    # sums per group and chunk, and beside them one row per document for the terms to be counted exactly
+    found = _rows(docs, text_col, lang_col, source_col).mapInArrow(
+        run, "lang string, source string, chunk string, occ long, row long")
+    found = found.groupBy("lang", "source", "chunk", "row").agg(F.sum("occ").alias("occ"))
+    found = written(found.join(bounded_broadcast(wanted), ["lang", "chunk"]).select(
+        "lang", "source", "term", (F.col("occ") * F.col("times")).alias("occ"), "row", "undecided"), "audit-found")
+    exact = found.where(F.col("undecided") & F.col("row").isNotNull()).select("lang", "term", "row").distinct().groupBy(
+        "lang", "term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_documents)
+    kept = written(bounds_of.where(~F.col("undecided")).select("lang", "term").union(exact.select("lang", "term")), "audit-kept")
+    counts = found.where(F.col("row").isNull()).groupBy("lang", "source", "term").agg(F.sum("occ").alias("count"))
+    return written(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "count"), "audit-counts"), kept
 
 
 def _share(count: Column, total: Column, n_terms: Column, smoothing: int, unit: int) -> Column:
@@ -154,27 +170,25 @@ def _share(count: Column, total: Column, n_terms: Column, smoothing: int, unit:
                            total.cast(big) + n_terms.cast(big) * F.lit(smoothing).cast("decimal(6,0)")).cast("long") + 1
 
 
-def shares(docs: DataFrame, counts: DataFrame, kept: DataFrame, text_col: str = "text", lang_col: str = "lang",
+def shares(docs: DataFrame, counts: DataFrame, kept: DataFrame, lang_col: str = "lang",
            source_col: str = "source", smoothing: int = SMOOTHING, unit: int = UNIT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Written once each: groups (lang, source, total, n_terms, unseen: the share of a term without occurrences),
-    group terms (lang, source, term, count, p) with an occurrence, and language terms (lang, term, q)."""
-    held_terms = counts.join(kept, ["lang", "term"]).select("lang", "source", "term", F.col("occ").alias("count"))
-    held_terms = written(held_terms, "audit-counts")
-    groups = _rows(docs, text_col, lang_col, source_col).select("lang", "source").distinct()
+    """Groups (lang, source, total, n_terms, unseen: the share of a term without occurrences), written once;
+    group terms (lang, source, term, p) with an occurrence, and language terms (lang, term, q)."""
+    groups = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in (
+        (lang_col, "lang"), (source_col, "source"))]).distinct()
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"))
-    totals = held_terms.groupBy("lang", "source").agg(F.sum("count").alias("total"))
+    totals = counts.groupBy("lang", "source").agg(F.sum("count").alias("total"))
     zero = F.lit(0).cast("long")
     groups = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").select(
         "lang", "source", F.coalesce("total", zero).alias("total"), F.coalesce("n_terms", zero).alias("n_terms"))
     groups = written(groups.withColumn("unseen", F.when(F.col("n_terms") > 0, _share(
         zero, F.col("total"), F.greatest("n_terms", F.lit(1)), smoothing, unit))), "audit-groups")
-    own = held_terms.join(groups.drop("unseen"), ["lang", "source"])
-    own = written(own.select("lang", "source", "term", "count", _share(
-        F.col("count"), F.col("total"), F.col("n_terms"), smoothing, unit).alias("p")), "audit-shares")
+    own = counts.join(groups.drop("unseen"), ["lang", "source"]).select("lang", "source", "term", _share(
+        F.col("count"), F.col("total"), F.col("n_terms"), smoothing, unit).alias("p"))
     whole = groups.groupBy("lang").agg(F.sum("total").alias("total"), F.max("n_terms").alias("n_terms"))
-    of_lang = held_terms.groupBy("lang", "term").agg(F.sum("count").alias("count")).join(whole, "lang").select(
+    of_lang = counts.groupBy("lang", "term").agg(F.sum("count").alias("count")).join(whole, "lang").select(
         "lang", "term", _share(F.col("count"), F.col("total"), F.col("n_terms"), smoothing, unit).alias("q"))
-    return groups, own, written(of_lang, "audit-languages")
+    return groups, own, of_lang
 
 
 def pair_differences(groups: DataFrame, own: DataFrame, cells: int = CELLS) -> DataFrame:
@@ -218,10 +232,8 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
           min_documents: int = MIN_DOCUMENTS, top_terms: int = TOP_TERMS) -> DataFrame:
     """lang, source, part, item, value, rank: every other source by its distance (``pair``), and the terms the
     source uses more than its language does (``term``, the first ``top_terms``)."""
-    parts = term_parts(docs, text_col, lang_col, source_col)
-    counts = term_counts(parts, min_documents)
-    kept = kept_terms(docs, parts, counts, text_col, lang_col, source_col, min_documents)
-    groups, own, of_lang = shares(docs, counts, kept, text_col, lang_col, source_col)
+    counts, kept = term_counts(docs, text_col, lang_col, source_col, min_documents)
+    groups, own, of_lang = shares(docs, counts, kept, lang_col, source_col)
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = pair_differences(groups, own).select(
         "lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"), "value")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Bytes of text a task works on at a time (a longer text is a block of its own).
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Size of a set of hashes that is sent to the tasks: 2^26 bits, 8 MB, whatever the input.
 SET_BITS = 26
 
