@@ -1,17 +1,31 @@
 """Substring dedup: paragraph MinHash banding, exact verification, components.
 
-A paragraph is a line of at least ``MIN_WORDS`` words.  Its set of 5-word
-shingles (A-Z lower-cased) gets a MinHash signature cut into bands; paragraphs
-that share a band are candidates, and a pair is linked when the exact Jaccard
-similarity of their shingle sets is 0.8 or more.  Bands are tuned for recall:
-with ``ROWS`` rows a band, :func:`tuned_bands` takes the least number of bands
-that misses a pair at the threshold with probability 1e-4 at most.  Linked
-paragraphs form classes (connected components); equal paragraphs are one node.
+Paragraphs.  A pasted passage stands anywhere, also inside a line, so paragraphs
+follow the words, not the lines: a cut falls before the word whose hash with the
+word ahead of it is the least of some ``SPREAD`` neighbours in a row
+(:func:`cuts`).  Cuts depend on the words around them alone; two of them are at
+most ``SPREAD`` words apart, about half of that on average, and any run of
+2 * ``SPREAD`` words holds a whole paragraph of its own.
+
+Each paragraph's set of 5-word shingles (A-Z lower-cased) gets MinHash values,
+one a band; paragraphs that share a band are candidates, and a pair is linked when
+the exact Jaccard similarity of their shingle sets is 0.8 or more.  Bands are
+tuned for recall: :func:`tuned_bands` takes the least number that misses a pair at
+the threshold with probability ``MISS`` at most.  A band is one minimum: a 5-word
+shingle is rare enough as it is.  Linked paragraphs form classes (connected
+components); equal paragraphs are one node.
 
 A passage is a run of paragraphs, one after the other in a document, whose
 classes all occur elsewhere; it counts when it has at least
-``MIN_PASSAGE_WORDS`` words.  Of a class, the earliest paragraph (least
-document id, then line) stays and the others are removed, passage by passage.
+``MIN_PASSAGE_WORDS`` words.  A shorter run is extended word by word: around its
+longest paragraph it is compared with another place of that paragraph, and it
+counts when the longest equal run of words there is long enough
+(:func:`extended`).  Of a class, the earliest paragraph (least document id, then
+place) stays and the others are removed, passage by passage.
+
+First filter.  Most paragraphs share no band with any other.  Band values are
+counted first, as bare numbers; those that occur twice go to the tasks as a hash
+set of fixed size, and only paragraphs that hold one go on.
 
 Crowded bands.  Candidates that cannot have a partner, because too many of their
 shingles occur in no other candidate, leave first.  A band value held by at
@@ -22,10 +36,13 @@ their rarest shingles (the prefix filter, which loses no pair).  Pairs inside
 one component need no comparison, so nothing is lost, and a group of thousands
 of near copies costs about one comparison each.
 
+Texts of candidates are read again by the hash of their document's text, so that
+rows without an id, or with the same one, stay apart.
+
 Defined cases: null and empty texts have no paragraphs; null ids come last;
 repeated rows are copies of each other; rows that share an id are compared like
-any others; an empty table gives an empty result; other columns are ignored,
-whatever their names.
+any others; a text of any length is read whole; an empty table gives an empty
+result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,28 +51,26 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starling.llm.common import edges_to_components, written
-from starling.llm.lines import STEP, first_places, line_table, line_texts
+from starling.llm.common import WORD, arrow_map, bounded_broadcast, edges_to_components, text_or_empty, written
+from starling.llm.text_bytes import blocks, byte_class, gather, hash_set, held, mix, powers, spans, word_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
-MIN_WORDS, MIN_PASSAGE_WORDS = 10, 50
-ROWS, MISS = 2, 1e-4
+SPREAD, MIN_PASSAGE_WORDS = 24, 50
+MISS = 1e-2
 CROWD = 8
+STEP = 256
 
+WORD_BYTES = byte_class(" \t\n\x0b\x0c\r", inverted=True)
+_LAST = np.uint64(2**64 - 1)
 
-def tuned_bands(similarity: float = SIMILARITY, rows: int = ROWS, miss: float = MISS) -> int:
-    """The least number of bands that misses a pair at ``similarity`` with probability ``miss`` at most."""
-    return math.ceil(math.log(miss) / math.log(1 - similarity ** rows))
 
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def tuned_bands(similarity: float = SIMILARITY, miss: float = MISS) -> int:
+    """The least number of bands that misses a pair at ``similarity`` with probability ``miss`` at most."""
+    return math.ceil(math.log(miss) / math.log(1 - similarity) - 1e-9)
 
 
 def _numbers(n: int, seed: int) -> np.ndarray:
@@ -66,60 +81,144 @@ def _numbers(n: int, seed: int) -> np.ndarray:
 _PLACE = _numbers(SHINGLE, 1)
 
 
-def shingles(line: bytes) -> tuple[int, np.ndarray]:
-    """(words, distinct shingle hashes) of a lower-cased line; fewer words than a shingle make one."""
-    words = line.split()
-    w = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
-    n = len(w) - SHINGLE + 1
-    if n < 1:
-        return len(w), np.array([xxhash.xxh3_64_intdigest(b" ".join(words))], dtype=np.uint64)
-    total = np.zeros(n, dtype=np.uint64)
-    for k in range(SHINGLE):
-        total += w[k:k + n] * _PLACE[k]
-    return len(w), np.unique(_mix(total))
-
-
-def band_keys(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
-    """One row of band keys per set, all sets at once."""
-    starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
-    flat = np.concatenate(sets)
-    factors = _numbers(bands * rows, 2)
-    keys = np.empty((len(sets), bands), dtype=np.uint64)
-    for b in range(bands):
-        key = np.full(len(sets), b, dtype=np.uint64)
-        for f in factors[b * rows:(b + 1) * rows]:
-            key = _mix(key * np.uint64(31) + np.minimum.reduceat(_mix(flat * f), starts))
-        keys[:, b] = key
-    return keys
+def cuts(h: np.ndarray, row: np.ndarray, spread: int) -> np.ndarray:
+    """The first words of all paragraphs, for words with hashes ``h`` of texts ``row``.
 
+    The first word of a text has the least value, so no choice depends on the text before it.
+    """
+    if not len(h):
+        return np.zeros(0, dtype=np.int64)
+    value = np.zeros(len(h), dtype=np.uint64)
+    value[1:] = mix(h[:-1] * _PLACE[0] + h[1:] * _PLACE[1]) | np.uint64(1)
+    first = np.append(True, row[1:] != row[:-1])
+    value[first] = 0
+    chosen = first.copy()
+    if len(h) >= spread:
+        least = np.lib.stride_tricks.sliding_window_view(value, spread).argmin(axis=1)
+        chosen[np.arange(len(least)) + least] = True
+    return np.flatnonzero(chosen)
+
+
+def band_values(h: np.ndarray, start: np.ndarray, node: np.ndarray, bands: int) -> np.ndarray:
+    """One row of band values per paragraph: the least of its shingle hashes under each band's hash."""
+    stop = np.append(start[1:], len(h))
+    shingle = np.zeros(len(h), dtype=np.uint64)
+    for k in range(SHINGLE):
+        shingle[:len(h) - k] += h[k:] * _PLACE[k]
+    inside = np.arange(len(h)) + SHINGLE <= np.repeat(stop, stop - start)
+    shingle[start] = np.where(stop - start < SHINGLE, node, shingle[start])  # a short paragraph is one shingle
+    inside[start] = True
+    out = np.empty((len(start), bands), dtype=np.uint64)
+    for b, factor in enumerate(_numbers(bands, 2)):
+        out[:, b] = mix(np.minimum.reduceat(np.where(inside, mix(shingle * factor), _LAST), start) + np.uint64(b))
+    return out
+
+
+def _parsed(data: np.ndarray, bounds: np.ndarray, spread: int):
+    """Words of a block (start, end, row, hash) and its paragraphs (first word, row, number in the row, words, node)."""
+    begin, end, row = spans(data, bounds, WORD_BYTES)
+    h = word_hashes(data, begin, end)
+    start = cuts(h, row, spread)
+    of = row[start]
+    first_of = np.searchsorted(of, np.arange(len(bounds) - 1))  # first paragraph of each row
+    n = np.diff(np.append(start, len(h)))
+    total = np.zeros(len(h) + 1, dtype=np.uint64)
+    np.cumsum(h * powers(len(h)), out=total[1:])
+    node = mix((total[start + n] - total[start]) * powers(len(h), inverse=True)[start] + n.astype(np.uint64)) if len(h) else h
+    return begin, end, row, h, start, of, np.arange(len(start)) - first_of[of], n, node
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return rows.withColumn("content", F.xxhash64("text"))
+
+
+def paragraph_table(docs: DataFrame, id_col: str, text_col: str, bands: int, spread: int) -> DataFrame:
+    """Written once: doc_id, row (of the input), content (hash of the text), no, start (first word), n (words), h1, keys."""
+    rows = _rows(docs, id_col, text_col)
 
-def _lowered(lines: list[bytes]) -> list[bytes]:
-    return [x.lower() for x in lines]  # bytes.lower() changes A-Z only
-
+    def run(batches):
+        before = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for b, data, bounds in blocks(batch, "text"):
+                _, _, row, h, start, of, no, n, node = _parsed(data, bounds, spread)
+                keys = band_values(h, start, node, bands).view(np.int64) if len(start) else np.zeros((0, bands), dtype=np.int64)
+                first_word = start - np.searchsorted(row, of)
+                at = pa.array(of)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").take(at), pa.array(before + of), b.column("content").take(at), pa.array(no, pa.int32()),
+                     pa.array(first_word, pa.int64()), pa.array(n, pa.int32()), pa.array(node.view(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(start) + 1) * bands, pa.int32()), pa.array(keys.ravel()))],
+                    names=["doc_id", "row", "content", "no", "start", "n", "h1", "keys"])
+                before += b.num_rows
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return written(rows.mapInArrow(run, f"doc_id {id_type}, row long, content long, no int, start long, n int, h1 long, "
+                                        "keys array<bigint>"), "paragraphs")
+
+
+def shared_paragraphs(paragraphs: DataFrame) -> DataFrame:
+    """Written once: the paragraphs that share a band value with another place (some others may stay too)."""
+    often = paragraphs.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    wanted = paragraphs.sparkSession.sparkContext.broadcast(hash_set(written(often.select("key"), "paragraph-keys"), "key"))
+
+    def run(b):
+        keys = b.column("keys").flatten().to_numpy().view(np.uint64)
+        if b.num_rows:
+            use = held(keys, wanted.value).reshape(b.num_rows, -1).any(axis=1)
+            yield b.filter(pa.array(use))
+
+    return written(arrow_map(paragraphs, run, paragraphs.schema.simpleString()[7:-1].replace(":", " ")), "paragraph-shared")
+
+
+def _word_runs(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, purpose: str) -> DataFrame:
+    """Written once: content, first, stop, words (lower-cased, space between) of the ``wanted`` runs of words
+    (content, first, stop) of texts."""
+    places = wanted.groupBy("content").agg(F.collect_set(F.struct("first", "stop")).alias("places"))
+    places = bounded_broadcast(written(places, f"{purpose}-places"))
+    rows = _rows(docs, id_col, text_col).select("content", "text").join(places, "content")
 
-def _columns(min_words: int, bands: int, rows: int):
-    def extra(lines: list[bytes]) -> list[list]:
-        found = [shingles(x) for x in _lowered(lines)]
-        use = [i for i, (n, _) in enumerate(found) if n >= min_words]
-        keys: list = [None] * len(lines)
-        if use:
-            for i, row in zip(use, band_keys([found[i][1] for i in use], bands, rows).view(np.int64)):
-                keys[i] = row
-        return [[n for n, _ in found], keys]
-    return extra
+    def run(batches):
+        for batch in batches:
+            for b, data, bounds in blocks(batch, "text"):
+                begin, end, row = spans(data, bounds, WORD_BYTES)
+                size = end - begin + 1  # one space behind each word
+                place = np.concatenate(([0], np.cumsum(size)))
+                index = np.repeat(begin - place[:-1], size) + np.arange(place[-1])
+                spaced = np.append(data, np.uint8(32))[index]
+                spaced[place[1:] - 1] = 32
+                lo = np.searchsorted(row, np.arange(b.num_rows))
+                hi = np.searchsorted(row, np.arange(b.num_rows), side="right")
+                lists = b.column("places")
+                runs = lists.flatten()
+                of = np.repeat(np.arange(b.num_rows), np.diff(np.asarray(lists.offsets)))
+                first, stop = (runs.field(k).to_numpy() for k in (0, 1))
+                a, z = np.clip(lo[of] + first, lo[of], hi[of]), np.clip(lo[of] + stop, lo[of], hi[of])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("content").take(pa.array(of)), runs.field(0), runs.field(1),
+                     gather(spaced, place[a], np.maximum(place[z] - 1, place[a]))], names=["content", "first", "stop", "words"])
+
+    found = rows.mapInArrow(run, "content long, first long, stop long, words string")
+    return written(found.dropDuplicates(["content", "first", "stop"]), purpose)
+
+
+def shingles(words: bytes) -> np.ndarray:
+    """Distinct shingle hashes of a paragraph; fewer words than a shingle make one."""
+    words = words.split(b" ")
+    n = max(1, len(words) - SHINGLE + 1)
+    return np.unique(np.array([xxhash.xxh3_64_intdigest(b" ".join(words[i:i + SHINGLE])) for i in range(n)], dtype=np.uint64))
 
 
 def _shingle_sets(texts: DataFrame) -> DataFrame:
-    """Written once: h1, ``set`` (shingle hashes) of the candidate lines."""
+    """Written once: h1, ``set`` (shingle hashes) of the candidate paragraphs."""
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, STEP):
                 piece = b.slice(at, STEP)
-                sets = [shingles(x)[1].view(np.int64) for x in _lowered(piece.column("line").to_pylist())]
+                sets = [shingles(x).view(np.int64) for x in piece.column("words").cast(pa.binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([piece.column("h1"), pa.array(sets, pa.list_(pa.int64()))],
                                                  names=["h1", "set"])
-    return written(texts.select("h1", "line").mapInArrow(run, "h1 long, set array<bigint>")
-                   .dropDuplicates(["h1"]), "paragraph-sets")
+    return written(texts.select("h1", "words").mapInArrow(run, "h1 long, set array<bigint>"), "paragraph-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -171,22 +270,28 @@ def _prefix_pairs(shingles_of: DataFrame, placed: DataFrame, similarity: float)
         F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
 
 
-def classes(docs: DataFrame, paragraphs: DataFrame, id_col: str, text_col: str, similarity: float = SIMILARITY,
+def classes(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, similarity: float = SIMILARITY,
             crowd: int = CROWD) -> DataFrame:
-    """``(node, component)``: the class of every paragraph (line hash) with a verified link to another one."""
-    keyed = paragraphs.where("keys is not null").select("h1", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
-    met = written(keyed.join(shared, "key", "left_semi").distinct(), "paragraph-met")
-    wanted = written(first_places(paragraphs.where("keys is not null").select("doc_id", "line_no", "h1", "h2")).join(
-        met.select("h1").distinct(), "h1", "left_semi"), "paragraph-wanted")
-    sets = _shingle_sets(line_texts(docs, wanted, id_col, text_col, "paragraph-texts"))
+    """``(node, component)``: the class of every paragraph (hash) with a verified link to another one."""
+    nodes = written(shared.groupBy("h1").agg(
+        F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys"), F.min("content").alias("content")), "paragraph-nodes")
+    keyed = nodes.select("h1", F.explode("keys").alias("key"))
+    met = keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
+    met = written(keyed.join(met, "key", "left_semi"), "paragraph-met")
+    # one place of every candidate
+    at = shared.join(met.select("h1").distinct(), "h1", "left_semi").groupBy("h1", "content").agg(
+        F.min(F.struct("start", "n")).alias("p")).join(nodes.select("h1", "content", "copies"), ["h1", "content"])
+    wanted = written(at.select("h1", "content", F.col("p.start").alias("first"),
+                               (F.col("p.start") + F.col("p.n")).alias("stop"), "copies"), "paragraph-wanted")
+    texts = _word_runs(docs, wanted, id_col, text_col, "paragraph-texts")
+    sets = _shingle_sets(wanted.join(texts, ["content", "first", "stop"]))
     strong = _with_partners(sets, similarity)
 
     # the hub of a band is its most frequent paragraph: copies with edits lie around it
-    members = met.join(strong.select("h1").distinct().join(wanted.groupBy("h1").agg(F.sum("copies").alias("copies")), "h1"), "h1")
+    members = met.join(strong.select("h1").distinct().join(wanted.select("h1", "copies"), "h1"), "h1")
     members = written(members, "paragraph-members")
-    held = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("copies", "h1")).alias("top")).where("n > 1")
-    met = written(members.select("key", "h1").join(held.select("key", "n", F.col("top.h1").alias("hub")), "key"),
+    held_by = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("copies", "h1")).alias("top")).where("n > 1")
+    met = written(members.select("key", "h1").join(held_by.select("key", "n", F.col("top.h1").alias("hub")), "key"),
                   "paragraph-bands")
     few, full = met.where(F.col("n") <= crowd), met.where(F.col("n") > crowd)
     other = few.select(F.col("key").alias("k"), F.col("h1").alias("dst"))
@@ -214,32 +319,90 @@ def classes(docs: DataFrame, paragraphs: DataFrame, id_col: str, text_col: str,
         "node", F.coalesce("into", "component").alias("component"))
 
 
+def _place(*more: str) -> Column:
+    """Places in their order: documents by id, without one last."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start", "row", *more)
+
+
+def extended(docs: DataFrame, runs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(row, run, words): the short ``runs`` whose longest equal run of words with the other place is long enough.
+
+    ``runs``: row, run, content, start, stop, and at (content, start) the longest paragraph's other place
+    ``other_content``, ``other_start``, its own start ``seed``.  Both texts are cut out ``min_words`` around
+    the run, laid on each other at the paragraph, and compared word by word to both sides.
+    """
+    around = runs.select("row", "run", "content", "other_content",
+                         F.greatest(F.col("start") - min_words, F.lit(0)).alias("first"),
+                         (F.col("stop") + min_words).alias("stop"), "seed",
+                         F.greatest(F.col("other_start") - (F.col("seed") - F.col("start")) - min_words,
+                                    F.lit(0)).alias("other_first"),
+                         (F.col("other_start") + (F.col("stop") - F.col("seed")) + min_words).alias("other_stop"), "other_start")
+    around = written(around, "paragraph-short")
+    wanted = around.select("content", "first", "stop").union(
+        around.select("other_content", "other_first", "other_stop")).distinct()
+    texts = _word_runs(docs, wanted, id_col, text_col, "paragraph-around")
+    mine = around.join(texts, ["content", "first", "stop"]).withColumnRenamed("words", "mine")
+    both = mine.join(texts.toDF("other_content", "other_first", "other_stop", "theirs"),
+                     ["other_content", "other_first", "other_stop"])
+
+    def run(b):
+        out = []
+        for mine_, theirs, i, j in zip(*[b.column(c).to_pylist() for c in ("mine", "theirs", "at", "other_at")]):
+            x, y = mine_.split(" "), theirs.split(" ")
+            right = 0
+            while i + right < len(x) and j + right < len(y) and x[i + right] == y[j + right]:
+                right += 1
+            left = 0
+            while left < min(i, j) and x[i - left - 1] == y[j - left - 1]:
+                left += 1
+            out.append(left + right)
+        yield pa.RecordBatch.from_arrays([b.column("row"), b.column("run"), pa.array(out, pa.int64())],
+                                         names=["row", "run", "words"])
+
+    both = both.select("row", "run", "mine", "theirs", (F.col("seed") - F.col("first")).alias("at"),
+                       (F.col("other_start") - F.col("other_first")).alias("other_at"))
+    return arrow_map(both, run, "row long, run long, words long").where(F.col("words") >= min_words)
+
+
 def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
-             min_words: int = MIN_WORDS, min_passage_words: int = MIN_PASSAGE_WORDS, rows: int = ROWS,
+             min_passage_words: int = MIN_PASSAGE_WORDS, spread: int = SPREAD, miss: float = MISS,
              crowd: int = CROWD) -> DataFrame:
-    """One row per paragraph of a repeated passage: doc_id, line_no, n_words, passage_words,
-    keep_doc_id, keep_line_no (the paragraph of its class that stays) and removed."""
-    bands = tuned_bands(similarity, rows)
-    lines = line_table(docs, id_col, text_col, _columns(min_words, bands, rows),
-                       [("n_words", "int", pa.int32()), ("keys", "array<bigint>", pa.list_(pa.int64()))], "paragraphs")
-    class_of = classes(docs, lines, id_col, text_col, similarity, crowd)
-    placed = written(lines.where("keys is not null").select("doc_id", "row", "line_no", "n_words", "h1").join(
-        class_of, F.col("h1") == F.col("node"), "left").select(
-        "doc_id", "row", "line_no", "n_words", F.coalesce("component", "h1").alias("class")), "paragraph-classes")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no", "row")
-    repeated = placed.groupBy("class").agg(F.min(place).alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    marked = placed.join(repeated.select("class", "keep"), "class", "left")
-    # a passage: repeated paragraphs of one row with no other paragraph between them
-    at = Window.partitionBy("row").orderBy("line_no")
-    marked = marked.withColumn("hit", F.col("keep").isNotNull().cast("int"))
-    marked = marked.withColumn("run", F.row_number().over(at) - F.sum("hit").over(at)).where("hit = 1")
-    total = F.sum("n_words").over(Window.partitionBy("row", "run"))
-    return marked.withColumn("passage_words", total).where(F.col("passage_words") >= min_passage_words).select(
-        F.col("doc_id").alias(id_col), "line_no", "n_words", "passage_words",
-        F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no"),
-        ((F.col("row") != F.col("keep.row")) | (F.col("line_no") != F.col("keep.line_no"))).alias("removed"))
+    """One row per paragraph of a repeated passage: doc_id, start_word, n_words, passage_words,
+    keep_doc_id, keep_start_word (the paragraph of its class that stays) and removed."""
+    bands = tuned_bands(similarity, miss)
+    shared = shared_paragraphs(paragraph_table(docs, id_col, text_col, bands, spread))
+    class_of = classes(docs, shared, id_col, text_col, similarity, crowd)
+    placed = written(shared.drop("keys").join(class_of, F.col("h1") == F.col("node"), "left").select(
+        "doc_id", "row", "content", "no", "start", "n", F.coalesce("component", "h1").alias("class")), "paragraph-classes")
+    repeated = placed.groupBy("class").agg(F.min(_place()).alias("keep"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    marked = placed.join(repeated.select("class", "keep"), "class")
+    # a run: repeated paragraphs of one row with no other paragraph between them
+    marked = marked.withColumn("run", F.col("no") - F.row_number().over(Window.partitionBy("row").orderBy("no")))
+    marked = written(marked.withColumn("run", F.col("run").cast("long")).withColumn(
+        "passage_words", F.sum("n").over(Window.partitionBy("row", "run"))), "paragraph-runs")
+
+    short = marked.where((F.col("passage_words") < min_passage_words)).groupBy("row", "run", "content").agg(
+        F.min("start").alias("start"), F.max(F.col("start") + F.col("n")).alias("stop"),
+        F.max(F.struct("n", F.col("start").alias("seed"), "class")).alias("top")).where(F.col("top.n") >= SHINGLE)
+    short = short.select("row", "run", "content", "start", "stop", F.col("top.seed").alias("seed"), F.col("top.class").alias("class"))
+    # the other place of the longest paragraph: the first one of its class, or the last for the first itself
+    ends = placed.join(short.select("class").distinct(), "class", "left_semi").groupBy("class").agg(
+        F.min(_place("content")).alias("low"), F.max(_place("content")).alias("high"))
+    own = (F.col("low.row") == F.col("row")) & (F.col("low.start") == F.col("seed"))
+    short = short.join(ends, "class").withColumn("other", F.when(own, F.col("high")).otherwise(F.col("low"))).select(
+        "row", "run", "content", "start", "stop", "seed", F.col("other.content").alias("other_content"),
+        F.col("other.start").alias("other_start"))
+    longer = extended(docs, short, id_col, text_col, min_passage_words)
+    found = marked.where(F.col("passage_words") >= min_passage_words).unionByName(
+        marked.drop("passage_words").join(longer.withColumnRenamed("words", "passage_words"), ["row", "run"]))
+    return found.select(
+        F.col("doc_id").alias(id_col), F.col("start").alias("start_word"), F.col("n").alias("n_words"), "passage_words",
+        F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.start").alias("keep_start_word"),
+        ((F.col("row") != F.col("keep.row")) | (F.col("start") != F.col("keep.start"))).alias("removed"))
 
 
 def remove_passages(text: Column, removed: Column) -> Column:
-    """A document's text without the lines in ``removed``."""
-    return F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(removed, i)), "\n")
+    """A document's words without those of the paragraphs in ``removed``: an array of (start_word, n_words)."""
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    return F.array_join(F.filter(words, lambda _, i: ~F.exists(
+        removed, lambda p: (i >= p.start_word) & (i < p.start_word + p.n_words))), " ")

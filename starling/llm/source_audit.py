@@ -48,7 +48,7 @@ from starling.llm.text_bytes import blocks, byte_class, gather, hash_set, held,
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 CHUNK = byte_class(" \t\n\x0b\x0c\r", inverted=True)
 MIN_DOCUMENTS, SMOOTHING, UNIT, TOP_TERMS = 30, 5, 1_000_000_000, 50
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 #: Cells of a dense block of terms by sources.
 CELLS = 1 << 17
 

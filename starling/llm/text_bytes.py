@@ -81,6 +81,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _block_powers(base, BLOCK)[:n] if n <= BLOCK else _block_powers.__wrapped__(base, n)
 
 
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """The first ``n`` powers of the base of :func:`word_hashes`, or of its inverse."""
+    return _powers(_INVERSE if inverse else _BASE, n)
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every span: a polynomial in its bytes, from running sums.
 
