@@ -32,6 +32,7 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -59,7 +60,9 @@ class WordCache:
     a mark between a letter and white space is set apart, where the tokenizer
     cuts anyway; so most pieces are plain words, shared by many texts.  New
     words are encoded many at a time and cut apart at the ids that end a word;
-    other pieces are encoded one by one.  The cache starts anew when it is full.
+    other pieces are encoded one by one.  The tokenizer finds its special tokens
+    before it lower-cases, so a text that holds one in any case is a single
+    piece, as it stands.  The cache starts anew when it is full.
     """
 
     MARK = "([a-z\xdf-\xf6\xf8-\xff])([.,;:!?])([ \\n]|$)"
@@ -73,6 +76,8 @@ class WordCache:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith("</w>")
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = "(?i)" + "|".join(map(re.escape, added)) if added else None
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in
@@ -98,7 +103,16 @@ class WordCache:
     def _pieces(self, texts: pa.Array) -> pa.ListArray:
         latin = pc.invert(pc.match_substring_regex(texts, "[^\\x00-\xff]"))
         lowered = pc.replace_substring_regex(pc.utf8_lower(texts), self.MARK, r"\1 \2\3")
-        return pc.split_pattern(pc.replace_substring(pc.if_else(latin, lowered, texts), "\n", " "), " ")
+        ready = pc.replace_substring(pc.if_else(latin, lowered, texts), "\n", " ")
+        whole = pc.match_substring_regex(texts, self.special) if self.special else None
+        if whole is None or not pc.any(whole).as_py():
+            return pc.split_pattern(ready, " ")
+        split = pc.split_pattern(pc.if_else(whole, "", ready), " ")  # one empty piece, replaced by the text
+        offsets = np.asarray(split.offsets) - split.offsets[0].as_py()
+        mask = np.zeros(offsets[-1], dtype=bool)
+        mask[offsets[:-1][np.asarray(whole)]] = True
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pc.replace_with_mask(
+            split.flatten(), pa.array(mask), texts.filter(whole)))
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of all texts one after the other, each with the

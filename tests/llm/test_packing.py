@@ -23,7 +23,8 @@ def ids_of(tokenizer, text):
 
 def test_word_cache_gives_the_tokenizers_ids(tokenizer):
     texts = [t or "" for _, t, *_ in cases.rows()] + [
-        "Don't STOP, it's 12:30!", "é ́e Å 가", "tab\tand\x1cmore", "Ab.c. d... e!? f.) (g. h,", "x.\ny,\tz. É. Ÿ. 5. ß. à,", "ª º µ ª. ĳ ŉ ǅ ß, İ!", " lead  and trail ", "ΣΑΣ Σ İ"]
+        "Don't STOP, it's 12:30!", "é ́e Å 가", "tab\tand\x1cmore", "Ab.c. d... e!? f.) (g. h,", "x.\ny,\tz. É. Ÿ. 5. ß. à,", "ª º µ ª. ĳ ŉ ǅ ß, İ!", " lead  and trail ", "ΣΑΣ Σ İ",
+        "a <|ENDOFTEXT|> b", "<|STARTOFTEXT|>Some words<|endoftext|>", "<|endoftext|>", "x<|EndOfText|>y <|endoftext |> <|ENDOFTEXT", "É <|ENDOFTEXT|>\nÉ"]
     want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
     for limit in (10**6, 50, 3):  # a small cache starts anew again and again
         cache = packing.WordCache(tokenizer_file(), limit)
