@@ -13,8 +13,8 @@ counts chunks per language only, and these bounds leave few terms: those below
 the least number of documents are out.  The second pass counts the chunks of the
 others per source.  A term between its bounds has few documents a chunk; for
 these the second pass names the documents too, and they are counted exactly.
-Which chunks to look for goes to the tasks as hash sets of fixed size; exact
-joins follow, so a chunk too many is no harm.
+Which terms and chunks to look for goes to the tasks as hash sets of fixed size;
+exact counts and joins follow, so one too many is no harm.
 
 At scale: a task adds up its blocks of documents before anything is shuffled.
 The first pass is dealt out by chunk, where the distinct chunks are cut and
@@ -41,14 +41,13 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starling.llm.common import bounded_broadcast, text_or_empty, written
+from starling.llm.common import arrow_map, bounded_broadcast, text_or_empty, written
 from starling.llm.text_bytes import blocks, byte_class, gather, hash_set, held, spans
 
 # Fixed value: a term is a run of letters A-Z, a-z and code points outside ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 CHUNK = byte_class(" \t\n\x0b\x0c\r", inverted=True)
 MIN_DOCUMENTS, SMOOTHING, UNIT, TOP_TERMS = 30, 5, 1_000_000_000, 50
-BLOCK = 8 << 20
 #: Cells of a dense block of terms by sources.
 CELLS = 1 << 17
 
@@ -92,7 +91,7 @@ def chunk_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """Per block of documents: lang, chunk, docs (of the block that hold it)."""
     def run(batches):
         for batch in batches:
-            for b, data, bounds in blocks(batch, "text", BLOCK):
+            for b, data, bounds in blocks(batch, "text"):
                 row, code, _, chunks, _ = _chunks_of(data, bounds)
                 group, langs = _numbered(b.column("lang").to_pylist())
                 n = max(1, len(chunks))
@@ -126,16 +125,25 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     bounds_of = parts.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
     bounds_of = written(bounds_of.where(F.col("most") >= min_documents).select(
         "lang", "term", (F.col("least") < min_documents).alias("undecided")), "audit-bounds")
-    wanted = written(parts.join(bounded_broadcast(bounds_of), ["lang", "term"]).select(
-        "lang", "chunk", "term", "times", "undecided"), "audit-wanted")
     context = docs.sparkSession.sparkContext
+    hashes = bounds_of.select(F.xxhash64("lang", "term").alias("h"), "undecided")
+    terms = context.broadcast((hash_set(hashes, "h"), hash_set(hashes.where("undecided"), "h")))
+
+    def pick(b):
+        h = b.column("h").to_numpy().view(np.uint64)
+        use, undecided = (held(h, members) for members in terms.value)
+        yield b.select(["lang", "chunk", "term", "times"]).append_column("undecided", pa.array(undecided)).filter(pa.array(use))
+
+    # a hash set may let a term pass, or name it undecided, that is not: its documents are counted, so the answer stays
+    wanted = written(arrow_map(parts.select("lang", "chunk", "term", "times", F.xxhash64("lang", "term").alias("h")), pick,
+                               "lang string, chunk string, term string, times long, undecided boolean"), "audit-wanted")
     hashes = wanted.select(F.xxhash64("chunk").alias("h"), "undecided")
     look_for = context.broadcast((hash_set(hashes, "h"), hash_set(hashes.where("undecided"), "h")))
 
     def run(batches):
         before = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for b, data, bounds in blocks(batch, "text", BLOCK):
+            for b, data, bounds in blocks(batch, "text"):
                 row, code, count, chunks, marks = _chunks_of(data, bounds, look_for.value)
                 group, names = _numbered(list(zip(b.column("lang").to_pylist(), b.column("source").to_pylist())))
                 langs, sources = (pa.array([p[k] for p in names], pa.string()) for k in (0, 1))
@@ -158,7 +166,8 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         "lang", "source", "term", (F.col("occ") * F.col("times")).alias("occ"), "row", "undecided"), "audit-found")
     exact = found.where(F.col("undecided") & F.col("row").isNotNull()).select("lang", "term", "row").distinct().groupBy(
         "lang", "term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_documents)
-    kept = written(bounds_of.where(~F.col("undecided")).select("lang", "term").union(exact.select("lang", "term")), "audit-kept")
+    kept = written(bounds_of.where(~F.col("undecided")).select("lang", "term").union(
+        exact.select("lang", "term")).distinct(), "audit-kept")
     counts = found.where(F.col("row").isNull()).groupBy("lang", "source", "term").agg(F.sum("occ").alias("count"))
     return written(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "count"), "audit-counts"), kept
 
