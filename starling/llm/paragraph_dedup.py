@@ -7,13 +7,12 @@ word ahead of it is the least of some ``SPREAD`` neighbours in a row
 most ``SPREAD`` words apart, about half of that on average, and any run of
 2 * ``SPREAD`` words holds a whole paragraph of its own.
 
-Each paragraph's set of 5-word shingles (A-Z lower-cased) gets MinHash values,
-one a band; paragraphs that share a band are candidates, and a pair is linked when
-the exact Jaccard similarity of their shingle sets is 0.8 or more.  Bands are
-tuned for recall: :func:`tuned_bands` takes the least number that misses a pair at
-the threshold with probability ``MISS`` at most.  A band is one minimum: a 5-word
-shingle is rare enough as it is.  Linked paragraphs form classes (connected
-components); equal paragraphs are one node.
+Each paragraph's set of 5-word shingles (A-Z lower-cased) gets a MinHash signature
+cut into bands of ``ROWS`` values; paragraphs that share a band are candidates, and
+a pair is linked when the exact Jaccard similarity of their shingle sets is 0.8 or
+more.  Bands are tuned for recall: :func:`tuned_bands` takes the least number that
+misses a pair at the threshold with probability ``MISS`` at most.  Linked
+paragraphs form classes (connected components); equal paragraphs are one node.
 
 A passage is a run of paragraphs, one after the other in a document, whose
 classes all occur elsewhere; it counts when it has at least
@@ -25,7 +24,8 @@ place) stays and the others are removed, passage by passage.
 
 First filter.  Most paragraphs share no band with any other.  Band values are
 counted first, as bare numbers; those that occur twice go to the tasks as a hash
-set of fixed size, and only paragraphs that hold one go on.
+set of fixed size.  The texts are parsed again, which is cheaper than keeping all
+paragraphs, and only paragraphs that hold such a value go on.
 
 Crowded bands.  Candidates that cannot have a partner, because too many of their
 shingles occur in no other candidate, leave first.  A band value held by at
@@ -60,7 +60,7 @@ from starling.llm.text_bytes import blocks, byte_class, gather, hash_set, held,
 
 SHINGLE, SIMILARITY = 5, 0.8
 SPREAD, MIN_PASSAGE_WORDS = 24, 50
-MISS = 1e-2
+ROWS, MISS = 2, 2e-2
 CROWD = 8
 STEP = 256
 
@@ -68,9 +68,9 @@ WORD_BYTES = byte_class(" \t\n\x0b\x0c\r", inverted=True)
 _LAST = np.uint64(2**64 - 1)
 
 
-def tuned_bands(similarity: float = SIMILARITY, miss: float = MISS) -> int:
+def tuned_bands(similarity: float = SIMILARITY, miss: float = MISS, rows: int = ROWS) -> int:
     """The least number of bands that misses a pair at ``similarity`` with probability ``miss`` at most."""
-    return math.ceil(math.log(miss) / math.log(1 - similarity) - 1e-9)
+    return math.ceil(math.log(miss) / math.log(1 - similarity ** rows))
 
 
 def _numbers(n: int, seed: int) -> np.ndarray:
@@ -100,7 +100,7 @@ def cuts(h: np.ndarray, row: np.ndarray, spread: int) -> np.ndarray:
 
 
 def band_values(h: np.ndarray, start: np.ndarray, node: np.ndarray, bands: int) -> np.ndarray:
-    """One row of band values per paragraph: the least of its shingle hashes under each band's hash."""
+    """One row of band values per paragraph: each from the least of its shingle hashes under ``ROWS`` hashes."""
     stop = np.append(start[1:], len(h))
     shingle = np.zeros(len(h), dtype=np.uint64)
     for k in range(SHINGLE):
@@ -109,8 +109,12 @@ def band_values(h: np.ndarray, start: np.ndarray, node: np.ndarray, bands: int)
     shingle[start] = np.where(stop - start < SHINGLE, node, shingle[start])  # a short paragraph is one shingle
     inside[start] = True
     out = np.empty((len(start), bands), dtype=np.uint64)
-    for b, factor in enumerate(_numbers(bands, 2)):
-        out[:, b] = mix(np.minimum.reduceat(np.where(inside, mix(shingle * factor), _LAST), start) + np.uint64(b))
+    factors = _numbers(bands * ROWS, 2)
+    for b in range(bands):
+        value = np.full(len(start), b, dtype=np.uint64)
+        for factor in factors[b * ROWS:(b + 1) * ROWS]:
+            value = mix(value * np.uint64(31) + np.minimum.reduceat(np.where(inside, mix(shingle * factor), _LAST), start))
+        out[:, b] = value
     return out
 
 
@@ -133,42 +137,49 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("content", F.xxhash64("text"))
 
 
-def paragraph_table(docs: DataFrame, id_col: str, text_col: str, bands: int, spread: int) -> DataFrame:
-    """Written once: doc_id, row (of the input), content (hash of the text), no, start (first word), n (words), h1, keys."""
+def shared_paragraphs(docs: DataFrame, id_col: str, text_col: str, bands: int, spread: int) -> DataFrame:
+    """Written once: the paragraphs that share a band value with another place (some others may stay too).
+
+    doc_id, row (of the input), content (hash of the text), no, start (first word), n (words), h1 and the
+    band values k0, k1 and so on.
+    """
     rows = _rows(docs, id_col, text_col)
 
+    def values(batches):
+        for batch in batches:
+            for _, data, bounds in blocks(batch, "text"):
+                _, _, _, h, start, _, _, _, node = _parsed(data, bounds, spread)
+                if len(start):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(band_values(h, start, node, bands).ravel().view(np.int64))], names=["key"])
+
+    often = rows.select("text").mapInArrow(values, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    wanted = docs.sparkSession.sparkContext.broadcast(hash_set(written(often.select("key"), "paragraph-keys"), "key"))
+
     def run(batches):
         before = TaskContext.get().partitionId() << 33
         for batch in batches:
             for b, data, bounds in blocks(batch, "text"):
                 _, _, row, h, start, of, no, n, node = _parsed(data, bounds, spread)
-                keys = band_values(h, start, node, bands).view(np.int64) if len(start) else np.zeros((0, bands), dtype=np.int64)
-                first_word = start - np.searchsorted(row, of)
-                at = pa.array(of)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(at), pa.array(before + of), b.column("content").take(at), pa.array(no, pa.int32()),
-                     pa.array(first_word, pa.int64()), pa.array(n, pa.int32()), pa.array(node.view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(start) + 1) * bands, pa.int32()), pa.array(keys.ravel()))],
-                    names=["doc_id", "row", "content", "no", "start", "n", "h1", "keys"])
+                if len(start):
+                    keys = band_values(h, start, node, bands)
+                    use = np.flatnonzero(held(keys.ravel(), wanted.value).reshape(keys.shape).any(axis=1))
+                    first_word = start - np.searchsorted(row, of)
+                    at = pa.array(of[use])
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("doc_id").take(at), pa.array(before + of[use]), b.column("content").take(at),
+                         pa.array(no[use], pa.int32()), pa.array(first_word[use], pa.int64()), pa.array(n[use], pa.int32()),
+                         pa.array(node[use].view(np.int64)), *[pa.array(keys[use, k].view(np.int64)) for k in range(bands)]],
+                        names=["doc_id", "row", "content", "no", "start", "n", "h1", *_names(bands)])
                 before += b.num_rows
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return written(rows.mapInArrow(run, f"doc_id {id_type}, row long, content long, no int, start long, n int, h1 long, "
-                                        "keys array<bigint>"), "paragraphs")
-
+                                   + ", ".join(f"{k} long" for k in _names(bands))), "paragraph-shared")
 
-def shared_paragraphs(paragraphs: DataFrame) -> DataFrame:
-    """Written once: the paragraphs that share a band value with another place (some others may stay too)."""
-    often = paragraphs.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    wanted = paragraphs.sparkSession.sparkContext.broadcast(hash_set(written(often.select("key"), "paragraph-keys"), "key"))
-
-    def run(b):
-        keys = b.column("keys").flatten().to_numpy().view(np.uint64)
-        if b.num_rows:
-            use = held(keys, wanted.value).reshape(b.num_rows, -1).any(axis=1)
-            yield b.filter(pa.array(use))
 
-    return written(arrow_map(paragraphs, run, paragraphs.schema.simpleString()[7:-1].replace(":", " ")), "paragraph-shared")
+def _names(bands: int) -> list[str]:
+    return [f"k{b}" for b in range(bands)]
 
 
 def _word_runs(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, purpose: str) -> DataFrame:
@@ -270,12 +281,13 @@ def _prefix_pairs(shingles_of: DataFrame, placed: DataFrame, similarity: float)
         F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
 
 
-def classes(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, similarity: float = SIMILARITY,
+def classes(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, bands: int, similarity: float = SIMILARITY,
             crowd: int = CROWD) -> DataFrame:
     """``(node, component)``: the class of every paragraph (hash) with a verified link to another one."""
     nodes = written(shared.groupBy("h1").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys"), F.min("content").alias("content")), "paragraph-nodes")
-    keyed = nodes.select("h1", F.explode("keys").alias("key"))
+        F.count(F.lit(1)).alias("copies"), F.min("content").alias("content"),
+        *[F.min(k).alias(k) for k in _names(bands)]), "paragraph-nodes")  # equal paragraphs have equal values
+    keyed = nodes.select("h1", F.explode(F.array(*_names(bands))).alias("key"))
     met = keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
     met = written(keyed.join(met, "key", "left_semi"), "paragraph-met")
     # one place of every candidate
@@ -370,9 +382,9 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     """One row per paragraph of a repeated passage: doc_id, start_word, n_words, passage_words,
     keep_doc_id, keep_start_word (the paragraph of its class that stays) and removed."""
     bands = tuned_bands(similarity, miss)
-    shared = shared_paragraphs(paragraph_table(docs, id_col, text_col, bands, spread))
-    class_of = classes(docs, shared, id_col, text_col, similarity, crowd)
-    placed = written(shared.drop("keys").join(class_of, F.col("h1") == F.col("node"), "left").select(
+    shared = shared_paragraphs(docs, id_col, text_col, bands, spread)
+    class_of = classes(docs, shared, id_col, text_col, bands, similarity, crowd)
+    placed = written(shared.drop(*_names(bands)).join(class_of, F.col("h1") == F.col("node"), "left").select(
         "doc_id", "row", "content", "no", "start", "n", F.coalesce("component", "h1").alias("class")), "paragraph-classes")
     repeated = placed.groupBy("class").agg(F.min(_place()).alias("keep"), F.count(F.lit(1)).alias("members")).where("members > 1")
     marked = placed.join(repeated.select("class", "keep"), "class")
