@@ -173,14 +173,15 @@ def catalog_usable(spark: SparkSession) -> bool:
     return True
 
 
-def save_bucketed(spark: SparkSession, df: DataFrame, path: str, key: str, catalog_name: str) -> bool:
-    """Write ``df`` bucketed and sorted by ``key`` as an external table; False when
-    there is no catalog to hold it.  A write that fails raises: it is not tried again in another form."""
+def save_bucketed(spark: SparkSession, df: DataFrame, path: str, key: str, catalog_name: str,
+                  buckets: int | None = None) -> bool:
+    """Write ``df`` bucketed and sorted by ``key`` (default: as many buckets as shuffle
+    partitions) as an external table; False when there is no catalog to hold it.  A write that fails raises: it is not tried again in another form."""
     if not catalog_usable(spark):
         return False
     # df comes from a grouping by the key, whose partitions are the buckets (adaptive
     # execution only joins whole ones): each bucket is one file without another shuffle
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(catalog_name))
     return True

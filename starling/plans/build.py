@@ -96,6 +96,15 @@ def feed_csv_dir(spark: SparkSession, sf_dir: str, dirty: bool = False) -> str:
     return cached(spark, sf_dir, f"feed-csv-{dirty}", make)
 
 
+FEED_PARTS = 8
+
+
+def feed_in_parts_dir(spark: SparkSession, sf_dir: str) -> str:
+    """The feed of the test tables written as ``FEED_PARTS`` CSV files, for streams of several micro-batches."""
+    return cached(spark, sf_dir, "feed-parts", lambda: feed_csv.write_feed_csv(
+        testdata.feed_text(spark, sf_dir), scratch_dir(spark, "feed-parts"), FEED_PARTS))
+
+
 def five_column_feed_dir(spark: SparkSession, sf_dir: str) -> str:
     """The feed in the warehouse's own five columns, written as CSV."""
     return cached(spark, sf_dir, "feed-five", lambda: feed_csv.write_feed_csv(

@@ -229,6 +229,15 @@ def stream_latest_state(spark, sf_dir):
     return feed_stream.latest_from_state_log(spark, log, *masters)
 
 
+def stream_latest_compacted(spark, sf_dir):
+    """A feed streamed in four micro-batches, compacted over the first
+    two; keep-last per order from the snapshot and the batches behind it."""
+    log, _ = feed_stream.stream_enrich_to_log(spark, P.feed_in_parts_dir(spark, sf_dir), *_masters_args(spark, sf_dir),
+                                              files_per_trigger=P.FEED_PARTS // 4)
+    feed_stream.compact_log(spark, log, through=1)
+    return feed_stream.latest_compacted(spark, log)
+
+
 QUERIES: dict[str, Query] = {
     "scan_transactions": scan_transactions,
     "scan_masters": scan_masters,
@@ -272,4 +281,5 @@ QUERIES: dict[str, Query] = {
     "stream_latest_per_order": stream_latest_per_order,
     "stream_latest_by_arrival": stream_latest_by_arrival,
     "stream_latest_state": stream_latest_state,
+    "stream_latest_compacted": stream_latest_compacted,
 }

@@ -7,12 +7,13 @@
 * T3 stream-static joins: every micro-batch is numbered at its scan, typed, and
   then joined to the static masters inside ``foreachBatch``.  The arrival is
   taken before any join, so it is the same whichever join Spark picks.
-* T4 sink: each micro-batch is written to ``batch_id=N``, overwriting that
-  folder, so a batch replayed after a failure replaces its own output instead
-  of adding duplicates.  The checkpoint folder makes the query resume where it
-  stopped.
-* T5 keep-last per order: by default computed when the log is read (no state to
-  keep); the keyed-state form keeps ids and ordering columns per order in the
+* T4 sink: each micro-batch is an attempt in a log of atomic commits
+  (``batch_log.py``): files of an attempt that died are never read, and a batch
+  replayed after its commit is not written again.  The checkpoint folder makes
+  the query resume where it stopped.
+* T5 keep-last per order: by default computed when the log is read, over the
+  newest snapshot and the batches behind it once the log is compacted
+  (:func:`compact_log`, :func:`latest_compacted`); the keyed-state form keeps ids and ordering columns per order in the
   RocksDB state store (:func:`stream_latest_state_to_log`).  "Last" is the line
   number where there is one, then the arrival, as in batch.
 """
@@ -29,8 +30,9 @@ from starling.operators import enrich as E
 from starling.operators.keep import keep_last
 from starling.operators.warehouse import save_bucketed
 from starling.schema import ARRIVAL, ENRICHED, ENRICHED_COLUMNS, FEED, FEED_COLUMNS, FEED_TEXT
-from starling.session import path_exists, scratch_dir
+from starling.session import scratch_dir
 from starling.sources import feed_csv
+from starling.streaming.batch_log import BatchLog
 
 MASTER_KEYS = {"customers": "customer_id", "products": "product_id", "suppliers": "supplier_id"}
 ARRIVAL_TYPE = T.StructType([T.StructField("modified", T.TimestampType()), T.StructField("path", T.StringType()),
@@ -109,36 +111,26 @@ def _bad_rows(batch: DataFrame) -> DataFrame:
 
 
 def _batch_writer(out_dir: str, transform=None):
-    """Write each micro-batch to its own ``batch_id=N`` folder, overwriting it."""
+    """Commit each micro-batch to the log at ``out_dir``, once."""
     def write(batch: DataFrame, batch_id: int) -> None:
         out = batch if transform is None else transform(batch)
-        out.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        BatchLog(batch.sparkSession, out_dir).append(out, batch_id)
     return write
 
 
-def run_to_log(stream: DataFrame, out_dir: str, checkpoint_dir: str, transform=None, mode: str = "append",
-               schema: T.StructType | None = None) -> None:
-    """Drain a bounded stream into a ``batch_id=N`` log and wait for it.
-
-    With ``schema``, a feed without any file leaves an empty log of that schema.
-    """
+def run_to_log(stream: DataFrame, out_dir: str, checkpoint_dir: str, transform=None, mode: str = "append") -> None:
+    """Drain a bounded stream into the log at ``out_dir`` and wait for it."""
     q = (stream.writeStream.outputMode(mode).foreachBatch(_batch_writer(out_dir, transform))
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    spark = stream.sparkSession
-    if schema is not None and not path_exists(spark, out_dir):
-        # nothing ever arrived: batch 0 is still to come and will replace this folder
-        spark.createDataFrame([], schema).write.parquet(f"{out_dir}/batch_id=0")
 
 
-def read_log(spark: SparkSession, out_dir: str, schema=None) -> DataFrame:
-    """A log with its ``batch_id``."""
-    if schema is None:
-        return spark.read.parquet(out_dir)
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(out_dir)
+def read_log(spark: SparkSession, out_dir: str, schema: T.StructType) -> DataFrame:
+    """The committed batches of a log with their ``batch_id``."""
+    return BatchLog(spark, out_dir, schema).read()
 
 
 def stream_enrich_to_log(spark: SparkSession, feed_dir: str, customers: DataFrame, products: DataFrame,
@@ -154,12 +146,11 @@ def stream_enrich_to_log(spark: SparkSession, feed_dir: str, customers: DataFram
     root = root or scratch_dir(spark, "stream")
     masters = load_masters(spark, f"{root}/masters", customers, products, suppliers, stores, bucketed)
     text = feed_csv.stream_feed_text(spark, feed_dir, files_per_trigger, bytes_per_trigger)
-    run_to_log(text, f"{root}/enriched", f"{root}/_checkpoint_enriched", lambda b: enrich_batch(b, masters),
-               schema=LOG_SCHEMA)
+    run_to_log(text, f"{root}/enriched", f"{root}/_checkpoint_enriched", lambda b: enrich_batch(b, masters))
     drop_masters(spark, masters)
     if not quarantine:
         return f"{root}/enriched", None
-    run_to_log(text, f"{root}/quarantine", f"{root}/_checkpoint_quarantine", _bad_rows, schema=QUARANTINE_SCHEMA)
+    run_to_log(text, f"{root}/quarantine", f"{root}/_checkpoint_quarantine", _bad_rows)
     return f"{root}/enriched", f"{root}/quarantine"
 
 
@@ -173,13 +164,33 @@ def latest_from_log(spark: SparkSession, log_dir: str) -> DataFrame:
     return E.latest_per_order(read_log(spark, log_dir, LOG_SCHEMA).drop("batch_id"))
 
 
+_LOG_ORDER = E.line_order(LOG_SCHEMA.fieldNames())
+
+
+def compact_log(spark: SparkSession, log_dir: str, through: int | None = None) -> int | None:
+    """Compact the enriched log up to batch ``through`` (default: all) into one row per order."""
+    log = BatchLog(spark, log_dir, LOG_SCHEMA)
+    try:
+        return log.compact("order_id", _LOG_ORDER, through)
+    finally:
+        log.close()
+
+
+def latest_compacted(spark: SparkSession, log_dir: str) -> DataFrame:
+    """T5: last matched line per order, from the newest snapshot and the batches behind it.
+
+    A bucketed snapshot stays in the session catalog, as the plan reads it there.
+    """
+    return BatchLog(spark, log_dir, LOG_SCHEMA).latest("order_id", _LOG_ORDER).select(*ENRICHED_COLUMNS)
+
+
 def stream_latest_state_to_log(spark: SparkSession, feed_dir: str, customers: DataFrame,
                                products: DataFrame, suppliers: DataFrame | None = None,
                                stores: DataFrame | None = None, files_per_trigger: int | None = None,
                                bytes_per_trigger: int | None = None, root: str | None = None) -> str:
     """T5 as keyed streaming state: ``groupBy(order_id)`` keeps the last matched
     line per order in the state store (update mode); every micro-batch writes
-    the orders it changed to ``batch_id=N``.
+    the orders it changed to its log.
 
     A first query numbers and matches the lines and logs them with key columns
     only; the stateful query streams over that log.  The state holds one narrow
@@ -196,14 +207,17 @@ def stream_latest_state_to_log(spark: SparkSession, feed_dir: str, customers: Da
         return E.matched_keys(good, lookups).select(*STATE_SCHEMA.fieldNames())
 
     text = feed_csv.stream_feed_text(spark, feed_dir, files_per_trigger, bytes_per_trigger)
-    run_to_log(text, f"{root}/matched", f"{root}/_checkpoint_matched", matched, schema=STATE_SCHEMA)
+    run_to_log(text, f"{root}/matched", f"{root}/_checkpoint_matched", matched)
     drop_masters(spark, masters)
-    rows = spark.readStream.schema(STATE_SCHEMA).parquet(f"{root}/matched/batch_id=*")
+    if not BatchLog(spark, f"{root}/matched").committed():  # an empty feed
+        return f"{root}/state_log"
+    # files of a dead attempt would hold rows of the committed one: they change no last line
+    rows = spark.readStream.schema(STATE_SCHEMA).parquet(f"{root}/matched/batch_id=*/attempt=*")
     latest = keep_last(rows, "order_id", E.line_order(rows.columns, "quantity"))
     before = spark.conf.get(_PROVIDER, None)
     spark.conf.set(_PROVIDER, _ROCKSDB)
     try:
-        run_to_log(latest, f"{root}/state_log", f"{root}/_checkpoint_state", mode="update", schema=STATE_SCHEMA)
+        run_to_log(latest, f"{root}/state_log", f"{root}/_checkpoint_state", mode="update")
     finally:
         if before is None:
             spark.conf.unset(_PROVIDER)
