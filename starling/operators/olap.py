@@ -22,6 +22,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starling.functions import arithmetic, calendar
+from starling.operators import pairs as basket_pairs
 from starling.schema import MONEY_SUM, RATIO
 
 DEFAULT_YEAR = 1997
@@ -193,10 +194,23 @@ def q6(src: TableSource, k: int = 5) -> DataFrame:
     """
     pairs = product_pairs(_sales(src, "transaction_id", "product_id"))
     top = pairs.orderBy(F.col("frequency").desc(), "product1_id", "product2_id").limit(k)
-    names = src.table("product").select("product_id", "product_name")
+    return named_pairs(top, src.table("product"))
+
+
+def q6_lines(lines: DataFrame, products: DataFrame, k: int = 5) -> DataFrame:
+    """Q6 at line grain: the ``k`` product pairs that orders hold together most often.
+
+    ``products`` holds one row per product id, as a dimension or a prepared master does.
+    """
+    return named_pairs(basket_pairs.top_pairs(lines.select("order_id", "product_id"), k), products)
+
+
+def named_pairs(top: DataFrame, products: DataFrame) -> DataFrame:
+    """The few ``top`` pairs with the names of their products, best first."""
+    names = products.select("product_id", "product_name")
     p1 = names.toDF("product1_id", "product1_name")
     p2 = names.toDF("product2_id", "product2_name")
-    top = F.broadcast(top)  # at most k rows
+    top = F.broadcast(top)  # as many rows as were asked for
     named = p2.join(p1.join(top, "product1_id"), "product2_id")
     return (named.orderBy(F.col("frequency").desc(), "product1_id", "product2_id")
             .select("product1_name", "product2_name", "frequency"))

@@ -186,6 +186,11 @@ def _olap(fn, **kw):
     return run
 
 
+def q6_lines(spark, sf_dir):
+    """J10, J11, A3, O6 at line grain: the product pairs that orders hold together most often."""
+    return olap.q6_lines(P.enriched_lines(spark, sf_dir), P.lookups(spark, sf_dir).products)
+
+
 # ------------------------------------------------------------------ streaming
 def _masters_args(spark, sf_dir):
     m = P.Masters(spark, sf_dir)
@@ -273,6 +278,7 @@ QUERIES: dict[str, Query] = {
     "q4": _olap(olap.q4),
     "q5": _olap(olap.q5),
     "q6": _olap(olap.q6),
+    "q6_lines": q6_lines,
     "q7": _olap(olap.q7),
     "q8": _olap(olap.q8),
     "q9": _olap(olap.q9),
