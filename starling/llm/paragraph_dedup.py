@@ -36,8 +36,9 @@ their rarest shingles (the prefix filter, which loses no pair).  Pairs inside
 one component need no comparison, so nothing is lost, and a group of thousands
 of near copies costs about one comparison each.
 
-Texts of candidates are read again by the hash of their document's text, so that
-rows without an id, or with the same one, stay apart.
+Texts of candidates are read again by the hash of their words, those around short
+runs by the hash of their document's text, so that rows without an id, or with the
+same one, stay apart.
 
 Defined cases: null and empty texts have no paragraphs; null ids come last;
 repeated rows are copies of each other; rows that share an id are compared like
@@ -182,22 +183,60 @@ def _names(bands: int) -> list[str]:
     return [f"k{b}" for b in range(bands)]
 
 
+def _spaced(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words one after the other, a space behind each, and where each begins (and the end)."""
+    size = end - begin + 1
+    place = np.concatenate(([0], np.cumsum(size)))
+    index = np.repeat(begin - place[:-1], size) + np.arange(place[-1])
+    out = np.append(data, np.uint8(32))[index]
+    out[place[1:] - 1] = 32
+    return out, place
+
+
+def _candidate_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, spread: int) -> DataFrame:
+    """Written once: h1, words (lower-cased, space between) of the ``wanted`` paragraphs (h1).
+
+    The texts are parsed again with the wanted hashes as a hash set of fixed size; texts are not shuffled.
+    """
+    members = docs.sparkSession.sparkContext.broadcast(hash_set(wanted, "h1"))
+
+    def run(batches):
+        for batch in batches:
+            for _, data, bounds in blocks(batch, "text"):
+                begin, end, _, _, start, _, _, n, node = _parsed(data, bounds, spread)
+                if not len(start):
+                    continue
+                use = np.flatnonzero(held(node, members.value))
+                _, first = np.unique(node[use], return_index=True)
+                use = use[first]
+                at = np.concatenate(([0], np.cumsum(n[use])))  # first word of each, among their words
+                words = np.repeat(start[use] - at[:-1], n[use]) + np.arange(at[-1])
+                spaced, place = _spaced(data, begin[words], end[words])
+                yield pa.RecordBatch.from_arrays([pa.array(node[use].view(np.int64)), gather(
+                    spaced, place[at[:-1]], place[at[1:]] - 1)], names=["h1", "words"])
+
+    found = _rows(docs, id_col, text_col).select("text").mapInArrow(run, "h1 long, words string").dropDuplicates(["h1"])
+    return written(found.join(wanted.select("h1"), "h1", "left_semi"), "paragraph-texts")
+
+
 def _word_runs(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, purpose: str) -> DataFrame:
     """Written once: content, first, stop, words (lower-cased, space between) of the ``wanted`` runs of words
-    (content, first, stop) of texts."""
+    (content, first, stop) of texts.  Texts without one are left out, by a hash set, before any shuffle."""
     places = wanted.groupBy("content").agg(F.collect_set(F.struct("first", "stop")).alias("places"))
-    places = bounded_broadcast(written(places, f"{purpose}-places"))
-    rows = _rows(docs, id_col, text_col).select("content", "text").join(places, "content")
+    places = written(places, f"{purpose}-places")
+    members = docs.sparkSession.sparkContext.broadcast(hash_set(places, "content"))
+
+    def needed(b):
+        yield b.filter(pa.array(held(b.column("content").to_numpy().view(np.uint64), members.value)))
+
+    rows = arrow_map(_rows(docs, id_col, text_col).select("content", "text"), needed, "content long, text string").join(
+        bounded_broadcast(places), "content")
 
     def run(batches):
         for batch in batches:
             for b, data, bounds in blocks(batch, "text"):
                 begin, end, row = spans(data, bounds, WORD_BYTES)
-                size = end - begin + 1  # one space behind each word
-                place = np.concatenate(([0], np.cumsum(size)))
-                index = np.repeat(begin - place[:-1], size) + np.arange(place[-1])
-                spaced = np.append(data, np.uint8(32))[index]
-                spaced[place[1:] - 1] = 32
+                spaced, place = _spaced(data, begin, end)
                 lo = np.searchsorted(row, np.arange(b.num_rows))
                 hi = np.searchsorted(row, np.arange(b.num_rows), side="right")
                 lists = b.column("places")
@@ -281,22 +320,17 @@ def _prefix_pairs(shingles_of: DataFrame, placed: DataFrame, similarity: float)
         F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
 
 
-def classes(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, bands: int, similarity: float = SIMILARITY,
-            crowd: int = CROWD) -> DataFrame:
+def classes(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, bands: int, spread: int,
+            similarity: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
     """``(node, component)``: the class of every paragraph (hash) with a verified link to another one."""
     nodes = written(shared.groupBy("h1").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("content").alias("content"),
-        *[F.min(k).alias(k) for k in _names(bands)]), "paragraph-nodes")  # equal paragraphs have equal values
+        F.count(F.lit(1)).alias("copies"), *[F.min(k).alias(k) for k in _names(bands)]),
+        "paragraph-nodes")  # equal paragraphs have equal values
     keyed = nodes.select("h1", F.explode(F.array(*_names(bands))).alias("key"))
     met = keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
     met = written(keyed.join(met, "key", "left_semi"), "paragraph-met")
-    # one place of every candidate
-    at = shared.join(met.select("h1").distinct(), "h1", "left_semi").groupBy("h1", "content").agg(
-        F.min(F.struct("start", "n")).alias("p")).join(nodes.select("h1", "content", "copies"), ["h1", "content"])
-    wanted = written(at.select("h1", "content", F.col("p.start").alias("first"),
-                               (F.col("p.start") + F.col("p.n")).alias("stop"), "copies"), "paragraph-wanted")
-    texts = _word_runs(docs, wanted, id_col, text_col, "paragraph-texts")
-    sets = _shingle_sets(wanted.join(texts, ["content", "first", "stop"]))
+    wanted = written(nodes.select("h1", "copies").join(met.select("h1").distinct(), "h1", "left_semi"), "paragraph-wanted")
+    sets = _shingle_sets(_candidate_texts(docs, wanted, id_col, text_col, spread))
     strong = _with_partners(sets, similarity)
 
     # the hub of a band is its most frequent paragraph: copies with edits lie around it
@@ -383,7 +417,7 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     keep_doc_id, keep_start_word (the paragraph of its class that stays) and removed."""
     bands = tuned_bands(similarity, miss)
     shared = shared_paragraphs(docs, id_col, text_col, bands, spread)
-    class_of = classes(docs, shared, id_col, text_col, bands, similarity, crowd)
+    class_of = classes(docs, shared, id_col, text_col, bands, spread, similarity, crowd)
     placed = written(shared.drop(*_names(bands)).join(class_of, F.col("h1") == F.col("node"), "left").select(
         "doc_id", "row", "content", "no", "start", "n", F.coalesce("component", "h1").alias("class")), "paragraph-classes")
     repeated = placed.groupBy("class").agg(F.min(_place()).alias("keep"), F.count(F.lit(1)).alias("members")).where("members > 1")
