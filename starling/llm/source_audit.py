@@ -37,17 +37,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starling.llm.common import arrow_map, bounded_broadcast, text_or_empty, written
-from starling.llm.text_bytes import blocks, byte_class, gather, hash_set, held, spans
+from starling.llm.text_bytes import blocks, byte_class, gather, hash_set, held, spans, string_hashes
 
 # Fixed value: a term is a run of letters A-Z, a-z and code points outside ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 CHUNK = byte_class(" \t\n\x0b\x0c\r", inverted=True)
 MIN_DOCUMENTS, SMOOTHING, UNIT, TOP_TERMS = 30, 5, 1_000_000_000, 50
+#: Bytes of text whose chunks the first pass adds up at a time: it holds less than the second.
+COUNT_BLOCK = 16 << 20
 #: Cells of a dense block of terms by sources.
 CELLS = 1 << 17
 
@@ -65,9 +66,7 @@ def _chunks_of(data: np.ndarray, bounds: np.ndarray, sets: tuple = ()):
     code, chunks = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
     marks = []
     if sets:
-        hashes = np.fromiter((xxhash.xxh64_intdigest(c, seed=42) for c in chunks.cast(pa.binary()).to_pylist()),
-                             dtype=np.uint64, count=len(chunks))
-        marks = [held(hashes, members) for members in sets]
+        marks = [held(string_hashes(chunks), members) for members in sets]
         use = marks[0][code] if len(code) else np.zeros(0, dtype=bool)
         row, code = row[use], code[use]
     key, count = _sums(row * max(1, len(chunks)) + code)
@@ -91,7 +90,7 @@ def chunk_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """Per block of documents: lang, chunk, docs (of the block that hold it)."""
     def run(batches):
         for batch in batches:
-            for b, data, bounds in blocks(batch, "text"):
+            for b, data, bounds in blocks(batch, "text", COUNT_BLOCK):
                 row, code, _, chunks, _ = _chunks_of(data, bounds)
                 group, langs = _numbered(b.column("lang").to_pylist())
                 n = max(1, len(chunks))
@@ -132,13 +131,16 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     def pick(b):
         h = b.column("h").to_numpy().view(np.uint64)
         use, undecided = (held(h, members) for members in terms.value)
-        yield b.select(["lang", "chunk", "term", "times"]).append_column("undecided", pa.array(undecided)).filter(pa.array(use))
+        hashes = pa.array(string_hashes(b.column("chunk")).view(np.int64))
+        yield b.select(["lang", "chunk", "term", "times"]).append_column("undecided", pa.array(undecided)).append_column(
+            "h", hashes).filter(pa.array(use))
 
     # a hash set may let a term pass, or name it undecided, that is not: its documents are counted, so the answer stays
     wanted = written(arrow_map(parts.select("lang", "chunk", "term", "times", F.xxhash64("lang", "term").alias("h")), pick,
-                               "lang string, chunk string, term string, times long, undecided boolean"), "audit-wanted")
-    hashes = wanted.select(F.xxhash64("chunk").alias("h"), "undecided")
-    look_for = context.broadcast((hash_set(hashes, "h"), hash_set(hashes.where("undecided"), "h")))
+                               "lang string, chunk string, term string, times long, undecided boolean, h long"),
+                     "audit-wanted")
+    look_for = context.broadcast((hash_set(wanted, "h"), hash_set(wanted.where("undecided"), "h")))
+    wanted = wanted.drop("h")
 
     def run(batches):
         before = TaskContext.get().partitionId() << 33

@@ -93,7 +93,16 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     """
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), out=total[1:])
-    return mix((total[end] - total[start]) * _powers(_INVERSE, len(data))[start] + (end - start).astype(np.uint64))
+    return mix((total[end] - total[start]) * _powers(_INVERSE, len(data) + 1)[start] + (end - start).astype(np.uint64))
+
+
+def string_hashes(strings: pa.Array) -> np.ndarray:
+    """:func:`word_hashes` of every string of an Arrow array without nulls."""
+    flat = strings.cast(pa.large_binary())
+    offsets = np.frombuffer(flat.buffers()[1], dtype=np.int64)[flat.offset:flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, dtype=np.int64)
+    data = np.frombuffer(flat.buffers()[2] or b"", dtype=np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    return word_hashes(data, offsets[:-1], offsets[1:])
 
 
 def gather(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:

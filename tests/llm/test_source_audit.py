@@ -55,7 +55,7 @@ def test_against_plain_counts(spark, min_documents):
 
 def test_clashing_names_and_small_blocks(spark, monkeypatch):
     from starling.llm import text_bytes
-    monkeypatch.setattr(source_audit, "blocks", lambda b, c: text_bytes.blocks(b, c, 50))
+    monkeypatch.setattr(source_audit, "blocks", lambda b, c, n=0: text_bytes.blocks(b, c, 50))
     assert result(cases.documents(spark, True, rows()), min_documents=3, top_terms=2) == plain(rows(), 3, 2)
 
 
