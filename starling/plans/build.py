@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starling.operators import enrich as E
+from starling.operators.incremental import IncrementalWarehouse
 from starling.operators.warehouse import Warehouse
+from starling.schema import ARRIVAL
 from starling.session import app_id, scratch_dir
 from starling.sources import dirt, feed_csv, testdata
+from starling.streaming.feed_stream import ARRIVAL_TYPE
 
 _LOCK = threading.RLock()
 _CACHE: dict[tuple, object] = {}
@@ -96,6 +99,30 @@ def feed_csv_dir(spark: SparkSession, sf_dir: str, dirty: bool = False) -> str:
     return cached(spark, sf_dir, f"feed-csv-{dirty}", make)
 
 
+LOAD_BATCHES = 3
+
+
+def load_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The enriched lines in ``LOAD_BATCHES`` batches that cut across orders: later batches
+    replace rows of earlier ones, and some of their lines lose to an earlier one."""
+    lines = enriched_lines(spark, sf_dir, keep_order_columns=True).withColumn(ARRIVAL, F.lit(None).cast(ARRIVAL_TYPE))
+    return [lines.where(F.pmod("line_number", F.lit(LOAD_BATCHES)) == k) for k in range(LOAD_BATCHES)]
+
+
+def incremental_warehouse(spark: SparkSession, sf_dir: str) -> IncrementalWarehouse:
+    """A warehouse loaded batch by batch; the last batch is loaded twice, the log is compacted before it."""
+    def make():
+        wh = IncrementalWarehouse(spark, scratch_dir(spark, "incremental"))
+        *first, last = load_batches(spark, sf_dir)
+        for k, batch in enumerate(first):
+            wh.load(batch, k)
+        wh.compact()
+        for _ in range(2):
+            wh.load(last, len(first))
+        return wh
+    return cached(spark, sf_dir, "incremental", make)
+
+
 FEED_PARTS = 8
 
 

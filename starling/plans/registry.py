@@ -151,6 +151,24 @@ def build_fact(spark, sf_dir):
                         wh.table("customer"), wh.table("store"), wh.table("supplier"))
 
 
+def _loaded_table(name):
+    def run(spark, sf_dir):
+        return P.incremental_warehouse(spark, sf_dir).table(name)
+    run.__name__ = f"load_{name}"
+    run.__doc__ = f"S9: the warehouse table ``{name}`` after loads in batches that replace rows of earlier ones."
+    return run
+
+
+def load_view(spark, sf_dir):
+    """K10 as a view with retractions, after the same loads."""
+    return P.incremental_warehouse(spark, sf_dir).store_quarterly_sales()
+
+
+def load_q1(spark, sf_dir):
+    """Q1 over the incrementally loaded tables."""
+    return olap.q1(P.incremental_warehouse(spark, sf_dir))
+
+
 def _all_tables(wh):
     return {name: wh.table(name) for name in ["time_dim", "product", "customer", "store", "supplier", "sales"]}
 
@@ -267,6 +285,14 @@ QUERIES: dict[str, Query] = {
     "dim_store": _wh_table("store"),
     "dim_supplier": _wh_table("supplier"),
     "build_fact": build_fact,
+    "load_sales": _loaded_table("sales"),
+    "load_time": _loaded_table("time_dim"),
+    "load_product": _loaded_table("product"),
+    "load_customer": _loaded_table("customer"),
+    "load_store": _loaded_table("store"),
+    "load_supplier": _loaded_table("supplier"),
+    "load_view": load_view,
+    "load_q1": load_q1,
     "check_primary_keys": check_primary_keys,
     "check_foreign_keys": check_foreign_keys,
     "check_not_null": check_not_null,

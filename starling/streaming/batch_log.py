@@ -119,14 +119,19 @@ class BatchLog:
         self._tables.append(table)
         return through, self.spark.table(table)
 
-    def latest(self, key: str, order: Sequence[str], through: int | None = None) -> DataFrame:
+    def latest(self, key: str, order: Sequence[str], through: int | None = None, of: DataFrame | None = None) -> DataFrame:
         """One row per key: the greatest in ``order``, then in the other columns, over snapshot and tail.
 
         The snapshot is not shuffled: it is read in its buckets, and the tail, one row per key
-        by then, comes to it.
+        by then, comes to it.  ``of`` holds the keys that are asked for (default: all); the rows
+        of others leave before they are reduced.
         """
         covered, snapshot = self._snapshot(key)
-        tail = keep_last(self.read(covered, through).select(*self.schema.fieldNames()), key, order)
+        rows = self.read(covered, through).select(*self.schema.fieldNames())
+        if of is not None:
+            rows = rows.join(of.select(key), key, "left_semi").select(*self.schema.fieldNames())
+            snapshot = None if snapshot is None else snapshot.join(of.select(key), key, "left_semi")
+        tail = keep_last(rows, key, order)
         if snapshot is None:
             return tail
         rest = [c for c in self.schema.fieldNames() if c != key and c not in order]
