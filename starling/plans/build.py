@@ -132,6 +132,17 @@ def feed_in_parts_dir(spark: SparkSession, sf_dir: str) -> str:
         testdata.feed_text(spark, sf_dir), scratch_dir(spark, "feed-parts"), FEED_PARTS))
 
 
+def delivered_again_dir(spark: SparkSession, sf_dir: str) -> str:
+    """The files of ``feed_in_parts_dir`` delivered a second time: equal lines, other names."""
+    def make():
+        lines = spark.read.text(feed_in_parts_dir(spark, sf_dir)).select(
+            "value", F.regexp_extract("_metadata.file_name", "^part-([0-9]+)", 1).alias("file"))
+        out = scratch_dir(spark, "feed-again")
+        lines.repartition("file").write.partitionBy("file").text(out)
+        return out
+    return cached(spark, sf_dir, "feed-again", make)
+
+
 def five_column_feed_dir(spark: SparkSession, sf_dir: str) -> str:
     """The feed in the warehouse's own five columns, written as CSV."""
     return cached(spark, sf_dir, "feed-five", lambda: feed_csv.write_feed_csv(

@@ -18,7 +18,7 @@ from starling.operators import warehouse as W
 from starling.plans import build as P
 from starling.schema import CUSTOMER_MASTER, ENRICHED_COLUMNS, FEED_COLUMNS
 from starling.session import scratch_dir
-from starling.sources import dirt, enriched_csv, feed_csv, tables, testdata
+from starling.sources import dirt, enriched_csv, feed_csv, ledger, tables, testdata
 from starling.streaming import feed_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,14 @@ def scan_transactions(spark, sf_dir):
     return _good(spark, P.feed_csv_dir(spark, sf_dir)).select(*FEED_COLUMNS)
 
 
+def ingest_ledger(spark, sf_dir):
+    """A feed delivered twice, under other file names the second time, loaded once."""
+    book = ledger.FeedLedger(spark, scratch_dir(spark, "ledger"))
+    once = book.read_feed(P.feed_in_parts_dir(spark, sf_dir), 0)
+    again = book.read_feed(f"{P.delivered_again_dir(spark, sf_dir)}/*", 1)
+    return feed_csv.clean_feed(once.unionByName(again)).select(*FEED_COLUMNS)
+
+
 def scan_masters(spark, sf_dir):
     """The customer master with its three columns (pruned at the scan)."""
     source = ["c_custkey", "c_name", "c_mktsegment"]
@@ -263,6 +271,7 @@ def stream_latest_compacted(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "scan_transactions": scan_transactions,
+    "ingest_ledger": ingest_ledger,
     "scan_masters": scan_masters,
     "scan_product_master": scan_product_master,
     "clean_transactions": clean_transactions,

@@ -15,6 +15,7 @@ number are ordered by it instead, whatever file they came in.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from starling.functions import cleaning
 from starling.schema import (ARRIVAL, FEED_BASE_COLUMNS, FEED_COLUMNS, FEED_HEADER, FEED_HEADER_PREFIX,
@@ -66,11 +67,18 @@ def number_arrivals(text: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"))).drop(_FILE)
 
 
-def read_feed_text(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a CSV feed folder as text columns, bound by position, with ``arrival``."""
+def read_feed_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Scan a CSV feed folder, or files, as text columns, bound by position, with ``arrival``."""
     return number_arrivals(_with_file(spark.read.schema(FEED_TEXT).options(**CSV_OPTIONS).csv(path)))
 
 
+def empty_feed_text(spark: SparkSession) -> DataFrame:
+    """The result of :func:`read_feed_text` for a feed without files."""
+    place = T.StructType([T.StructField("file_modification_time", T.TimestampType()),
+                          T.StructField("file_path", T.StringType()), T.StructField("file_block_start", T.LongType())])
+    return number_arrivals(spark.createDataFrame([], T.StructType([*FEED_TEXT.fields, T.StructField(_FILE, place)])))
+
+
 def stream_feed_text(spark: SparkSession, path: str, files_per_trigger: int | None = None,
                      bytes_per_trigger: int | None = None) -> DataFrame:
     """The same scan as a stream, bounded per micro-batch by files or by bytes; the
