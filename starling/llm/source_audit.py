@@ -11,8 +11,10 @@ and ``tree,``), so a term's documents lie between the largest count of one of
 its chunks and the sum over its chunks.  The first pass over the documents
 counts chunks per language only, and these bounds leave few terms: those below
 the least number of documents are out.  The second pass counts the chunks of the
-others per source.  A term between its bounds has few documents a chunk; for
-these the second pass names the documents too, and they are counted exactly.
+others per source, by 64-bit hashes; chunks whose hash another chunk has too (the
+distinct chunks are known by then) are counted by their text.  A term between
+its bounds has few documents a chunk; for these the second pass names the
+documents too, and they are counted exactly.
 Which terms and chunks to look for goes to the tasks as hash sets of fixed size;
 exact counts and joins follow, so one too many is no harm.
 
@@ -37,18 +39,22 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starling.llm.common import arrow_map, bounded_broadcast, text_or_empty, written
-from starling.llm.text_bytes import blocks, byte_class, gather, hash_set, held, spans, string_hashes
+from starling.llm.text_bytes import blocks, byte_class, gather, hash_set, held, spans, string_hashes, word_hashes
 
 # Fixed value: a term is a run of letters A-Z, a-z and code points outside ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 CHUNK = byte_class(" \t\n\x0b\x0c\r", inverted=True)
+TERM_BYTE = byte_class([*range(65, 91), *range(97, 123), *range(128, 256)])
 MIN_DOCUMENTS, SMOOTHING, UNIT, TOP_TERMS = 30, 5, 1_000_000_000, 50
 #: Bytes of text whose chunks the first pass adds up at a time: it holds less than the second.
 COUNT_BLOCK = 16 << 20
+#: Size of the set of hashes that two chunks share: there are hardly any.
+SHARED_BITS = 16
 #: Cells of a dense block of terms by sources.
 CELLS = 1 << 17
 
@@ -58,19 +64,56 @@ def _rows(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> Dat
         (lang_col, "lang"), (source_col, "source"))], text_or_empty(text_col).alias("text"))
 
 
-def _chunks_of(data: np.ndarray, bounds: np.ndarray, sets: tuple = ()):
-    """Distinct (row, chunk) of a block with their counts: row, code, count, the chunks by code, and for
-    each hash set of ``sets`` which chunks may be in it; with sets, only chunks of the first one count."""
+def _chunks_of(data: np.ndarray, bounds: np.ndarray):
+    """Distinct (row, chunk) of a block: row, code, and the chunks by code."""
     start, end, row = spans(data, bounds, CHUNK)
     coded = gather(data, start, end).dictionary_encode()
     code, chunks = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
-    marks = []
-    if sets:
-        marks = [held(string_hashes(chunks), members) for members in sets]
-        use = marks[0][code] if len(code) else np.zeros(0, dtype=bool)
-        row, code = row[use], code[use]
-    key, count = _sums(row * max(1, len(chunks)) + code)
-    return key // max(1, len(chunks)), key % max(1, len(chunks)), count, chunks, marks
+    key, _ = _sums(row * max(1, len(chunks)) + code)
+    return key // max(1, len(chunks)), key % max(1, len(chunks)), chunks
+
+
+def _hashes_of(data: np.ndarray, bounds: np.ndarray, wanted: np.ndarray, undecided: np.ndarray, shared: np.ndarray):
+    """Distinct (row, chunk) of a block with their counts, of the chunks that hold a term and whose hash is in
+    ``wanted``: row, code, count, and by code the hash, the text (empty unless the hash is in ``shared``) and
+    whether the hash is in ``undecided``."""
+    start, end, row = spans(data, bounds, CHUNK)
+    h = word_hashes(data, start, end)
+    letters = np.zeros(len(data) + 1, dtype=np.int32)
+    np.cumsum(TERM_BYTE[data], out=letters[1:])
+    use = np.flatnonzero(held(h, wanted) & (letters[end] > letters[start]))
+    start, end, row, h = start[use], end[use], row[use], h[use]
+    text = None
+    twice = held(h, shared)
+    if twice.any():
+        # hashes do not tell these chunks apart: number (hash, text) instead
+        texts = pa.array(np.full(len(h), "", dtype=object), pa.string())
+        texts = pc.replace_with_mask(texts, pa.array(twice), gather(data, start[twice], end[twice]))
+        names, both = pa.array(h.view(np.int64)).dictionary_encode(), texts.dictionary_encode()
+        pair = names.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(both.dictionary) + both.indices.to_numpy(
+            zero_copy_only=False)
+        coded = pa.array(pair).dictionary_encode()
+        of = coded.dictionary.to_numpy()
+        hashes = names.dictionary.to_numpy()[of // len(both.dictionary)].view(np.uint64)
+        text = both.dictionary.take(pa.array(of % len(both.dictionary)))
+    else:
+        coded = pa.array(h.view(np.int64)).dictionary_encode()
+        hashes = coded.dictionary.to_numpy().view(np.uint64)
+        text = pa.array([""], pa.string()).take(pa.array(np.zeros(len(hashes), dtype=np.int64)))
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    n = max(1, len(hashes))
+    key, count = _sums(row * n + code)
+    return key // n, key % n, count, hashes, text, held(hashes, undecided)
+
+
+def _shared_hashes(parts: DataFrame) -> DataFrame:
+    """h: the hashes that two different chunks of ``parts`` have (told apart by a second hash)."""
+    def hashes(b):
+        h = pa.array(string_hashes(b.column("chunk")).view(np.int64))
+        yield pa.RecordBatch.from_arrays([h, b.column("other")], names=["h", "other"])
+
+    both = arrow_map(parts.select("chunk", F.xxhash64("chunk").alias("other")), hashes, "h long, other long")
+    return both.groupBy("h").agg(F.min("other").alias("a"), F.max("other").alias("b")).where("a != b").select("h")
 
 
 def _sums(key: np.ndarray, value: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
@@ -91,7 +134,7 @@ def chunk_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     def run(batches):
         for batch in batches:
             for b, data, bounds in blocks(batch, "text", COUNT_BLOCK):
-                row, code, _, chunks, _ = _chunks_of(data, bounds)
+                row, code, chunks = _chunks_of(data, bounds)
                 group, langs = _numbered(b.column("lang").to_pylist())
                 n = max(1, len(chunks))
                 key, count = _sums(group[row] * n + code)
@@ -131,40 +174,45 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     def pick(b):
         h = b.column("h").to_numpy().view(np.uint64)
         use, undecided = (held(h, members) for members in terms.value)
-        hashes = pa.array(string_hashes(b.column("chunk")).view(np.int64))
-        yield b.select(["lang", "chunk", "term", "times"]).append_column("undecided", pa.array(undecided)).append_column(
-            "h", hashes).filter(pa.array(use))
-
+        b = b.append_column("undecided", pa.array(undecided)).filter(pa.array(use))
+        hashes = string_hashes(b.column("chunk"))
+        chunk = pc.if_else(pa.array(held(hashes, shared.value)), b.column("chunk"), "")
+        yield pa.RecordBatch.from_arrays(
+            [b.column("lang"), chunk, b.column("term"), b.column("times"), b.column("undecided"), pa.array(hashes.view(np.int64))],
+            names=["lang", "chunk", "term", "times", "undecided", "h"])
+
+    # chunks whose hash another chunk has too travel with their text, the others as their hash
+    shared = context.broadcast(hash_set(_shared_hashes(parts), "h", bits=SHARED_BITS))
     # a hash set may let a term pass, or name it undecided, that is not: its documents are counted, so the answer stays
     wanted = written(arrow_map(parts.select("lang", "chunk", "term", "times", F.xxhash64("lang", "term").alias("h")), pick,
                                "lang string, chunk string, term string, times long, undecided boolean, h long"),
                      "audit-wanted")
-    look_for = context.broadcast((hash_set(wanted, "h"), hash_set(wanted.where("undecided"), "h")))
-    wanted = wanted.drop("h")
+    look_for = context.broadcast((hash_set(wanted, "h"), hash_set(wanted.where("undecided"), "h"), shared.value))
 
     def run(batches):
         before = TaskContext.get().partitionId() << 33
         for batch in batches:
             for b, data, bounds in blocks(batch, "text"):
-                row, code, count, chunks, marks = _chunks_of(data, bounds, look_for.value)
+                row, code, count, h, text, marks = _hashes_of(data, bounds, *look_for.value)
                 group, names = _numbered(list(zip(b.column("lang").to_pylist(), b.column("source").to_pylist())))
                 langs, sources = (pa.array([p[k] for p in names], pa.string()) for k in (0, 1))
-                n = max(1, len(chunks))
+                n = max(1, len(h))
                 key, _, occ = _sums(group[row] * n + code, count)
-                named = np.flatnonzero(marks[1][code]) if len(code) else code
+                named = np.flatnonzero(marks[code])
                 for at, of, times, place in (
                         (key // n, key % n, pa.array(occ), pa.nulls(len(key), pa.int64())),
                         (group[row[named]], code[named], pa.nulls(len(named), pa.int64()), pa.array(before + row[named]))):
                     yield pa.RecordBatch.from_arrays(
-                        [langs.take(pa.array(at)), sources.take(pa.array(at)), chunks.take(pa.array(of)), times, place],
-                        names=["lang", "source", "chunk", "occ", "row"])
+                        [langs.take(pa.array(at)), sources.take(pa.array(at)), pa.array(h[of].view(np.int64)),
+                         text.take(pa.array(of)), times, place],
+                        names=["lang", "source", "h", "chunk", "occ", "row"])
                 before += b.num_rows
 
     # sums per group and chunk, and beside them one row per document for the terms to be counted exactly
     found = _rows(docs, text_col, lang_col, source_col).mapInArrow(
-        run, "lang string, source string, chunk string, occ long, row long")
-    found = found.groupBy("lang", "source", "chunk", "row").agg(F.sum("occ").alias("occ"))
-    found = written(found.join(bounded_broadcast(wanted), ["lang", "chunk"]).select(
+        run, "lang string, source string, h long, chunk string, occ long, row long")
+    found = found.groupBy("lang", "source", "h", "chunk", "row").agg(F.sum("occ").alias("occ"))
+    found = written(found.join(bounded_broadcast(wanted), ["lang", "h", "chunk"]).select(
         "lang", "source", "term", (F.col("occ") * F.col("times")).alias("occ"), "row", "undecided"), "audit-found")
     exact = found.where(F.col("undecided") & F.col("row").isNotNull()).select("lang", "term", "row").distinct().groupBy(
         "lang", "term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_documents)

@@ -72,10 +72,21 @@ def test_each_distinct_chunk_is_cut_once(spark):
 
 
 def test_full_hash_sets_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(source_audit, "hash_set", lambda hashes, column: np.full(4, 2**64 - 1, dtype=np.uint64))
+    monkeypatch.setattr(source_audit, "hash_set", lambda hashes, column, bits=0: np.full(4, 2**64 - 1, dtype=np.uint64))
     assert result(cases.documents(spark, data=rows()), min_documents=3) == plain(rows(), 3)
 
 
+def test_chunks_with_one_hash_are_told_apart_by_text(monkeypatch):
+    from starling.llm.text_bytes import LOWER
+    text, every = "Tree, tree. 12 tree, über", np.full(4, 2**64 - 1, dtype=np.uint64)
+    data = LOWER[np.frombuffer(text.encode(), dtype=np.uint8)]
+    monkeypatch.setattr(source_audit, "word_hashes", lambda data, start, end: np.full(len(start), 9, dtype=np.uint64))
+    row, code, count, hashes, names, _ = source_audit._hashes_of(data, np.array([0, 13, len(data)]), every, every, every)
+    assert sorted(zip(row.tolist(), names.take(code).to_pylist(), count.tolist())) == [
+        (0, "tree,", 1), (0, "tree.", 1), (1, "tree,", 1), (1, "über", 1)]
+    assert set(hashes.tolist()) == {9}
+
+
 def test_many_sources(spark):
     data = [(i, cases.prose(i % 7, 30), "en", f"site{i}.org", 1) for i in range(300)]
     assert result(cases.documents(spark, data=data), min_documents=20) == plain(data, 20)
