@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starling.llm.common import arrow_map, bounded_broadcast, text_or_empty, written
-from starling.llm.text_bytes import blocks, byte_class, gather, hash_set, held, spans, string_hashes, word_hashes
+from starling.llm.text_bytes import blocks, byte_class, gather, gather_all, hash_set, held, spans, string_hashes, word_hashes
 
 # Fixed value: a term is a run of letters A-Z, a-z and code points outside ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -52,7 +52,7 @@ CHUNK = byte_class(" \t\n\x0b\x0c\r", inverted=True)
 TERM_BYTE = byte_class([*range(65, 91), *range(97, 123), *range(128, 256)])
 MIN_DOCUMENTS, SMOOTHING, UNIT, TOP_TERMS = 30, 5, 1_000_000_000, 50
 #: Bytes of text whose chunks the first pass adds up at a time: it holds less than the second.
-COUNT_BLOCK = 16 << 20
+COUNT_BLOCK = 8 << 20
 #: Size of the set of hashes that two chunks share: there are hardly any.
 SHARED_BITS = 16
 #: Cells of a dense block of terms by sources.
@@ -67,7 +67,7 @@ def _rows(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> Dat
 def _chunks_of(data: np.ndarray, bounds: np.ndarray):
     """Distinct (row, chunk) of a block: row, code, and the chunks by code."""
     start, end, row = spans(data, bounds, CHUNK)
-    coded = gather(data, start, end).dictionary_encode()
+    coded = gather_all(data, start, end, CHUNK).dictionary_encode()
     code, chunks = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
     key, _ = _sums(row * max(1, len(chunks)) + code)
     return key // max(1, len(chunks)), key % max(1, len(chunks)), chunks

@@ -114,6 +114,13 @@ def gather(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
         None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[index]))]).cast(pa.string())
 
 
+def gather_all(data: np.ndarray, start: np.ndarray, end: np.ndarray, word: np.ndarray) -> pa.Array:
+    """:func:`gather` for all the spans that :func:`spans` gives: their bytes are the ``word`` bytes in order."""
+    offsets = np.zeros(len(start) + 1, dtype=np.int32)
+    np.cumsum(end - start, out=offsets[1:])
+    return pa.Array.from_buffers(pa.string(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[word[data]])])
+
+
 def sums_by_key(key: np.ndarray, value: np.ndarray) -> pa.Table:
     """The distinct hashes ``h`` (as longs) and the sum ``c`` of the values of each."""
     t = pa.table([pa.array(key.view(np.int64)), pa.array(value)], names=["h", "c"])
