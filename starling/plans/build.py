@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starling.operators import enrich as E
 from starling.operators.incremental import IncrementalWarehouse
+from starling.operators.surrogate import KeyMap
 from starling.operators.warehouse import Warehouse
 from starling.schema import ARRIVAL
 from starling.session import app_id, scratch_dir
@@ -123,6 +124,17 @@ def incremental_warehouse(spark: SparkSession, sf_dir: str) -> IncrementalWareho
     return cached(spark, sf_dir, "incremental", make)
 
 
+def key_map(spark: SparkSession, sf_dir: str, column: str) -> KeyMap:
+    """The numbers of a column of the enriched lines, given batch by batch; the last batch is loaded twice."""
+    def make():
+        batches = load_batches(spark, sf_dir)
+        numbers = KeyMap(spark, scratch_dir(spark, "key-map"), column, batches[0].schema[column].dataType, "key")
+        for k, batch in enumerate([*batches, batches[-1]]):
+            numbers.load(batch, min(k, len(batches) - 1))
+        return numbers
+    return cached(spark, sf_dir, f"key-map-{column}", make)
+
+
 FEED_PARTS = 8
 
 

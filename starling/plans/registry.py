@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starling.functions import cleaning
 from starling.operators import enrich as E
-from starling.operators import olap, quality
+from starling.operators import clustering, key_bitmaps, olap, quality
 from starling.operators import warehouse as W
 from starling.plans import build as P
-from starling.schema import CUSTOMER_MASTER, ENRICHED_COLUMNS, FEED_COLUMNS
+from starling.schema import CUSTOMER_MASTER, ENRICHED_COLUMNS, FEED_COLUMNS, FOREIGN_KEYS, PRIMARY_KEYS
 from starling.session import scratch_dir
 from starling.sources import dirt, enriched_csv, feed_csv, ledger, tables, testdata
 from starling.streaming import feed_stream
@@ -192,6 +192,30 @@ def check_foreign_keys(spark, sf_dir):
     return quality.check_foreign_keys(t["sales"], t)
 
 
+def check_foreign_keys_bitmap(spark, sf_dir):
+    """K8 by bitmaps of the keys, over the loaded fact and over dimensions that lack every seventh key."""
+    t = _all_tables(P.warehouse(spark, sf_dir))
+    short = {name: t[name].where(F.col(PRIMARY_KEYS[name]) % 7 != 0) for name in set(FOREIGN_KEYS.values())}
+    whole, holes = key_bitmaps.check_foreign_keys(t["sales"], t), key_bitmaps.check_foreign_keys(t["sales"], short)
+    return whole.withColumn("keys", F.lit("all")).unionByName(holes.withColumn("keys", F.lit("without sevenths")))
+
+
+def _dense_keys(column):
+    def run(spark, sf_dir):
+        return P.key_map(spark, sf_dir, column).table()
+    run.__name__ = f"dense_{column}"
+    run.__doc__ = f"K1: dense numbers of ``{column}``, given in three loads of which the last comes twice."
+    return run
+
+
+def fact_clustered(spark, sf_dir):
+    """The fact written in Z-order of date, store and product, read back."""
+    fact = P.warehouse(spark, sf_dir).table("sales")
+    path = scratch_dir(spark, "sales-clustered")
+    tables.write_table(clustering.cluster(fact, ["date_id", "store_id", "product_id"], "transaction_id"), path)
+    return tables.read_table(spark, path, fact.schema)
+
+
 def check_not_null(spark, sf_dir):
     """K9."""
     return quality.check_not_null(P.warehouse(spark, sf_dir).table("time_dim"),
@@ -304,6 +328,10 @@ QUERIES: dict[str, Query] = {
     "load_q1": load_q1,
     "check_primary_keys": check_primary_keys,
     "check_foreign_keys": check_foreign_keys,
+    "check_foreign_keys_bitmap": check_foreign_keys_bitmap,
+    "dense_order_date": _dense_keys("order_date"),
+    "dense_product_id": _dense_keys("product_id"),
+    "fact_clustered": fact_clustered,
     "check_not_null": check_not_null,
     "supplier_count": supplier_count,
     "q1": _olap(olap.q1),

@@ -33,6 +33,7 @@ from starling.schema import ARRIVAL, ENRICHED, ENRICHED_COLUMNS, FEED, FEED_COLU
 from starling.session import scratch_dir
 from starling.sources import feed_csv
 from starling.streaming.batch_log import BatchLog
+from starling.streaming.state_session import rocksdb_session
 
 MASTER_KEYS = {"customers": "customer_id", "products": "product_id", "suppliers": "supplier_id"}
 ARRIVAL_TYPE = T.StructType([T.StructField("modified", T.TimestampType()), T.StructField("path", T.StringType()),
@@ -42,8 +43,6 @@ LOG_SCHEMA = T.StructType([*ENRICHED.fields, *_ORDER_FIELDS])
 QUARANTINE_SCHEMA = T.StructType([*FEED_TEXT.fields, T.StructField("reject_reason", T.StringType())])
 # What the keyed state holds per order: no names, they come from the masters when the state is read.
 STATE_SCHEMA = T.StructType([f for f in FEED.fields if f.name != "line_number"] + _ORDER_FIELDS)
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 class Masters(list):
@@ -212,17 +211,9 @@ def stream_latest_state_to_log(spark: SparkSession, feed_dir: str, customers: Da
     if not BatchLog(spark, f"{root}/matched").committed():  # an empty feed
         return f"{root}/state_log"
     # files of a dead attempt would hold rows of the committed one: they change no last line
-    rows = spark.readStream.schema(STATE_SCHEMA).parquet(f"{root}/matched/batch_id=*/attempt=*")
+    rows = rocksdb_session(spark).readStream.schema(STATE_SCHEMA).parquet(f"{root}/matched/batch_id=*/attempt=*")
     latest = keep_last(rows, "order_id", E.line_order(rows.columns, "quantity"))
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        run_to_log(latest, f"{root}/state_log", f"{root}/_checkpoint_state", mode="update")
-    finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+    run_to_log(latest, f"{root}/state_log", f"{root}/_checkpoint_state", mode="update")
     return f"{root}/state_log"
 
 
