@@ -24,8 +24,9 @@ one small table with two rows per partition.  Alignment works on 64-bit line
 hashes; only pages with open lines meet its result.
 
 Defined cases: a null or empty html gives an empty text; a null url is a host
-of its own; the only page of a host loses no line; pages with equal URLs are
-neighbours; repeated rows are pages of their own; unclosed elements end with
+of its own; the only page of a host loses no line; pages of a host with equal
+lines have one neighbour, the nearest with other lines; a page whose lines the
+neighbour all has keeps them; repeated rows are pages of their own; unclosed elements end with
 their parent or the page; an empty table gives an empty result; other columns
 are ignored, whatever their names.
 """
@@ -317,7 +318,7 @@ def parsed_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                     [piece.column("page_id"), piece.column("url"), *[pa.array(v, t) for v, t in zip(out, types)]],
                     names=["page_id", "url", "row", "host", "path", "hashes", "open", "lines", "place", "free"])
 
-    return written(rows.mapInArrow(run, schema), "pages")
+    return written(rows.mapInArrow(run, schema).withColumn("content", F.xxhash64("hashes")), "pages")
 
 
 def clean(text: str) -> str:
@@ -336,8 +337,20 @@ def split_url(url: str | None) -> tuple[str | None, str]:
 
 
 def neighbours(parsed: DataFrame) -> DataFrame:
-    """``(row, near)``: the row of each page's nearest page by URL path in its host."""
-    order = written(parsed.select("row", "host", "path").repartitionByRange(F.col("host"), F.col("path"), F.col("row"))
+    """``(row, near)``: the row of each page's nearest page by URL path in its host, among pages of other lines.
+
+    Pages of a host with equal lines stand where the first of them stands, and have one neighbour.
+    """
+    pages = parsed.select("row", "host", "path", "content")
+    first = pages.groupBy("host", "content").agg(F.min(F.struct("path", "row")).alias("f"))
+    first = written(first.select("host", "content", F.col("f.path").alias("path"), F.col("f.row").alias("row")), "page-firsts")
+    near = first.join(nearest(first), "row").select(F.col("host").alias("h"), F.col("content").alias("c"), "near")
+    return pages.join(near, F.col("host").eqNullSafe(F.col("h")) & (F.col("content") == F.col("c"))).select("row", "near")
+
+
+def nearest(pages: DataFrame) -> DataFrame:
+    """``(row, near)``: the row of the nearest other page by URL path in the host."""
+    order = written(pages.select("row", "host", "path").repartitionByRange(F.col("host"), F.col("path"), F.col("row"))
                     .withColumn("pid", F.spark_partition_id()), "page-order")
     me = F.struct("host", "path", "row")
     # the last page before, and the first page behind, each partition: two rows a partition
@@ -393,6 +406,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     opened = parsed.where("open").select("page_id", "url", "row", "lines", "place", "free").join(
         shared_lines(parsed), "row", "left").withColumn("shared", F.coalesce("shared", F.array().cast("array<int>")))
     gone = F.zip_with("place", "free", lambda k, f: f & F.array_contains(F.col("shared"), k))
-    opened = opened.withColumn("gone", gone)
+    # a page is not emptied: when every line would go, the neighbour holds the whole page, and none goes
+    opened = opened.withColumn("gone", gone).withColumn("gone", F.when(
+        F.forall("gone", lambda g: g), F.transform("gone", lambda _: F.lit(False))).otherwise(F.col("gone")))
     left = F.filter("lines", lambda _, i: ~F.get("gone", i))
     return closed.unionByName(result(opened, left, F.size(F.filter("gone", lambda g: g))))

@@ -79,12 +79,12 @@ def test_shared_open_lines_go_and_article_lines_stay(spark):
         assert got[100 + i].text == f"same\nown {i}"
     assert got[200].text == "" and got[201].text == "" and got[203].text == "z"
     assert got[202].text == "Top\nSecond\nu\nv\nBottom"   # no neighbour
-    assert got[204].text == ""                           # equal pages share every line
+    assert got[204].text == "Top\nSecond\nt\nt\nBottom"   # an equal page is no neighbour
 
 
 def test_neighbours_follow_the_path_order_across_partitions(spark):
     paths = [f"/{'abc'[i % 3]}/{i % 7}/{i:02d}" for i in range(60)]
-    rows = [(i, f"http://{'xy'[i % 2]}.com{p}", "<p>t") for i, p in enumerate(paths)]
+    rows = [(i, f"http://{'xy'[i % 2]}.com{p}", f"<p>{i}") for i, p in enumerate(paths)]
     parsed = H.parsed_pages(site(spark, rows, 5))
     name = {r.row: (r.host, r.path) for r in parsed.collect()}
     near = {name[r.row]: name[r.near] for r in H.neighbours(parsed).collect()}
@@ -102,6 +102,18 @@ def test_neighbours_follow_the_path_order_across_partitions(spark):
         assert near[me] == max(around, key=lambda o: shared(o[1], me[1]))
 
 
+def test_equal_pages_meet_the_nearest_other_page(spark):
+    body = '<div class="content"><p>{}</p></div><div>Site bar</div>'
+    rows = [(1, "http://a.com/x/1", body.format("crawled twice")), (2, "http://a.com/x/1", body.format("crawled twice")),
+            (3, "http://a.com/z", body.format("crawled twice")), (4, "http://a.com/x/2", body.format("another")),
+            # every line of page 5 stands on its neighbour, page 6, too
+            (5, "http://b.com/1", body.format("part")), (6, "http://b.com/2", body.format("part") + "<p>more</p>")]
+    rows += [(100 + i, "http://a.com/x/1", body.format("crawled twice")) for i in range(300)]
+    got = {r.page_id: r.text for r in H.main_text(site(spark, rows, 6)).collect()}
+    assert {got[i] for i in [1, 2, 3, *range(100, 400)]} == {"crawled twice"}
+    assert got[4] == "another" and got[5] == "part\nSite bar" and got[6] == "more"
+
+
 def test_empty_clashing_and_repeated(spark):
     from pyspark.sql import functions as F
     assert H.main_text(spark.createDataFrame([], SCHEMA)).count() == 0
