@@ -10,8 +10,8 @@ a source are its target rounded down, and no document is taken more than
 ``max_epochs`` times.
 
 At scale: one pass sums sizes per (source, hash bucket), pre-aggregated on
-the map side; the plan has one row per source, and it is the only thing
-broadcast (at most ``MAX_SOURCES`` rows, enforced).  All rows outside a
+the map side; the plan is a written table with one row per source, any number of
+them, broadcast while its measured size is small.  All rows outside a
 source's boundary bucket are then decided from their own bucket; only the
 boundary bucket (1/4096 of a source) is ordered.  A source that holds a third
 of all rows is thus never gathered.
@@ -27,34 +27,39 @@ names.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql import types as T
 
-from starling.llm.common import WORD, n_words, small_table, text_or_empty, written
+from starling.llm.common import WORD, bounded_broadcast, n_words, text_or_empty, written
+from starling.operators.surrogate import dense_numbers
 
-MAX_SOURCES = 10_000
+ROUNDS_A_TABLE = 16
 BUCKET_HEX = 3          # hash buckets per source: 16 ** 3
 BUDGET, MAX_EPOCHS, WEIGHTS, SEED = 1.5, 2, (5, 2, 1), 17
 
 _SIZE, _SRC, _KEY, _BKT = "__mix_size", "__mix_source", "__mix_key", "__mix_bucket"
-_PLAN = T.StructType([
-    T.StructField(_SRC, T.StringType()), T.StructField("__mix_total", T.LongType()),
-    T.StructField("__mix_target", T.DoubleType()), T.StructField("__mix_whole", T.LongType()),
-    T.StructField("__mix_need", T.LongType()), T.StructField("__mix_edge", T.StringType()),
-    T.StructField("__mix_before", T.LongType())])
 
 
-def water_fill(sizes: list[int], weights: list[float], budget: float, max_epochs: float) -> list[float]:
-    """Targets that share ``budget`` by weight, none above ``max_epochs`` times its size."""
-    capped: set[int] = set()
+def water_fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFrame:
+    """``sources`` (``size``, ``weight``) with ``target``: shares of ``budget`` by weight, none above
+    ``max_epochs`` times its size.
+
+    A round is one aggregate over the sources: what the clamped ones hold and the weight of the free ones.  It
+    gives the level of the next round, which may clamp more, until none is above.  The driver sees two sums a round.
+    """
+    clamped, weight_before, rounds = F.lit(False), None, 0
     while True:
-        free = [i for i in range(len(sizes)) if i not in capped]
-        weight = sum(weights[i] for i in free)
-        left = budget - sum(max_epochs * sizes[i] for i in capped)
-        over = [i for i in free if left * weights[i] / weight > max_epochs * sizes[i]]
-        if not over:
-            return [float(max_epochs * sizes[i]) if i in capped else max(0.0, left * weights[i] / weight)
-                    for i in range(len(sizes))]
-        capped.update(over)
+        sums = sources.agg(F.sum(F.when(clamped, F.col("size"))).alias("held"),
+                           F.sum(F.when(~clamped, F.col("weight"))).alias("free")).first()
+        left, weight = budget - max_epochs * (sums["held"] or 0), sums["free"] or 0
+        if weight == 0 or weight == weight_before:
+            share = F.lit(float(left)) * F.col("weight") / F.lit(float(weight or 1))
+            return sources.withColumn("target", F.when(clamped, F.col("size") * F.lit(float(max_epochs))).otherwise(
+                F.greatest(F.lit(0.0), share)))
+        clamped = clamped | (F.lit(float(left)) * F.col("weight") / F.lit(float(weight)) > F.col("size") * max_epochs)
+        weight_before, rounds = weight, rounds + 1
+        if rounds % ROUNDS_A_TABLE == 0:  # keeps the condition short
+            held = [c for c in sources.columns if c != "__mix_clamped"]
+            sources = written(sources.select(*held, clamped.alias("__mix_clamped")), "mix-clamped")
+            clamped = F.col("__mix_clamped")
 
 
 def _keyed(docs: DataFrame, id_col: str, source_col: str, text_col: str, seed: int) -> DataFrame:
@@ -75,25 +80,31 @@ def plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", te
     cells = _keyed(docs.select(id_col, source_col, text_col), id_col, source_col, text_col, seed).groupBy(
         _SRC, _BKT).agg(F.sum(_SIZE).alias("n")).select(_SRC, _BKT, "n")
     cells = written(cells, "mix-cells")
-    totals = small_table(cells.groupBy(_SRC).agg(F.sum("n").alias("n")), MAX_SOURCES, "sources")
-    totals.sort(key=lambda r: (r[_SRC] is None, (r[_SRC] or "").encode()))
-    sizes = [int(r["n"]) for r in totals]
-    targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(sizes))],
-                         budget * sum(sizes), max_epochs) if sizes else []
-    rows = []
-    for r, size, target in zip(totals, sizes, targets):
-        whole = int(target // size) if size else 0
-        rows.append((r[_SRC], size, target, whole, int(target - whole * size)))
-    spark = docs.sparkSession
-    base = F.broadcast(spark.createDataFrame(rows, T.StructType(_PLAN.fields[:5])))
+    totals = written(cells.groupBy(_SRC).agg(F.sum("n").alias("size")), "mix-totals")
+    seen = totals.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"), F.count(_SRC).alias("named")).first()
+    # the place of a source in code point order; the null one comes behind the others
+    place = dense_numbers(totals, _SRC, "at", 0).select(F.col(_SRC).alias("s"), "at")
+    deal = F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
+                        (F.coalesce("at", F.lit(seen["named"])) % len(weights) + 1).cast("int"))
+    dealt = written(totals.join(place, F.col(_SRC) == F.col("s"), "left").select(_SRC, "size", deal.alias("weight")), "mix-weights")
+    filled = water_fill(dealt, budget * (seen["size"] or 0), max_epochs)
+    # whole repetitions; a quotient that was rounded up does not count
+    near = F.floor(F.col("target") / F.col("size"))
+    whole = F.when(F.col("size") > 0, near - (near * F.col("size") > F.col("target")).cast("long")).otherwise(F.lit(0)).cast("long")
+    base = written(filled.withColumn("whole", whole).select(
+        F.col(_SRC).alias("s"), F.col("size").alias("__mix_total"), F.col("target").alias("__mix_target"),
+        F.col("whole").alias("__mix_whole"), (F.col("target") - F.col("whole") * F.col("size")).cast("long").alias("__mix_need")),
+        "mix-base")
     # the boundary bucket: at most 16 ** BUCKET_HEX rows a source, in bucket order
     order = Window.partitionBy(_SRC).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)
     upto = cells.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    joined = upto.join(base, upto[_SRC].eqNullSafe(base[_SRC])).where(
-        (F.col("before") <= F.col("__mix_need")) & (F.col("before") + F.col("n") > F.col("__mix_need")))
-    edges = small_table(joined.select(upto[_SRC].alias("s"), _BKT, "before"), MAX_SOURCES, "sources")
-    at = {r["s"]: (r[_BKT], int(r["before"])) for r in edges}
-    return spark.createDataFrame([(*r, *at.get(r[0], ("~", 0))) for r in rows], _PLAN)
+    edges = upto.join(bounded_broadcast(base), F.col(_SRC).eqNullSafe(F.col("s"))).where(
+        (F.col("before") <= F.col("__mix_need")) & (F.col("before") + F.col("n") > F.col("__mix_need"))).select(
+        F.col(_SRC).alias("e"), _BKT, "before")
+    return written(base.join(edges, F.col("s").eqNullSafe(F.col("e")), "left").select(
+        F.col("s").alias(_SRC), "__mix_total", "__mix_target", "__mix_whole", "__mix_need",
+        F.coalesce(_BKT, F.lit("~")).alias("__mix_edge"),
+        F.coalesce("before", F.lit(0).cast("long")).alias("__mix_before")), "mix-plan")
 
 
 def taken(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", source_col: str = "source",
@@ -104,7 +115,7 @@ def taken(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", source_col: s
     (whole repetitions) and ``__mix_extra`` (words of the fractional one).
     """
     keyed = _keyed(docs, id_col, source_col, text_col, seed)
-    side = F.broadcast(mix.withColumnRenamed(_SRC, "__mix_plan_source"))  # one row a source, at most MAX_SOURCES
+    side = bounded_broadcast(mix.withColumnRenamed(_SRC, "__mix_plan_source"))  # one row a source
     rows = keyed.join(side, F.col(_SRC).eqNullSafe(F.col("__mix_plan_source"))).drop("__mix_plan_source")
     inside = rows.where(F.col(_BKT) != F.col("__mix_edge")).withColumn(
         "__mix_extra", F.when(F.col(_BKT) < F.col("__mix_edge"), F.col(_SIZE)).otherwise(F.lit(0).cast("long")))

@@ -18,16 +18,36 @@ def brute_targets(sizes, weights, budget, epochs):
     return [min(epochs * s, hi * w) for s, w in zip(sizes, weights)]
 
 
-@pytest.mark.parametrize("sizes", [[10, 10, 10], [1000, 1, 1], [0, 5, 7, 900, 3], [1], [3, 0, 0, 0]])
-def test_water_fill_meets_the_budget_below_every_cap(sizes):
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [1000, 1, 1], [0, 5, 7, 900, 3], [1], [3, 0, 0, 0],
+                                   [3 ** i for i in range(25)]])
+def test_water_fill_meets_the_budget_below_every_cap(spark, sizes):
     weights = [(5, 2, 1)[i % 3] for i in range(len(sizes))]
     budget = 1.5 * sum(sizes)
-    got = mixing.water_fill(sizes, weights, budget, 2)
+    sources = spark.createDataFrame([(i, s, float(w)) for i, (s, w) in enumerate(zip(sizes, weights))], "i int, size long, weight double")
+    got = [r.target for r in mixing.water_fill(sources, budget, 2).orderBy("i").collect()]
     assert got == pytest.approx(brute_targets(sizes, weights, budget, 2), rel=1e-9, abs=1e-9)
     assert sum(got) == pytest.approx(budget)
     assert all(t <= 2 * s for t, s in zip(got, sizes))
 
 
+def test_any_number_of_sources(spark, monkeypatch):
+    """A source per web domain, with the plan too large to broadcast."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(mixing, "bounded_broadcast", lambda df: df)
+    n = 50_000
+    df = spark.range(n + 1).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < n, F.format_string("d%06d.com", "id")).alias("source"),
+        F.repeat(F.lit("w "), (F.col("id") % 9 + 1).cast("int")).alias("text"))
+    plan = mixing.plan(df)
+    rows = mixing.taken(df, plan).collect()
+    sizes = [i % 9 + 1 for i in range(n + 1)]
+    want = brute_targets(sizes, [(5, 2, 1)[i % 3] for i in range(n + 1)], 1.5 * sum(sizes), 2)
+    assert len(rows) == n + 1
+    for r in rows:
+        assert r["__mix_target"] == pytest.approx(want[r.doc_id], rel=1e-9)
+        assert r["__mix_whole"] * r["__mix_size"] + r["__mix_extra"] == pytest.approx(want[r.doc_id], abs=1.0)
+
+
 def taken(df):
     rows = mixing.taken(df, mixing.plan(df)).collect()
     return sorted(((r["doc_id"], r["source"], r["__mix_size"], r["__mix_total"], r["__mix_target"],
