@@ -113,6 +113,12 @@ def _enriched(feed: DataFrame, lk: Lookups) -> DataFrame:
     return _with_total(_match(feed, lk).join(lk.customers, "customer_id"))
 
 
+def _enriched_columns(matched: DataFrame, keep_order_columns: bool) -> DataFrame:
+    out = matched.where(F.col("total_sale").isNotNull()).withColumnRenamed("quantity", "quantity_ordered")
+    extra = [c for c in ORDER_COLUMNS if keep_order_columns and c in out.columns]
+    return out.select(*ENRICHED_COLUMNS, *extra)
+
+
 def enrich(feed: DataFrame, customers: DataFrame | None = None, products: DataFrame | None = None,
            suppliers: DataFrame | None = None, stores: DataFrame | None = None,
            keep_order_columns: bool = False, masters_unique: bool = False,
@@ -125,9 +131,7 @@ def enrich(feed: DataFrame, customers: DataFrame | None = None, products: DataFr
     ``keep_order_columns`` keeps line number and arrival, where the feed has them.
     """
     lk = lookups or prepare(customers, products, suppliers, stores, masters_unique)
-    out = _enriched(feed, lk).where(F.col("total_sale").isNotNull()).withColumnRenamed("quantity", "quantity_ordered")
-    extra = [c for c in ORDER_COLUMNS if keep_order_columns and c in out.columns]
-    return out.select(*ENRICHED_COLUMNS, *extra)
+    return _enriched_columns(_enriched(feed, lk), keep_order_columns)
 
 
 def oversized(feed: DataFrame, customers: DataFrame, products: DataFrame, suppliers: DataFrame | None = None,
@@ -153,17 +157,33 @@ def latest_per_order(enriched: DataFrame, order: list[str] | None = None) -> Dat
     return keep_last(enriched, "order_id", order or line_order(enriched.columns)).select(*ENRICHED_COLUMNS)
 
 
-def matched_keys(feed: DataFrame, lookups: Lookups) -> DataFrame:
-    """The feed lines that :func:`enrich` keeps, decided with key columns only (the
-    price decides whether the total fits); the supplier is that of the match."""
-    narrow = _match(feed, Lookups(None, *[
+def _matched_line_keys(lines: DataFrame, lookups: Lookups) -> DataFrame:
+    """The lines that their product, supplier and store match and whose total fits, decided with key columns
+    and the price only; the supplier is that of the match."""
+    narrow = _match(lines, Lookups(None, *[
         None if m is None else m.select(*[c for c in m.columns if c in keep]) for m, keep in (
             (lookups.products, {"product_id", "product_price", "supplier_id", "store_id"}),
             (lookups.suppliers, {"supplier_id", "store_id"}), (lookups.stores, {"store_id"}))]))
-    return narrow.where(total_sale().isNotNull()).join(
+    return narrow.where(total_sale().isNotNull()).select(*lines.columns)
+
+
+def matched_keys(feed: DataFrame, lookups: Lookups) -> DataFrame:
+    """The feed lines that :func:`enrich` keeps (see :func:`_matched_line_keys`)."""
+    return _matched_line_keys(feed, lookups).join(
         lookups.customers.select("customer_id"), "customer_id", "left_semi").select(*feed.columns)
 
 
+def enrich_parts(lines: DataFrame, headers: DataFrame, lookups: Lookups, keep_order_columns: bool = False) -> DataFrame:
+    """:func:`enrich` of ``lines`` joined with ``headers`` (date and customer of an order).
+
+    The customer belongs to the order, so its name is joined to the headers, a
+    row per order, and the lines are shuffled by order once, not by order and
+    again by customer with every name on them.
+    """
+    return _enriched_columns(_with_total(_match(lines, lookups)).join(
+        headers.join(lookups.customers, "customer_id"), "order_id"), keep_order_columns)
+
+
 def latest_lines(feed: DataFrame, lookups: Lookups) -> DataFrame:
     """Staging rows of a feed, with the keep-last on narrow rows.
 
@@ -183,16 +203,15 @@ def staging_from_parts(lines: DataFrame, headers: DataFrame, customers: DataFram
     If every line of an order shares the order's date and customer (true when
     they come from an order header table), matching the customer is a
     property of the whole order.  So the last line is picked among the
-    line-matched lines first, and only one row per order meets the header and
-    the customer master: the two widest joins run on a quarter of the rows and
-    are one-to-one, so a hot order cannot skew them.  ``headers`` must hold
+    line-matched lines first, by key columns and the price only, and only one
+    row per order meets the names, the header and the customer master: the
+    widest joins run on a quarter of the rows and those by order are
+    one-to-one, so a hot order cannot skew them.  ``headers`` must hold
     one row per order (its key), as an order table does.
     """
     lk = lookups or prepare(customers, products, suppliers, stores)
-    counted = _with_total(_match(lines, lk)).where(F.col("total_sale").isNotNull())
-    last = keep_last(counted, "order_id", line_order(counted.columns, "quantity"))
-    return (last.join(headers, "order_id").join(lk.customers, "customer_id")
-            .withColumnRenamed("quantity", "quantity_ordered").select(*ENRICHED_COLUMNS))
+    matched = _matched_line_keys(lines, lk)
+    return enrich_parts(keep_last(matched, "order_id", line_order(lines.columns, "quantity")), headers, lk)
 
 
 def unmatched(feed: DataFrame, customers: DataFrame, products: DataFrame,

@@ -75,8 +75,8 @@ def lookups(spark: SparkSession, sf_dir: str) -> E.Lookups:
 
 def enriched_lines(spark: SparkSession, sf_dir: str, keep_order_columns: bool = False) -> DataFrame:
     """Every matched feed line with its 14 columns."""
-    feed = testdata.feed_lines(spark, sf_dir).join(testdata.order_headers(spark, sf_dir), "order_id")
-    return E.enrich(feed, keep_order_columns=keep_order_columns, lookups=lookups(spark, sf_dir))
+    return E.enrich_parts(testdata.feed_lines(spark, sf_dir), testdata.order_headers(spark, sf_dir),
+                          lookups(spark, sf_dir), keep_order_columns)
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:

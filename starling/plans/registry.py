@@ -101,8 +101,9 @@ def enrich_dirty_prices(spark, sf_dir):
     products = testdata.product_master(spark, sf_dir)
     priced = dirt.price_text(products).select("product_id", cleaning.money("price_text").alias("product_price"))
     m = P.Masters(spark, sf_dir)
-    return E.enrich(testdata.feed(spark, sf_dir), m.customers,
-                    products.select("product_id", "product_name").join(priced, "product_id"), m.suppliers, m.stores)
+    lookups = E.prepare(m.customers, products.select("product_id", "product_name").join(priced, "product_id"),
+                        m.suppliers, m.stores)
+    return E.enrich_parts(testdata.feed_lines(spark, sf_dir), testdata.order_headers(spark, sf_dir), lookups)
 
 
 def latest_per_order(spark, sf_dir):

@@ -100,3 +100,32 @@ def test_missing_price_sells_at_zero_and_oversized_totals_are_reported(spark):
             for r in E.latest_lines(feed, E.prepare(c, p)).collect()} == want
     assert [(r.order_id, r.line_number, r.reason) for r in E.oversized(feed, c, p).collect()] == [
         (3, 2, "total out of range")]
+
+
+def test_the_last_line_of_parts_is_picked_without_names(spark):
+    """Every line is sorted by order to pick the last: ids and quantity only."""
+    feed = _feed(spark, [(1, "2024-01-01 10:00:00", 10, 2, 1, 1), (1, "2024-01-01 10:00:00", 11, 1, 1, 2)])
+    lines = feed.select("order_id", "product_id", "quantity", "line_number")
+    headers = feed.select("order_id", "order_date", "customer_id").distinct()
+    out = E.staging_from_parts(lines, headers, *_masters(spark))
+    assert [(r.product_id, r.product_name, r.supplier_id, r.customer_name) for r in out.collect()] == [(11, "Desk", 5, "Ann")]
+    picks = [x for x in plan_text(out).splitlines() if "max(struct(" in x]
+    assert picks and not any("_name" in x for x in picks)
+
+
+def test_lines_of_parts_are_not_shuffled_by_customer(spark):
+    feed = _feed(spark, [(1, "2024-01-01 10:00:00", 10, 2, 1, 1), (1, "2024-01-01 10:00:00", 11, 1, 1, 2),
+                         (2, "2024-01-01 10:00:00", 10, 1, 9, 1)])
+    lines, headers = feed.drop("order_date", "customer_id"), feed.select("order_id", "order_date", "customer_id").distinct()
+    c, p = _masters(spark)
+    out = E.enrich_parts(lines, headers, E.prepare(c, p))
+    assert sorted(out.collect()) == sorted(E.enrich(feed, c, p).collect()) and out.count() == 2
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(E.enrich_parts(lines, headers, E.prepare(c, p)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    details = text[text.index("\n(1) "):].split("\n\n")
+    by_customer = [x for x in details if "Exchange" in x and "hashpartitioning(customer_id" in x]
+    assert by_customer and not any("product_id" in x for x in by_customer)
