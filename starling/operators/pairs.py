@@ -46,8 +46,9 @@ def _saved(df: DataFrame, purpose: str) -> DataFrame:
 
 def basket_items(lines: DataFrame, basket: str, item: str) -> DataFrame:
     """Written once: basket, item, m (its lines in the basket), of baskets with two items or more."""
-    counted = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item")).dropna().groupBy(
-        "basket", "item").agg(F.count(F.lit(1)).alias("m"))
+    # written first: the joins behind the lines and the two passes over the counts are not held by one task
+    counted = _saved(lines.select(F.col(basket).alias("basket"), F.col(item).alias("item")).dropna().groupBy(
+        "basket", "item").agg(F.count(F.lit(1)).alias("m")), "counted")
     sizes = counted.groupBy("basket").agg(F.count(F.lit(1)).alias("items")).where("items > 1")
     return _saved(counted.join(sizes.select("basket"), "basket", "left_semi"), "items")
 

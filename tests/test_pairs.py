@@ -92,3 +92,14 @@ def test_a_hot_basket_is_cut_into_blocks(spark):
     assert joined.count() == 3000 * 2999 // 2 + 1
     assert joined.groupBy("basket", "i", "j").count().agg(F.max("count")).first()[0] < 200 * 200
     assert "CartesianProduct" not in plan_text(joined) and "NestedLoop" not in plan_text(joined)
+
+
+def test_baskets_are_counted_once_and_written(spark, monkeypatch):
+    """The counting, with the joins behind its lines, runs in a job of its own; the sizes come from what it wrote."""
+    written, saved = [], pairs._saved
+    monkeypatch.setattr(pairs, "_saved", lambda df, purpose: written.append((purpose, plan_text(df))) or saved(df, purpose))
+    lines = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 5), (None, 1), (3, None)], SCHEMA)
+    out = pairs.basket_items(lines, "order_id", "product_id")
+    assert sorted(map(tuple, out.collect())) == [(1, 1, 2), (1, 2, 1)]
+    assert [purpose for purpose, _ in written] == ["counted", "items"]
+    assert "Scan ExistingRDD" not in written[1][1] and "Scan parquet" in written[1][1]
