@@ -140,7 +140,7 @@ class IncrementalWarehouse:
     def __init__(self, spark: SparkSession, root: str, views: Sequence[GroupedView] = (), max_pieces: int = 16,
                  lines_schema: T.StructType = LOG_SCHEMA):
         self.spark, self.root, self.max_pieces = spark, root.rstrip("/"), max_pieces
-        self.log = BatchLog(spark, f"{self.root}/lines", lines_schema)
+        self.log = BatchLog(spark, f"{self.root}/lines", lines_schema, bucket_by="order_id")
         self.order = E.line_order(lines_schema.fieldNames())
         self.views = {**DIMENSION_VIEWS, **{v.name: v for v in (QUARTERS, *views)}}
 
@@ -225,9 +225,12 @@ class IncrementalWarehouse:
             arithmetic.money_sum("total_sale").alias("total_quarterly_sales")).orderBy("store_name", "year", "quarter")
 
     # ------------------------------------------------------------------ loads
-    def load(self, lines: DataFrame, batch_id: int) -> bool:
-        """Log a batch of enriched lines and bring the tables up to it; False when it was loaded before."""
-        logged = self.log.append(lines.select(*self.log.schema.fieldNames()), batch_id)
+    def load(self, lines: DataFrame, batch_id: int, dealt: bool = False) -> bool:
+        """Log a batch of enriched lines and bring the tables up to it; False when it was loaded before.
+
+        The log keeps the lines bucketed by order; ``dealt`` lines come dealt out by order and are not shuffled for it.
+        """
+        logged = self.log.append(lines.select(*self.log.schema.fieldNames()), batch_id, dealt)
         return self.refresh() is not None or logged
 
     def _changes(self, after: int, through: int) -> DataFrame:

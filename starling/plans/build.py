@@ -105,8 +105,17 @@ LOAD_BATCHES = 3
 
 def load_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The enriched lines in ``LOAD_BATCHES`` batches that cut across orders: later batches
-    replace rows of earlier ones, and some of their lines lose to an earlier one."""
-    lines = enriched_lines(spark, sf_dir, keep_order_columns=True).withColumn(ARRIVAL, F.lit(None).cast(ARRIVAL_TYPE))
+    replace rows of earlier ones, and some of their lines lose to an earlier one.
+
+    The lines are written once: the joins with headers and customers, and the deal by order, are done once, not by batch.
+    """
+    def make():
+        lines = enriched_lines(spark, sf_dir, keep_order_columns=True).withColumn(ARRIVAL, F.lit(None).cast(ARRIVAL_TYPE))
+        path = scratch_dir(spark, "load-batches")
+        lines.write.parquet(path)
+        return path, lines.schema
+    path, schema = cached(spark, sf_dir, "load-batches", make)
+    lines = spark.read.schema(schema).parquet(path)
     return [lines.where(F.pmod("line_number", F.lit(LOAD_BATCHES)) == k) for k in range(LOAD_BATCHES)]
 
 
@@ -116,10 +125,10 @@ def incremental_warehouse(spark: SparkSession, sf_dir: str) -> IncrementalWareho
         wh = IncrementalWarehouse(spark, scratch_dir(spark, "incremental"))
         *first, last = load_batches(spark, sf_dir)
         for k, batch in enumerate(first):
-            wh.load(batch, k)
+            wh.load(batch, k, dealt=True)
         wh.compact()
         for _ in range(2):
-            wh.load(last, len(first))
+            wh.load(last, len(first), dealt=True)
         return wh
     return cached(spark, sf_dir, "incremental", make)
 

@@ -2,7 +2,7 @@
 
 Layout below the log's folder::
 
-    batch_id=N/attempt=<id>/...     the files of one attempt to write batch N
+    batch_id=N/attempt=<id>/...     the files of one attempt to write batch N (<id>.<buckets> when bucketed)
     _commits/<N>-<id>               empty; its creation commits that attempt
     _snapshots/<N>-<id>/...         one row per key over the batches up to N
     _snapshot_commits/<N>-<buckets>-<id>
@@ -13,6 +13,10 @@ written again, and should two writers commit one batch, every reader takes the
 attempt whose name comes first.  Creating an empty file is atomic on every file
 system, so nothing is renamed or overwritten.
 
+With ``bucket_by``, batches too are written bucketed and sorted by that key: a
+batch is reduced by the key, and meets the snapshot and other batches, without
+a shuffle of its wide rows.
+
 Compaction (:meth:`BatchLog.compact`) writes one row per key, bucketed and sorted
 by the key.  Readers merge it with the batches behind it: the tail is reduced and
 shuffled into the buckets, the snapshot is read in place (:meth:`BatchLog.latest`).
@@ -23,22 +27,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from starling.operators.keep import keep_last
-from starling.operators.warehouse import save_bucketed
+from starling.operators.warehouse import catalog_usable, save_bucketed
 
 _DIGITS = 20
 
 
 class BatchLog:
-    """The log at ``root`` of rows of ``schema``."""
+    """The log at ``root`` of rows of ``schema``; its batches are bucketed by ``bucket_by``, when given."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self._tables: list[str] = []
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None, bucket_by: str | None = None):
+        self.spark, self.root, self.schema, self.bucket_by = spark, root.rstrip("/"), schema, bucket_by
+        self._tables: dict[str, str] = {}  # by folder
 
     # ------------------------------------------------------------------ files
     def _path(self, name: str):
@@ -68,32 +73,62 @@ class BatchLog:
             out.setdefault(int(batch), attempt)
         return out
 
-    def write(self, rows: DataFrame, batch_id: int) -> str:
-        """The files of a new attempt; nobody reads them before :meth:`commit`."""
+    def write(self, rows: DataFrame, batch_id: int, dealt: bool = False) -> str:
+        """The files of a new attempt; nobody reads them before :meth:`commit`.
+
+        ``dealt``: the rows come dealt out by the bucket key already, and are not shuffled for the buckets.
+        """
         attempt = uuid.uuid4().hex
-        rows.write.parquet(f"{self.root}/batch_id={batch_id}/attempt={attempt}")
+        if self.bucket_by and catalog_usable(self.spark):
+            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            bucketed, table = f"{attempt}.{buckets}", f"starling_batch_{attempt[:12]}"
+            rows = rows if dealt else rows.repartition(buckets, self.bucket_by)
+            save_bucketed(self.spark, rows, self._attempt(batch_id, bucketed), self.bucket_by, table, buckets)
+            self.spark.sql(f"DROP TABLE {table}")  # external: the files stay
+            return bucketed
+        rows.write.parquet(self._attempt(batch_id, attempt))
         return attempt
 
+    def _attempt(self, batch_id: int, attempt: str) -> str:
+        return f"{self.root}/batch_id={batch_id}/attempt={attempt}"
+
     def commit(self, batch_id: int, attempt: str) -> None:
         self._create(f"_commits/{batch_id:0{_DIGITS}d}-{attempt}")
 
-    def append(self, rows: DataFrame, batch_id: int) -> bool:
-        """Write and commit a batch; False when it is committed already."""
+    def append(self, rows: DataFrame, batch_id: int, dealt: bool = False) -> bool:
+        """Write and commit a batch (see :meth:`write`); False when it is committed already."""
         through = self.compacted()
         if batch_id in self.committed() or (through is not None and batch_id <= through[0]):
             return False
-        self.commit(batch_id, self.write(rows, batch_id))
+        self.commit(batch_id, self.write(rows, batch_id, dealt))
         return True
 
     def read(self, after: int = -1, through: int | None = None) -> DataFrame:
         """The rows of the committed batches behind ``after``, up to ``through``, with their ``batch_id``."""
-        paths = [f"{self.root}/batch_id={b}/attempt={a}" for b, a in sorted(self.committed().items())
-                 if b > after and (through is None or b <= through)]
+        found = [(b, a) for b, a in sorted(self.committed().items()) if b > after and (through is None or b <= through)]
         schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
-        if not paths:
+        if not found:
             return self.spark.createDataFrame([], schema)
-        at = T.StructType([*schema.fields, T.StructField("attempt", T.StringType())])
-        return self.spark.read.schema(at).option("basePath", self.root).parquet(*paths).drop("attempt")
+        parts = []
+        if self.bucket_by and catalog_usable(self.spark):
+            parts = [self._bucketed(self._attempt(b, a), self.bucket_by, int(a.split(".")[1])).withColumn(
+                "batch_id", F.lit(b).cast("long")) for b, a in found if "." in a]
+            found = [(b, a) for b, a in found if "." not in a]
+        if found:
+            at = T.StructType([*schema.fields, T.StructField("attempt", T.StringType())])
+            parts.append(self.spark.read.schema(at).option("basePath", self.root).parquet(
+                *[self._attempt(b, a) for b, a in found]).drop("attempt"))
+        return reduce(DataFrame.union, parts)
+
+    def _bucketed(self, path: str, key: str, buckets: int) -> DataFrame:
+        """The rows of a folder written in buckets, read as buckets."""
+        if path not in self._tables:
+            table = f"starling_log_{uuid.uuid4().hex[:12]}"
+            columns = self.spark.createDataFrame([], self.schema)._jdf.schema().toDDL()
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
+                           f"INTO {buckets} BUCKETS LOCATION '{path}'")
+            self._tables[path] = table
+        return self.spark.table(self._tables[path])
 
     # ------------------------------------------------------------------ snapshots
     def compacted(self) -> tuple[int, str, int] | None:
@@ -112,12 +147,7 @@ class BatchLog:
         through, path, buckets = newest
         if not buckets:
             return through, self.spark.read.schema(self.schema).parquet(path)
-        table = f"starling_snapshot_{uuid.uuid4().hex[:12]}"
-        columns = self.spark.createDataFrame([], self.schema)._jdf.schema().toDDL()
-        self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
-                       f"INTO {buckets} BUCKETS LOCATION '{path}'")
-        self._tables.append(table)
-        return through, self.spark.table(table)
+        return through, self._bucketed(path, key, buckets)
 
     def latest(self, key: str, order: Sequence[str], through: int | None = None, of: DataFrame | None = None) -> DataFrame:
         """One row per key: the greatest in ``order``, then in the other columns, over snapshot and tail.
@@ -191,6 +221,6 @@ class BatchLog:
 
     def close(self) -> None:
         """Take the snapshots that this object read out of the catalog; their files stay."""
-        for table in self._tables:
+        for table in self._tables.values():
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         self._tables.clear()

@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from starling.operators.keep import keep_last
 from starling.plans import build as P
 from starling.streaming import feed_stream
 from starling.streaming.batch_log import BatchLog
@@ -108,3 +109,22 @@ def test_compacted_stream_equals_batch(spark, tmp_dir):
         feed_stream.compact_log(spark, log, through)
         assert sorted(feed_stream.latest_compacted(spark, log).collect()) == want
     assert feed_stream.enriched_from_log(spark, log).count() == P.enriched_lines(spark, SMOKE_DIR).count()
+
+
+def test_a_bucketed_log_reduces_and_meets_batches_without_a_shuffle(spark, tmp_dir):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    log = BatchLog(spark, f"{tmp_dir}/log", rows(spark, []).schema, bucket_by="k")
+    try:
+        log.append(rows(spark, [(k % 50, k, str(k)) for k in range(500)]), 0)
+        log.append(rows(spark, [(k % 30, k, str(k)) for k in range(500, 600)]), 1)
+        newest = keep_last(log.read(0).select("k", "at", "v"), "k", ["at"])
+        assert "Exchange" not in plan_text(newest)
+        both = newest.select("k", "at").join(log.latest("k", ["at"], 0, of=newest.select("k")).select("k", "v"), "k")
+        assert "Exchange" not in plan_text(both)
+        assert sorted(map(tuple, both.collect())) == [(k, max(o for o in range(500, 600) if o % 30 == k), str(max(
+            o for o in range(500) if o % 50 == k))) for k in range(30)]
+        assert log.read().count() == 600
+    finally:
+        log.close()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
