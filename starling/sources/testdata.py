@@ -54,9 +54,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_lines(spark, sf_dir).join(order_headers(spark, sf_dir), "order_id").select(*FEED_COLUMNS)
 
 
-def feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as the text a CSV file carries (all columns strings)."""
-    f = feed(spark, sf_dir)
+def _as_text(f: DataFrame) -> DataFrame:
     return f.select(
         F.col("order_id").cast("string").alias("order_id"),
         F.date_format("order_date", DATETIME_TEXT_FORMAT).alias("order_date"),
@@ -64,6 +62,11 @@ def feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as the text a CSV file carries (all columns strings)."""
+    return _as_text(feed(spark, sf_dir))
+
+
 def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
@@ -108,7 +111,11 @@ def product_master_with_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def five_column_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed in the warehouse's own five columns (no supplier, no line number),
-    an order's lines one after the other in line order (ties by product, supplier, quantity)."""
-    order = [F.col(c).cast("long") for c in ("order_id", "line_number", "product_id", "supplier_id", "quantity")]
-    rows = feed_text(spark, sf_dir).repartitionByRange(order[0]).sortWithinPartitions(*order)
-    return rows.withColumns({c: F.lit(None).cast("string") for c in FEED_COLUMNS[5:]})
+    an order's lines one after the other in line order (ties by product, supplier, quantity).
+
+    The lines are dealt out by order once: the join with the headers and the
+    order within a partition use it, on numbers; the text is made last.
+    """
+    rows = feed_lines(spark, sf_dir).repartition("order_id").join(order_headers(spark, sf_dir), "order_id").select(
+        *FEED_COLUMNS).sortWithinPartitions("order_id", "line_number", "product_id", "supplier_id", "quantity")
+    return _as_text(rows).withColumns({c: F.lit(None).cast("string") for c in FEED_COLUMNS[5:]})

@@ -11,7 +11,7 @@ from starling.operators import enrich as E
 from starling.plans import build as P
 from starling.sources import enriched_csv, feed_csv, testdata
 from starling.streaming import feed_stream
-from tests.conftest import SMOKE_DIR
+from tests.conftest import SMOKE_DIR, plan_text
 from tests.conftest import staging_row as row
 
 
@@ -218,3 +218,24 @@ def test_enriched_file_bad_rows_are_reported(spark, tmp_dir):
     assert [(r.order_id, r.product_price, r.total_sale) for r in good] == [(1, Decimal("1299.99"), Decimal("0.00"))]
     bad = {r.order_id: r.reject_reason for r in enriched_csv.rejected_enriched_rows(spark, tmp_dir + "/e").collect()}
     assert bad == {"2": "bad order_date", "3": "bad quantity_ordered", "4": "short row"}
+
+
+def test_five_column_feed_is_dealt_out_once(spark, sf_rows_dir):
+    text = testdata.five_column_feed_text(spark, sf_rows_dir)
+    plan = plan_text(text)
+    assert "rangepartitioning" not in plan
+    part = text.withColumn("p", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()).collect()
+    assert len(part) == 4 and all(r.supplier_id is None and r.line_number is None for r in part)
+    mine = sorted((r for r in part if r.order_id == "7"), key=lambda r: r.at)
+    assert [r.product_id for r in mine] == ["2", "5", "4"] and len({r.p for r in mine}) == 1
+    assert {r.order_date for r in mine} == {"2020-01-02 00:00:00"}
+
+
+@pytest.fixture
+def sf_rows_dir(spark, tmp_path):
+    spark.createDataFrame([(7, 5, 1, 2, 3.0), (7, 2, 1, 1, 1.0), (7, 4, 1, 3, 2.0), (8, 2, 1, 1, 1.0), (9, 2, 1, 1, 1.0)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double"
+                          ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("select id as o_orderkey, id as o_custkey, timestamp_ntz'2020-01-02 00:00:00' as o_orderdate from range(7, 9)"
+              ).write.parquet(f"{tmp_path}/orders.parquet")
+    return str(tmp_path)
