@@ -3,8 +3,8 @@
 Which terms does a source use more, or less, than the other sources of its
 language?  Texts are cut at white space into chunks (A-Z lower-cased), and most
 of a corpus is a small number of distinct chunks.  So the chunks are counted per
-document and added up; each globally distinct chunk is cut into terms once, and
-its terms are joined back to the counts (:func:`term_parts`, :func:`term_counts`).
+document and added up, and each distinct chunk of a language is cut into terms once
+(:func:`term_parts`, :func:`term_counts`).
 
 Distinct documents.  Two chunks of one document may hold the same term (``tree``
 and ``tree,``), so a term's documents lie between the largest count of one of
@@ -19,8 +19,8 @@ Which terms and chunks to look for goes to the tasks as hash sets of fixed size;
 exact counts and joins follow, so one too many is no harm.
 
 At scale: a task adds up its blocks of documents before anything is shuffled.
-The first pass is dealt out by chunk, where the distinct chunks are cut and
-joined back without a second shuffle.  Only the hash sets, and chunk tables of
+The first pass is dealt out by chunk, where the distinct chunks are cut
+without a second shuffle.  Only the hash sets, and chunk tables of
 measured size, are broadcast.  Sources are compared in blocks of terms, each a
 dense matrix of bounded size in one task (:func:`pair_differences`); a block
 gives one partial sum a pair.
@@ -37,6 +37,8 @@ empty result; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -55,6 +57,9 @@ MIN_DOCUMENTS, SMOOTHING, UNIT, TOP_TERMS = 30, 5, 1_000_000_000, 50
 COUNT_BLOCK = 8 << 20
 #: Size of the set of hashes that two chunks share: there are hardly any.
 SHARED_BITS = 16
+#: Rows of sums that the second pass holds to add up over its blocks.
+MERGE = 1 << 20
+FOUND = ["lang", "source", "h", "chunk", "occ", "row"]
 #: Cells of a dense block of terms by sources.
 CELLS = 1 << 17
 
@@ -106,6 +111,35 @@ def _hashes_of(data: np.ndarray, bounds: np.ndarray, wanted: np.ndarray, undecid
     return key // n, key % n, count, hashes, text, held(hashes, undecided)
 
 
+class _Sums:
+    """Sums of counts by (group, hash) over the blocks of a task; at most about ``MERGE`` rows are held."""
+
+    def __init__(self):
+        self.number, self.tables, self.rows = {}, [], 0
+
+    def add(self, names: list[tuple[str, str]], group: np.ndarray, h: np.ndarray, occ: np.ndarray) -> None:
+        of = np.array([self.number.setdefault(p, len(self.number)) for p in names], dtype=np.int64)
+        self.tables.append(pa.table([pa.array(of[group]), pa.array(h.view(np.int64)), pa.array(occ)], names=["g", "h", "occ"]))
+        self.rows += len(group)
+
+    def full(self) -> bool:
+        return self.rows >= MERGE
+
+    def taken(self) -> Iterator[pa.RecordBatch]:
+        """The sums so far (lang, source, h, chunk, occ, row); they start anew."""
+        if self.rows:
+            t = pa.concat_tables(self.tables).combine_chunks()
+            if len(self.tables) > 1:
+                t = t.group_by(["g", "h"], use_threads=False).aggregate([("occ", "sum")]).rename_columns(["g", "h", "occ"])
+            names, n = list(self.number), t.num_rows
+            g = t.column("g").combine_chunks()
+            langs, sources = (pa.array([p[k] for p in names], pa.string()).take(g) for k in (0, 1))
+            none = pa.array([""], pa.string()).take(pa.array(np.zeros(n, dtype=np.int64)))
+            yield pa.RecordBatch.from_arrays([langs, sources, t.column("h").combine_chunks(), none,
+                                              t.column("occ").combine_chunks(), pa.nulls(n, pa.int64())], names=FOUND)
+        self.number, self.tables, self.rows = {}, [], 0
+
+
 def _shared_hashes(parts: DataFrame) -> DataFrame:
     """h: the hashes that two different chunks of ``parts`` have (told apart by a second hash)."""
     def hashes(b):
@@ -148,16 +182,15 @@ def chunk_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 def term_parts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """Written once: lang, chunk, term, times (the term's in the chunk), docs (that hold the chunk).
 
-    Dealt out by chunk once: the sums, the distinct chunks, their cutting and the join back all use it.
+    Dealt out by chunk once and added up once; a chunk is cut in each language that has it, without another grouping.
     """
     dealt = chunk_counts(docs, text_col, lang_col, source_col).where(F.col("chunk").isNotNull()).repartition("chunk")
     counts = dealt.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
-    # true of every chunk: both sides then read the same columns, so that the texts are read and dealt out once
-    cut = dealt.groupBy("chunk").agg(F.sum("docs").alias("docs"), F.count("lang").alias("rows")).where(
-        F.col("docs") >= F.col("rows")).select("chunk", F.explode(
-            F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))).alias("term"))
-    cut = cut.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
-    return written(counts.join(cut, "chunk").select("lang", "chunk", "term", "times", "docs"), "audit-parts")
+    cut = counts.withColumn("terms", F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0)))
+    # outer: a plain explode adds a filter that would cut every chunk a second time
+    parts = cut.select("*", F.explode_outer(F.array_distinct("terms")).alias("term")).where(F.col("term").isNotNull())
+    times = (F.size("terms") - F.size(F.array_remove("terms", F.col("term")))).cast("long")
+    return written(parts.select("lang", "chunk", "term", times.alias("times"), "docs"), "audit-parts")
 
 
 def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
@@ -191,6 +224,7 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     def run(batches):
         before = TaskContext.get().partitionId() << 33
+        sums = _Sums()
         for batch in batches:
             for b, data, bounds in blocks(batch, "text"):
                 row, code, count, h, text, marks = _hashes_of(data, bounds, *look_for.value)
@@ -198,20 +232,28 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                 langs, sources = (pa.array([p[k] for p in names], pa.string()) for k in (0, 1))
                 n = max(1, len(h))
                 key, _, occ = _sums(group[row] * n + code, count)
+                # those with a text of their own are few and go on as they are, the others are added up over blocks
+                bare = np.asarray(pc.equal(text, ""))[key % n] if len(h) else np.zeros(0, dtype=bool)
+                sums.add(names, key[bare] // n, h[key[bare] % n], occ[bare])
+                key, occ = key[~bare], occ[~bare]
                 named = np.flatnonzero(marks[code])
                 for at, of, times, place in (
                         (key // n, key % n, pa.array(occ), pa.nulls(len(key), pa.int64())),
                         (group[row[named]], code[named], pa.nulls(len(named), pa.int64()), pa.array(before + row[named]))):
-                    yield pa.RecordBatch.from_arrays(
-                        [langs.take(pa.array(at)), sources.take(pa.array(at)), pa.array(h[of].view(np.int64)),
-                         text.take(pa.array(of)), times, place],
-                        names=["lang", "source", "h", "chunk", "occ", "row"])
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays(
+                            [langs.take(pa.array(at)), sources.take(pa.array(at)), pa.array(h[of].view(np.int64)),
+                             text.take(pa.array(of)), times, place], names=FOUND)
+                if sums.full():
+                    yield from sums.taken()
                 before += b.num_rows
+        yield from sums.taken()
 
     # sums per group and chunk, and beside them one row per document for the terms to be counted exactly
     found = _rows(docs, text_col, lang_col, source_col).mapInArrow(
         run, "lang string, source string, h long, chunk string, occ long, row long")
-    found = found.groupBy("lang", "source", "h", "chunk", "row").agg(F.sum("occ").alias("occ"))
+    # dealt out first: the blocks of a task are added up already, a partial sum before the shuffle would find little to add
+    found = found.repartition("lang", "h", "chunk").groupBy("lang", "source", "h", "chunk", "row").agg(F.sum("occ").alias("occ"))
     found = written(found.join(bounded_broadcast(wanted), ["lang", "h", "chunk"]).select(
         "lang", "source", "term", (F.col("occ") * F.col("times")).alias("occ"), "row", "undecided"), "audit-found")
     exact = found.where(F.col("undecided") & F.col("row").isNotNull()).select("lang", "term", "row").distinct().groupBy(

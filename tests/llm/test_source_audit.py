@@ -101,3 +101,14 @@ def test_products_beyond_64_bits(spark):
 
 def test_empty(spark):
     assert result(cases.empty(spark)) == []
+
+
+def test_sums_of_several_blocks_are_added_up():
+    sums = source_audit._Sums()
+    h = np.array([5, 6], dtype=np.uint64)
+    sums.add([("en", "a"), ("en", "b")], np.array([0, 1]), h, np.array([2, 3]))
+    sums.add([("en", "b"), ("de", "a")], np.array([0, 1]), h[[1, 0]], np.array([4, 1]))
+    rows = [r for b in sums.taken() for r in b.to_pylist()]
+    assert sorted((r["lang"], r["source"], r["h"], r["chunk"], r["occ"], r["row"]) for r in rows) == [
+        ("de", "a", 5, "", 1, None), ("en", "a", 5, "", 2, None), ("en", "b", 6, "", 7, None)]
+    assert list(sums.taken()) == []
