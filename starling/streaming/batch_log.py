@@ -14,8 +14,8 @@ attempt whose name comes first.  Creating an empty file is atomic on every file
 system, so nothing is renamed or overwritten.
 
 With ``bucket_by``, batches too are written bucketed and sorted by that key: a
-batch is reduced by the key, and meets the snapshot and other batches, without
-a shuffle of its wide rows.
+batch is reduced by the key, and meets the snapshot or another batch, without
+a shuffle of its wide rows; several batches read together are shuffled.
 
 Compaction (:meth:`BatchLog.compact`) writes one row per key, bucketed and sorted
 by the key.  Readers merge it with the batches behind it: the tail is reduced and
@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -109,16 +108,14 @@ class BatchLog:
         schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
         if not found:
             return self.spark.createDataFrame([], schema)
-        parts = []
-        if self.bucket_by and catalog_usable(self.spark):
-            parts = [self._bucketed(self._attempt(b, a), self.bucket_by, int(a.split(".")[1])).withColumn(
-                "batch_id", F.lit(b).cast("long")) for b, a in found if "." in a]
-            found = [(b, a) for b, a in found if "." not in a]
-        if found:
-            at = T.StructType([*schema.fields, T.StructField("attempt", T.StringType())])
-            parts.append(self.spark.read.schema(at).option("basePath", self.root).parquet(
-                *[self._attempt(b, a) for b, a in found]).drop("attempt"))
-        return reduce(DataFrame.union, parts)
+        if len(found) == 1 and "." in found[0][1] and self.bucket_by and catalog_usable(self.spark):
+            (b, a), = found
+            return self._bucketed(self._attempt(b, a), self.bucket_by, int(a.split(".")[1])).withColumn(
+                "batch_id", F.lit(b).cast("long"))
+        # several batches are read by their files: a union of buckets is not one table in buckets
+        at = T.StructType([*schema.fields, T.StructField("attempt", T.StringType())])
+        return self.spark.read.schema(at).option("basePath", self.root).parquet(
+            *[self._attempt(b, a) for b, a in found]).drop("attempt")
 
     def _bucketed(self, path: str, key: str, buckets: int) -> DataFrame:
         """The rows of a folder written in buckets, read as buckets."""

@@ -125,6 +125,9 @@ def test_a_bucketed_log_reduces_and_meets_batches_without_a_shuffle(spark, tmp_d
         assert sorted(map(tuple, both.collect())) == [(k, max(o for o in range(500, 600) if o % 30 == k), str(max(
             o for o in range(500) if o % 50 == k))) for k in range(30)]
         assert log.read().count() == 600
+        every = keep_last(log.read().select("k", "at", "v"), "k", ["at"]).select("k", "at").collect()
+        assert sorted(map(tuple, every)) == [(k, max(o for o in range(600) if (o % 50 if o < 500 else o % 30) == k))
+                                             for k in range(50)]
     finally:
         log.close()
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
