@@ -9,6 +9,7 @@ below the session's checkpoint folder.
 
 from __future__ import annotations
 
+import math
 import threading
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -145,12 +146,19 @@ def key_map(spark: SparkSession, sf_dir: str, column: str) -> KeyMap:
 
 
 FEED_PARTS = 8
+FEED_PART_BYTES = 32 << 20  # of ``lineitem`` files, for each file of the feed
+
+
+def feed_parts(spark: SparkSession, sf_dir: str) -> int:
+    """Files of the feed in parts: ``FEED_PARTS``, and as many times that as the lines need for tasks of an even size."""
+    size = sum(n for path, n, _ in snapshot(spark, sf_dir) if "/lineitem.parquet" in path)
+    return FEED_PARTS * max(1, math.ceil(size / (FEED_PARTS * FEED_PART_BYTES)))
 
 
 def feed_in_parts_dir(spark: SparkSession, sf_dir: str) -> str:
-    """The feed of the test tables written as ``FEED_PARTS`` CSV files, for streams of several micro-batches."""
+    """The feed of the test tables written as ``feed_parts`` CSV files, for streams of several micro-batches."""
     return cached(spark, sf_dir, "feed-parts", lambda: feed_csv.write_feed_csv(
-        testdata.feed_text(spark, sf_dir), scratch_dir(spark, "feed-parts"), FEED_PARTS))
+        testdata.feed_text(spark, sf_dir, feed_parts(spark, sf_dir)), scratch_dir(spark, "feed-parts")))
 
 
 def delivered_again_dir(spark: SparkSession, sf_dir: str) -> str:

@@ -289,7 +289,7 @@ def stream_latest_compacted(spark, sf_dir):
     """A feed streamed in four micro-batches, compacted over the first
     two; keep-last per order from the snapshot and the batches behind it."""
     log, _ = feed_stream.stream_enrich_to_log(spark, P.feed_in_parts_dir(spark, sf_dir), *_masters_args(spark, sf_dir),
-                                              files_per_trigger=P.FEED_PARTS // 4)
+                                              files_per_trigger=P.feed_parts(spark, sf_dir) // 4)
     feed_stream.compact_log(spark, log, through=1)
     return feed_stream.latest_compacted(spark, log)
 

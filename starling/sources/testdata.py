@@ -62,9 +62,14 @@ def _as_text(f: DataFrame) -> DataFrame:
     )
 
 
-def feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as the text a CSV file carries (all columns strings)."""
-    return _as_text(feed(spark, sf_dir))
+def feed_text(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """The feed as the text a CSV file carries (all columns strings).
+
+    With ``parts``, the lines of an order are dealt out over that many partitions,
+    by hash and as numbers: nothing is sorted for it, and the text is made last.
+    """
+    rows = feed(spark, sf_dir)
+    return _as_text(rows if parts is None else rows.repartition(parts, *FEED_COLUMNS))
 
 
 def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:

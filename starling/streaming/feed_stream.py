@@ -95,7 +95,7 @@ def drop_masters(spark: SparkSession, masters: "Masters") -> None:
 
 def typed_batch(batch: DataFrame) -> DataFrame:
     """A micro-batch of feed text, numbered at its scan and typed."""
-    return feed_csv.type_feed(feed_csv.number_arrivals(batch), (ARRIVAL,))
+    return feed_csv.type_scan(batch)
 
 
 def enrich_batch(batch: DataFrame, masters: list, keep_order_columns: bool = True) -> DataFrame:

@@ -239,3 +239,38 @@ def sf_rows_dir(spark, tmp_path):
     spark.sql("select id as o_orderkey, id as o_custkey, timestamp_ntz'2020-01-02 00:00:00' as o_orderdate from range(7, 9)"
               ).write.parquet(f"{tmp_path}/orders.parquet")
     return str(tmp_path)
+
+
+def test_a_micro_batch_is_typed_once_and_as_in_batch(spark, tmp_dir):
+    """The filter on good rows stays above the typing; reasons and order are those of the batch read."""
+    import os
+    feed = tmp_dir + "/odd"
+    os.makedirs(feed)
+    with open(feed + "/a.csv", "w") as f:
+        f.write("\n".join(["Order ID,Order Date,Product ID,Quantity Ordered,Customer ID,Supplier ID,Line Number",
+                           "1,2024-01-01 10:00:00,10,1,1,5,2", "2,2024-01-01 10:00:00,10,1,1", "3,2024-01-01,10,1,1,5,1",
+                           "4,2024-01-01 10:00:00,10,x,1,5,1", "5,2024-01-01 10:00:00,10,1,1,y,1",
+                           "6,2024-01-01 10:00:00,10,1,1,,", "7,2024-01-01 10:00:00,10,1,1,5,z", "8,2024", ",,,,,,"]))
+    scan = feed_csv._with_file(spark.read.schema(feed_csv.FEED_TEXT).options(**feed_csv.CSV_OPTIONS).csv(feed))
+    typed = feed_stream.typed_batch(scan)
+    batch = feed_csv.type_feed(feed_csv.read_feed_text(spark, feed), (feed_csv.ARRIVAL,))
+    assert typed.columns == batch.columns and [f.dataType for f in typed.schema] == [f.dataType for f in batch.schema]
+    assert sorted(map(repr, typed.collect())) == sorted(map(repr, batch.collect()))
+    good = typed.where(F.col("reject_reason").isNull()).select(*feed_csv.FEED_COLUMNS, feed_csv.ARRIVAL)
+    assert [r.order_id for r in good.sort("order_id").collect()] == [1, 2, 6]
+    assert plan_text(good).count("try_cast(trim(product_id") == 1  # the filter used to type every column again
+
+
+def test_feed_in_parts_is_dealt_out_as_numbers(spark, monkeypatch):
+    """No sort and no shuffle of the feed's text; more files for more lines, still four micro-batches."""
+    parts = testdata.feed_text(spark, SMOKE_DIR, 8)
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, testdata.feed_text(spark, SMOKE_DIR).collect()))
+    spread = parts.select("order_id", F.spark_partition_id().alias("part")).distinct().groupBy("order_id").count()
+    assert spread.where("count > 1").count() > 1000  # the lines of an order lie in several files
+    plan = plan_text(parts)
+    assert plan.index("date_format") > plan.index("REPARTITION_BY_NUM")  # details come from the scans up
+    assert "RoundRobin" not in plan
+    assert P.feed_parts(spark, SMOKE_DIR) == P.FEED_PARTS
+    monkeypatch.setattr(P, "FEED_PART_BYTES", 4 << 10)
+    n = P.feed_parts(spark, SMOKE_DIR)
+    assert n > P.FEED_PARTS and n % P.FEED_PARTS == 0
