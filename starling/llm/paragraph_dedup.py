@@ -22,10 +22,17 @@ counts when the longest equal run of words there is long enough
 (:func:`extended`).  Of a class, the earliest paragraph (least document id, then
 place) stays and the others are removed, passage by passage.
 
-First filter.  Most paragraphs share no band with any other.  Band values are
-counted first, as bare numbers; those that occur twice go to the tasks as a hash
-set of fixed size.  The texts are parsed again, which is cheaper than keeping all
-paragraphs, and only paragraphs that hold such a value go on.
+First filter.  Most paragraphs share no band with any other.  Equal paragraphs are
+counted first, as a hash with their band values, so a copy shares no band with
+itself.  Band values of different paragraphs are counted as bare numbers; those
+that occur twice go to the tasks as a hash set of fixed size, and the paragraphs that
+hold one are the candidates.  Places are not kept meanwhile: once classes are known
+the texts are parsed again, and only paragraphs that repeat go on, by a hash set of
+those with a copy or a link.
+
+Memory.  A task parses ``PIECE`` bytes of text at a time, as the arrays of a piece
+take some sixty times its bytes, and cuts out so many bytes of runs at a time.  No
+stage has two Python steps.
 
 Crowded bands.  Candidates that cannot have a partner, because too many of their
 shingles occur in no other candidate, leave first.  A band value held by at
@@ -64,6 +71,8 @@ SPREAD, MIN_PASSAGE_WORDS = 24, 50
 ROWS, MISS = 2, 2e-2
 CROWD = 8
 STEP = 256
+#: Bytes of text a task parses at a time.
+PIECE = 1 << 20
 
 WORD_BYTES = byte_class(" \t\n\x0b\x0c\r", inverted=True)
 _LAST = np.uint64(2**64 - 1)
@@ -138,45 +147,71 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("content", F.xxhash64("text"))
 
 
-def shared_paragraphs(docs: DataFrame, id_col: str, text_col: str, bands: int, spread: int) -> DataFrame:
-    """Written once: the paragraphs that share a band value with another place (some others may stay too).
+def _node_rows(batch: pa.RecordBatch, bands: int, spread: int):
+    """Record batches with h1 and the band values of every paragraph."""
+    for _, data, bounds in blocks(batch, "text", PIECE):
+        _, _, _, h, start, _, _, _, node = _parsed(data, bounds, spread)
+        if len(start):
+            keys = band_values(h, start, node, bands)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x.view(np.int64)) for x in (node, *np.ascontiguousarray(keys.T))], names=["h1", *_names(bands)])
 
-    doc_id, row (of the input), content (hash of the text), no, start (first word), n (words), h1 and the
-    band values k0, k1 and so on.
-    """
-    rows = _rows(docs, id_col, text_col)
 
-    def values(batches):
-        for batch in batches:
-            for _, data, bounds in blocks(batch, "text"):
-                _, _, _, h, start, _, _, _, node = _parsed(data, bounds, spread)
-                if len(start):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(band_values(h, start, node, bands).ravel().view(np.int64))], names=["key"])
+def distinct_paragraphs(docs: DataFrame, id_col: str, text_col: str, bands: int, spread: int) -> DataFrame:
+    """Written once: every different paragraph: h1, its number of ``copies`` and the band values k0, k1 and so on."""
+    rows = arrow_map(_rows(docs, id_col, text_col).select("text"), lambda b: _node_rows(b, bands, spread),
+                     "h1 long, " + ", ".join(f"{k} long" for k in _names(bands)))
+    return written(rows.groupBy("h1").agg(
+        F.count(F.lit(1)).alias("copies"), *[F.min(k).alias(k) for k in _names(bands)]),
+        "paragraph-nodes")  # equal paragraphs have equal values
+
+
+def _met(nodes: DataFrame, bands: int) -> DataFrame:
+    """Written once: key, h1, copies of every band value that another paragraph has too."""
+    keys = nodes.select(F.explode(F.array(*_names(bands))).alias("key")).groupBy("key").agg(
+        F.count(F.lit(1)).alias("c")).where("c > 1")
+    keys = written(keys.select("key"), "paragraph-keys")
+    wanted = nodes.sparkSession.sparkContext.broadcast(hash_set(keys, "key"))
+
+    def run(b):
+        values = np.stack([b.column(k).to_numpy() for k in _names(bands)], axis=1).view(np.uint64)
+        at, band = np.nonzero(held(values.ravel(), wanted.value).reshape(values.shape))
+        of = pa.array(at)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values[at, band].view(np.int64)), b.column("h1").take(of), b.column("copies").take(of)],
+            names=["key", "h1", "copies"])
+
+    keyed = arrow_map(nodes.select("h1", "copies", *_names(bands)), run, "key long, h1 long, copies long")
+    return written(keyed.join(keys, "key", "left_semi"), "paragraph-met")
 
-    often = rows.select("text").mapInArrow(values, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    wanted = docs.sparkSession.sparkContext.broadcast(hash_set(written(often.select("key"), "paragraph-keys"), "key"))
+
+def shared_paragraphs(docs: DataFrame, repeated: DataFrame, id_col: str, text_col: str, spread: int) -> DataFrame:
+    """Written once: the places of the ``repeated`` paragraphs (h1) (some others may stay too).
+
+    doc_id, row (of the input), content (hash of the text), no, start (first word), n (words) and h1.
+    """
+    rows = _rows(docs, id_col, text_col)
+    wanted = docs.sparkSession.sparkContext.broadcast(hash_set(repeated, "h1"))
 
     def run(batches):
         before = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for b, data, bounds in blocks(batch, "text"):
-                _, _, row, h, start, of, no, n, node = _parsed(data, bounds, spread)
+            for b, data, bounds in blocks(batch, "text", PIECE):
+                _, _, row, _, start, of, no, n, node = _parsed(data, bounds, spread)
                 if len(start):
-                    keys = band_values(h, start, node, bands)
-                    use = np.flatnonzero(held(keys.ravel(), wanted.value).reshape(keys.shape).any(axis=1))
+                    use = np.flatnonzero(held(node, wanted.value))
                     first_word = start - np.searchsorted(row, of)
                     at = pa.array(of[use])
                     yield pa.RecordBatch.from_arrays(
                         [b.column("doc_id").take(at), pa.array(before + of[use]), b.column("content").take(at),
                          pa.array(no[use], pa.int32()), pa.array(first_word[use], pa.int64()), pa.array(n[use], pa.int32()),
-                         pa.array(node[use].view(np.int64)), *[pa.array(keys[use, k].view(np.int64)) for k in range(bands)]],
-                        names=["doc_id", "row", "content", "no", "start", "n", "h1", *_names(bands)])
+                         pa.array(node[use].view(np.int64))],
+                        names=["doc_id", "row", "content", "no", "start", "n", "h1"])
                 before += b.num_rows
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return written(rows.mapInArrow(run, f"doc_id {id_type}, row long, content long, no int, start long, n int, h1 long, "
-                                   + ", ".join(f"{k} long" for k in _names(bands))), "paragraph-shared")
+    return written(rows.mapInArrow(run, f"doc_id {id_type}, row long, content long, no int, start long, n int, h1 long"),
+                   "paragraph-shared")
 
 
 def _names(bands: int) -> list[str]:
@@ -202,7 +237,7 @@ def _candidate_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col:
 
     def run(batches):
         for batch in batches:
-            for _, data, bounds in blocks(batch, "text"):
+            for _, data, bounds in blocks(batch, "text", PIECE):
                 begin, end, _, _, start, _, _, n, node = _parsed(data, bounds, spread)
                 if not len(start):
                     continue
@@ -219,36 +254,46 @@ def _candidate_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col:
     return written(found.join(wanted.select("h1"), "h1", "left_semi"), "paragraph-texts")
 
 
+def _cut_runs(batch: pa.RecordBatch):
+    """Record batches of about ``PIECE`` bytes with content, first, stop, words of the ``places`` of every text.
+
+    The first place of a class has a run for each way others lie around it, so a text may have very many.
+    """
+    for b, data, bounds in blocks(batch, "text", PIECE):
+        begin, end, row = spans(data, bounds, WORD_BYTES)
+        spaced, place = _spaced(data, begin, end)
+        lo = np.searchsorted(row, np.arange(b.num_rows))
+        hi = np.searchsorted(row, np.arange(b.num_rows), side="right")
+        lists = b.column("places")
+        runs = lists.flatten()
+        of = np.repeat(np.arange(b.num_rows), np.diff(np.asarray(lists.offsets)))
+        first, stop = (runs.field(k).to_numpy() for k in (0, 1))
+        a = place[np.clip(lo[of] + first, lo[of], hi[of])]
+        z = np.maximum(place[np.clip(lo[of] + stop, lo[of], hi[of])] - 1, a)
+        cut = np.flatnonzero(np.diff(np.cumsum(z - a) // PIECE)) + 1
+        for x, y in zip([0, *cut], [*cut, len(of)]):
+            yield pa.RecordBatch.from_arrays(
+                [b.column("content").take(pa.array(of[x:y])), runs.field(0)[x:y], runs.field(1)[x:y],
+                 gather(spaced, a[x:y], z[x:y])], names=["content", "first", "stop", "words"])
+
+
 def _word_runs(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, purpose: str) -> DataFrame:
     """Written once: content, first, stop, words (lower-cased, space between) of the ``wanted`` runs of words
-    (content, first, stop) of texts.  Texts without one are left out, by a hash set, before any shuffle."""
+    (content, first, stop) of texts.  Unless the list of runs is broadcast, texts without one are left out, by a
+    hash set, before the shuffle."""
     places = wanted.groupBy("content").agg(F.collect_set(F.struct("first", "stop")).alias("places"))
     places = written(places, f"{purpose}-places")
-    members = docs.sparkSession.sparkContext.broadcast(hash_set(places, "content"))
+    rows, side = _rows(docs, id_col, text_col).select("content", "text"), bounded_broadcast(places)
+    if side is places:
+        members = docs.sparkSession.sparkContext.broadcast(hash_set(places, "content"))
 
-    def needed(b):
-        yield b.filter(pa.array(held(b.column("content").to_numpy().view(np.uint64), members.value)))
+        def needed(b):
+            yield b.filter(pa.array(held(b.column("content").to_numpy().view(np.uint64), members.value)))
 
-    rows = arrow_map(_rows(docs, id_col, text_col).select("content", "text"), needed, "content long, text string").join(
-        bounded_broadcast(places), "content")
+        rows = arrow_map(rows, needed, "content long, text string")
+    rows = rows.join(side, "content")
 
-    def run(batches):
-        for batch in batches:
-            for b, data, bounds in blocks(batch, "text"):
-                begin, end, row = spans(data, bounds, WORD_BYTES)
-                spaced, place = _spaced(data, begin, end)
-                lo = np.searchsorted(row, np.arange(b.num_rows))
-                hi = np.searchsorted(row, np.arange(b.num_rows), side="right")
-                lists = b.column("places")
-                runs = lists.flatten()
-                of = np.repeat(np.arange(b.num_rows), np.diff(np.asarray(lists.offsets)))
-                first, stop = (runs.field(k).to_numpy() for k in (0, 1))
-                a, z = np.clip(lo[of] + first, lo[of], hi[of]), np.clip(lo[of] + stop, lo[of], hi[of])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("content").take(pa.array(of)), runs.field(0), runs.field(1),
-                     gather(spaced, place[a], np.maximum(place[z] - 1, place[a]))], names=["content", "first", "stop", "words"])
-
-    found = rows.mapInArrow(run, "content long, first long, stop long, words string")
+    found = arrow_map(rows, _cut_runs, "content long, first long, stop long, words string")
     return written(found.dropDuplicates(["content", "first", "stop"]), purpose)
 
 
@@ -320,22 +365,16 @@ def _prefix_pairs(shingles_of: DataFrame, placed: DataFrame, similarity: float)
         F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
 
 
-def classes(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, bands: int, spread: int,
+def classes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, bands: int, spread: int,
             similarity: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
     """``(node, component)``: the class of every paragraph (hash) with a verified link to another one."""
-    nodes = written(shared.groupBy("h1").agg(
-        F.count(F.lit(1)).alias("copies"), *[F.min(k).alias(k) for k in _names(bands)]),
-        "paragraph-nodes")  # equal paragraphs have equal values
-    keyed = nodes.select("h1", F.explode(F.array(*_names(bands))).alias("key"))
-    met = keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
-    met = written(keyed.join(met, "key", "left_semi"), "paragraph-met")
-    wanted = written(nodes.select("h1", "copies").join(met.select("h1").distinct(), "h1", "left_semi"), "paragraph-wanted")
+    met = _met(nodes, bands)
+    wanted = written(met.select("h1").distinct(), "paragraph-wanted")
     sets = _shingle_sets(_candidate_texts(docs, wanted, id_col, text_col, spread))
     strong = _with_partners(sets, similarity)
 
     # the hub of a band is its most frequent paragraph: copies with edits lie around it
-    members = met.join(strong.select("h1").distinct().join(wanted.select("h1", "copies"), "h1"), "h1")
-    members = written(members, "paragraph-members")
+    members = written(met.join(strong.select("h1").distinct(), "h1", "left_semi"), "paragraph-members")
     held_by = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("copies", "h1")).alias("top")).where("n > 1")
     met = written(members.select("key", "h1").join(held_by.select("key", "n", F.col("top.h1").alias("hub")), "key"),
                   "paragraph-bands")
@@ -360,9 +399,9 @@ def classes(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, band
     met = written(met, "paragraph-joined")
     joined = written(edges_to_components(met.select(F.col("s").alias("src"), F.col("d").alias("dst"))).toDF("at", "into"),
                      "paragraph-into")
-    nodes = label.union(met.select("src", "s")).union(met.select("dst", "d")).distinct()
-    return nodes.join(joined, F.col("component") == F.col("at"), "left").select(
-        "node", F.coalesce("into", "component").alias("component"))
+    linked = label.union(met.select("src", "s")).union(met.select("dst", "d")).distinct()
+    return written(linked.join(joined, F.col("component") == F.col("at"), "left").select(
+        "node", F.coalesce("into", "component").alias("component")), "paragraph-linked")
 
 
 def _place(*more: str) -> Column:
@@ -416,9 +455,11 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     """One row per paragraph of a repeated passage: doc_id, start_word, n_words, passage_words,
     keep_doc_id, keep_start_word (the paragraph of its class that stays) and removed."""
     bands = tuned_bands(similarity, miss)
-    shared = shared_paragraphs(docs, id_col, text_col, bands, spread)
-    class_of = classes(docs, shared, id_col, text_col, bands, spread, similarity, crowd)
-    placed = written(shared.drop(*_names(bands)).join(class_of, F.col("h1") == F.col("node"), "left").select(
+    nodes = distinct_paragraphs(docs, id_col, text_col, bands, spread)
+    class_of = classes(docs, nodes, id_col, text_col, bands, spread, similarity, crowd)
+    again = nodes.where("copies > 1").select("h1").union(class_of.select("node"))
+    shared = shared_paragraphs(docs, again, id_col, text_col, spread)
+    placed = written(shared.join(class_of, F.col("h1") == F.col("node"), "left").select(
         "doc_id", "row", "content", "no", "start", "n", F.coalesce("component", "h1").alias("class")), "paragraph-classes")
     repeated = placed.groupBy("class").agg(F.min(_place()).alias("keep"), F.count(F.lit(1)).alias("members")).where("members > 1")
     marked = placed.join(repeated.select("class", "keep"), "class")

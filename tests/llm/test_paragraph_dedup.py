@@ -1,6 +1,8 @@
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starling.llm import paragraph_dedup as P
@@ -179,3 +181,58 @@ def test_empty_and_clashing(spark):
     assert P.passages(cases.empty(spark)).count() == 0
     data = corpus()[:10]
     assert got(cases.documents(spark, True, data)) == got(cases.documents(spark, False, data))
+
+
+def test_only_repeated_paragraphs_are_placed(spark, monkeypatch):
+    """Paragraphs that share band values but are not alike go no further, and a broadcast list needs no hash set."""
+    kept, sets = [], []
+
+    def written(df, purpose, put=P.written):
+        out = put(df, purpose)
+        if purpose == "paragraph-classes":
+            kept.extend(r["count"] for r in out.groupBy("class").count().collect())
+        return out
+
+    monkeypatch.setattr(P, "written", written)
+    monkeypatch.setattr(P, "hash_set", lambda hashes, column, make=P.hash_set: sets.append(column) or make(hashes, column))
+    data = corpus()
+    for i in range(40):
+        words = cases.prose(7000 + i, 200).split()
+        data += [(100 + i, " ".join(words), "en", "s", 1),
+                 (200 + i, " ".join(w if k % 9 else f"new{k}" for k, w in enumerate(words)), "en", "s", 1)]
+    assert got(cases.documents(spark, data=data), miss=1e-9) == expected(data)
+    assert kept and min(kept) > 1
+    assert "content" not in sets
+
+
+def test_list_of_runs_too_large_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(P, "bounded_broadcast", lambda table: table)
+    data = corpus()
+    assert got(cases.documents(spark, data=data), miss=1e-9) == expected(data)
+
+
+def peak_mb(batches):
+    tracemalloc.start()
+    try:
+        n = sum(b.num_rows for b in batches)
+        return n, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_task(spark):
+    """Neither a batch of many texts nor a text with many runs takes more than a piece of it takes."""
+    texts = pa.RecordBatch.from_arrays([pa.array([cases.prose(i % 50, 600) for i in range(2500)])], names=["text"])
+    assert texts.nbytes > 6e6
+    n, mb = peak_mb(P._node_rows(texts, 4, P.SPREAD))
+    assert n > 2500 and mb < 120
+    words = cases.prose(1, 600).split()
+    places = [{"first": i % 400, "stop": i % 400 + 100 + i // 400} for i in range(40_000)]
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
+    one = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array([" ".join(words), "none here"]), pa.array([places, []], kind)],
+                                     names=["content", "text", "places"])
+    n, mb = peak_mb(P._cut_runs(one))
+    assert n == 40_000 and mb < 120
+    rows = [r for b in P._cut_runs(one) for r in b.to_pylist()]
+    assert [(r["first"], r["stop"]) for r in rows] == [(p["first"], p["stop"]) for p in places]
+    assert all(r["content"] == 7 and r["words"] == " ".join(words[r["first"]:r["stop"]]).lower() for r in rows[::97])
